@@ -153,3 +153,161 @@ def q_key_composite(spark, sf_dir):
     d = FX.fx_demographic(spark, sf_dir)
     return d.select("bid", K.name_key().alias("name_key"), K.address_key().alias("address_key"),
                     K.key_composite("lastname", "city").alias("city_key"))
+
+
+# --------------------------------------------------------------------------- change capture
+
+from strata.operators import cdc as CDC  # noqa: E402
+from strata.schemas import REGISTRY  # noqa: E402
+from strata.session import path_join, scratch_path  # noqa: E402
+
+_CDC_CTE = _with(c=FX.FX_CDC_BASE)
+_REGISTERED = ", ".join(f"'{t}'" for t in sorted(REGISTRY))
+_CHANGE_TS = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
+_DATA_BID = "case when tbl = 'T_Unknown' then null else cast(user_id as varchar) end"
+# Fixed parameter: full-load completion notice used by the cut-over query.
+CUTOVER_NOTICE = "2024-01-15T12:30:45.987654Z"
+
+
+def _decoded(spark, sf_dir):
+    return CDC.decode_metadata(FX.fx_cdc(spark, sf_dir))
+
+
+def _flat(decoded: DataFrame, *extra: str) -> DataFrame:
+    cols = {"operation": CDC.meta("operation"), "record_type": CDC.meta("record-type"),
+            "schema_name": CDC.meta("schema-name"), "table_name": CDC.meta("table-name"),
+            "change_ts": CDC.meta("timestamp"),
+            "data_bid": F.get_json_object("data", "$.bid")}
+    names = ("operation", "table_name", "change_ts") + extra
+    return decoded.select(*[cols[n].alias(n) for n in names])
+
+
+@register("cdc_decode_metadata", _CDC_CTE + f"""
+select op as operation, 'data' as record_type, 'db' as schema_name, tbl as table_name,
+       {_CHANGE_TS} as change_ts, cast(null as varchar) as transaction_id,
+       cast(null as varchar) as partition_key_type
+from c
+""")
+def q_cdc_decode_metadata(spark, sf_dir):
+    return CDC.metadata_columns(_decoded(spark, sf_dir))
+
+
+@register("cdc_filter_insert", _CDC_CTE + f"""
+select op as operation, tbl as table_name, {_CHANGE_TS} as change_ts, {_DATA_BID} as data_bid
+from c where op = 'insert'
+""")
+def q_cdc_filter_insert(spark, sf_dir):
+    return _flat(CDC.filter_operation(_decoded(spark, sf_dir), "insert"), "data_bid")
+
+
+@register("cdc_filter_update", _CDC_CTE + f"""
+select op as operation, tbl as table_name, {_CHANGE_TS} as change_ts, {_DATA_BID} as data_bid
+from c where op = 'update'
+""")
+def q_cdc_filter_update(spark, sf_dir):
+    return _flat(CDC.filter_operation(_decoded(spark, sf_dir), "update"), "data_bid")
+
+
+@register("cdc_table_frequency", _CDC_CTE + """
+select tbl as table_name, count(*) as cnt from c where op = 'insert' group by tbl
+""")
+def q_cdc_table_frequency(spark, sf_dir):
+    return CDC.table_frequency(CDC.filter_operation(_decoded(spark, sf_dir), "insert"))
+
+
+@register("cdc_allowed_tables", _CDC_CTE + f"""
+select distinct tbl as table_name from c where op = 'insert' and tbl in ({_REGISTERED})
+""")
+def q_cdc_allowed_tables(spark, sf_dir):
+    return CDC.allowed_tables(CDC.filter_operation(_decoded(spark, sf_dir), "insert"))
+
+
+@register("cdc_decode_table", _CDC_CTE + """
+select cast(user_id as varchar) as bid, cast(event_id % 7 as varchar) as tagaid,
+       cast(event_id % 9 as varchar) as tagvid, strftime(ts, '%Y-%m-%d') as tagdate
+from c where op = 'insert' and tbl = 'T_Demographic_Tag'
+""")
+def q_cdc_decode_table(spark, sf_dir):
+    ins = CDC.filter_operation(_decoded(spark, sf_dir), "insert")
+    return CDC.decode_table(ins, REGISTRY["T_Demographic_Tag"])
+
+
+_TYPED_SUBSCRIBED = """
+select event_id as id, user_id as bid, event_id % 50 as campaignid,
+       strftime(ts, '%Y-%m-%d') as solddate, try_cast(step as bigint) as deliverystepid,
+       value as revenue
+from c where op = '{op}' and tbl = 'T_Subscribed_Offer'
+"""
+
+
+@register("cdc_typed_cast", _CDC_CTE + _TYPED_SUBSCRIBED.format(op="insert"))
+def q_cdc_typed_cast(spark, sf_dir):
+    ins = CDC.filter_operation(_decoded(spark, sf_dir), "insert")
+    return CDC.decode_typed(ins, REGISTRY["T_Subscribed_Offer"])
+
+
+def _applied_oracle(op: str, suffix: str) -> str:
+    return _CDC_CTE + f"""
+select 't_subscribed_offer{suffix}' as target, event_id as id, user_id as bid,
+       event_id % 50 as campaignid, strftime(ts, '%Y-%m-%d') as solddate,
+       try_cast(step as bigint) as deliverystepid, value as revenue
+from c where op = '{op}' and tbl = 'T_Subscribed_Offer'
+union all by name
+select 't_visited_affiliate{suffix}' as target, event_id as id, user_id as bid,
+       user_id % 20 as affiliateid, event_type as subaff2, strftime(ts, '%Y-%m-%d') as "date",
+       event_id % 12 as period
+from c where op = '{op}' and tbl = 'T_Visited_Affiliate'
+union all by name
+select 't_demographic_tag{suffix}' as target, user_id as bid, event_id % 7 as tagaid,
+       event_id % 9 as tagvid, strftime(ts, '%Y-%m-%d') as tagdate
+from c where op = '{op}' and tbl = 'T_Demographic_Tag'
+union all by name
+select 't_demographic_survey{suffix}' as target, user_id as bid, event_id % 7 as aid,
+       event_id % 9 as vid, strftime(ts, '%Y-%m-%d') as surveydate,
+       cast(null as varchar) as lastsurveydate
+from c where op = '{op}' and tbl = 'T_Demographic_Survey'
+"""
+
+
+def _read_routed(spark, written: dict[str, str]) -> DataFrame:
+    frames = [spark.read.parquet(p).withColumn("target", F.lit(p.rstrip("/").rsplit("/", 1)[-1]))
+              for p in written.values()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+@register("cdc_apply_insert", _applied_oracle("insert", ""))
+def q_cdc_apply_insert(spark, sf_dir):
+    root = scratch_path(spark, "transient")
+    written = CDC.apply_changes(FX.fx_cdc(spark, sf_dir), "insert", root)
+    return _read_routed(spark, written)
+
+
+@register("cdc_apply_update", _applied_oracle("update", "_cdc_update"))
+def q_cdc_apply_update(spark, sf_dir):
+    root = scratch_path(spark, "transient")
+    written = CDC.apply_changes(FX.fx_cdc(spark, sf_dir), "update", root)
+    return _read_routed(spark, written)
+
+
+@register("route_target", _CDC_CTE + f"""
+select lower(tbl) || case when op = 'update' then '_cdc_update' else '' end as target,
+       count(*) as cnt
+from c where op in ('insert', 'update') and tbl in ({_REGISTERED})
+group by 1
+""")
+def q_route_target(spark, sf_dir):
+    d = CDC.registered(_decoded(spark, sf_dir))
+    d = d.where(CDC.meta("operation").isin("insert", "update"))
+    return (d.groupBy(CDC.route_target(CDC.meta("table-name"), CDC.meta("operation")).alias("target"))
+            .agg(F.count(F.lit(1)).alias("cnt")))
+
+
+@register("cdc_cutover", _CDC_CTE + f"""
+select op as operation, tbl as table_name, {_CHANGE_TS} as change_ts
+from c where ts >= timestamp '{CUTOVER_NOTICE[:19].replace('T', ' ')}'
+""")
+def q_cdc_cutover(spark, sf_dir):
+    return _flat(CDC.cutover_filter(_decoded(spark, sf_dir), CUTOVER_NOTICE))
