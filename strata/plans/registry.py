@@ -311,3 +311,282 @@ from c where ts >= timestamp '{CUTOVER_NOTICE[:19].replace('T', ' ')}'
 """)
 def q_cdc_cutover(spark, sf_dir):
     return _flat(CDC.cutover_filter(_decoded(spark, sf_dir), CUTOVER_NOTICE))
+
+
+# --------------------------------------------------------------------------- audit, refined, pruned scans
+
+from strata.operators.audit import audit_columns  # noqa: E402
+from strata.plans import jobs as J  # noqa: E402
+from strata.sinks.files import write_csv_pipe, write_parquet  # noqa: E402
+from strata.sources import catalog as CAT  # noqa: E402
+from strata.sources import files as SRC  # noqa: E402
+from strata.operators import schema_ops as SO  # noqa: E402
+from strata.streaming import incremental as INC  # noqa: E402
+from strata.streaming import landing as LAND  # noqa: E402
+
+# Fixed parameters of the audit-column queries (a pinned load time keeps them reproducible).
+AS_OF = "2024-03-05 06:07:08"
+AUDIT_ARGS = ("etl_role", "refine_job", "db_name")
+
+
+def _audit_sql(prefix: str = "") -> str:
+    user, process, source = AUDIT_ARGS
+    return (f"date '2024-03-05' as {prefix}created_date, timestamp '{AS_OF}' as created_timestamp, "
+            f"'{user}' as create_user, '{process}' as create_process, '{source}' as first_source, "
+            "cast(2024 as integer) as create_year, cast(3 as integer) as create_month, "
+            "cast(5 as integer) as create_date")
+
+
+def _orders(spark, sf_dir):
+    return FX.read_table(spark, sf_dir, "orders")
+
+
+@register("audit_columns", f"select *, {_audit_sql()} from orders")
+def q_audit_columns(spark, sf_dir):
+    return audit_columns(_orders(spark, sf_dir), *AUDIT_ARGS, as_of=AS_OF)
+
+
+def _time_slices(df: DataFrame, col: str, bounds: tuple[str, ...]) -> list[DataFrame]:
+    """Complementary slices of a whole table by a time column (NULLs go last)."""
+    c = F.col(col)
+    out, lo = [], None
+    for b in bounds:
+        cond = c < F.lit(b).cast("timestamp_ntz")
+        if lo is not None:
+            cond = cond & (c >= F.lit(lo).cast("timestamp_ntz"))
+        out.append(df.where(cond))
+        lo = b
+    out.append(df.where((c >= F.lit(lo).cast("timestamp_ntz")) | c.isNull()))
+    return out
+
+
+@register("transient_to_refined", f"select *, {_audit_sql()} from orders")
+def q_transient_to_refined(spark, sf_dir):
+    root = scratch_path(spark, "zones")
+    transient, refined = path_join(root, "transient/orders"), path_join(root, "refined/orders")
+    ck = path_join(root, "_checkpoints/orders")
+    orders = _orders(spark, sf_dir)
+    # Three scheduled runs over a growing transient folder: each row once.
+    for part in _time_slices(orders, "o_orderdate", ("1997-01-01", "1999-01-01")):
+        write_parquet(part, transient, mode="append")
+        J.transient_to_refined(spark, transient, refined, ck, *AUDIT_ARGS, as_of=AS_OF,
+                               schema=orders.schema)
+    return spark.read.parquet(refined)
+
+
+@register("update_history_to_refined", _CDC_CTE + f"""
+select 't_demographic_survey_cdc_update' as target, user_id as bid, event_id % 7 as aid,
+       event_id % 9 as vid, strftime(ts, '%Y-%m-%d') as surveydate,
+       cast(null as varchar) as lastsurveydate, {_audit_sql()}
+from c where op = 'update' and tbl = 'T_Demographic_Survey'
+union all by name
+select 't_demographic_tag_cdc_update' as target, user_id as bid, event_id % 7 as tagaid,
+       event_id % 9 as tagvid, strftime(ts, '%Y-%m-%d') as tagdate, {_audit_sql()}
+from c where op = 'update' and tbl = 'T_Demographic_Tag'
+""")
+def q_update_history_to_refined(spark, sf_dir):
+    root = scratch_path(spark, "zones")
+    transient, refined = path_join(root, "transient"), path_join(root, "refined")
+    CDC.apply_changes(FX.fx_cdc(spark, sf_dir), "update", transient)
+    written = J.update_history_to_refined(spark, transient, refined, path_join(root, "_ck"),
+                                          *AUDIT_ARGS, as_of=AS_OF)
+    return _read_routed(spark, written)
+
+
+_PRUNE = (1996, 3, 9, 1, 15)
+
+
+@register("scan_partition_pruned", f"""
+select *, cast(year(o_orderdate) as integer) as create_year,
+       cast(month(o_orderdate) as integer) as create_month,
+       cast(day(o_orderdate) as integer) as create_date
+from orders
+where year(o_orderdate) = {_PRUNE[0]} and month(o_orderdate) between {_PRUNE[1]} and {_PRUNE[2]}
+  and day(o_orderdate) between {_PRUNE[3]} and {_PRUNE[4]}
+""")
+def q_scan_partition_pruned(spark, sf_dir):
+    path = scratch_path(spark, "refined/orders")
+    o = _orders(spark, sf_dir)
+    parted = o.withColumns({"create_year": F.year("o_orderdate"), "create_month": F.month("o_orderdate"),
+                            "create_date": F.dayofmonth("o_orderdate")})
+    write_parquet(parted, path, mode="overwrite", files_per_partition=1,
+                  partition_by=("create_year", "create_month", "create_date"))
+    return SRC.scan_partition_pruned(spark, path, *_PRUNE)
+
+
+# --------------------------------------------------------------------------- scans, catalog, raw zone
+
+@register("scan_parquet", "select * from lineitem")
+def q_scan_parquet(spark, sf_dir):
+    return SRC.scan_parquet(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+
+
+@register("scan_catalog_table", "select * from orders")
+def q_scan_catalog_table(spark, sf_dir):
+    root = scratch_path(spark, "transient")
+    write_parquet(_orders(spark, sf_dir), path_join(root, "orders"), mode="overwrite")
+    CAT.create_zone(spark, "strata_transient")
+    CAT.register_table(spark, "strata_transient", "orders", path_join(root, "orders"))
+    return CAT.scan_catalog_table(spark, "strata_transient", "orders")
+
+
+@register("scan_csv_pipe", "select * from customer")
+def q_scan_csv_pipe(spark, sf_dir):
+    cust = FX.read_table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "raw/customer")
+    write_csv_pipe(cust, path, mode="overwrite")
+    return SRC.scan_csv_pipe(spark, path, schema=cust.schema)
+
+
+@register("scan_inferred_csv", """
+select cast(c_custkey as integer) as c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+from customer
+""")
+def q_scan_inferred_csv(spark, sf_dir):
+    path = scratch_path(spark, "raw/customer")
+    write_csv_pipe(FX.read_table(spark, sf_dir, "customer"), path, mode="overwrite")
+    return SRC.scan_csv_pipe(spark, path, infer=True)
+
+
+@register("raw_to_transient", """
+select cast(p_partkey as integer) as p_partkey, p_name, p_brand, p_type, p_size, p_retailprice
+from part
+""")
+def q_raw_to_transient(spark, sf_dir):
+    root = scratch_path(spark, "zones")
+    raw, transient = path_join(root, "raw/part"), path_join(root, "transient/part")
+    write_csv_pipe(FX.read_table(spark, sf_dir, "part"), raw, mode="overwrite")
+    J.raw_to_transient(spark, raw, transient)
+    return spark.read.parquet(transient)
+
+
+_SNAPSHOT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+@register("full_load_snapshot", "\nunion all\n".join(
+    f"select '{t}' as table_name, count(*) as n_rows from {t}" for t in _SNAPSHOT_TABLES))
+def q_full_load_snapshot(spark, sf_dir):
+    db = "strata_source_db"
+    CAT.create_zone(spark, db)
+    for t in _SNAPSHOT_TABLES:
+        CAT.register_table(spark, db, t, f"{sf_dir.rstrip('/')}/{t}.parquet")
+    raw = scratch_path(spark, "raw")
+    written = J.full_load_snapshot(spark, db, raw, pattern="%")
+    frames = [SRC.scan_csv_pipe(spark, p).groupBy().agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.lit(t).alias("table_name"), "n_rows") for t, p in written.items()]
+    return SRC.union_all(frames)
+
+
+# --------------------------------------------------------------------------- schemas
+
+@register("merge_compatible_schemas", """
+select s_suppkey, s_name, s_nationkey from supplier where s_nationkey < 13
+union all by name
+select * from supplier where not (s_nationkey < 13) or s_nationkey is null
+""")
+def q_merge_compatible_schemas(spark, sf_dir):
+    sup = FX.read_table(spark, sf_dir, "supplier")
+    path = scratch_path(spark, "transient/supplier")
+    old = sup.where(F.col("s_nationkey") < 13).select("s_suppkey", "s_name", "s_nationkey")
+    new = sup.where(~(F.col("s_nationkey") < 13) | F.col("s_nationkey").isNull())
+    write_parquet(old, path, mode="append")
+    write_parquet(new, path, mode="append")
+    return SO.merge_compatible_schemas(spark, path)
+
+
+@register("conform_to_schema", """
+select s_suppkey, s_name, case when s_nationkey = 0 then null else s_nationkey end as s_nationkey,
+       cast(null as double) as s_acctbal, upper(s_name) as s_extra
+from supplier
+""")
+def q_conform_to_schema(spark, sf_dir):
+    sup = FX.read_table(spark, sf_dir, "supplier")
+    registered = sup.schema  # the registered table schema
+    batch = sup.select("s_suppkey", "s_name",
+                       F.when(F.col("s_nationkey") == 0, F.lit("n/a"))
+                       .otherwise(F.col("s_nationkey").cast("string")).alias("s_nationkey"),
+                       F.upper("s_name").alias("s_extra"))
+    return SO.conform_to_schema(batch, registered)
+
+
+@register("union_full_load_and_cdc", "select * from customer")
+def q_union_full_load_and_cdc(spark, sf_dir):
+    from strata.schemas import table_spec
+    spec = table_spec("T_Customer", "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment",
+                      "c_custkey long, c_nationkey int, c_acctbal double")
+    cust = FX.read_table(spark, sf_dir, "customer")
+    root = scratch_path(spark, "zones")
+    raw, transient = path_join(root, "raw/customer"), path_join(root, "transient")
+    full_part = cust.where(F.col("c_nationkey") < 13)
+    cdc_part = cust.where(~(F.col("c_nationkey") < 13) | F.col("c_nationkey").isNull())
+    # full load: pipe-CSV -> transient/t_customer, typed by the registered schema
+    write_csv_pipe(full_part, raw, mode="overwrite")
+    J.raw_to_transient(spark, raw, path_join(transient, "t_customer"), schema=spec.typed_schema)
+    # change inserts of the same table, as JSON envelopes, routed to the same folder
+    envelope = cdc_part.select(
+        F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in spec.fields])).alias("data"),
+        F.to_json(F.struct(F.lit("insert").alias("operation"),
+                           F.lit("T_Customer").alias("table-name"))).alias("metadata"))
+    CDC.apply_changes(envelope, "insert", transient, registry={"T_Customer": spec})
+    return spark.read.parquet(path_join(transient, "t_customer"))
+
+
+# --------------------------------------------------------------------------- incremental / streaming
+
+_EVENT_BOUNDS = ("2024-01-11", "2024-01-21")
+
+
+@register("incremental_scan", "select * from events")
+def q_incremental_scan(spark, sf_dir):
+    ev = FX.read_table(spark, sf_dir, "events")
+    root = scratch_path(spark, "incremental")
+    landing, sink, ck = (path_join(root, p) for p in ("landing", "sink", "_checkpoint"))
+    for part in _time_slices(ev, "ts", _EVENT_BOUNDS):
+        write_parquet(part, landing, mode="append")
+        INC.incremental_copy(spark, landing, ev.schema, sink, ck)
+    return spark.read.parquet(sink)
+
+
+@register("cdc_land_stream", _CDC_CTE + f"""
+select op as operation, tbl as table_name, {_CHANGE_TS} as change_ts, {_DATA_BID} as data_bid
+from c
+""")
+def q_cdc_land_stream(spark, sf_dir):
+    env = FX.fx_cdc(spark, sf_dir)
+    msgs = env.select(F.concat(F.lit('{"data":'), F.col("data"), F.lit(',"metadata":'),
+                               F.col("metadata"), F.lit("}")).alias("value"),
+                      F.get_json_object("metadata", "$.timestamp").alias("t"))
+    root = scratch_path(spark, "stream")
+    inbox, landing, ck = (path_join(root, p) for p in ("inbox", "landing", "_checkpoint"))
+    lo = None
+    for b in _EVENT_BOUNDS + (None,):
+        part = msgs
+        if lo is not None:
+            part = part.where(F.col("t") >= lo)
+        part = part.where(F.col("t") < b) if b is not None else part.where((F.col("t") >= lo) | F.col("t").isNull())
+        part.select("value").write.mode("append").text(inbox)
+        LAND.cdc_land_stream(LAND.message_file_stream(spark, inbox), landing, ck,
+                             available_now=True).awaitTermination()
+        lo = b
+    return _flat(CDC.decode_metadata(spark.read.parquet(landing)), "data_bid")
+
+
+@register("zone_sql", """
+select n_name, count(distinct c_custkey) as n_customers, count(o_orderkey) as n_orders,
+       max(o_totalprice) as max_price
+from customer join nation on c_nationkey = n_nationkey
+left join orders on o_custkey = c_custkey
+group by n_name
+""")
+def q_zone_sql(spark, sf_dir):
+    zone = "strata_refined"
+    CAT.create_zone(spark, zone)
+    for t in ("customer", "nation", "orders"):
+        CAT.register_table(spark, zone, t, f"{sf_dir.rstrip('/')}/{t}.parquet")
+    sql = f"""
+        select n_name, count(distinct c_custkey) as n_customers, count(o_orderkey) as n_orders,
+               max(o_totalprice) as max_price
+        from {zone}.customer join {zone}.nation on c_nationkey = n_nationkey
+        left join {zone}.orders on o_custkey = c_custkey
+        group by n_name"""
+    return CAT.zone_sql(spark, sql, output=scratch_path(spark, "query-results"))

@@ -1,14 +1,21 @@
 """File sinks: Parquet (plain or date-partitioned) and pipe-delimited CSV.
 
-Partitioned writes are *not* repartitioned on the partition keys first: a
-batch's audit date is one value, so hashing on it would funnel the whole
-batch into one task.  Each task instead writes one file per partition value
-it holds, which for a daily batch is one file per task.
+Partitioned writes are *not* repartitioned on the partition keys by
+default: a batch's audit date is one value, so hashing on it would funnel
+the whole batch into one task.  Each task instead writes one file per
+partition value it holds, which for a daily batch is one file per task.
+
+When the partition values are many (e.g. a table partitioned by an event
+date spanning years), ``files_per_partition`` clusters rows by the keys
+plus a deterministic salt, so each folder gets that many files and a hot
+value is still spread over several tasks.  The salt is a hash of the row,
+never a random number, so a retried task sends every row to the same place.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strata.schemas import PARTITION_KEYS
 from strata.sources.files import CSV_OPTIONS
@@ -16,7 +23,15 @@ from strata.sources.files import CSV_OPTIONS
 
 def write_parquet(df: DataFrame, path: str, mode: str = "append",
                   partition_by: tuple[str, ...] | list[str] | None = None,
-                  max_records_per_file: int | None = None) -> str:
+                  max_records_per_file: int | None = None,
+                  files_per_partition: int | None = None) -> str:
+    if partition_by and files_per_partition:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+        # An explicit count: AQE would otherwise coalesce a keyed repartition
+        # of a small input into one task that writes every folder serially.
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(max(n, df.sparkSession.sparkContext.defaultParallelism),
+                            *[F.col(c) for c in partition_by], salt)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -48,6 +48,9 @@ def register_table(spark: SparkSession, zone: str, name: str, path: str,
     full = f"{_ident(zone)}.{_ident(name)}"
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {full}")
+    if partition_by and schema is None:
+        # Footers plus partition discovery; a column list is required with PARTITIONED BY.
+        schema = spark.read.format(fmt).options(**(options or {})).load(path).schema
     cols = ""
     if schema is not None:
         cols = "(" + ", ".join(f"{_ident(f.name)} {f.dataType.simpleString()}"
