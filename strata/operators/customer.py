@@ -7,8 +7,12 @@ Inputs are three DataFrames:
 * ``demographic`` (bid, email, firstname, lastname, address1, address2, city,
   state, zippost, zipplus4, phone, ...) -- refined demographic table
 
-Plan shape, chosen for very large inputs:
+Plan shape, chosen for very large inputs where one bid or one cluster may
+hold a third of all rows:
 
+* Inputs are projected and de-duplicated (partial aggregation, map-side)
+  before they are shuffled on ``bid``, so repeated versions of a bid never
+  reach a join task in bulk.
 * Joins whose only purpose is to restrict rows ("is this bid clustered?") are
   left-semi joins against a *distinct* bid list; the distinct runs as a
   partial (map-side) aggregate, so repeated bids collapse before the shuffle
@@ -19,10 +23,9 @@ Plan shape, chosen for very large inputs:
 * The cluster head (smallest clustered bid per ``match_id``) is a grouped
   ``min`` -- partial aggregation again -- joined back null-safely on
   ``match_id`` instead of a window over each cluster, which would put a whole
-  (possibly giant) cluster into one task.  A hot ``match_id`` on the join
-  back is split by AQE's skew-join handling; the head side has one row per
-  cluster, and AQE turns the join into a broadcast only when its measured
-  size is under the broadcast threshold.
+  (possibly giant) cluster into one task.  Giant clusters (and the NULL
+  cluster) are split off and joined through a broadcast that holds at most
+  ``max_hot_clusters`` rows; the others take a shuffle join.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.keys import (address_key, email_key, entity_key, name_key,
                                    phone_key)
+from strata.operators.skew import lookup_join_split_hot
 
 ADDRESS_COLUMNS = ("address1", "address2", "city", "state", "zippost", "zipplus4")
 NAME_COLUMNS = ("firstname", "lastname")
@@ -56,12 +60,14 @@ def clustered_demographic(match: DataFrame, baseid: DataFrame,
     repeat demographic rows, and the grouping removes the repeats.
     """
     eligible = clustered_baseid_bids(match, baseid)
-    return demographic.select("bid", *columns).join(eligible, "bid", "left_semi")
+    # Distinct before the join: a bid with many identical versions (append-only
+    # zones) is collapsed map-side, so no join task receives all of its rows.
+    return demographic.select("bid", *columns).distinct().join(eligible, "bid", "left_semi")
 
 
 def customer_email(match: DataFrame, baseid: DataFrame) -> DataFrame:
     """``customer_email(customer_email_id, email)`` from base-id emails of clustered bids."""
-    emails = (baseid.select("bid", "email")
+    emails = (baseid.select("bid", "email").distinct()
               .join(distinct_bids(match), "bid", "left_semi")
               .select("email").distinct())
     return emails.select(email_key("email").alias("customer_email_id"), "email")
@@ -102,13 +108,19 @@ def customer_xref(match: DataFrame, demographic: DataFrame) -> DataFrame:
     return members.select(entity_key("bid").alias("customer_id"), "bid")
 
 
-def parent_link(match: DataFrame, demographic: DataFrame) -> DataFrame:
+def parent_link(match: DataFrame, demographic: DataFrame, max_hot_clusters: int = 1000,
+                min_hot_rows: int = 1_000_000) -> DataFrame:
     """(bid, match_id, parent_bid): parent_bid is the cluster's smallest present bid,
-    NULL for the head itself.  All NULL ``match_id`` rows form one cluster."""
+    NULL for the head itself.  All NULL ``match_id`` rows form one cluster.
+
+    Clusters holding a large share of the members (see ``operators.skew``)
+    are joined back through a size-bounded broadcast, the rest by shuffle."""
     members = present_members(match, demographic)
-    heads = (members.groupBy("match_id").agg(F.min("bid").alias("head_bid"))
+    heads = (members.groupBy("match_id")
+             .agg(F.min("bid").alias("head_bid"), F.count(F.lit(1)).alias("members"))
              .withColumnRenamed("match_id", "head_match_id"))
-    linked = members.join(heads, F.col("match_id").eqNullSafe(F.col("head_match_id")))
+    linked = lookup_join_split_hot(members, heads, "match_id", "head_match_id", "members",
+                                   max_hot_keys=max_hot_clusters, min_hot_rows=min_hot_rows)
     return (linked.select("bid", "match_id",
                           F.nullif(F.col("head_bid"), F.col("bid")).alias("parent_bid"))
             .distinct())
@@ -125,7 +137,8 @@ def demographic_keys(demographic: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def customer(match: DataFrame, demographic: DataFrame) -> DataFrame:
+def customer(match: DataFrame, demographic: DataFrame, max_hot_clusters: int = 1000,
+             min_hot_rows: int = 1_000_000) -> DataFrame:
     """``customer(customer_id, customer_email_id, customer_name_id,
     customer_address_id, customer_phone_id, parent_customer_id)``.
 
@@ -133,7 +146,7 @@ def customer(match: DataFrame, demographic: DataFrame) -> DataFrame:
     built from base-id emails, so this foreign key may dangle by design).
     Several distinct demographic versions of one bid give several rows.
     """
-    links = parent_link(match, demographic).select("bid", "parent_bid")
+    links = parent_link(match, demographic, max_hot_clusters, min_hot_rows).select("bid", "parent_bid")
     rows = links.join(demographic_keys(demographic), "bid")
     # De-duplicate on the compact bid before hashing it; bid -> customer_id
     # is one-to-one, so this equals grouping on the hashed ids.

@@ -69,3 +69,21 @@ def test_empty_inputs(spark):
     m, b, d = frames(spark, [], [], [])
     for df in C.customer_star(m, b, d).values():
         assert df.count() == 0
+
+
+def test_hot_cluster_split_matches_plain(spark):
+    # one giant cluster, a NULL cluster and small ones; force the hot path
+    match = [(b, 1) for b in range(10, 60)] + [(b, None) for b in range(60, 80)] + [(3, 2), (4, 2)]
+    demo = [dem(b) for b in list(range(10, 80)) + [3, 4]]
+    m, _, d = frames(spark, match, [], demo)
+    hot = {tuple(r) for r in C.parent_link(m, d, max_hot_clusters=4, min_hot_rows=5).collect()}
+    plain = {tuple(r) for r in C.parent_link(m, d).collect()}
+    assert hot == plain
+    assert (11, 1, 10) in hot and (61, None, 60) in hot and (4, 2, 3) in hot
+
+
+def test_hot_key_bound(spark):
+    from strata.operators.skew import hot_key_threshold
+    lk = spark.createDataFrame([(i, 1) for i in range(100)] + [(999, 900)], "k long, n long")
+    t = hot_key_threshold(lk, "n", max_hot_keys=10, min_hot_rows=1)
+    assert t == 100 and lk.where(lk.n > t).count() == 1
