@@ -159,7 +159,7 @@ def q_key_composite(spark, sf_dir):
 
 from strata.operators import cdc as CDC  # noqa: E402
 from strata.schemas import REGISTRY  # noqa: E402
-from strata.session import path_join, scratch_path  # noqa: E402
+from strata.session import ensure_checkpoint_dir, path_join, scratch_path  # noqa: E402
 
 _CDC_CTE = _with(c=FX.FX_CDC_BASE)
 _REGISTERED = ", ".join(f"'{t}'" for t in sorted(REGISTRY))
@@ -337,6 +337,12 @@ def _audit_sql(prefix: str = "") -> str:
             "cast(5 as integer) as create_date")
 
 
+def _zone(spark, name: str) -> str:
+    """Create a query-owned zone database below the shared checkpoint folder."""
+    return CAT.create_zone(spark, name, path_join(ensure_checkpoint_dir(spark), "strata-zones",
+                                                  name + ".db"))
+
+
 def _orders(spark, sf_dir):
     return FX.read_table(spark, sf_dir, "orders")
 
@@ -425,7 +431,7 @@ def q_scan_parquet(spark, sf_dir):
 def q_scan_catalog_table(spark, sf_dir):
     root = scratch_path(spark, "transient")
     write_parquet(_orders(spark, sf_dir), path_join(root, "orders"), mode="overwrite")
-    CAT.create_zone(spark, "strata_transient")
+    _zone(spark, "strata_transient")
     CAT.register_table(spark, "strata_transient", "orders", path_join(root, "orders"))
     return CAT.scan_catalog_table(spark, "strata_transient", "orders")
 
@@ -467,7 +473,7 @@ _SNAPSHOT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders"
     f"select '{t}' as table_name, count(*) as n_rows from {t}" for t in _SNAPSHOT_TABLES))
 def q_full_load_snapshot(spark, sf_dir):
     db = "strata_source_db"
-    CAT.create_zone(spark, db)
+    _zone(spark, db)
     for t in _SNAPSHOT_TABLES:
         CAT.register_table(spark, db, t, f"{sf_dir.rstrip('/')}/{t}.parquet")
     raw = scratch_path(spark, "raw")
@@ -580,7 +586,7 @@ group by n_name
 """)
 def q_zone_sql(spark, sf_dir):
     zone = "strata_refined"
-    CAT.create_zone(spark, zone)
+    _zone(spark, zone)
     for t in ("customer", "nation", "orders"):
         CAT.register_table(spark, zone, t, f"{sf_dir.rstrip('/')}/{t}.parquet")
     sql = f"""
