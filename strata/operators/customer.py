@@ -119,8 +119,11 @@ def parent_link(match: DataFrame, demographic: DataFrame, max_hot_clusters: int
     heads = (members.groupBy("match_id")
              .agg(F.min("bid").alias("head_bid"), F.count(F.lit(1)).alias("members"))
              .withColumnRenamed("match_id", "head_match_id"))
+    # Members are a subset of the match rows, so the match row count bounds the
+    # per-cluster counts' sum (and is answered from Parquet footers).
     linked = lookup_join_split_hot(members, heads, "match_id", "head_match_id", "members",
-                                   max_hot_keys=max_hot_clusters, min_hot_rows=min_hot_rows)
+                                   max_hot_keys=max_hot_clusters, min_hot_rows=min_hot_rows,
+                                   total_rows=match.count())
     return (linked.select("bid", "match_id",
                           F.nullif(F.col("head_bid"), F.col("bid")).alias("parent_bid"))
             .distinct())

@@ -24,18 +24,24 @@ from pyspark.sql import functions as F
 
 
 def hot_key_threshold(lookup: DataFrame, rows_col: str, max_hot_keys: int,
-                      min_hot_rows: int) -> int:
-    """Row count above which a key is hot (one small aggregate job)."""
-    total = lookup.agg(F.sum(rows_col).alias("t")).first()["t"] or 0
-    return max(int(min_hot_rows), int(total) // int(max_hot_keys))
+                      min_hot_rows: int, total_rows: int | None = None) -> int:
+    """Row count above which a key is hot.
+
+    ``total_rows`` is any upper bound of ``sum(rows_col)`` the caller has
+    cheaply (e.g. the row count of a Parquet input, answered from footers);
+    without it one small aggregate job sums the lookup."""
+    if total_rows is None:
+        total_rows = lookup.agg(F.sum(rows_col).alias("t")).first()["t"] or 0
+    return max(int(min_hot_rows), int(total_rows) // int(max_hot_keys))
 
 
 def lookup_join_split_hot(big: DataFrame, lookup: DataFrame, big_key: str, lookup_key: str,
                           rows_col: str, max_hot_keys: int = 1000,
-                          min_hot_rows: int = 1_000_000, null_safe: bool = True) -> DataFrame:
+                          min_hot_rows: int = 1_000_000, null_safe: bool = True,
+                          total_rows: int | None = None) -> DataFrame:
     """Inner join ``big`` x ``lookup`` on ``big_key`` = ``lookup_key`` (null-safe
     by default), result columns of both sides minus ``rows_col``."""
-    threshold = hot_key_threshold(lookup, rows_col, max_hot_keys, min_hot_rows)
+    threshold = hot_key_threshold(lookup, rows_col, max_hot_keys, min_hot_rows, total_rows)
     hot = lookup.where(F.col(rows_col) > threshold).drop(rows_col)  # <= max_hot_keys rows
     cold = lookup.where(F.col(rows_col) <= threshold).drop(rows_col)
 
