@@ -39,16 +39,21 @@ def create_zone(spark: SparkSession, zone: str, location: str | None = None) ->
     return zone
 
 
-def register_table(spark: SparkSession, zone: str, name: str, path: str,
+def register_table(spark: SparkSession, zone: str, name: str, path: str | None,
                    fmt: str = "parquet", schema: T.StructType | None = None,
                    options: dict[str, str] | None = None,
                    partition_by: tuple[str, ...] | None = None,
                    replace: bool = True) -> str:
-    """External table over ``path``; dropping it never deletes data."""
+    """External table over ``path``; dropping it never deletes data.
+
+    ``path=None`` registers a location-less source such as a JDBC table
+    (``fmt="jdbc"``, ``options={"url": ..., "dbtable": ..., "partitionColumn":
+    ..., "lowerBound": ..., "upperBound": ..., "numPartitions": ...}``), which
+    the snapshot job then reads in parallel ranges."""
     full = f"{_ident(zone)}.{_ident(name)}"
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {full}")
-    if partition_by and schema is None:
+    if partition_by and schema is None and path is not None:
         # Footers plus partition discovery; a column list is required with PARTITIONED BY.
         schema = spark.read.format(fmt).options(**(options or {})).load(path).schema
     cols = ""
@@ -64,9 +69,9 @@ def register_table(spark: SparkSession, zone: str, name: str, path: str,
     part_sql = ""
     if partition_by:
         part_sql = " PARTITIONED BY (" + ", ".join(_ident(c) for c in partition_by) + ")"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} {cols} USING {fmt}{opt_sql}{part_sql} "
-              f"LOCATION {_lit(path)}")
-    if partition_by:
+    loc_sql = f" LOCATION {_lit(path)}" if path is not None else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {full} {cols} USING {fmt}{opt_sql}{part_sql}{loc_sql}")
+    if partition_by and path is not None:
         spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
     return f"{zone}.{name}"
 
