@@ -30,6 +30,8 @@ hold a third of all rows:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,14 +54,16 @@ def clustered_baseid_bids(match: DataFrame, baseid: DataFrame) -> DataFrame:
 
 
 def clustered_demographic(match: DataFrame, baseid: DataFrame,
-                          demographic: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+                          demographic: DataFrame, columns: tuple[str, ...],
+                          eligible: DataFrame | None = None) -> DataFrame:
     """Demographic rows (projected) whose bid is clustered and has a base id.
 
     Equivalent to ``match JOIN baseid JOIN demographic`` followed by a
     grouping on demographic columns only: the inner joins can only drop or
     repeat demographic rows, and the grouping removes the repeats.
     """
-    eligible = clustered_baseid_bids(match, baseid)
+    if eligible is None:
+        eligible = clustered_baseid_bids(match, baseid)
     # Distinct before the join: a bid with many identical versions (append-only
     # zones) is collapsed map-side, so no join task receives all of its rows.
     return demographic.select("bid", *columns).distinct().join(eligible, "bid", "left_semi")
@@ -73,49 +77,55 @@ def customer_email(match: DataFrame, baseid: DataFrame) -> DataFrame:
     return emails.select(email_key("email").alias("customer_email_id"), "email")
 
 
-def customer_address(match: DataFrame, baseid: DataFrame, demographic: DataFrame) -> DataFrame:
-    rows = clustered_demographic(match, baseid, demographic, ADDRESS_COLUMNS)
+def customer_address(match: DataFrame, baseid: DataFrame, demographic: DataFrame,
+                     eligible: DataFrame | None = None) -> DataFrame:
+    rows = clustered_demographic(match, baseid, demographic, ADDRESS_COLUMNS, eligible)
     addrs = rows.select(*ADDRESS_COLUMNS).distinct()
     return addrs.select(address_key().alias("customer_address_id"), *ADDRESS_COLUMNS)
 
 
-def customer_name(match: DataFrame, baseid: DataFrame, demographic: DataFrame) -> DataFrame:
-    rows = clustered_demographic(match, baseid, demographic, NAME_COLUMNS)
+def customer_name(match: DataFrame, baseid: DataFrame, demographic: DataFrame,
+                  eligible: DataFrame | None = None) -> DataFrame:
+    rows = clustered_demographic(match, baseid, demographic, NAME_COLUMNS, eligible)
     names = rows.select(*NAME_COLUMNS).distinct()
     return names.select(name_key().alias("customer_name_id"), *NAME_COLUMNS)
 
 
-def customer_phone(match: DataFrame, baseid: DataFrame, demographic: DataFrame) -> DataFrame:
-    rows = clustered_demographic(match, baseid, demographic, ("phone",))
+def customer_phone(match: DataFrame, baseid: DataFrame, demographic: DataFrame,
+                   eligible: DataFrame | None = None) -> DataFrame:
+    rows = clustered_demographic(match, baseid, demographic, ("phone",), eligible)
     phones = rows.select("phone").distinct()
     return phones.select(phone_key().alias("customer_phone_id"), "phone")
 
 
-def present_members(match: DataFrame, demographic: DataFrame) -> DataFrame:
+def present_members(match: DataFrame, demographic: DataFrame,
+                    dem_bids: DataFrame | None = None) -> DataFrame:
     """Cluster memberships (bid, match_id) whose bid has a demographic row."""
-    return (match.select("bid", "match_id")
-            .join(distinct_bids(demographic), "bid", "left_semi"))
+    if dem_bids is None:
+        dem_bids = distinct_bids(demographic)
+    return match.select("bid", "match_id").join(dem_bids, "bid", "left_semi")
 
 
-def customer_xref(match: DataFrame, demographic: DataFrame) -> DataFrame:
+def customer_xref(match: DataFrame, demographic: DataFrame,
+                  dem_bids: DataFrame | None = None) -> DataFrame:
     """``fig_baseid_x_customer(customer_id, bid)``: one row per (bid, match_id).
 
     A bid that sits in two clusters appears twice.  The grouping runs after
     the semi join, whose output is already hash-partitioned on ``bid``, so it
     adds no shuffle.
     """
-    members = present_members(match, demographic).distinct()
+    members = present_members(match, demographic, dem_bids).distinct()
     return members.select(entity_key("bid").alias("customer_id"), "bid")
 
 
 def parent_link(match: DataFrame, demographic: DataFrame, max_hot_clusters: int = 1000,
-                min_hot_rows: int = 1_000_000) -> DataFrame:
+                min_hot_rows: int = 1_000_000, dem_bids: DataFrame | None = None) -> DataFrame:
     """(bid, match_id, parent_bid): parent_bid is the cluster's smallest present bid,
     NULL for the head itself.  All NULL ``match_id`` rows form one cluster.
 
     Clusters holding a large share of the members (see ``operators.skew``)
     are joined back through a size-bounded broadcast, the rest by shuffle."""
-    members = present_members(match, demographic)
+    members = present_members(match, demographic, dem_bids)
     heads = (members.groupBy("match_id")
              .agg(F.min("bid").alias("head_bid"), F.count(F.lit(1)).alias("members"))
              .withColumnRenamed("match_id", "head_match_id"))
@@ -141,7 +151,7 @@ def demographic_keys(demographic: DataFrame) -> DataFrame:
 
 
 def customer(match: DataFrame, demographic: DataFrame, max_hot_clusters: int = 1000,
-             min_hot_rows: int = 1_000_000) -> DataFrame:
+             min_hot_rows: int = 1_000_000, dem_bids: DataFrame | None = None) -> DataFrame:
     """``customer(customer_id, customer_email_id, customer_name_id,
     customer_address_id, customer_phone_id, parent_customer_id)``.
 
@@ -149,7 +159,8 @@ def customer(match: DataFrame, demographic: DataFrame, max_hot_clusters: int = 1
     built from base-id emails, so this foreign key may dangle by design).
     Several distinct demographic versions of one bid give several rows.
     """
-    links = parent_link(match, demographic, max_hot_clusters, min_hot_rows).select("bid", "parent_bid")
+    links = parent_link(match, demographic, max_hot_clusters, min_hot_rows,
+                        dem_bids).select("bid", "parent_bid")
     rows = links.join(demographic_keys(demographic), "bid")
     # De-duplicate on the compact bid before hashing it; bid -> customer_id
     # is one-to-one, so this equals grouping on the hashed ids.
@@ -166,14 +177,23 @@ def _nullable_key(c: str) -> Column:
     return F.when(F.col(c).isNull(), F.lit(None)).otherwise(entity_key(c))
 
 
-def customer_star(match: DataFrame, baseid: DataFrame,
-                  demographic: DataFrame) -> dict[str, DataFrame]:
-    """All six customer tables, keyed by their output table name."""
+def customer_star(match: DataFrame, baseid: DataFrame, demographic: DataFrame,
+                  reuse: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All six customer tables, keyed by their output table name.
+
+    The match table and the two bid lists shared by several outputs are built
+    once; ``reuse`` (e.g. ``lambda df: df.checkpoint()``) materialises them so
+    the six writes do not recompute them from the inputs."""
+    dem_bids = distinct_bids(demographic)
+    eligible = clustered_baseid_bids(match, baseid)
+    if reuse is not None:
+        match = reuse(match.select("bid", "match_id"))
+        dem_bids, eligible = reuse(dem_bids), reuse(eligible)
     return {
         "customer_email": customer_email(match, baseid),
-        "customer_address": customer_address(match, baseid, demographic),
-        "customer_name": customer_name(match, baseid, demographic),
-        "customer_phone": customer_phone(match, baseid, demographic),
-        "fig_baseid_x_customer": customer_xref(match, demographic),
-        "customer": customer(match, demographic),
+        "customer_address": customer_address(match, baseid, demographic, eligible),
+        "customer_name": customer_name(match, baseid, demographic, eligible),
+        "customer_phone": customer_phone(match, baseid, demographic, eligible),
+        "fig_baseid_x_customer": customer_xref(match, demographic, dem_bids),
+        "customer": customer(match, demographic, dem_bids=dem_bids),
     }

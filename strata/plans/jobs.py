@@ -24,7 +24,7 @@ from strata.operators.audit import audit_columns
 from strata.operators.cdc import apply_changes, route_name
 from strata.operators.customer import customer_star
 from strata.schemas import ENVELOPE_SCHEMA, PARTITION_KEYS, REGISTRY, UPDATE_HISTORY_TABLES, TableSpec
-from strata.session import path_join
+from strata.session import ensure_checkpoint_dir, path_join
 from strata.sinks.files import write_csv_pipe, write_parquet, write_refined
 from strata.sources.catalog import select_tables
 from strata.sources.files import scan_csv_pipe, scan_match_clusters, scan_partition_pruned
@@ -129,14 +129,18 @@ def customer_tables(spark: SparkSession, demographic: str | DataFrame, baseid: s
                     as_of: dt.datetime | str | None = None) -> dict[str, str]:
     """Build and write the six customer tables from date-pruned refined inputs.
 
-    Each output is one Spark job reading only the Parquet columns it needs;
-    the inputs are rescanned rather than cached, which at scale is cheaper
-    than materialising them."""
+    Each output is one Spark job reading only the Parquet columns it needs.
+    The match table and the shared bid lists (narrow: one or two longs per
+    row) are checkpointed once into ``spark.checkpoint.dir`` -- a reliable
+    checkpoint, so a lost executor does not force recomputing them -- and the
+    six writes read them from there instead of re-deriving them."""
+    ensure_checkpoint_dir(spark)
     dem = scan_partition_pruned(spark, demographic, year, month_from, month_to, day_from, day_to)
     bid = scan_partition_pruned(spark, baseid, year, month_from, month_to, day_from, day_to)
     m = scan_match_clusters(spark, match) if isinstance(match, str) else match
     out = {}
-    for name, df in customer_star(m, bid, dem).items():
+    star = customer_star(m, bid, dem, reuse=lambda df: df.checkpoint(eager=True))
+    for name, df in star.items():
         path = path_join(output_root, name.lower())
         write_refined(audit_columns(df, create_user, create_process, first_source, as_of), path)
         out[name] = path
