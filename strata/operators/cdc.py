@@ -14,6 +14,9 @@ Scale notes:
   lost with an executor are recomputed from the input files.
 * The list of tables to write is the registered tables present in the batch,
   a bounded list (at most the registry size) -- never the data itself.
+* With a routed landing (partitioned by operation and table name, see
+  ``streaming.landing``) each table's write reads only its own partition:
+  nothing is cached and no other record is decoded.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.casts import parse_change_ts, to_second
-from strata.schemas import METADATA_SCHEMA, REGISTRY, UPDATE_SUFFIX, TableSpec
+from strata.schemas import METADATA_SCHEMA, REGISTRY, ROUTE_COLUMNS, UPDATE_SUFFIX, TableSpec
 from strata.session import path_join
 
 META = "meta"
@@ -144,6 +147,8 @@ def apply_changes(envelope: DataFrame, operation: str, output_root: str,
     called after each table's write commits.
     """
     registry = registry or REGISTRY
+    if all(c in envelope.columns for c in ROUTE_COLUMNS):
+        return _apply_routed(envelope, operation, output_root, registry, mode, skip, on_written)
     decoded = registered(filter_operation(decode_metadata(envelope.select("data", "metadata")),
                                           operation), registry)
     slim = decoded.select("data", META).persist(StorageLevel.MEMORY_AND_DISK)
@@ -160,3 +165,29 @@ def apply_changes(envelope: DataFrame, operation: str, output_root: str,
         return written
     finally:
         slim.unpersist()
+
+
+def _apply_routed(envelope: DataFrame, operation: str, output_root: str,
+                  registry: dict[str, TableSpec], mode: str, skip: set[str] | None,
+                  on_written) -> dict[str, str]:
+    """Routed sink over a landing partitioned by (operation, table_name).
+
+    Each table's write reads only its own partition, so nothing is cached and
+    no record outside it is decoded.  The metadata filters still run on the
+    decoded rows, so results equal the unpartitioned path."""
+    env = envelope.where(F.col("operation") == F.lit(operation))
+    names = sorted(r["table_name"] for r in
+                   env.select("table_name").where(F.col("table_name").isin(sorted(registry)))
+                   .distinct().collect())  # bounded by the registry size
+    written: dict[str, str] = {}
+    for name in names:
+        if skip and name in skip:
+            continue
+        rows = env.where(F.col("table_name") == F.lit(name)).select("data", "metadata")
+        path = path_join(output_root, route_name(name, operation))
+        decoded = filter_operation(decode_metadata(rows), operation)
+        decode_typed(decoded, registry[name]).write.mode(mode).parquet(path)
+        written[name] = path
+        if on_written is not None:
+            on_written(name)
+    return written

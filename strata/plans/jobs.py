@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 from strata.operators.audit import audit_columns
 from strata.operators.cdc import apply_changes, route_name
 from strata.operators.customer import customer_star
-from strata.schemas import ENVELOPE_SCHEMA, PARTITION_KEYS, REGISTRY, UPDATE_HISTORY_TABLES, TableSpec
+from strata.schemas import (ENVELOPE_SCHEMA, PARTITION_KEYS, REGISTRY, ROUTED_ENVELOPE_SCHEMA,
+                            UPDATE_HISTORY_TABLES, TableSpec)
 from strata.session import ensure_checkpoint_dir, path_join
 from strata.sinks.files import write_csv_pipe, write_parquet, write_refined
 from strata.sources.catalog import select_tables
@@ -63,11 +64,12 @@ def raw_to_transient(spark: SparkSession, raw_path: str, transient_path: str,
 def cdc_to_transient(spark: SparkSession, landing_path: str, transient_root: str,
                      operation: str, checkpoint: str,
                      registry: dict[str, TableSpec] | None = None,
-                     max_files_per_trigger: int | None = None) -> None:
+                     max_files_per_trigger: int | None = None, routed: bool = False) -> None:
     """Incremental run over newly landed change events for one operation.
 
     Each micro-batch is routed to one folder per table; a ledger below the
-    checkpoint makes a replayed batch skip tables it already committed."""
+    checkpoint makes a replayed batch skip tables it already committed.
+    ``routed=True`` reads a landing partitioned by operation and table name."""
     ledger = BatchLedger(spark, path_join(checkpoint, "ledger"))
 
     def batch_fn(batch: DataFrame, batch_id: int) -> None:
@@ -76,7 +78,8 @@ def cdc_to_transient(spark: SparkSession, landing_path: str, transient_root: str
                       skip=ledger.done_parts(batch_id, names),
                       on_written=lambda name: ledger.mark(batch_id, name))
 
-    incremental_foreach(spark, landing_path, ENVELOPE_SCHEMA, path_join(checkpoint, "stream"),
+    schema = ROUTED_ENVELOPE_SCHEMA if routed else ENVELOPE_SCHEMA
+    incremental_foreach(spark, landing_path, schema, path_join(checkpoint, "stream"),
                         batch_fn, max_files_per_trigger=max_files_per_trigger)
 
 

@@ -87,6 +87,11 @@ METADATA_SCHEMA = T.StructType([T.StructField(f.strip(), T.StringType(), True)
 ENVELOPE_SCHEMA = T.StructType([T.StructField("data", T.StringType(), True),
                                 T.StructField("metadata", T.StringType(), True)])
 
+# Optional routed landing layout: the envelope plus two partition columns.
+ROUTE_COLUMNS = ("operation", "table_name")
+ROUTED_ENVELOPE_SCHEMA = T.StructType(list(ENVELOPE_SCHEMA.fields) + [
+    T.StructField(c, T.StringType(), True) for c in ROUTE_COLUMNS])
+
 MATCH_SCHEMA = T.StructType([T.StructField("bid", T.LongType(), True),
                              T.StructField("match_id", T.LongType(), True)])
 

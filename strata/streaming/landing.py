@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.schemas import ENVELOPE_SCHEMA
+from strata.schemas import ENVELOPE_SCHEMA, METADATA_SCHEMA, ROUTE_COLUMNS
 
 # Landing buffer of the delivery stream (flush every 900 s).
 LANDING_TRIGGER = "900 seconds"
@@ -30,6 +30,14 @@ def envelope_from_messages(messages: DataFrame, column: str = "value") -> DataFr
             .select("m.data", "m.metadata"))
 
 
+def routed_envelope(envelope: DataFrame) -> DataFrame:
+    """Envelope plus ``operation`` / ``table_name`` taken from the metadata,
+    for landing partitioned by them.  Undecodable metadata gives NULLs, which
+    land in the default partition and never match an operation."""
+    meta = F.from_json("metadata", METADATA_SCHEMA)
+    return envelope.withColumns({"operation": meta["operation"], "table_name": meta["table-name"]})
+
+
 def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """JSON-lines files as a message stream (column ``value``)."""
     reader = spark.readStream.format("text")
@@ -40,11 +48,19 @@ def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: i
 
 def cdc_land_stream(messages: DataFrame, landing_path: str, checkpoint: str,
                     available_now: bool = False, processing_time: str = LANDING_TRIGGER,
-                    column: str = "value") -> StreamingQuery:
-    """Start the landing query (append mode, Parquet file sink)."""
-    writer = (envelope_from_messages(messages, column).writeStream
-              .format("parquet").outputMode("append")
+                    column: str = "value", routed: bool = False) -> StreamingQuery:
+    """Start the landing query (append mode, Parquet file sink).
+
+    ``routed=True`` partitions the landing by operation and table name; the
+    change-capture jobs then read only their operation's and table's files
+    (partition pruning) instead of decoding every record's metadata."""
+    env = envelope_from_messages(messages, column)
+    if routed:
+        env = routed_envelope(env)
+    writer = (env.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint))
+    if routed:
+        writer = writer.partitionBy(*ROUTE_COLUMNS)
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:

@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from strata.operators.cdc import decode_metadata, metadata_columns
 from strata.plans import jobs as J
 from strata.sinks.files import write_parquet
@@ -58,3 +60,25 @@ def test_cdc_to_transient_incremental(spark, tmp_path):
     J.cdc_to_transient(spark, landing, transient, "insert", ck)
     got = sorted(r.bid for r in spark.read.parquet(transient + "/t_baseid").collect())
     assert got == [1, 2, 3]
+
+
+def test_routed_landing_and_cdc_job_match_unrouted(spark, tmp_path):
+    from strata.plans import fixtures as FX
+    env = FX.fx_cdc(spark, "/root/testdata/sf0.001")
+    msgs = env.select(F.concat(F.lit('{"data":'), F.col("data"), F.lit(',"metadata":'),
+                               F.col("metadata"), F.lit("}")).alias("value"))
+    inbox = str(tmp_path / "inbox")
+    msgs.write.text(inbox)
+    results = {}
+    for routed in (False, True):
+        land, ck, tr = (str(tmp_path / f"{n}{routed}") for n in ("land", "ck", "tr"))
+        LAND.cdc_land_stream(LAND.message_file_stream(spark, inbox), land, ck + "/land",
+                             available_now=True, routed=routed).awaitTermination()
+        J.cdc_to_transient(spark, land, tr, "insert", ck + "/cdc", routed=routed)
+        results[routed] = {t: sorted(map(tuple, spark.read.parquet(f"{tr}/{t}").collect()))
+                           for t in ("t_subscribed_offer", "t_visited_affiliate",
+                                     "t_demographic_tag", "t_demographic_survey")}
+    assert results[False] == results[True]
+    assert sum(len(v) for v in results[True].values()) > 0
+    import os
+    assert os.path.isdir(str(tmp_path / "landTrue" / "operation=insert" / "table_name=T_Demographic_Tag"))
