@@ -26,6 +26,10 @@ hold a third of all rows:
   (possibly giant) cluster into one task.  Giant clusters (and the NULL
   cluster) are split off and joined through a broadcast that holds at most
   ``max_hot_clusters`` rows; the others take a shuffle join.
+* A bid whose rows stay many after de-duplication (many distinct versions)
+  is split by AQE's skew-join handling; the session sets
+  ``spark.sql.adaptive.forceOptimizeSkewedJoin`` so the split also happens
+  where the following distinct reuses the join's partitioning.
 """
 
 from __future__ import annotations

@@ -138,6 +138,10 @@ def customer_tables(spark: SparkSession, demographic: str | DataFrame, baseid: s
     checkpoint, so a lost executor does not force recomputing them -- and the
     six writes read them from there instead of re-deriving them."""
     ensure_checkpoint_dir(spark)
+    # A bid with many distinct versions makes the final join on bid skewed;
+    # let AQE split it even though the distinct after it then needs a shuffle.
+    if spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin", "false") != "true":
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     dem = scan_partition_pruned(spark, demographic, year, month_from, month_to, day_from, day_to)
     bid = scan_partition_pruned(spark, baseid, year, month_from, month_to, day_from, day_to)
     m = scan_match_clusters(spark, match) if isinstance(match, str) else match

@@ -57,3 +57,30 @@ def test_metadata_decode_is_single_pass(spark):
     # one scan of the events table, partial + final aggregate around one exchange
     assert p.count("FileScan") == 1 or p.count("Scan parquet") <= 1
     assert "partial_count" in p
+
+
+def test_hot_bid_join_is_split_by_aqe(spark):
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        hot = spark.range(0, 4000).select(F.lit(1).cast("long").alias("bid"),
+                                          F.col("id").cast("string").alias("phone"))
+        cold = spark.range(2, 8000).select(F.col("id").alias("bid"), F.lit("p").alias("phone"))
+        cols = {"email": "e", "firstname": "f", "lastname": "l", "address1": "a", "city": "c",
+                "state": "s", "zippost": "z"}
+        dem = hot.unionByName(cold).select(
+            "bid", *[F.lit(v).alias(k) for k, v in cols.items()],
+            F.lit(None).cast("string").alias("address2"), F.lit(1).cast("long").alias("zipplus4"), "phone")
+        match = spark.range(1, 8000).select(F.col("id").alias("bid"), (F.col("id") / 3).cast("long").alias("match_id"))
+        df = C.customer(match, dem)
+        assert len(df.collect()) == 4000 + 7998
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
