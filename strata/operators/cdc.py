@@ -134,42 +134,58 @@ def present_tables(decoded: DataFrame, registry: dict[str, TableSpec] | None = N
     return sorted(r["table_name"] for r in rows)
 
 
+def run_concurrently(fn, items, parallelism: int = 1) -> None:
+    """Call ``fn(item)`` for every item, as up to ``parallelism`` concurrent
+    Spark jobs (threads submitting jobs to the one SparkContext)."""
+    items = list(items)
+    if parallelism <= 1 or len(items) <= 1:
+        for it in items:
+            fn(it)
+        return
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        for f in [pool.submit(fn, it) for it in items]:
+            f.result()  # re-raise the first failure
+
+
 def apply_changes(envelope: DataFrame, operation: str, output_root: str,
                   registry: dict[str, TableSpec] | None = None,
                   mode: str = "append", skip: set[str] | None = None,
-                  on_written=None) -> dict[str, str]:
+                  on_written=None, parallelism: int = 4) -> dict[str, str]:
     """Routed multi-table sink for one operation.
 
     Decodes, keeps ``operation`` and registered tables, then writes each
     table's typed rows as Parquet under ``output_root/<route>``.  Returns
     ``{table_name: path}`` of the tables written.  ``skip`` lets a retried
     micro-batch pass over tables it already committed; ``on_written`` is
-    called after each table's write commits.
+    called after each table's write commits.  Up to ``parallelism`` tables
+    are written as concurrent Spark jobs.
     """
     registry = registry or REGISTRY
     if all(c in envelope.columns for c in ROUTE_COLUMNS):
-        return _apply_routed(envelope, operation, output_root, registry, mode, skip, on_written)
+        return _apply_routed(envelope, operation, output_root, registry, mode, skip, on_written,
+                             parallelism)
     decoded = registered(filter_operation(decode_metadata(envelope.select("data", "metadata")),
                                           operation), registry)
     slim = decoded.select("data", META).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        written: dict[str, str] = {}
-        for name in present_tables(slim, registry):
-            if skip and name in skip:
-                continue
-            path = path_join(output_root, route_name(name, operation))
-            decode_typed(slim, registry[name]).write.mode(mode).parquet(path)
-            written[name] = path
+        names = [n for n in present_tables(slim, registry) if not (skip and n in skip)]
+        paths = {n: path_join(output_root, route_name(n, operation)) for n in names}
+
+        def write(name: str) -> None:
+            decode_typed(slim, registry[name]).write.mode(mode).parquet(paths[name])
             if on_written is not None:
                 on_written(name)
-        return written
+
+        run_concurrently(write, names, parallelism)
+        return paths
     finally:
         slim.unpersist()
 
 
 def _apply_routed(envelope: DataFrame, operation: str, output_root: str,
                   registry: dict[str, TableSpec], mode: str, skip: set[str] | None,
-                  on_written) -> dict[str, str]:
+                  on_written, parallelism: int = 4) -> dict[str, str]:
     """Routed sink over a landing partitioned by (operation, table_name).
 
     Each table's write reads only its own partition, so nothing is cached and
@@ -179,15 +195,15 @@ def _apply_routed(envelope: DataFrame, operation: str, output_root: str,
     names = sorted(r["table_name"] for r in
                    env.select("table_name").where(F.col("table_name").isin(sorted(registry)))
                    .distinct().collect())  # bounded by the registry size
-    written: dict[str, str] = {}
-    for name in names:
-        if skip and name in skip:
-            continue
+    names = [n for n in names if not (skip and n in skip)]
+    paths = {n: path_join(output_root, route_name(n, operation)) for n in names}
+
+    def write(name: str) -> None:
         rows = env.where(F.col("table_name") == F.lit(name)).select("data", "metadata")
-        path = path_join(output_root, route_name(name, operation))
         decoded = filter_operation(decode_metadata(rows), operation)
-        decode_typed(decoded, registry[name]).write.mode(mode).parquet(path)
-        written[name] = path
+        decode_typed(decoded, registry[name]).write.mode(mode).parquet(paths[name])
         if on_written is not None:
             on_written(name)
-    return written
+
+    run_concurrently(write, names, parallelism)
+    return paths

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from strata.operators.audit import audit_columns
-from strata.operators.cdc import apply_changes, route_name
+from strata.operators.cdc import apply_changes, route_name, run_concurrently
 from strata.operators.customer import customer_star
 from strata.schemas import (ENVELOPE_SCHEMA, PARTITION_KEYS, REGISTRY, ROUTED_ENVELOPE_SCHEMA,
                             UPDATE_HISTORY_TABLES, TableSpec)
@@ -33,7 +33,8 @@ from strata.streaming.incremental import BatchLedger, incremental_foreach
 
 
 def full_load_snapshot(spark: SparkSession, database: str, raw_root: str,
-                       pattern: str = "%", mode: str = "overwrite") -> dict[str, str]:
+                       pattern: str = "%", mode: str = "overwrite",
+                       parallelism: int = 4) -> dict[str, str]:
     """Write every table of ``database`` matching ``pattern`` as pipe-CSV under
     ``raw_root/<database>/<table>``.
 
@@ -41,13 +42,17 @@ def full_load_snapshot(spark: SparkSession, database: str, raw_root: str,
     registered with ``CREATE TABLE t USING jdbc OPTIONS (url ...,
     partitionColumn ..., numPartitions ...)`` so the read is parallel.
     Each table is one distributed read and write; nothing passes the driver.
+    Up to ``parallelism`` tables are written as concurrent Spark jobs, so
+    small tables do not leave the cluster idle.
     """
-    out = {}
-    for name in select_tables(spark, database, pattern):
-        path = path_join(raw_root, database, name)
-        write_csv_pipe(spark.table(f"`{database}`.`{name}`"), path, mode=mode)
-        out[name] = path
-    return out
+    names = select_tables(spark, database, pattern)
+    paths = {name: path_join(raw_root, database, name) for name in names}
+
+    def write(name: str) -> None:
+        write_csv_pipe(spark.table(f"`{database}`.`{name}`"), paths[name], mode=mode)
+
+    run_concurrently(write, names, parallelism)
+    return paths
 
 
 def raw_to_transient(spark: SparkSession, raw_path: str, transient_path: str,
