@@ -6,6 +6,7 @@
   partitioned folders get their partitions recovered.
 * ``register_folder_tables`` -- one table per sub-folder of a zone prefix
   (what a crawler does), with an optional name prefix.
+* ``evolve_table``     -- schema-change policy: append new columns.
 * ``select_tables``    -- table-selection rule: database + LIKE pattern.
 * ``zone_sql``         -- ad-hoc SQL over registered tables, result
   optionally stored as Parquet.
@@ -76,6 +77,20 @@ def register_table(spark: SparkSession, zone: str, name: str, path: str | None,
     return f"{zone}.{name}"
 
 
+def evolve_table(spark: SparkSession, zone: str, name: str, batch_schema: T.StructType) -> list[str]:
+    """Schema-change policy for a registered table: columns the batch brings
+    that the table lacks are appended (``ALTER TABLE ... ADD COLUMNS``);
+    existing columns keep their registered type (batches are conformed to it
+    with ``operators.schema_ops.conform_to_schema``).  Returns the added names."""
+    full = f"{_ident(zone)}.{_ident(name)}"
+    known = {f.name.lower() for f in spark.table(full).schema.fields}
+    new = [f for f in batch_schema.fields if f.name.lower() not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {full} ADD COLUMNS (" + ", ".join(
+            f"{_ident(f.name)} {f.dataType.simpleString()}" for f in new) + ")")
+    return [f.name for f in new]
+
+
 def scan_catalog_table(spark: SparkSession, zone: str, name: str) -> DataFrame:
     """All columns of a named catalog table."""
     return spark.table(f"{_ident(zone)}.{_ident(name)}")

@@ -79,3 +79,31 @@ def test_match_clusters_typed(spark, tmp_path):
     p.write_text("bid,match_id\n1,10\nx,11\n")
     rows = SRC.scan_match_clusters(spark, str(p)).collect()
     assert [(r.bid, r.match_id) for r in rows] == [(1, 10), (None, 11)]
+
+
+def test_crawl_csv_folders_with_inference(spark, tmp_path):
+    root = tmp_path / "raw"
+    write_csv_pipe(spark.createDataFrame([(1, "a", 2.5)], "id int, s string, x double"), str(root / "t_one"))
+    write_csv_pipe(spark.createDataFrame([(7, "b")], "k int, v string"), str(root / "t_two"))
+    names = CAT.register_folder_tables(spark, "raw_zone_t", str(root), fmt="csv",
+                                       options={"inferSchema": "true"})
+    assert names == ["raw_zone_t.t_one", "raw_zone_t.t_two"]
+    t = CAT.scan_catalog_table(spark, "raw_zone_t", "t_one")
+    assert t.schema.simpleString() == "struct<id:int,s:string,x:double>"
+    assert [tuple(r) for r in t.collect()] == [(1, "a", 2.5)]
+
+
+def test_evolve_table_appends_new_columns(spark, tmp_path):
+    p = str(tmp_path / "ev")
+    write_parquet(spark.createDataFrame([(1, "a")], "id long, s string"), p)
+    CAT.create_zone(spark, "evo_zone")
+    CAT.register_table(spark, "evo_zone", "t", p)
+    batch = spark.createDataFrame([("2", "b", 9.5)], "id string, s string, extra double")
+    added = CAT.evolve_table(spark, "evo_zone", "t", batch.schema)
+    assert added == ["extra"]
+    conformed = SO.conform_to_schema(batch, spark.table("evo_zone.t").schema)
+    conformed.write.mode("append").parquet(p)
+    spark.sql("REFRESH TABLE evo_zone.t")
+    rows = sorted(tuple(r) for r in spark.table("evo_zone.t").collect())
+    assert rows == [(1, "a", None), (2, "b", 9.5)]
+    assert CAT.evolve_table(spark, "evo_zone", "t", batch.schema) == []
