@@ -79,3 +79,33 @@ def test_encode_decode_round_trip(spark, rows):
            .select("id", "bid", "solddate", "revenue").collect()]
     want = [(rid, bid, sold, None if rev is None else float(rev)) for rid, bid, sold, rev, _ in rows]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def brute_dimensions(match, base, dem):
+    mb = {b for b, _ in match if b is not None}
+    bb = {b for b, _ in base if b is not None}
+    emails = {(h(low(e)), e) for b, e in base if b in mb}
+    rows = [d for d in dem if d[0] in mb and d[0] in bb]
+    addr = {(keys(d)[2], *d[4:10]) for d in rows}
+    name = {(keys(d)[1], d[2], d[3]) for d in rows}
+    phone = {(keys(d)[3], d[10]) for d in rows}
+    demb = {d[0] for d in dem}
+    xref = sorted((h(str(b)), b) for b, m in set(match) if b is not None and b in demb)
+    return emails, addr, name, phone, xref
+
+
+base_row = st.tuples(st.one_of(st.none(), st.integers(0, 7)), text)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(match_row, max_size=12), st.lists(base_row, max_size=10), st.lists(dem_row, max_size=12))
+def test_dimensions_match_brute_force(spark, match, base, dem):
+    m = spark.createDataFrame(match, "bid long, match_id long")
+    b = spark.createDataFrame(base, "bid long, email string")
+    d = spark.createDataFrame(dem, DEM)
+    emails, addr, name, phone, xref = brute_dimensions(match, base, dem)
+    assert {tuple(r) for r in C.customer_email(m, b).collect()} == emails
+    assert {tuple(r) for r in C.customer_address(m, b, d).collect()} == addr
+    assert {tuple(r) for r in C.customer_name(m, b, d).collect()} == name
+    assert {tuple(r) for r in C.customer_phone(m, b, d).collect()} == phone
+    assert sorted(tuple(r) for r in C.customer_xref(m, d).collect()) == xref
