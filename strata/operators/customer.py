@@ -104,10 +104,13 @@ def customer_phone(match: DataFrame, baseid: DataFrame, demographic: DataFrame,
 
 def present_members(match: DataFrame, demographic: DataFrame,
                     dem_bids: DataFrame | None = None) -> DataFrame:
-    """Cluster memberships (bid, match_id) whose bid has a demographic row."""
+    """Distinct cluster memberships (bid, match_id) whose bid has a demographic row.
+
+    The distinct runs after the semi join and reuses its ``bid`` partitioning
+    (no extra exchange); copies of a membership collapse there."""
     if dem_bids is None:
         dem_bids = distinct_bids(demographic)
-    return match.select("bid", "match_id").join(dem_bids, "bid", "left_semi")
+    return match.select("bid", "match_id").join(dem_bids, "bid", "left_semi").distinct()
 
 
 def customer_xref(match: DataFrame, demographic: DataFrame,
@@ -118,7 +121,7 @@ def customer_xref(match: DataFrame, demographic: DataFrame,
     the semi join, whose output is already hash-partitioned on ``bid``, so it
     adds no shuffle.
     """
-    members = present_members(match, demographic, dem_bids).distinct()
+    members = present_members(match, demographic, dem_bids)
     return members.select(entity_key("bid").alias("customer_id"), "bid")
 
 
@@ -129,18 +132,24 @@ def parent_link(match: DataFrame, demographic: DataFrame, max_hot_clusters: int
 
     Clusters holding a large share of the members (see ``operators.skew``)
     are joined back through a size-bounded broadcast, the rest by shuffle."""
-    members = present_members(match, demographic, dem_bids)
-    heads = (members.groupBy("match_id")
+    # NULL match_id is one cluster.  An explicit (value, is-null) key makes the
+    # heads aggregate partitioned exactly like the join needs, so the head side
+    # is not shuffled a second time for a null-safe comparison.
+    members = present_members(match, demographic, dem_bids).withColumns(
+        {"mkey": F.coalesce(F.col("match_id"), F.lit(0).cast("long")),
+         "mnull": F.col("match_id").isNull()})
+    heads = (members.groupBy("mkey", "mnull")
              .agg(F.min("bid").alias("head_bid"), F.count(F.lit(1)).alias("members"))
-             .withColumnRenamed("match_id", "head_match_id"))
+             .withColumnsRenamed({"mkey": "h_mkey", "mnull": "h_mnull"}))
     # Members are a subset of the match rows, so the match row count bounds the
     # per-cluster counts' sum (and is answered from Parquet footers).
-    linked = lookup_join_split_hot(members, heads, "match_id", "head_match_id", "members",
-                                   max_hot_keys=max_hot_clusters, min_hot_rows=min_hot_rows,
+    linked = lookup_join_split_hot(members, heads, ["mkey", "mnull"], ["h_mkey", "h_mnull"],
+                                   "members", max_hot_keys=max_hot_clusters,
+                                   min_hot_rows=min_hot_rows, null_safe=False,
                                    total_rows=match.count())
-    return (linked.select("bid", "match_id",
-                          F.nullif(F.col("head_bid"), F.col("bid")).alias("parent_bid"))
-            .distinct())
+    # members are distinct per (bid, match_id), so the result needs no distinct
+    return linked.select("bid", "match_id",
+                         F.nullif(F.col("head_bid"), F.col("bid")).alias("parent_bid"))
 
 
 def demographic_keys(demographic: DataFrame) -> DataFrame:

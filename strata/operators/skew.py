@@ -35,21 +35,28 @@ def hot_key_threshold(lookup: DataFrame, rows_col: str, max_hot_keys: int,
     return max(int(min_hot_rows), int(total_rows) // int(max_hot_keys))
 
 
-def lookup_join_split_hot(big: DataFrame, lookup: DataFrame, big_key: str, lookup_key: str,
-                          rows_col: str, max_hot_keys: int = 1000,
+def lookup_join_split_hot(big: DataFrame, lookup: DataFrame, big_key: str | list[str],
+                          lookup_key: str | list[str], rows_col: str, max_hot_keys: int = 1000,
                           min_hot_rows: int = 1_000_000, null_safe: bool = True,
                           total_rows: int | None = None) -> DataFrame:
-    """Inner join ``big`` x ``lookup`` on ``big_key`` = ``lookup_key`` (null-safe
-    by default), result columns of both sides minus ``rows_col``."""
+    """Inner join ``big`` x ``lookup`` on ``big_key`` = ``lookup_key`` (one
+    column or a list; null-safe by default), result columns of both sides
+    minus ``rows_col``."""
+    big_keys = [big_key] if isinstance(big_key, str) else list(big_key)
+    lookup_keys = [lookup_key] if isinstance(lookup_key, str) else list(lookup_key)
     threshold = hot_key_threshold(lookup, rows_col, max_hot_keys, min_hot_rows, total_rows)
     hot = lookup.where(F.col(rows_col) > threshold).drop(rows_col)  # <= max_hot_keys rows
     cold = lookup.where(F.col(rows_col) <= threshold).drop(rows_col)
 
     def cond():
-        left, right = F.col(big_key), F.col(lookup_key)
-        return left.eqNullSafe(right) if null_safe else left == right
+        out = None
+        for lk, rk in zip(big_keys, lookup_keys):
+            left, right = F.col(lk), F.col(rk)
+            c = left.eqNullSafe(right) if null_safe else left == right
+            out = c if out is None else out & c
+        return out
 
     hot_part = big.join(F.broadcast(hot), cond(), "inner")
-    cold_big = big.join(F.broadcast(hot.select(lookup_key)), cond(), "left_anti")
+    cold_big = big.join(F.broadcast(hot.select(*lookup_keys)), cond(), "left_anti")
     cold_part = cold_big.join(cold, cond(), "inner")
     return hot_part.unionByName(cold_part)
