@@ -77,22 +77,47 @@ class BatchLedger:
 
     ``foreachBatch`` is at-least-once; each part's write is atomic through
     the output committer, so marking a part only after its write commits
-    makes the replay idempotent at part granularity."""
+    makes the replay idempotent at part granularity.
+
+    Markers are empty files created through the Hadoop filesystem API.  Where
+    the JVM is not reachable from Python (Spark Connect), they are rows of a
+    small Parquet table in the same folder, written by Spark itself."""
 
     def __init__(self, spark: SparkSession, root: str):
-        sc = spark.sparkContext
+        self._spark = spark
         self._root = root.rstrip("/")
-        self._path = sc._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self._root).getFileSystem(sc._jsc.hadoopConfiguration())
+        self._fs = None
+        try:
+            sc = spark.sparkContext
+            self._path = sc._jvm.org.apache.hadoop.fs.Path
+            self._fs = self._path(self._root).getFileSystem(sc._jsc.hadoopConfiguration())
+        except Exception:  # no JVM gateway: Spark Connect
+            self._fs = None
 
     def _marker(self, batch_id: int, part: str):
         return self._path(f"{self._root}/{int(batch_id)}/{part}")
 
+    def _table(self) -> str:
+        return f"{self._root}/_markers"
+
     def done(self, batch_id: int, part: str) -> bool:
-        return bool(self._fs.exists(self._marker(batch_id, part)))
+        return part in self.done_parts(batch_id, [part])
 
     def done_parts(self, batch_id: int, parts) -> set[str]:
-        return {p for p in parts if self.done(batch_id, p)}
+        parts = list(parts)
+        if self._fs is not None:
+            return {p for p in parts if self._fs.exists(self._marker(batch_id, p))}
+        try:
+            rows = (self._spark.read.parquet(self._table())
+                    .where(f"batch_id = {int(batch_id)}").select("part").collect())
+        except Exception:  # no marker table yet
+            return set()
+        seen = {r["part"] for r in rows}
+        return {p for p in parts if p in seen}
 
     def mark(self, batch_id: int, part: str) -> None:
-        self._fs.create(self._marker(batch_id, part), True).close()
+        if self._fs is not None:
+            self._fs.create(self._marker(batch_id, part), True).close()
+            return
+        (self._spark.createDataFrame([(int(batch_id), part)], "batch_id long, part string")
+         .write.mode("append").parquet(self._table()))

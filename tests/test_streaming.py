@@ -82,3 +82,12 @@ def test_routed_landing_and_cdc_job_match_unrouted(spark, tmp_path):
     assert sum(len(v) for v in results[True].values()) > 0
     import os
     assert os.path.isdir(str(tmp_path / "landTrue" / "operation=insert" / "table_name=T_Demographic_Tag"))
+
+
+def test_ledger_table_fallback(spark, tmp_path):
+    ledger = INC.BatchLedger(spark, str(tmp_path / "ledger"))
+    ledger._fs = None  # the path taken when no JVM gateway is reachable
+    assert ledger.done_parts(3, ["a", "b"]) == set()
+    ledger.mark(3, "a")
+    ledger.mark(4, "b")
+    assert ledger.done_parts(3, ["a", "b"]) == {"a"} and ledger.done(4, "b")
