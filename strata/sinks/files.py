@@ -30,8 +30,11 @@ def write_parquet(df: DataFrame, path: str, mode: str = "append",
         # An explicit count: AQE would otherwise coalesce a keyed repartition
         # of a small input into one task that writes every folder serially.
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartition(max(n, df.sparkSession.sparkContext.defaultParallelism),
-                            *[F.col(c) for c in partition_by], salt)
+        try:
+            n = max(n, df.sparkSession.sparkContext.defaultParallelism)
+        except Exception:  # Spark Connect: no SparkContext on the client
+            pass
+        df = df.repartition(n, *[F.col(c) for c in partition_by], salt)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
