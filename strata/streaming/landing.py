@@ -20,8 +20,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.schemas import ENVELOPE_SCHEMA, METADATA_SCHEMA, ROUTE_COLUMNS
 
-# Landing buffer of the delivery stream (flush every 900 s).
+# Landing buffer of the delivery stream -- flush every 900 s or
+# every 128 MB, whichever comes first.
 LANDING_TRIGGER = "900 seconds"
+LANDING_MAX_BYTES = 128 * 1024 * 1024
 
 
 def envelope_from_messages(messages: DataFrame, column: str = "value") -> DataFrame:
@@ -38,11 +40,18 @@ def routed_envelope(envelope: DataFrame) -> DataFrame:
     return envelope.withColumns({"operation": meta["operation"], "table_name": meta["table-name"]})
 
 
-def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """JSON-lines files as a message stream (column ``value``)."""
+def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                        max_bytes_per_trigger: int | None = LANDING_MAX_BYTES) -> DataFrame:
+    """JSON-lines files as a message stream (column ``value``).
+
+    A micro-batch takes at most ``max_bytes_per_trigger`` bytes of new files
+    (the landing buffer size); ``max_files_per_trigger`` replaces it when set.
+    For a Kafka source the equivalent is ``maxOffsetsPerTrigger``."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return reader.load(path)
 
 

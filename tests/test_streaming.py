@@ -91,3 +91,15 @@ def test_ledger_table_fallback(spark, tmp_path):
     ledger.mark(3, "a")
     ledger.mark(4, "b")
     assert ledger.done_parts(3, ["a", "b"]) == {"a"} and ledger.done(4, "b")
+
+
+def test_byte_capped_batches_each_row_once(spark, tmp_path):
+    src, dst, ck = (str(tmp_path / n) for n in ("src", "dst", "ck"))
+    for lo in range(0, 50, 10):
+        write_parquet(spark.range(lo, lo + 10).coalesce(1), src)
+    INC.incremental_copy(spark, src, spark.range(1).schema, dst, ck, max_bytes_per_trigger=1)
+    out = spark.read.parquet(dst)
+    assert out.count() == 50 and out.distinct().count() == 50
+    import os
+    commits = os.listdir(os.path.join(ck, "commits"))
+    assert len([c for c in commits if c.isdigit()]) == 5  # one file per micro-batch
