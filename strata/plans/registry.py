@@ -558,22 +558,16 @@ select op as operation, tbl as table_name, {_CHANGE_TS} as change_ts, {_DATA_BID
 from c
 """)
 def q_cdc_land_stream(spark, sf_dir):
-    env = FX.fx_cdc(spark, sf_dir)
-    msgs = env.select(F.concat(F.lit('{"data":'), F.col("data"), F.lit(',"metadata":'),
-                               F.col("metadata"), F.lit("}")).alias("value"),
-                      F.get_json_object("metadata", "$.timestamp").alias("t"))
     root = scratch_path(spark, "stream")
     inbox, landing, ck = (path_join(root, p) for p in ("inbox", "landing", "_checkpoint"))
-    lo = None
-    for b in _EVENT_BOUNDS + (None,):
-        part = msgs
-        if lo is not None:
-            part = part.where(F.col("t") >= lo)
-        part = part.where(F.col("t") < b) if b is not None else part.where((F.col("t") >= lo) | F.col("t").isNull())
-        part.select("value").write.mode("append").text(inbox)
+    # Messages arrive in three time slices; each landing run takes what is new.
+    for part in _time_slices(FX.fx_cdc_base(spark, sf_dir), "ts", _EVENT_BOUNDS):
+        env = spark.sql(FX.FX_CDC, fx_cdc_base=part)
+        msgs = env.select(F.concat(F.lit('{"data":'), F.col("data"), F.lit(',"metadata":'),
+                                   F.col("metadata"), F.lit("}")).alias("value"))
+        msgs.write.mode("append").text(inbox)
         LAND.cdc_land_stream(LAND.message_file_stream(spark, inbox), landing, ck,
                              available_now=True).awaitTermination()
-        lo = b
     return _flat(CDC.decode_metadata(spark.read.parquet(landing)), "data_bid")
 
 
