@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from strata.operators.audit import audit_columns
 from strata.operators.cdc import apply_changes, route_name, run_concurrently
 from strata.operators.customer import customer_star
-from strata.schemas import (ENVELOPE_SCHEMA, PARTITION_KEYS, REGISTRY, ROUTED_ENVELOPE_SCHEMA,
+from strata.schemas import (ENVELOPE_SCHEMA, REGISTRY, ROUTED_ENVELOPE_SCHEMA,
                             UPDATE_HISTORY_TABLES, TableSpec)
 from strata.session import ensure_checkpoint_dir, path_join
 from strata.sinks.files import write_csv_pipe, write_parquet, write_refined
@@ -160,4 +160,4 @@ def customer_tables(spark: SparkSession, demographic: str | DataFrame, baseid: s
 
 
 __all__ = ["full_load_snapshot", "raw_to_transient", "cdc_to_transient", "transient_to_refined",
-           "update_history_to_refined", "customer_tables", "PARTITION_KEYS"]
+           "update_history_to_refined", "customer_tables"]

@@ -1,5 +1,4 @@
 """End-to-end runs of the job functions on small inputs."""
-from pyspark.sql import functions as F
 
 from strata.operators.audit import audit_columns
 from strata.plans import fixtures as FX

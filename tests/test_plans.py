@@ -1,5 +1,4 @@
 """Plan-shape checks: the properties the operators rely on at scale."""
-import json
 
 from pyspark.sql import functions as F
 
