@@ -103,3 +103,37 @@ def test_byte_capped_batches_each_row_once(spark, tmp_path):
     import os
     commits = os.listdir(os.path.join(ck, "commits"))
     assert len([c for c in commits if c.isdigit()]) == 5  # one file per micro-batch
+
+
+def test_failed_batch_replay_writes_each_table_once(spark, tmp_path, monkeypatch):
+    landing, transient, ck = (str(tmp_path / n) for n in ("landing", "transient", "ck"))
+    rows = []
+    for b in range(6):
+        rows.append((json.dumps({"bid": str(b), "email": f"e{b}"}),
+                     json.dumps({"operation": "insert", "table-name": "T_BaseID"})))
+        rows.append((json.dumps({"bid": str(b), "tagaid": "1"}),
+                     json.dumps({"operation": "insert", "table-name": "T_Demographic_Tag"})))
+    write_parquet(spark.createDataFrame(rows, "data string, metadata string"), landing)
+
+    real_apply = J.apply_changes
+    calls = {"n": 0}
+
+    def crash_after_first_table(*args, **kwargs):
+        calls["n"] += 1
+        if calls["n"] == 1:  # first attempt: the process dies after one table committed
+            mark = kwargs["on_written"]
+
+            def mark_then_die(name):
+                mark(name)
+                raise RuntimeError("simulated failure after " + name)
+            kwargs = {**kwargs, "on_written": mark_then_die, "parallelism": 1}
+        return real_apply(*args, **kwargs)
+
+    monkeypatch.setattr(J, "apply_changes", crash_after_first_table)
+    import pytest
+    with pytest.raises(Exception):
+        J.cdc_to_transient(spark, landing, transient, "insert", ck)
+    J.cdc_to_transient(spark, landing, transient, "insert", ck)  # replays batch 0
+    for table in ("t_baseid", "t_demographic_tag"):
+        got = sorted(r.bid for r in spark.read.parquet(f"{transient}/{table}").collect())
+        assert got == list(range(6)), table
