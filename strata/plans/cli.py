@@ -43,6 +43,14 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--transient-path", required=True)
     p.add_argument("--table", help="registry table whose schema types the CSV (else inferred)")
 
+    p = sub.add_parser("land-stream", help="JSON message files -> landed (data, metadata) Parquet")
+    p.add_argument("--inbox", required=True, help="folder receiving JSON-lines message files")
+    p.add_argument("--landing", required=True)
+    p.add_argument("--checkpoint", required=True)
+    p.add_argument("--routed", action="store_true", help="partition by operation/table")
+    p.add_argument("--available-now", action="store_true",
+                   help="process what is there and stop (else flush every 900 s)")
+
     p = sub.add_parser("cdc-to-transient", help="landed change events -> transient tables")
     p.add_argument("--landing", required=True)
     p.add_argument("--transient-root", required=True)
@@ -85,6 +93,13 @@ def run(args: argparse.Namespace, spark) -> object:
         schema = REGISTRY[args.table].typed_schema if args.table else None
         J.raw_to_transient(spark, args.raw_path, args.transient_path, schema=schema)
         return args.transient_path
+    if args.job == "land-stream":
+        from strata.streaming import landing as LAND
+        q = LAND.cdc_land_stream(LAND.message_file_stream(spark, args.inbox), args.landing,
+                                 args.checkpoint, available_now=args.available_now,
+                                 routed=args.routed)
+        q.awaitTermination()
+        return args.landing
     if args.job == "cdc-to-transient":
         return J.cdc_to_transient(spark, args.landing, args.transient_root, args.operation,
                                   args.checkpoint, routed=args.routed,

@@ -24,3 +24,16 @@ def test_cli_rejects_unknown_operation():
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["cdc-to-transient", "--landing", "x", "--transient-root", "y",
                                  "--operation", "delete", "--checkpoint", "z"])
+
+
+def test_cli_land_then_cdc(spark, tmp_path):
+    import json
+    inbox, land, tr = (str(tmp_path / n) for n in ("inbox", "land", "tr"))
+    msgs = [json.dumps({"data": {"bid": str(b), "email": "x"},
+                        "metadata": {"operation": "insert", "table-name": "T_BaseID"}}) for b in range(4)]
+    spark.createDataFrame([(m,) for m in msgs], "value string").write.text(inbox)
+    cli.main(["land-stream", "--inbox", inbox, "--landing", land, "--checkpoint",
+              str(tmp_path / "ck1"), "--available-now", "--routed"], spark=spark)
+    cli.main(["cdc-to-transient", "--landing", land, "--transient-root", tr, "--operation", "insert",
+              "--checkpoint", str(tmp_path / "ck2"), "--routed"], spark=spark)
+    assert sorted(r.bid for r in spark.read.parquet(tr + "/t_baseid").collect()) == [0, 1, 2, 3]
