@@ -9,8 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import keys as K
+from strata.operators import cdc as CDC
 from strata.operators import customer as C
+from strata.operators import schema_ops as SO
+from strata.operators.audit import audit_columns
 from strata.plans import fixtures as FX
+from strata.plans import jobs as J
+from strata.schemas import REGISTRY, table_spec
+from strata.session import ensure_checkpoint_dir, path_join, scratch_path
+from strata.sinks.files import write_csv_pipe, write_parquet
+from strata.sources import catalog as CAT
+from strata.sources import files as SRC
+from strata.streaming import incremental as INC
+from strata.streaming import landing as LAND
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -157,9 +168,6 @@ def q_key_composite(spark, sf_dir):
 
 # --------------------------------------------------------------------------- change capture
 
-from strata.operators import cdc as CDC  # noqa: E402
-from strata.schemas import REGISTRY  # noqa: E402
-from strata.session import ensure_checkpoint_dir, path_join, scratch_path  # noqa: E402
 
 _CDC_CTE = _with(c=FX.FX_CDC_BASE)
 _REGISTERED = ", ".join(f"'{t}'" for t in sorted(REGISTRY))
@@ -315,23 +323,15 @@ def q_cdc_cutover(spark, sf_dir):
 
 # --------------------------------------------------------------------------- audit, refined, pruned scans
 
-from strata.operators.audit import audit_columns  # noqa: E402
-from strata.plans import jobs as J  # noqa: E402
-from strata.sinks.files import write_csv_pipe, write_parquet  # noqa: E402
-from strata.sources import catalog as CAT  # noqa: E402
-from strata.sources import files as SRC  # noqa: E402
-from strata.operators import schema_ops as SO  # noqa: E402
-from strata.streaming import incremental as INC  # noqa: E402
-from strata.streaming import landing as LAND  # noqa: E402
 
 # Fixed parameters of the audit-column queries (a pinned load time keeps them reproducible).
 AS_OF = "2024-03-05 06:07:08"
 AUDIT_ARGS = ("etl_role", "refine_job", "db_name")
 
 
-def _audit_sql(prefix: str = "") -> str:
+def _audit_sql() -> str:
     user, process, source = AUDIT_ARGS
-    return (f"date '2024-03-05' as {prefix}created_date, timestamp '{AS_OF}' as created_timestamp, "
+    return (f"date '2024-03-05' as created_date, timestamp '{AS_OF}' as created_timestamp, "
             f"'{user}' as create_user, '{process}' as create_process, '{source}' as first_source, "
             "cast(2024 as integer) as create_year, cast(3 as integer) as create_month, "
             "cast(5 as integer) as create_date")
@@ -517,7 +517,6 @@ def q_conform_to_schema(spark, sf_dir):
 
 @register("union_full_load_and_cdc", "select * from customer")
 def q_union_full_load_and_cdc(spark, sf_dir):
-    from strata.schemas import table_spec
     spec = table_spec("T_Customer", "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment",
                       "c_custkey long, c_nationkey int, c_acctbal double")
     cust = FX.read_table(spark, sf_dir, "customer")
