@@ -84,6 +84,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             path = None
     if path is None:
+        master = _conf(spark, "spark.master") or ""
+        if master and not master.startswith("local"):
+            # A driver-local folder is invisible to executors on other hosts.
+            raise RuntimeError("spark.checkpoint.dir is not set; on a cluster it must name a "
+                               "shared folder (e.g. on the object store)")
         path = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None:

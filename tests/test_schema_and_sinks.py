@@ -107,3 +107,9 @@ def test_evolve_table_appends_new_columns(spark, tmp_path):
     rows = sorted(tuple(r) for r in spark.table("evo_zone.t").collect())
     assert rows == [(1, "a", None), (2, "b", 9.5)]
     assert CAT.evolve_table(spark, "evo_zone", "t", batch.schema) == []
+
+
+def test_checkpoint_dir_comes_from_session(spark):
+    from strata.session import ensure_checkpoint_dir, scratch_path
+    root = ensure_checkpoint_dir(spark)
+    assert root and scratch_path(spark, "x").startswith(root + "/strata-scratch/")
