@@ -137,3 +137,24 @@ def test_failed_batch_replay_writes_each_table_once(spark, tmp_path, monkeypatch
     for table in ("t_baseid", "t_demographic_tag"):
         got = sorted(r.bid for r in spark.read.parquet(f"{transient}/{table}").collect())
         assert got == list(range(6)), table
+
+
+def test_refined_replay_after_commit_failure(spark, tmp_path, monkeypatch):
+    src, dst, ck = (str(tmp_path / n) for n in ("transient", "refined", "ck"))
+    write_parquet(spark.range(20), src)
+    real_mark = INC.BatchLedger.mark
+    state = {"failed": False}
+
+    def mark_then_die(self, batch_id, part):
+        real_mark(self, batch_id, part)
+        if not state["failed"]:  # the write and its marker committed, then the driver dies
+            state["failed"] = True
+            raise RuntimeError("simulated driver failure")
+
+    monkeypatch.setattr(INC.BatchLedger, "mark", mark_then_die)
+    import pytest
+    with pytest.raises(Exception):
+        J.transient_to_refined(spark, src, dst, ck, "u", "p", "s", as_of="2024-01-02 00:00:00")
+    J.transient_to_refined(spark, src, dst, ck, "u", "p", "s", as_of="2024-01-02 00:00:00")
+    out = spark.read.parquet(dst)
+    assert out.count() == 20 and out.select("id").distinct().count() == 20
