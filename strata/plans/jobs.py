@@ -95,7 +95,8 @@ def transient_to_refined(spark: SparkSession, transient_path: str, refined_path:
                          max_files_per_trigger: int | None = None) -> None:
     """Incremental run: new transient files + audit columns -> refined,
     partitioned by create_year/create_month/create_date."""
-    schema = schema or spark.read.parquet(transient_path).schema  # footers only
+    # Footers only; merged, so columns appended by schema evolution are kept.
+    schema = schema or spark.read.option("mergeSchema", "true").parquet(transient_path).schema
     ledger = BatchLedger(spark, path_join(checkpoint, "ledger"))
 
     def batch_fn(batch: DataFrame, batch_id: int) -> None:
@@ -119,7 +120,7 @@ def update_history_to_refined(spark: SparkSession, transient_root: str, refined_
         folder = route_name(table, "update")
         src = path_join(transient_root, folder)
         try:
-            schema = spark.read.parquet(src).schema
+            schema = spark.read.option("mergeSchema", "true").parquet(src).schema
         except Exception:  # folder not there yet: no updates for this table
             continue
         dst = path_join(refined_root, folder)

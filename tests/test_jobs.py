@@ -64,3 +64,12 @@ def test_update_history_only_existing_tables(spark, tmp_path):
     assert list(out) == ["T_Demographic_Tag"]
     r = spark.read.parquet(out["T_Demographic_Tag"]).collect()[0]
     assert (r.bid, r.create_date) == (1, 3)
+
+
+def test_refined_keeps_evolved_columns(spark, tmp_path):
+    tr, rf = str(tmp_path / "tr"), str(tmp_path / "rf")
+    spark.createDataFrame([(1, "a")], "id long, s string").write.parquet(tr)
+    spark.createDataFrame([(2, "b", 3.5)], "id long, s string, extra double").write.mode("append").parquet(tr)
+    J.transient_to_refined(spark, tr, rf, str(tmp_path / "ck"), "u", "p", "s", as_of="2024-01-01 00:00:00")
+    rows = sorted((r.id, r.s, r.extra) for r in spark.read.parquet(rf).collect())
+    assert rows == [(1, "a", None), (2, "b", 3.5)]
