@@ -106,11 +106,13 @@ def present_members(match: DataFrame, demographic: DataFrame,
                     dem_bids: DataFrame | None = None) -> DataFrame:
     """Distinct cluster memberships (bid, match_id) whose bid has a demographic row.
 
-    The distinct runs after the semi join and reuses its ``bid`` partitioning
-    (no extra exchange); copies of a membership collapse there."""
+    The distinct runs before the shuffle on ``bid`` (partial aggregation), so
+    even a membership copied into a large share of the match rows reaches
+    the semi join as one row per map task.  The match table is small next to
+    the demographic one, so the extra exchange is cheap."""
     if dem_bids is None:
         dem_bids = distinct_bids(demographic)
-    return match.select("bid", "match_id").join(dem_bids, "bid", "left_semi").distinct()
+    return match.select("bid", "match_id").distinct().join(dem_bids, "bid", "left_semi")
 
 
 def customer_xref(match: DataFrame, demographic: DataFrame,
