@@ -58,11 +58,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--routed", action="store_true", help="landing partitioned by operation/table")
     p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--max-bytes-per-trigger", type=int)
 
     p = sub.add_parser("transient-to-refined", help="transient -> refined with audit columns")
     p.add_argument("--transient-path", required=True)
     p.add_argument("--refined-path", required=True)
     p.add_argument("--checkpoint", required=True)
+    p.add_argument("--max-bytes-per-trigger", type=int)
     _audit(p)
 
     p = sub.add_parser("update-history-to-refined", help="*_cdc_update tables -> refined")
@@ -103,11 +105,13 @@ def run(args: argparse.Namespace, spark) -> object:
     if args.job == "cdc-to-transient":
         return J.cdc_to_transient(spark, args.landing, args.transient_root, args.operation,
                                   args.checkpoint, routed=args.routed,
-                                  max_files_per_trigger=args.max_files_per_trigger)
+                                  max_files_per_trigger=args.max_files_per_trigger,
+                                  max_bytes_per_trigger=args.max_bytes_per_trigger)
     audit = (args.create_user, args.create_process, args.first_source)
     if args.job == "transient-to-refined":
         return J.transient_to_refined(spark, args.transient_path, args.refined_path,
-                                      args.checkpoint, *audit, as_of=args.as_of)
+                                      args.checkpoint, *audit, as_of=args.as_of,
+                                      max_bytes_per_trigger=args.max_bytes_per_trigger)
     if args.job == "update-history-to-refined":
         return J.update_history_to_refined(spark, args.transient_root, args.refined_root,
                                            args.checkpoint_root, *audit, as_of=args.as_of)

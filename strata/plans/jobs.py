@@ -69,7 +69,8 @@ def raw_to_transient(spark: SparkSession, raw_path: str, transient_path: str,
 def cdc_to_transient(spark: SparkSession, landing_path: str, transient_root: str,
                      operation: str, checkpoint: str,
                      registry: dict[str, TableSpec] | None = None,
-                     max_files_per_trigger: int | None = None, routed: bool = False) -> None:
+                     max_files_per_trigger: int | None = None, routed: bool = False,
+                     max_bytes_per_trigger: int | None = None) -> None:
     """Incremental run over newly landed change events for one operation.
 
     Each micro-batch is routed to one folder per table; a ledger below the
@@ -85,14 +86,16 @@ def cdc_to_transient(spark: SparkSession, landing_path: str, transient_root: str
 
     schema = ROUTED_ENVELOPE_SCHEMA if routed else ENVELOPE_SCHEMA
     incremental_foreach(spark, landing_path, schema, path_join(checkpoint, "stream"),
-                        batch_fn, max_files_per_trigger=max_files_per_trigger)
+                        batch_fn, max_files_per_trigger=max_files_per_trigger,
+                        max_bytes_per_trigger=max_bytes_per_trigger)
 
 
 def transient_to_refined(spark: SparkSession, transient_path: str, refined_path: str,
                          checkpoint: str, create_user: str, create_process: str,
                          first_source: str, as_of: dt.datetime | str | None = None,
                          schema: T.StructType | None = None,
-                         max_files_per_trigger: int | None = None) -> None:
+                         max_files_per_trigger: int | None = None,
+                         max_bytes_per_trigger: int | None = None) -> None:
     """Incremental run: new transient files + audit columns -> refined,
     partitioned by create_year/create_month/create_date."""
     # Footers only; merged, so columns appended by schema evolution are kept.
@@ -107,7 +110,8 @@ def transient_to_refined(spark: SparkSession, transient_path: str, refined_path:
         ledger.mark(batch_id, "refined")
 
     incremental_foreach(spark, transient_path, schema, path_join(checkpoint, "stream"),
-                        batch_fn, max_files_per_trigger=max_files_per_trigger)
+                        batch_fn, max_files_per_trigger=max_files_per_trigger,
+                        max_bytes_per_trigger=max_bytes_per_trigger)
 
 
 def update_history_to_refined(spark: SparkSession, transient_root: str, refined_root: str,
