@@ -21,10 +21,11 @@ hold a third of all rows:
   the key computed afterwards, so md5 runs once per distinct value.  A value
   held by a huge share of rows collapses in the partial aggregate.
 * The cluster head (smallest clustered bid per ``match_id``) is a grouped
-  ``min`` -- partial aggregation again -- joined back null-safely on
-  ``match_id`` instead of a window over each cluster, which would put a whole
-  (possibly giant) cluster into one task.  Giant clusters (and the NULL
-  cluster) are split off and joined through a broadcast that holds at most
+  ``min`` -- partial aggregation again -- joined back on an explicit
+  (value, is-null) cluster key instead of a window over each cluster, which
+  would put a whole (possibly giant) cluster into one task.  All NULL
+  ``match_id`` rows form one cluster, as in the original window.  Giant
+  clusters are split off and joined through a broadcast that holds at most
   ``max_hot_clusters`` rows; the others take a shuffle join.
 * A bid whose rows stay many after de-duplication (many distinct versions)
   is split by AQE's skew-join handling; the session sets
