@@ -207,3 +207,38 @@ def _apply_routed(envelope: DataFrame, operation: str, output_root: str,
 
     run_concurrently(write, names, parallelism)
     return paths
+
+
+def apply_all_changes(envelope: DataFrame, output_root: str,
+                      operations: tuple[str, ...] = ("insert", "update"),
+                      registry: dict[str, TableSpec] | None = None, mode: str = "append",
+                      skip: set[str] | None = None, on_written=None,
+                      parallelism: int = 4) -> dict[str, str]:
+    """Routed sink for several operations from one decode of the batch.
+
+    Same routing as :func:`apply_changes` run once per operation, but the
+    metadata is decoded and cached once for all of them.  Returns
+    ``{route folder: path}``; ``skip`` / ``on_written`` use route folder
+    names (e.g. ``t_demographic_tag_cdc_update``)."""
+    registry = registry or REGISTRY
+    decoded = registered(decode_metadata(envelope.select("data", "metadata"))
+                         .where(meta("operation").isin(list(operations))), registry)
+    slim = decoded.select("data", META).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        pairs = slim.select(meta("table-name").alias("t"), meta("operation").alias("o")).distinct()
+        routes = {route_name(r["t"], r["o"]): (r["t"], r["o"])
+                  for r in pairs.collect()}  # bounded: registry size x operations
+        routes = {k: v for k, v in sorted(routes.items()) if not (skip and k in skip)}
+        paths = {k: path_join(output_root, k) for k in routes}
+
+        def write(route: str) -> None:
+            table, op = routes[route]
+            rows = filter_operation(slim, op)
+            decode_typed(rows, registry[table]).write.mode(mode).parquet(paths[route])
+            if on_written is not None:
+                on_written(route)
+
+        run_concurrently(write, list(routes), parallelism)
+        return paths
+    finally:
+        slim.unpersist()

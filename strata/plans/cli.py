@@ -54,7 +54,8 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("cdc-to-transient", help="landed change events -> transient tables")
     p.add_argument("--landing", required=True)
     p.add_argument("--transient-root", required=True)
-    p.add_argument("--operation", choices=("insert", "update"), required=True)
+    p.add_argument("--operation", choices=("insert", "update", "all"), required=True,
+                   help="'all' routes inserts and updates from one decode of each batch")
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--routed", action="store_true", help="landing partitioned by operation/table")
     p.add_argument("--max-files-per-trigger", type=int)
@@ -102,6 +103,10 @@ def run(args: argparse.Namespace, spark) -> object:
                                  routed=args.routed)
         q.awaitTermination()
         return args.landing
+    if args.job == "cdc-to-transient" and args.operation == "all":
+        return J.cdc_to_transient_all(spark, args.landing, args.transient_root, args.checkpoint,
+                                      max_files_per_trigger=args.max_files_per_trigger,
+                                      max_bytes_per_trigger=args.max_bytes_per_trigger)
     if args.job == "cdc-to-transient":
         return J.cdc_to_transient(spark, args.landing, args.transient_root, args.operation,
                                   args.checkpoint, routed=args.routed,

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from strata.operators.audit import audit_columns
-from strata.operators.cdc import apply_changes, route_name, run_concurrently
+from strata.operators.cdc import apply_all_changes, apply_changes, route_name, run_concurrently
 from strata.operators.customer import customer_star
 from strata.schemas import (ENVELOPE_SCHEMA, REGISTRY, ROUTED_ENVELOPE_SCHEMA,
                             UPDATE_HISTORY_TABLES, TableSpec)
@@ -90,6 +90,27 @@ def cdc_to_transient(spark: SparkSession, landing_path: str, transient_root: str
                         max_bytes_per_trigger=max_bytes_per_trigger)
 
 
+def cdc_to_transient_all(spark: SparkSession, landing_path: str, transient_root: str,
+                         checkpoint: str, operations: tuple[str, ...] = ("insert", "update"),
+                         registry: dict[str, TableSpec] | None = None,
+                         max_files_per_trigger: int | None = None,
+                         max_bytes_per_trigger: int | None = None) -> None:
+    """One incremental run routing several operations (inserts to ``<t>``,
+    updates to ``<t>_cdc_update``) from a single decode of each micro-batch.
+    The ledger keys are route folder names."""
+    ledger = BatchLedger(spark, path_join(checkpoint, "ledger"))
+    names = [route_name(t, op) for t in (registry or REGISTRY) for op in operations]
+
+    def batch_fn(batch: DataFrame, batch_id: int) -> None:
+        apply_all_changes(batch, transient_root, operations, registry=registry,
+                          skip=ledger.done_parts(batch_id, names),
+                          on_written=lambda route: ledger.mark(batch_id, route))
+
+    incremental_foreach(spark, landing_path, ENVELOPE_SCHEMA, path_join(checkpoint, "stream"),
+                        batch_fn, max_files_per_trigger=max_files_per_trigger,
+                        max_bytes_per_trigger=max_bytes_per_trigger)
+
+
 def transient_to_refined(spark: SparkSession, transient_path: str, refined_path: str,
                          checkpoint: str, create_user: str, create_process: str,
                          first_source: str, as_of: dt.datetime | str | None = None,
@@ -164,5 +185,6 @@ def customer_tables(spark: SparkSession, demographic: str | DataFrame, baseid: s
     return out
 
 
-__all__ = ["full_load_snapshot", "raw_to_transient", "cdc_to_transient", "transient_to_refined",
+__all__ = ["full_load_snapshot", "raw_to_transient", "cdc_to_transient", "cdc_to_transient_all",
+           "transient_to_refined",
            "update_history_to_refined", "customer_tables"]

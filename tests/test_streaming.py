@@ -158,3 +158,22 @@ def test_refined_replay_after_commit_failure(spark, tmp_path, monkeypatch):
     J.transient_to_refined(spark, src, dst, ck, "u", "p", "s", as_of="2024-01-02 00:00:00")
     out = spark.read.parquet(dst)
     assert out.count() == 20 and out.select("id").distinct().count() == 20
+
+
+def test_all_operations_in_one_decode_equal_separate_runs(spark, tmp_path):
+    from strata.plans import fixtures as FX
+    env = FX.fx_cdc(spark, "/root/testdata/sf0.001")
+    land = str(tmp_path / "land")
+    write_parquet(env, land)
+    sep, one = str(tmp_path / "sep"), str(tmp_path / "one")
+    for op in ("insert", "update"):
+        J.cdc_to_transient(spark, land, sep, op, str(tmp_path / f"ck_{op}"))
+    J.cdc_to_transient_all(spark, land, one, str(tmp_path / "ck_all"))
+    import os
+    folders = sorted(f for f in os.listdir(sep) if not f.startswith((".", "_")))
+    assert folders == sorted(f for f in os.listdir(one) if not f.startswith((".", "_")))
+    assert len(folders) == 8
+    for f in folders:
+        a = sorted(map(tuple, spark.read.parquet(f"{sep}/{f}").collect()), key=repr)
+        b = sorted(map(tuple, spark.read.parquet(f"{one}/{f}").collect()), key=repr)
+        assert a == b, f
