@@ -8,7 +8,7 @@ and commit log.
 
 The source is any streaming DataFrame with a ``value`` text column -- Kafka
 (``CAST(value AS STRING)``), a socket-free file source in tests, etc.
-Open-source Spark ships no Kinesis source, so the function does not pick
+Open-source Spark ships no source for managed stream services, so the function does not pick
 one.
 """
 
