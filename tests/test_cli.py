@@ -37,3 +37,17 @@ def test_cli_land_then_cdc(spark, tmp_path):
     cli.main(["cdc-to-transient", "--landing", land, "--transient-root", tr, "--operation", "insert",
               "--checkpoint", str(tmp_path / "ck2"), "--routed"], spark=spark)
     assert sorted(r.bid for r in spark.read.parquet(tr + "/t_baseid").collect()) == [0, 1, 2, 3]
+
+
+def test_cli_customer_tables(spark, tmp_path):
+    from strata.operators.audit import audit_columns
+    from strata.sinks.files import write_refined
+    dem, base, match = (str(tmp_path / n) for n in ("dem", "base", "match"))
+    write_refined(audit_columns(FX.fx_demographic(spark, SF), "u", "p", "s", "2022-04-05 00:00:00"), dem)
+    write_refined(audit_columns(FX.fx_baseid(spark, SF), "u", "p", "s", "2022-04-05 00:00:00"), base)
+    FX.fx_match(spark, SF).write.option("header", True).csv(match)
+    out = cli.main(["customer-tables", "--demographic", dem, "--baseid", base, "--match", match,
+                    "--output-root", str(tmp_path / "cust"), "--year", "2022", "--month-from", "4",
+                    "--month-to", "4", "--create-user", "u", "--create-process", "cust",
+                    "--first-source", "db", "--as-of", "2022-04-06 00:00:00"], spark=spark)
+    assert len(out) == 6 and spark.read.parquet(out["customer"]).count() > 0
