@@ -221,9 +221,13 @@ def apply_all_changes(envelope: DataFrame, output_root: str,
     ``{route folder: path}``; ``skip`` / ``on_written`` use route folder
     names (e.g. ``t_demographic_tag_cdc_update``)."""
     registry = registry or REGISTRY
-    decoded = registered(decode_metadata(envelope.select("data", "metadata"))
-                         .where(meta("operation").isin(list(operations))), registry)
-    slim = decoded.select("data", META).persist(StorageLevel.MEMORY_AND_DISK)
+    # Cache the decoded batch *before* filtering: the filters then read the
+    # cached struct, so each record's metadata is parsed once (a filter below
+    # the decode would be pushed under it and parse again).  Only deletes and
+    # control records are cached beyond what is written.
+    cached = decode_metadata(envelope.select("data", "metadata")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    slim = registered(cached.where(meta("operation").isin(list(operations))), registry)
     try:
         pairs = slim.select(meta("table-name").alias("t"), meta("operation").alias("o")).distinct()
         routes = {route_name(r["t"], r["o"]): (r["t"], r["o"])
@@ -241,4 +245,4 @@ def apply_all_changes(envelope: DataFrame, output_root: str,
         run_concurrently(write, list(routes), parallelism)
         return paths
     finally:
-        slim.unpersist()
+        cached.unpersist()
