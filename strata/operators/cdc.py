@@ -84,10 +84,15 @@ def allowed_tables(decoded: DataFrame, registry: dict[str, TableSpec] | None = N
             .select(meta("table-name").alias("table_name")).distinct())
 
 
+def decode_payload(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Payload (``data``) of rows already known to be ``spec``'s table, decoded
+    with every field as text."""
+    return rows.select(F.from_json("data", spec.json_schema).alias("row")).select("row.*")
+
+
 def decode_table(decoded: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows of one table, payload decoded with every field as text."""
-    rows = decoded.where(meta("table-name") == F.lit(spec.name))
-    return rows.select(F.from_json("data", spec.json_schema).alias("row")).select("row.*")
+    return decode_payload(decoded.where(meta("table-name") == F.lit(spec.name)), spec)
 
 
 def typed_cast(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -188,9 +193,10 @@ def _apply_routed(envelope: DataFrame, operation: str, output_root: str,
                   on_written, parallelism: int = 4) -> dict[str, str]:
     """Routed sink over a landing partitioned by (operation, table_name).
 
-    Each table's write reads only its own partition, so nothing is cached and
-    no record outside it is decoded.  The metadata filters still run on the
-    decoded rows, so results equal the unpartitioned path."""
+    Each table's write reads only its own partition, so nothing is cached,
+    no record outside it is decoded, and no metadata is parsed at all: the
+    partition values were taken from the metadata at landing, so they already
+    say which operation and table a record belongs to."""
     env = envelope.where(F.col("operation") == F.lit(operation))
     names = sorted(r["table_name"] for r in
                    env.select("table_name").where(F.col("table_name").isin(sorted(registry)))
@@ -199,9 +205,9 @@ def _apply_routed(envelope: DataFrame, operation: str, output_root: str,
     paths = {n: path_join(output_root, route_name(n, operation)) for n in names}
 
     def write(name: str) -> None:
-        rows = env.where(F.col("table_name") == F.lit(name)).select("data", "metadata")
-        decoded = filter_operation(decode_metadata(rows), operation)
-        decode_typed(decoded, registry[name]).write.mode(mode).parquet(paths[name])
+        rows = env.where(F.col("table_name") == F.lit(name)).select("data")
+        spec = registry[name]
+        typed_cast(decode_payload(rows, spec), spec).write.mode(mode).parquet(paths[name])
         if on_written is not None:
             on_written(name)
 
