@@ -83,3 +83,17 @@ def test_hot_bid_join_is_split_by_aqe(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_routed_landing_read_prunes_partitions(spark, tmp_path):
+    from strata.schemas import ROUTED_ENVELOPE_SCHEMA
+    from strata.streaming.landing import routed_envelope
+    land = str(tmp_path / "land")
+    env = FX.fx_cdc(spark, SF)
+    routed_envelope(env).write.partitionBy("operation", "table_name").parquet(land)
+    df = (spark.read.schema(ROUTED_ENVELOPE_SCHEMA).parquet(land)
+          .where((F.col("operation") == "insert") & (F.col("table_name") == "T_Demographic_Tag"))
+          .select("data"))
+    p = plan(df)
+    assert "PartitionFilters: [" in p and "table_name" in p.split("PartitionFilters: [")[1].split("]")[0]
+    assert "ReadSchema: struct<data:string>" in p  # metadata column is not read
