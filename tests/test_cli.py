@@ -51,3 +51,16 @@ def test_cli_customer_tables(spark, tmp_path):
                     "--month-to", "4", "--create-user", "u", "--create-process", "cust",
                     "--first-source", "db", "--as-of", "2022-04-06 00:00:00"], spark=spark)
     assert len(out) == 6 and spark.read.parquet(out["customer"]).count() > 0
+
+
+def test_cli_cdc_all_operations(spark, tmp_path):
+    land, tr = str(tmp_path / "land"), str(tmp_path / "tr")
+    FX.fx_cdc(spark, SF).write.parquet(land)
+    cli.main(["cdc-to-transient", "--landing", land, "--transient-root", tr, "--operation", "all",
+              "--checkpoint", str(tmp_path / "ck")], spark=spark)
+    import os
+    got = sorted(f for f in os.listdir(tr) if not f.startswith((".", "_")))
+    assert got == sorted(["t_demographic_survey", "t_demographic_tag", "t_subscribed_offer",
+                          "t_visited_affiliate", "t_demographic_survey_cdc_update",
+                          "t_demographic_tag_cdc_update", "t_subscribed_offer_cdc_update",
+                          "t_visited_affiliate_cdc_update"])
