@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, pieces, quality_crf, secret_scan, sharding, simhash, token_files, url_filter
+from strata.llm import (forest_dedup, mixing, pieces, quality_crf, secret_scan, sharding, simhash, suffix_dedup,
+                        token_files, url_filter)
 from strata.llm.common import read_table
 
 
@@ -22,10 +23,20 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.choose(read_table(spark, sf_dir, "documents"))
 
 
+def op4_forest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest_dedup.groups(read_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edit_likeness(read_table(spark, sf_dir, "documents"), F.col("doc_id") % 100 == 0)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read_table(spark, sf_dir, "documents"))
 
@@ -45,6 +56,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op2_token_files, op3_mixing, op5_simhash, op7_sharding,
-    op8_pieces, op9_quality_crf, op10_url_filter)}
+    op1_secret_scan, op2_token_files, op3_mixing, op4_forest_dedup, op5_simhash, op6_suffix_dedup,
+    op7_sharding, op8_pieces, op9_quality_crf, op10_url_filter)}
 ORACLES: dict[str, str] = {}
