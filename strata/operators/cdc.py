@@ -7,27 +7,26 @@ decoded struct, ``try_cast`` typing, and a routed multi-table write.
 
 Scale notes:
 
-* The metadata is decoded once.  The routed writer persists the decoded,
-  filtered (table_name, data) pair so each per-table write reuses it instead
-  of re-reading and re-parsing the input (the per-table writes are separate
-  Spark jobs because every table has its own typed schema).  Persisted blocks
-  lost with an executor are recomputed from the input files.
+* The landing is partitioned by operation and table name (see
+  ``streaming.landing``); each table's write reads only its own partition, so
+  nothing is cached, no other record is decoded and no metadata is parsed.
+  An envelope without these columns is first written in that layout below the
+  shared checkpoint folder, decoding its metadata once.
 * The list of tables to write is the registered tables present in the batch,
   a bounded list (at most the registry size) -- never the data itself.
-* With a routed landing (partitioned by operation and table name, see
-  ``streaming.landing``) each table's write reads only its own partition:
-  nothing is cached and no other record is decoded.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.casts import parse_change_ts, to_second
+from strata.functions.casts import CHANGE_TS_PATTERN, parse_change_ts, to_second
 from strata.schemas import METADATA_SCHEMA, REGISTRY, ROUTE_COLUMNS, UPDATE_SUFFIX, TableSpec
-from strata.session import path_join
+from strata.session import path_join, scratch_path
 
 META = "meta"
 
@@ -123,20 +122,22 @@ def route_name(table_name: str, operation: str) -> str:
     return table_name.lower() + (UPDATE_SUFFIX if operation == "update" else "")
 
 
-def cutover_filter(decoded: DataFrame, notice_ts: str) -> DataFrame:
-    """Keep changes at or after the snapshot cut-over.
+def cutover_condition(timestamp: Column, notice_ts: str) -> Column:
+    """Whether a change is at or after the snapshot cut-over.
 
     ``notice_ts`` is the full-load completion notice time
-    (``yyyy-MM-ddTHH:mm:ss.ffffffZ``); the change stream starts at that time
-    truncated to whole seconds."""
-    cut = to_second(parse_change_ts(F.lit(notice_ts)))
-    return decoded.where(parse_change_ts(meta("timestamp")) >= cut)
+    (``yyyy-MM-ddTHH:mm:ss[.fraction]Z``, an error in any other form); the change
+    stream starts at that time truncated to whole seconds.  A record without a
+    readable time cannot be told to be older, so it is kept."""
+    if not re.match(CHANGE_TS_PATTERN, notice_ts):
+        raise ValueError(f"unreadable cut-over notice time: {notice_ts!r}")
+    at = parse_change_ts(timestamp)
+    return at.isNull() | (at >= to_second(parse_change_ts(F.lit(notice_ts))))
 
 
-def present_tables(decoded: DataFrame, registry: dict[str, TableSpec] | None = None) -> list[str]:
-    """Registered table names that occur in the batch (bounded by the registry)."""
-    rows = allowed_tables(decoded, registry).collect()
-    return sorted(r["table_name"] for r in rows)
+def cutover_filter(decoded: DataFrame, notice_ts: str) -> DataFrame:
+    """Keep changes at or after the snapshot cut-over."""
+    return decoded.where(cutover_condition(meta("timestamp"), notice_ts))
 
 
 def run_concurrently(fn, items, parallelism: int = 1) -> None:
@@ -153,102 +154,53 @@ def run_concurrently(fn, items, parallelism: int = 1) -> None:
             f.result()  # re-raise the first failure
 
 
-def apply_changes(envelope: DataFrame, operation: str, output_root: str,
+def routed_rows(envelope: DataFrame, operations: tuple[str, ...], registry: dict[str, TableSpec],
+                cutover_notice: str | None = None) -> DataFrame:
+    """(data, operation, table_name) of registered tables, so laid out that a
+    filter on the last two prunes files."""
+    names = sorted(registry)
+    if all(c in envelope.columns for c in ROUTE_COLUMNS):
+        rows = envelope
+        if cutover_notice is not None:
+            at = F.from_json("metadata", METADATA_SCHEMA)["timestamp"]
+            rows = rows.where(cutover_condition(at, cutover_notice))
+        return rows.where(F.col("operation").isin(*operations) & F.col("table_name").isin(names)).select("data", *ROUTE_COLUMNS)
+    decoded = registered(decode_metadata(envelope.select("data", "metadata")), registry)
+    if cutover_notice is not None:
+        decoded = cutover_filter(decoded, cutover_notice)
+    rows = decoded.where(meta("operation").isin(*operations)).select(
+        "data", meta("operation").alias("operation"), meta("table-name").alias("table_name"))
+    path = scratch_path(envelope.sparkSession, "routed")
+    rows.write.partitionBy(*ROUTE_COLUMNS).parquet(path)
+    return envelope.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def append_parquet(df: DataFrame, path: str, route: str) -> None:
+    df.write.mode("append").parquet(path)
+
+
+def apply_changes(envelope: DataFrame, operations: str | tuple[str, ...], output_root: str,
                   registry: dict[str, TableSpec] | None = None,
-                  mode: str = "append", skip: set[str] | None = None,
-                  on_written=None, parallelism: int = 4) -> dict[str, str]:
-    """Routed multi-table sink for one operation.
-
-    Decodes, keeps ``operation`` and registered tables, then writes each
-    table's typed rows as Parquet under ``output_root/<route>``.  Returns
-    ``{table_name: path}`` of the tables written.  ``skip`` lets a retried
-    micro-batch pass over tables it already committed; ``on_written`` is
-    called after each table's write commits.  Up to ``parallelism`` tables
-    are written as concurrent Spark jobs.
-    """
+                  sink: Callable[[DataFrame, str, str], None] = append_parquet,
+                  cutover_notice: str | None = None, parallelism: int = 4) -> dict[str, str]:
+    """Routed multi-table sink for one or several operations.
+
+    Writes each present registered table's typed rows under
+    ``output_root/<route>`` (inserts ``<t>``, updates ``<t>_cdc_update``) with
+    ``sink(df, path, route)``; returns ``{route: path}``.  Up to ``parallelism``
+    tables are written as concurrent Spark jobs."""
     registry = registry or REGISTRY
-    if all(c in envelope.columns for c in ROUTE_COLUMNS):
-        return _apply_routed(envelope, operation, output_root, registry, mode, skip, on_written,
-                             parallelism)
-    decoded = registered(filter_operation(decode_metadata(envelope.select("data", "metadata")),
-                                          operation), registry)
-    slim = decoded.select("data", META).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        names = [n for n in present_tables(slim, registry) if not (skip and n in skip)]
-        paths = {n: path_join(output_root, route_name(n, operation)) for n in names}
-
-        def write(name: str) -> None:
-            decode_typed(slim, registry[name]).write.mode(mode).parquet(paths[name])
-            if on_written is not None:
-                on_written(name)
-
-        run_concurrently(write, names, parallelism)
-        return paths
-    finally:
-        slim.unpersist()
-
-
-def _apply_routed(envelope: DataFrame, operation: str, output_root: str,
-                  registry: dict[str, TableSpec], mode: str, skip: set[str] | None,
-                  on_written, parallelism: int = 4) -> dict[str, str]:
-    """Routed sink over a landing partitioned by (operation, table_name).
-
-    Each table's write reads only its own partition, so nothing is cached,
-    no record outside it is decoded, and no metadata is parsed at all: the
-    partition values were taken from the metadata at landing, so they already
-    say which operation and table a record belongs to."""
-    env = envelope.where(F.col("operation") == F.lit(operation))
-    names = sorted(r["table_name"] for r in
-                   env.select("table_name").where(F.col("table_name").isin(sorted(registry)))
-                   .distinct().collect())  # bounded by the registry size
-    names = [n for n in names if not (skip and n in skip)]
-    paths = {n: path_join(output_root, route_name(n, operation)) for n in names}
-
-    def write(name: str) -> None:
-        rows = env.where(F.col("table_name") == F.lit(name)).select("data")
-        spec = registry[name]
-        typed_cast(decode_payload(rows, spec), spec).write.mode(mode).parquet(paths[name])
-        if on_written is not None:
-            on_written(name)
-
-    run_concurrently(write, names, parallelism)
+    operations = (operations,) if isinstance(operations, str) else tuple(operations)
+    rows = routed_rows(envelope, operations, registry, cutover_notice)
+    present = rows.select(*ROUTE_COLUMNS).distinct().collect()   # bounded: registry size x operations
+    routes = {route_name(r["table_name"], r["operation"]): (r["table_name"], r["operation"]) for r in present}
+    paths = {route: path_join(output_root, route) for route in sorted(routes)}
+
+    def write(route: str) -> None:
+        table, operation = routes[route]
+        spec = registry[table]
+        part = rows.where((F.col("operation") == operation) & (F.col("table_name") == table)).select("data")
+        sink(typed_cast(decode_payload(part, spec), spec), paths[route], route)
+
+    run_concurrently(write, list(paths), parallelism)
     return paths
-
-
-def apply_all_changes(envelope: DataFrame, output_root: str,
-                      operations: tuple[str, ...] = ("insert", "update"),
-                      registry: dict[str, TableSpec] | None = None, mode: str = "append",
-                      skip: set[str] | None = None, on_written=None,
-                      parallelism: int = 4) -> dict[str, str]:
-    """Routed sink for several operations from one decode of the batch.
-
-    Same routing as :func:`apply_changes` run once per operation, but the
-    metadata is decoded and cached once for all of them.  Returns
-    ``{route folder: path}``; ``skip`` / ``on_written`` use route folder
-    names (e.g. ``t_demographic_tag_cdc_update``)."""
-    registry = registry or REGISTRY
-    # Cache the decoded batch *before* filtering: the filters then read the
-    # cached struct, so each record's metadata is parsed once (a filter below
-    # the decode would be pushed under it and parse again).  Only deletes and
-    # control records are cached beyond what is written.
-    cached = decode_metadata(envelope.select("data", "metadata")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    slim = registered(cached.where(meta("operation").isin(list(operations))), registry)
-    try:
-        pairs = slim.select(meta("table-name").alias("t"), meta("operation").alias("o")).distinct()
-        routes = {route_name(r["t"], r["o"]): (r["t"], r["o"])
-                  for r in pairs.collect()}  # bounded: registry size x operations
-        routes = {k: v for k, v in sorted(routes.items()) if not (skip and k in skip)}
-        paths = {k: path_join(output_root, k) for k in routes}
-
-        def write(route: str) -> None:
-            table, op = routes[route]
-            rows = filter_operation(slim, op)
-            decode_typed(rows, registry[table]).write.mode(mode).parquet(paths[route])
-            if on_written is not None:
-                on_written(route)
-
-        run_concurrently(write, list(routes), parallelism)
-        return paths
-    finally:
-        cached.unpersist()

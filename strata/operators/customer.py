@@ -10,13 +10,9 @@ Inputs are three DataFrames:
 Plan shape, chosen for very large inputs where one bid or one cluster may
 hold a third of all rows:
 
-* Inputs are projected and de-duplicated (partial aggregation, map-side)
-  before they are shuffled on ``bid``, so repeated versions of a bid never
-  reach a join task in bulk.
 * Joins whose only purpose is to restrict rows ("is this bid clustered?") are
-  left-semi joins against a *distinct* bid list; the distinct runs as a
-  partial (map-side) aggregate, so repeated bids collapse before the shuffle
-  and the semi join reuses its hash partitioning on ``bid``.
+  left-semi joins against a *distinct* bid list (partial aggregation, map-side).
+  The large side moves once, on ``bid``; grouping comes after the join.
 * Attribute dimensions are a ``distinct`` over the attribute columns with
   the key computed afterwards, so md5 runs once per distinct value.  A value
   held by a huge share of rows collapses in the partial aggregate.
@@ -58,47 +54,46 @@ def clustered_baseid_bids(match: DataFrame, baseid: DataFrame) -> DataFrame:
     return distinct_bids(match).join(distinct_bids(baseid), "bid", "left_semi")
 
 
-def clustered_demographic(match: DataFrame, baseid: DataFrame,
-                          demographic: DataFrame, columns: tuple[str, ...],
+def clustered_demographic(match: DataFrame, baseid: DataFrame, demographic: DataFrame,
+                          columns: tuple[str, ...] = (*ADDRESS_COLUMNS, *NAME_COLUMNS, "phone"),
                           eligible: DataFrame | None = None) -> DataFrame:
     """Demographic rows (projected) whose bid is clustered and has a base id.
 
     Equivalent to ``match JOIN baseid JOIN demographic`` followed by a
     grouping on demographic columns only: the inner joins can only drop or
-    repeat demographic rows, and the grouping removes the repeats.
-    """
+    repeat demographic rows, and the grouping removes the repeats.  One
+    exchange on ``bid``; a hot bid is split by AQE, as only the left side of a
+    left-semi join is large."""
     if eligible is None:
         eligible = clustered_baseid_bids(match, baseid)
-    # Distinct before the join: a bid with many identical versions (append-only
-    # zones) is collapsed map-side, so no join task receives all of its rows.
-    return demographic.select("bid", *columns).distinct().join(eligible, "bid", "left_semi")
+    return demographic.select("bid", *columns).join(eligible, "bid", "left_semi").select(*columns)
 
 
 def customer_email(match: DataFrame, baseid: DataFrame) -> DataFrame:
     """``customer_email(customer_email_id, email)`` from base-id emails of clustered bids."""
-    emails = (baseid.select("bid", "email").distinct()
+    emails = (baseid.select("bid", "email")
               .join(distinct_bids(match), "bid", "left_semi")
               .select("email").distinct())
     return emails.select(email_key("email").alias("customer_email_id"), "email")
 
 
 def customer_address(match: DataFrame, baseid: DataFrame, demographic: DataFrame,
-                     eligible: DataFrame | None = None) -> DataFrame:
-    rows = clustered_demographic(match, baseid, demographic, ADDRESS_COLUMNS, eligible)
+                     clustered: DataFrame | None = None) -> DataFrame:
+    rows = clustered if clustered is not None else clustered_demographic(match, baseid, demographic, ADDRESS_COLUMNS)
     addrs = rows.select(*ADDRESS_COLUMNS).distinct()
     return addrs.select(address_key().alias("customer_address_id"), *ADDRESS_COLUMNS)
 
 
 def customer_name(match: DataFrame, baseid: DataFrame, demographic: DataFrame,
-                  eligible: DataFrame | None = None) -> DataFrame:
-    rows = clustered_demographic(match, baseid, demographic, NAME_COLUMNS, eligible)
+                  clustered: DataFrame | None = None) -> DataFrame:
+    rows = clustered if clustered is not None else clustered_demographic(match, baseid, demographic, NAME_COLUMNS)
     names = rows.select(*NAME_COLUMNS).distinct()
     return names.select(name_key().alias("customer_name_id"), *NAME_COLUMNS)
 
 
 def customer_phone(match: DataFrame, baseid: DataFrame, demographic: DataFrame,
-                   eligible: DataFrame | None = None) -> DataFrame:
-    rows = clustered_demographic(match, baseid, demographic, ("phone",), eligible)
+                   clustered: DataFrame | None = None) -> DataFrame:
+    rows = clustered if clustered is not None else clustered_demographic(match, baseid, demographic, ("phone",))
     phones = rows.select("phone").distinct()
     return phones.select(phone_key().alias("customer_phone_id"), "phone")
 
@@ -107,81 +102,75 @@ def present_members(match: DataFrame, demographic: DataFrame,
                     dem_bids: DataFrame | None = None) -> DataFrame:
     """Distinct cluster memberships (bid, match_id) whose bid has a demographic row.
 
-    The distinct runs before the shuffle on ``bid`` (partial aggregation), so
-    even a membership copied into a large share of the match rows reaches
-    the semi join as one row per map task.  The match table is small next to
-    the demographic one, so the extra exchange is cheap."""
+    The semi join leaves the rows partitioned on ``bid``, which the distinct
+    reuses; a hot bid is split by AQE before it."""
     if dem_bids is None:
         dem_bids = distinct_bids(demographic)
-    return match.select("bid", "match_id").distinct().join(dem_bids, "bid", "left_semi")
+    return match.select("bid", "match_id").join(dem_bids, "bid", "left_semi").distinct()
 
 
 def customer_xref(match: DataFrame, demographic: DataFrame,
-                  dem_bids: DataFrame | None = None) -> DataFrame:
+                  members: DataFrame | None = None) -> DataFrame:
     """``fig_baseid_x_customer(customer_id, bid)``: one row per (bid, match_id).
-
-    A bid that sits in two clusters appears twice.  The grouping runs after
-    the semi join, whose output is already hash-partitioned on ``bid``, so it
-    adds no shuffle.
-    """
-    members = present_members(match, demographic, dem_bids)
+    A bid that sits in two clusters appears twice."""
+    members = present_members(match, demographic) if members is None else members
     return members.select(entity_key("bid").alias("customer_id"), "bid")
 
 
+def cluster_heads(members: DataFrame) -> DataFrame:
+    """(h_mkey, h_mnull, head_bid, members): smallest bid per cluster.
+
+    NULL match_id is one cluster.  An explicit (value, is-null) key makes the
+    aggregate partitioned exactly like the join needs, so the head side is not
+    shuffled a second time for a null-safe comparison."""
+    return (_keyed(members).groupBy(F.col("mkey").alias("h_mkey"), F.col("mnull").alias("h_mnull"))
+            .agg(F.min("bid").alias("head_bid"), F.count(F.lit(1)).alias("members")))
+
+
+def _keyed(members: DataFrame) -> DataFrame:
+    return members.withColumns({"mkey": F.coalesce(F.col("match_id"), F.lit(0).cast("long")),
+                                "mnull": F.col("match_id").isNull()})
+
+
 def parent_link(match: DataFrame, demographic: DataFrame, max_hot_clusters: int = 1000,
-                min_hot_rows: int = 1_000_000, dem_bids: DataFrame | None = None) -> DataFrame:
+                min_hot_rows: int = 1_000_000, members: DataFrame | None = None,
+                heads: DataFrame | None = None) -> DataFrame:
     """(bid, match_id, parent_bid): parent_bid is the cluster's smallest present bid,
     NULL for the head itself.  All NULL ``match_id`` rows form one cluster.
 
-    Clusters holding a large share of the members (see ``operators.skew``)
-    are joined back through a size-bounded broadcast, the rest by shuffle."""
-    # NULL match_id is one cluster.  An explicit (value, is-null) key makes the
-    # heads aggregate partitioned exactly like the join needs, so the head side
-    # is not shuffled a second time for a null-safe comparison.
-    members = present_members(match, demographic, dem_bids).withColumns(
-        {"mkey": F.coalesce(F.col("match_id"), F.lit(0).cast("long")),
-         "mnull": F.col("match_id").isNull()})
-    heads = (members.groupBy("mkey", "mnull")
-             .agg(F.min("bid").alias("head_bid"), F.count(F.lit(1)).alias("members"))
-             .withColumnsRenamed({"mkey": "h_mkey", "mnull": "h_mnull"}))
-    # Members are a subset of the match rows, so the match row count bounds the
-    # per-cluster counts' sum (and is answered from Parquet footers).
-    linked = lookup_join_split_hot(members, heads, ["mkey", "mnull"], ["h_mkey", "h_mnull"],
+    Clusters holding very many members (see ``operators.skew``) are joined back
+    through a size-bounded broadcast, the rest by shuffle."""
+    members = present_members(match, demographic) if members is None else members
+    heads = cluster_heads(members) if heads is None else heads
+    linked = lookup_join_split_hot(_keyed(members), heads, ["mkey", "mnull"], ["h_mkey", "h_mnull"],
                                    "members", max_hot_keys=max_hot_clusters,
-                                   min_hot_rows=min_hot_rows, null_safe=False,
-                                   total_rows=match.count())
+                                   min_hot_rows=min_hot_rows, null_safe=False)
     # members are distinct per (bid, match_id), so the result needs no distinct
     return linked.select("bid", "match_id",
                          F.nullif(F.col("head_bid"), F.col("bid")).alias("parent_bid"))
 
 
-def demographic_keys(demographic: DataFrame) -> DataFrame:
-    """(bid, four attribute keys), de-duplicated map-side before any shuffle."""
-    return demographic.select(
-        "bid",
-        email_key("email").alias("customer_email_id"),
-        name_key().alias("customer_name_id"),
-        address_key().alias("customer_address_id"),
-        phone_key().alias("customer_phone_id"),
-    ).distinct()
-
-
 def customer(match: DataFrame, demographic: DataFrame, max_hot_clusters: int = 1000,
-             min_hot_rows: int = 1_000_000, dem_bids: DataFrame | None = None) -> DataFrame:
+             min_hot_rows: int = 1_000_000, members: DataFrame | None = None,
+             heads: DataFrame | None = None) -> DataFrame:
     """``customer(customer_id, customer_email_id, customer_name_id,
     customer_address_id, customer_phone_id, parent_customer_id)``.
 
     The email key comes from the *demographic* email (the email dimension is
     built from base-id emails, so this foreign key may dangle by design).
     Several distinct demographic versions of one bid give several rows.
+
+    Demographic rows move once, on ``bid``, with their plain columns; the keys
+    are hashed after the join, and the distinct reuses its partitioning.
     """
-    links = parent_link(match, demographic, max_hot_clusters, min_hot_rows,
-                        dem_bids).select("bid", "parent_bid")
-    rows = links.join(demographic_keys(demographic), "bid")
-    # De-duplicate on the compact bid before hashing it; bid -> customer_id
-    # is one-to-one, so this equals grouping on the hashed ids.
-    dedup = rows.select("bid", "customer_email_id", "customer_name_id",
-                        "customer_address_id", "customer_phone_id", "parent_bid").distinct()
+    links = parent_link(match, demographic, max_hot_clusters, min_hot_rows, members,
+                        heads).select("bid", "parent_bid")
+    attributes = demographic.select("bid", "email", *NAME_COLUMNS, *ADDRESS_COLUMNS, "phone")
+    dedup = links.join(attributes, "bid").select(
+        "bid", email_key("email").alias("customer_email_id"), name_key().alias("customer_name_id"),
+        address_key().alias("customer_address_id"), phone_key().alias("customer_phone_id"),
+        "parent_bid").distinct()
+    # bid -> customer_id is one-to-one, so hashing it after the distinct equals grouping on the hashed ids
     return dedup.select(
         entity_key("bid").alias("customer_id"),
         "customer_email_id", "customer_name_id", "customer_address_id", "customer_phone_id",
@@ -197,19 +186,18 @@ def customer_star(match: DataFrame, baseid: DataFrame, demographic: DataFrame,
                   reuse: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """All six customer tables, keyed by their output table name.
 
-    The match table and the two bid lists shared by several outputs are built
-    once; ``reuse`` (e.g. ``lambda df: df.checkpoint()``) materialises them so
-    the six writes do not recompute them from the inputs."""
-    dem_bids = distinct_bids(demographic)
-    eligible = clustered_baseid_bids(match, baseid)
-    if reuse is not None:
-        match = reuse(match.select("bid", "match_id"))
-        dem_bids, eligible = reuse(dem_bids), reuse(eligible)
+    What several outputs share is built once; ``reuse`` (e.g. ``lambda df:
+    df.checkpoint()``) materialises it so the six writes do not recompute it."""
+    keep = reuse or (lambda df: df)
+    match = keep(match.select("bid", "match_id"))
+    members = keep(present_members(match, demographic))
+    heads = keep(cluster_heads(members))
+    clustered = keep(clustered_demographic(match, baseid, demographic).distinct())
     return {
         "customer_email": customer_email(match, baseid),
-        "customer_address": customer_address(match, baseid, demographic, eligible),
-        "customer_name": customer_name(match, baseid, demographic, eligible),
-        "customer_phone": customer_phone(match, baseid, demographic, eligible),
-        "fig_baseid_x_customer": customer_xref(match, demographic, dem_bids),
-        "customer": customer(match, demographic, dem_bids=dem_bids),
+        "customer_address": customer_address(match, baseid, demographic, clustered),
+        "customer_name": customer_name(match, baseid, demographic, clustered),
+        "customer_phone": customer_phone(match, baseid, demographic, clustered),
+        "fig_baseid_x_customer": customer_xref(match, demographic, members),
+        "customer": customer(match, demographic, members=members, heads=heads),
     }

@@ -11,8 +11,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,17 +21,6 @@ def merge_compatible_schemas(spark: SparkSession, path: str | list[str]) -> Data
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
-def union_by_name(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-def evolved_schema(registered: T.StructType, batch: T.StructType) -> T.StructType:
-    """Registered fields (registered types) followed by the batch's new fields."""
-    known = {f.name.lower() for f in registered.fields}
-    extra = [f for f in batch.fields if f.name.lower() not in known]
-    return T.StructType(list(registered.fields) + extra)
-
-
 def conform_to_schema(df: DataFrame, registered: T.StructType,
                       keep_new_columns: bool = True) -> DataFrame:
     """Project ``df`` onto ``registered`` (+ new columns) in a single select."""

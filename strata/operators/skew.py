@@ -5,10 +5,10 @@ one key may carry a large share of the large table's rows (a giant match
 cluster, or all rows with a NULL key).  A shuffle join would send all of
 those rows to one task.  Here:
 
-* ``hot`` keys are those carrying more than ``total / max_hot_keys`` rows
-  (and at least ``min_hot_rows``).  There can be at most ``max_hot_keys`` of
-  them, so broadcasting them is bounded by construction, whatever the data
-  size.  Their rows join map-side against that broadcast -- no shuffle.
+* ``hot`` keys are the ``max_hot_keys`` largest, if they carry more than
+  ``min_hot_rows`` rows.  A top-k, so broadcasting them is bounded by
+  construction, whatever the data size.  Their rows join map-side against
+  that broadcast -- no shuffle.
 * The remaining rows drop the hot keys with a broadcast anti join (also
   map-side) and then take the ordinary shuffle join, which now has no hot
   key.
@@ -23,30 +23,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_key_threshold(lookup: DataFrame, rows_col: str, max_hot_keys: int,
-                      min_hot_rows: int, total_rows: int | None = None) -> int:
-    """Row count above which a key is hot.
-
-    ``total_rows`` is any upper bound of ``sum(rows_col)`` the caller has
-    cheaply (e.g. the row count of a Parquet input, answered from footers);
-    without it one small aggregate job sums the lookup."""
-    if total_rows is None:
-        total_rows = lookup.agg(F.sum(rows_col).alias("t")).first()["t"] or 0
-    return max(int(min_hot_rows), int(total_rows) // int(max_hot_keys))
+def hot_keys(lookup: DataFrame, rows_col: str, max_hot_keys: int, min_hot_rows: int) -> DataFrame:
+    """The ``max_hot_keys`` keys with the most rows, of those with more than
+    ``min_hot_rows``: a top-k, so its size is bounded whatever the data."""
+    keys = [F.col(c) for c in lookup.columns if c != rows_col]
+    return lookup.where(F.col(rows_col) > min_hot_rows).orderBy(F.desc(rows_col), *keys).limit(max_hot_keys)
 
 
 def lookup_join_split_hot(big: DataFrame, lookup: DataFrame, big_key: str | list[str],
                           lookup_key: str | list[str], rows_col: str, max_hot_keys: int = 1000,
-                          min_hot_rows: int = 1_000_000, null_safe: bool = True,
-                          total_rows: int | None = None) -> DataFrame:
+                          min_hot_rows: int = 1_000_000, null_safe: bool = True) -> DataFrame:
     """Inner join ``big`` x ``lookup`` on ``big_key`` = ``lookup_key`` (one
     column or a list; null-safe by default), result columns of both sides
-    minus ``rows_col``."""
+    minus ``rows_col``.  No job runs while the plan is built."""
     big_keys = [big_key] if isinstance(big_key, str) else list(big_key)
     lookup_keys = [lookup_key] if isinstance(lookup_key, str) else list(lookup_key)
-    threshold = hot_key_threshold(lookup, rows_col, max_hot_keys, min_hot_rows, total_rows)
-    hot = lookup.where(F.col(rows_col) > threshold).drop(rows_col)  # <= max_hot_keys rows
-    cold = lookup.where(F.col(rows_col) <= threshold).drop(rows_col)
+    hot = hot_keys(lookup, rows_col, max_hot_keys, min_hot_rows).drop(rows_col)  # <= max_hot_keys rows
+    cold = lookup.drop(rows_col)
 
     def cond():
         out = None
@@ -57,6 +50,7 @@ def lookup_join_split_hot(big: DataFrame, lookup: DataFrame, big_key: str | list
         return out
 
     hot_part = big.join(F.broadcast(hot), cond(), "inner")
+    # rows of hot keys leave map-side, so the shuffle join never meets them
     cold_big = big.join(F.broadcast(hot.select(*lookup_keys)), cond(), "left_anti")
     cold_part = cold_big.join(cold, cond(), "inner")
     return hot_part.unionByName(cold_part)

@@ -16,7 +16,6 @@ if __package__ in (None, ""):  # run as a script by spark-submit
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 from strata.plans import jobs as J  # noqa: E402
-from strata.schemas import REGISTRY  # noqa: E402
 from strata.session import get_session  # noqa: E402
 
 
@@ -27,6 +26,11 @@ def _audit(p: argparse.ArgumentParser) -> None:
     p.add_argument("--as-of", help="pin the load time, 'YYYY-MM-DD HH:MM:SS' (UTC)")
 
 
+def _catalog(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--catalog-zone", help="database in which to register what is written")
+    p.add_argument("--table-prefix", default="")
+
+
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="strata")
     ap.add_argument("--master", help="only for local runs; clusters set it via spark-submit")
@@ -41,13 +45,19 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("raw-to-transient", help="raw pipe-CSV -> transient Parquet")
     p.add_argument("--raw-path", required=True)
     p.add_argument("--transient-path", required=True)
-    p.add_argument("--table", help="registry table whose schema types the CSV (else inferred)")
+    p.add_argument("--table", help="registered table that types the CSV (else by the folder name)")
+    p.add_argument("--infer", action="store_true", help="infer the types instead (an extra pass)")
+    p.add_argument("--escaped-breaks", action="store_true", help="the CSV was written by full-load-snapshot")
+    _catalog(p)
 
     p = sub.add_parser("land-stream", help="JSON message files -> landed (data, metadata) Parquet")
-    p.add_argument("--inbox", required=True, help="folder receiving JSON-lines message files")
+    p.add_argument("--inbox", help="folder receiving JSON-lines message files")
+    p.add_argument("--format", help="any other streaming source that Spark can read, e.g. kafka")
+    p.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="option of that source")
+    p.add_argument("--max-bytes", type=int, help="bytes of new files per micro-batch (default: no limit)")
     p.add_argument("--landing", required=True)
     p.add_argument("--checkpoint", required=True)
-    p.add_argument("--routed", action="store_true", help="partition by operation/table")
+    p.add_argument("--flat", action="store_true", help="do not partition by operation/table")
     p.add_argument("--available-now", action="store_true",
                    help="process what is there and stop (else flush every 900 s)")
 
@@ -57,7 +67,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--operation", choices=("insert", "update", "all"), required=True,
                    help="'all' routes inserts and updates from one decode of each batch")
     p.add_argument("--checkpoint", required=True)
-    p.add_argument("--routed", action="store_true", help="landing partitioned by operation/table")
+    p.add_argument("--flat", action="store_true", help="the landing is not partitioned by operation/table")
+    p.add_argument("--cutover-notice", help="leave out changes before this full-load completion time")
+    _catalog(p)
     p.add_argument("--max-files-per-trigger", type=int)
     p.add_argument("--max-bytes-per-trigger", type=int)
 
@@ -66,6 +78,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--refined-path", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--max-bytes-per-trigger", type=int)
+    _catalog(p)
     _audit(p)
 
     p = sub.add_parser("update-history-to-refined", help="*_cdc_update tables -> refined")
@@ -84,6 +97,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--month-to", type=int, default=12)
     p.add_argument("--day-from", type=int, default=1)
     p.add_argument("--day-to", type=int, default=31)
+    _catalog(p)
     _audit(p)
     return ap
 
@@ -93,30 +107,33 @@ def run(args: argparse.Namespace, spark) -> object:
         return J.full_load_snapshot(spark, args.database, args.raw_root, args.pattern,
                                     parallelism=args.parallelism)
     if args.job == "raw-to-transient":
-        schema = REGISTRY[args.table].typed_schema if args.table else None
-        J.raw_to_transient(spark, args.raw_path, args.transient_path, schema=schema)
+        J.raw_to_transient(spark, args.raw_path, args.transient_path, table=args.table, infer=args.infer,
+                           escaped_breaks=args.escaped_breaks, zone=args.catalog_zone, prefix=args.table_prefix)
         return args.transient_path
     if args.job == "land-stream":
         from strata.streaming import landing as LAND
-        q = LAND.cdc_land_stream(LAND.message_file_stream(spark, args.inbox), args.landing,
-                                 args.checkpoint, available_now=args.available_now,
-                                 routed=args.routed)
+        if args.format:
+            messages = LAND.message_stream(spark, args.format, dict(o.split("=", 1) for o in args.option))
+        else:
+            messages = LAND.message_file_stream(spark, args.inbox, max_bytes_per_trigger=args.max_bytes)
+        q = LAND.cdc_land_stream(messages, args.landing, args.checkpoint,
+                                 available_now=args.available_now, routed=not args.flat)
         q.awaitTermination()
         return args.landing
-    if args.job == "cdc-to-transient" and args.operation == "all":
-        return J.cdc_to_transient_all(spark, args.landing, args.transient_root, args.checkpoint,
-                                      max_files_per_trigger=args.max_files_per_trigger,
-                                      max_bytes_per_trigger=args.max_bytes_per_trigger)
     if args.job == "cdc-to-transient":
-        return J.cdc_to_transient(spark, args.landing, args.transient_root, args.operation,
-                                  args.checkpoint, routed=args.routed,
+        operations = ("insert", "update") if args.operation == "all" else args.operation
+        return J.cdc_to_transient(spark, args.landing, args.transient_root, operations,
+                                  args.checkpoint, routed=not args.flat,
                                   max_files_per_trigger=args.max_files_per_trigger,
-                                  max_bytes_per_trigger=args.max_bytes_per_trigger)
+                                  max_bytes_per_trigger=args.max_bytes_per_trigger,
+                                  cutover_notice=args.cutover_notice,
+                                  zone=args.catalog_zone, prefix=args.table_prefix)
     audit = (args.create_user, args.create_process, args.first_source)
     if args.job == "transient-to-refined":
         return J.transient_to_refined(spark, args.transient_path, args.refined_path,
                                       args.checkpoint, *audit, as_of=args.as_of,
-                                      max_bytes_per_trigger=args.max_bytes_per_trigger)
+                                      max_bytes_per_trigger=args.max_bytes_per_trigger,
+                                      zone=args.catalog_zone, prefix=args.table_prefix)
     if args.job == "update-history-to-refined":
         return J.update_history_to_refined(spark, args.transient_root, args.refined_root,
                                            args.checkpoint_root, *audit, as_of=args.as_of)
@@ -124,7 +141,8 @@ def run(args: argparse.Namespace, spark) -> object:
         return J.customer_tables(spark, args.demographic, args.baseid, args.match,
                                  args.output_root, *audit, year=args.year,
                                  month_from=args.month_from, month_to=args.month_to,
-                                 day_from=args.day_from, day_to=args.day_to, as_of=args.as_of)
+                                 day_from=args.day_from, day_to=args.day_to, as_of=args.as_of,
+                                 zone=args.catalog_zone, prefix=args.table_prefix)
     raise ValueError(args.job)
 
 

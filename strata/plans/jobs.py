@@ -21,15 +21,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from strata.operators.audit import audit_columns
-from strata.operators.cdc import apply_all_changes, apply_changes, route_name, run_concurrently
+from strata.operators.cdc import apply_changes, route_name, run_concurrently
 from strata.operators.customer import customer_star
-from strata.schemas import (ENVELOPE_SCHEMA, REGISTRY, ROUTED_ENVELOPE_SCHEMA,
-                            UPDATE_HISTORY_TABLES, TableSpec)
-from strata.session import ensure_checkpoint_dir, path_join
+from strata.schemas import (ENVELOPE_SCHEMA, PARTITION_KEYS, ROUTED_ENVELOPE_SCHEMA,
+                            UPDATE_HISTORY_TABLES, TableSpec, spec_of_folder)
+from strata.session import ensure_checkpoint_dir, path_exists, path_join
 from strata.sinks.files import write_csv_pipe, write_parquet, write_refined
-from strata.sources.catalog import select_tables
-from strata.sources.files import scan_csv_pipe, scan_match_clusters, scan_partition_pruned
-from strata.streaming.incremental import BatchLedger, incremental_foreach
+from strata.sources import catalog as CAT
+from strata.sources.files import (match_columns, scan_csv_named, scan_csv_pipe, scan_match_clusters,
+                                  scan_partition_pruned)
+from strata.streaming.incremental import BatchLedger, commit_part, incremental_foreach
+
+
+def _folder(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
 
 
 def full_load_snapshot(spark: SparkSession, database: str, raw_root: str,
@@ -45,7 +50,7 @@ def full_load_snapshot(spark: SparkSession, database: str, raw_root: str,
     Up to ``parallelism`` tables are written as concurrent Spark jobs, so
     small tables do not leave the cluster idle.
     """
-    names = select_tables(spark, database, pattern)
+    names = CAT.select_tables(spark, database, pattern)
     paths = {name: path_join(raw_root, database, name) for name in names}
 
     def write(name: str) -> None:
@@ -55,34 +60,58 @@ def full_load_snapshot(spark: SparkSession, database: str, raw_root: str,
     return paths
 
 
-def raw_to_transient(spark: SparkSession, raw_path: str, transient_path: str,
-                     schema: T.StructType | None = None, infer: bool = True,
-                     mode: str = "append") -> DataFrame:
-    """Pipe-CSV (typed by ``schema``, else inferred) -> Parquet.  Returns the
-    frame that was written.  Appends by default: re-running a load doubles
-    its rows, as the plain full-load hop has no bookmark."""
-    df = scan_csv_pipe(spark, raw_path, schema=schema, infer=schema is None and infer)
+def raw_to_transient(spark: SparkSession, raw: str, transient_path: str,
+                     table: str | None = None, schema: T.StructType | None = None,
+                     infer: bool = False, mode: str = "append", escaped_breaks: bool = False,
+                     zone: str | None = None, prefix: str = "") -> DataFrame:
+    """Pipe-CSV (a folder or ``zone.table``) -> Parquet.  Returns the frame that
+    was written.
+
+    Columns are found by header name and typed like the change path: by
+    ``schema``, else by the registered table that ``table`` or the folder name
+    says.  Types are inferred (an extra pass; leading zeros are lost) only with
+    ``infer``.  Appends by default: re-running a load doubles its rows, as the
+    plain full-load hop has no bookmark.  ``zone``: keep the catalog up to date."""
+    path, _ = CAT.resolve_input(spark, raw)
+    if infer:
+        df = scan_csv_pipe(spark, path, infer=True)
+    else:
+        if schema is None:
+            spec = spec_of_folder(table or path)
+            if spec is None:
+                raise ValueError(f"no registered table for {table or path!r}: pass schema, or infer=True")
+            schema = spec.typed_schema
+        df = scan_csv_named(spark, path, schema, escaped_breaks)
     write_parquet(df, transient_path, mode=mode)
+    if zone:
+        CAT.refresh_table(spark, zone, _folder(transient_path), transient_path, df.schema, prefix)
     return df
 
 
 def cdc_to_transient(spark: SparkSession, landing_path: str, transient_root: str,
-                     operation: str, checkpoint: str,
+                     operations: str | tuple[str, ...], checkpoint: str,
                      registry: dict[str, TableSpec] | None = None,
-                     max_files_per_trigger: int | None = None, routed: bool = False,
-                     max_bytes_per_trigger: int | None = None) -> None:
-    """Incremental run over newly landed change events for one operation.
-
-    Each micro-batch is routed to one folder per table; a ledger below the
-    checkpoint makes a replayed batch skip tables it already committed.
-    ``routed=True`` reads a landing partitioned by operation and table name."""
+                     max_files_per_trigger: int | None = None, routed: bool = True,
+                     max_bytes_per_trigger: int | None = None, cutover_notice: str | None = None,
+                     zone: str | None = None, prefix: str = "") -> None:
+    """Incremental run over newly landed change events for one operation or
+    several (inserts go to ``<t>``, updates to ``<t>_cdc_update``).
+
+    Each micro-batch is routed to one folder per table, and each of these is
+    committed exactly once.  ``routed`` tells whether the landing is partitioned
+    by operation and table name.  ``cutover_notice``: leave out changes before
+    that snapshot.  ``zone``: keep the catalog up to date."""
     ledger = BatchLedger(spark, path_join(checkpoint, "ledger"))
 
     def batch_fn(batch: DataFrame, batch_id: int) -> None:
-        names = (registry or REGISTRY).keys()
-        apply_changes(batch, operation, transient_root, registry=registry,
-                      skip=ledger.done_parts(batch_id, names),
-                      on_written=lambda name: ledger.mark(batch_id, name))
+        def sink(df: DataFrame, path: str, route: str) -> None:
+            commit_part(df, path, ledger, batch_id, route)
+            if zone:
+                CAT.refresh_table(spark, zone, route, path, df.schema, prefix)
+
+        # the catalog is changed by one thread at a time
+        apply_changes(batch, operations, transient_root, registry=registry, sink=sink,
+                      cutover_notice=cutover_notice, parallelism=1 if zone else 4)
 
     schema = ROUTED_ENVELOPE_SCHEMA if routed else ENVELOPE_SCHEMA
     incremental_foreach(spark, landing_path, schema, path_join(checkpoint, "stream"),
@@ -90,47 +119,36 @@ def cdc_to_transient(spark: SparkSession, landing_path: str, transient_root: str
                         max_bytes_per_trigger=max_bytes_per_trigger)
 
 
-def cdc_to_transient_all(spark: SparkSession, landing_path: str, transient_root: str,
-                         checkpoint: str, operations: tuple[str, ...] = ("insert", "update"),
-                         registry: dict[str, TableSpec] | None = None,
-                         max_files_per_trigger: int | None = None,
-                         max_bytes_per_trigger: int | None = None) -> None:
-    """One incremental run routing several operations (inserts to ``<t>``,
-    updates to ``<t>_cdc_update``) from a single decode of each micro-batch.
-    The ledger keys are route folder names."""
-    ledger = BatchLedger(spark, path_join(checkpoint, "ledger"))
-    names = [route_name(t, op) for t in (registry or REGISTRY) for op in operations]
+def transient_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of a transient folder: that of its registered table.  Only for
+    other folders are the footers of all files merged."""
+    spec = spec_of_folder(path)
+    if spec is not None:
+        return spec.typed_schema
+    return spark.read.option("mergeSchema", "true").parquet(path).schema
 
-    def batch_fn(batch: DataFrame, batch_id: int) -> None:
-        apply_all_changes(batch, transient_root, operations, registry=registry,
-                          skip=ledger.done_parts(batch_id, names),
-                          on_written=lambda route: ledger.mark(batch_id, route))
 
-    incremental_foreach(spark, landing_path, ENVELOPE_SCHEMA, path_join(checkpoint, "stream"),
-                        batch_fn, max_files_per_trigger=max_files_per_trigger,
-                        max_bytes_per_trigger=max_bytes_per_trigger)
-
-
-def transient_to_refined(spark: SparkSession, transient_path: str, refined_path: str,
+def transient_to_refined(spark: SparkSession, transient: str, refined_path: str,
                          checkpoint: str, create_user: str, create_process: str,
                          first_source: str, as_of: dt.datetime | str | None = None,
                          schema: T.StructType | None = None,
                          max_files_per_trigger: int | None = None,
-                         max_bytes_per_trigger: int | None = None) -> None:
-    """Incremental run: new transient files + audit columns -> refined,
-    partitioned by create_year/create_month/create_date."""
-    # Footers only; merged, so columns appended by schema evolution are kept.
-    schema = schema or spark.read.option("mergeSchema", "true").parquet(transient_path).schema
+                         max_bytes_per_trigger: int | None = None,
+                         zone: str | None = None, prefix: str = "") -> None:
+    """Incremental run: new files of a transient table (a folder or
+    ``zone.table``) + audit columns -> refined, partitioned by
+    create_year/create_month/create_date; every batch is committed once."""
+    path, known = CAT.resolve_input(spark, transient)
+    schema = schema or known or transient_schema(spark, path)
     ledger = BatchLedger(spark, path_join(checkpoint, "ledger"))
 
     def batch_fn(batch: DataFrame, batch_id: int) -> None:
-        if ledger.done(batch_id, "refined"):
-            return
         audited = audit_columns(batch, create_user, create_process, first_source, as_of)
-        write_refined(audited, refined_path)
-        ledger.mark(batch_id, "refined")
+        commit_part(audited, refined_path, ledger, batch_id, "refined", PARTITION_KEYS)
+        if zone:
+            CAT.refresh_table(spark, zone, _folder(refined_path), refined_path, audited.schema, prefix, PARTITION_KEYS)
 
-    incremental_foreach(spark, transient_path, schema, path_join(checkpoint, "stream"),
+    incremental_foreach(spark, path, schema, path_join(checkpoint, "stream"),
                         batch_fn, max_files_per_trigger=max_files_per_trigger,
                         max_bytes_per_trigger=max_bytes_per_trigger)
 
@@ -139,18 +157,17 @@ def update_history_to_refined(spark: SparkSession, transient_root: str, refined_
                               checkpoint_root: str, create_user: str, create_process: str,
                               first_source: str, as_of: dt.datetime | str | None = None,
                               tables: tuple[str, ...] = UPDATE_HISTORY_TABLES) -> dict[str, str]:
-    """Refine the ``*_cdc_update`` history folders that exist."""
+    """Refine the ``*_cdc_update`` history folders that exist (a table without
+    updates has none); any other failure is raised."""
     out = {}
     for table in tables:
         folder = route_name(table, "update")
         src = path_join(transient_root, folder)
-        try:
-            schema = spark.read.option("mergeSchema", "true").parquet(src).schema
-        except Exception:  # folder not there yet: no updates for this table
+        if not path_exists(spark, src):
             continue
         dst = path_join(refined_root, folder)
         transient_to_refined(spark, src, dst, path_join(checkpoint_root, folder),
-                             create_user, create_process, first_source, as_of, schema=schema)
+                             create_user, create_process, first_source, as_of)
         out[table] = dst
     return out
 
@@ -160,14 +177,16 @@ def customer_tables(spark: SparkSession, demographic: str | DataFrame, baseid: s
                     create_process: str, first_source: str,
                     year: int, month_from: int = 1, month_to: int = 12,
                     day_from: int = 1, day_to: int = 31,
-                    as_of: dt.datetime | str | None = None) -> dict[str, str]:
-    """Build and write the six customer tables from date-pruned refined inputs.
+                    as_of: dt.datetime | str | None = None, zone: str | None = None,
+                    prefix: str = "") -> dict[str, str]:
+    """Build and write the six customer tables from date-pruned refined inputs
+    (paths, ``zone.table`` names or frames; the clusters as CSV, table or frame).
 
     Each output is one Spark job reading only the Parquet columns it needs.
-    The match table and the shared bid lists (narrow: one or two longs per
-    row) are checkpointed once into ``spark.checkpoint.dir`` -- a reliable
-    checkpoint, so a lost executor does not force recomputing them -- and the
-    six writes read them from there instead of re-deriving them."""
+    What several outputs share -- the match table, the bid lists, members, heads
+    and the clustered demographic rows -- is checkpointed once into
+    ``spark.checkpoint.dir``, a reliable checkpoint, so a lost executor does not
+    force recomputing it.  ``zone``: keep the catalog up to date."""
     ensure_checkpoint_dir(spark)
     # A bid with many distinct versions makes the final join on bid skewed;
     # let AQE split it even though the distinct after it then needs a shuffle.
@@ -175,16 +194,17 @@ def customer_tables(spark: SparkSession, demographic: str | DataFrame, baseid: s
         spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     dem = scan_partition_pruned(spark, demographic, year, month_from, month_to, day_from, day_to)
     bid = scan_partition_pruned(spark, baseid, year, month_from, month_to, day_from, day_to)
-    m = scan_match_clusters(spark, match) if isinstance(match, str) else match
+    if isinstance(match, str):
+        m = match_columns(spark.table(match)) if CAT.is_table_name(match) else scan_match_clusters(spark, match)
+    else:
+        m = match_columns(match)
     out = {}
     star = customer_star(m, bid, dem, reuse=lambda df: df.checkpoint(eager=True))
     for name, df in star.items():
         path = path_join(output_root, name.lower())
-        write_refined(audit_columns(df, create_user, create_process, first_source, as_of), path)
+        audited = audit_columns(df, create_user, create_process, first_source, as_of)
+        write_refined(audited, path)
+        if zone:
+            CAT.refresh_table(spark, zone, _folder(path), path, audited.schema, prefix, PARTITION_KEYS)
         out[name] = path
     return out
-
-
-__all__ = ["full_load_snapshot", "raw_to_transient", "cdc_to_transient", "cdc_to_transient_all",
-           "transient_to_refined",
-           "update_history_to_refined", "customer_tables"]

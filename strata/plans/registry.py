@@ -15,9 +15,9 @@ from strata.operators import schema_ops as SO
 from strata.operators.audit import audit_columns
 from strata.plans import fixtures as FX
 from strata.plans import jobs as J
-from strata.schemas import REGISTRY, table_spec
-from strata.session import ensure_checkpoint_dir, path_join, scratch_path
-from strata.sinks.files import write_csv_pipe, write_parquet
+from strata.schemas import PARTITION_KEYS, REGISTRY
+from strata.session import move_files, path_join, scratch_path, scratch_zone, set_file_age
+from strata.sinks.files import write_csv_pipe, write_parquet, write_refined
 from strata.sources import catalog as CAT
 from strata.sources import files as SRC
 from strata.streaming import incremental as INC
@@ -138,6 +138,30 @@ def q_parent_link(spark, sf_dir):
     return C.parent_link(m, d)
 
 
+@register("customer_tables_job", _CUSTOMER_CTES + f"""
+, e as (select {H("coalesce(lower(b.email), '')")} as customer_email_id from fm join b on fm.bid = b.bid group by b.email)
+, p as (select distinct {_PHONE_KEY} as customer_phone_id from fm join b on fm.bid = b.bid join d on b.bid = d.bid)
+, x as (select {H('cast(fm.bid as varchar)')} as customer_id from fm join d on fm.bid = d.bid group by fm.bid, fm.match_id)
+select 'customer_email' as target, customer_email_id as id, 2024 as create_year from e
+union all select 'customer_phone', customer_phone_id, 2024 from p
+union all select 'fig_baseid_x_customer', customer_id, 2024 from x
+""")
+def q_customer_tables_job(spark, sf_dir):
+    """The job: refined inputs by table name, clusters as CSV, outputs registered."""
+    root, zone = scratch_path(spark, "star"), _zone(spark, "strata_star")
+    m, b, d = _star_inputs(spark, sf_dir)
+    for name, df in (("t_baseid", b), ("t_demographic", d)):
+        audited = audit_columns(df, *AUDIT_ARGS, as_of=AS_OF)
+        write_refined(audited, path_join(root, name))
+        CAT.refresh_table(spark, zone, name, path_join(root, name), audited.schema, "fig_", PARTITION_KEYS)
+    m.write.option("header", "true").csv(path_join(root, "matches"))
+    J.customer_tables(spark, f"{zone}.fig_t_demographic", f"{zone}.fig_t_baseid", path_join(root, "matches"),
+                      path_join(root, "out"), *AUDIT_ARGS, year=2024, as_of=AS_OF, zone=zone)
+    ids = {"customer_email": "customer_email_id", "customer_phone": "customer_phone_id", "fig_baseid_x_customer": "customer_id"}
+    return SRC.union_all([spark.table(f"{zone}.{t}").select(F.lit(t).alias("target"), F.col(c).alias("id"), "create_year")
+                          for t, c in ids.items()])
+
+
 # --------------------------------------------------------------------------- key functions
 
 _KEY_CTES = _with(d=FX.FX_DEMOGRAPHIC)
@@ -172,7 +196,8 @@ def q_key_composite(spark, sf_dir):
 _CDC_CTE = _with(c=FX.FX_CDC_BASE)
 _REGISTERED = ", ".join(f"'{t}'" for t in sorted(REGISTRY))
 _CHANGE_TS = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
-_DATA_BID = "case when tbl = 'T_Unknown' then null else cast(user_id as varchar) end"
+_WITH_BID = ", ".join(f"'{t}'" for t, fields in FX.CDC_FIELDS.items() if "bid" in fields)
+_DATA_BID = f"case when tbl in ({_WITH_BID}) then cast(user_id as varchar) end"
 # Fixed parameter: full-load completion notice used by the cut-over query.
 CUTOVER_NOTICE = "2024-01-15T12:30:45.987654Z"
 
@@ -240,41 +265,35 @@ def q_cdc_decode_table(spark, sf_dir):
     return CDC.decode_table(ins, REGISTRY["T_Demographic_Tag"])
 
 
-_TYPED_SUBSCRIBED = """
-select event_id as id, user_id as bid, event_id % 50 as campaignid,
-       strftime(ts, '%Y-%m-%d') as solddate, try_cast(step as bigint) as deliverystepid,
-       value as revenue
-from c where op = '{op}' and tbl = 'T_Subscribed_Offer'
-"""
+def _typed_select(table: str) -> str:
+    """The typed fields of a change table, for DuckDB."""
+    spec, kinds = REGISTRY[table], {"long": "bigint", "double": "double", "boolean": "boolean"}
+    casts = dict(spec.casts)
+    return ", ".join(
+        (f"try_cast(cast({e} as varchar) as {kinds[casts[f]]})" if f in casts else f"cast({e} as varchar)") + f' as "{f}"'
+        for f, e in FX.CDC_FIELDS[table].items())
+
+
+def _typed_oracle(table: str, op: str) -> str:
+    return _CDC_CTE + f"select {_typed_select(table)} from c where op = '{op}' and tbl = '{table}'"
 
 
-@register("cdc_typed_cast", _CDC_CTE + _TYPED_SUBSCRIBED.format(op="insert"))
+@register("cdc_typed_cast", _typed_oracle("T_Subscribed_Offer", "insert"))
 def q_cdc_typed_cast(spark, sf_dir):
     ins = CDC.filter_operation(_decoded(spark, sf_dir), "insert")
     return CDC.decode_typed(ins, REGISTRY["T_Subscribed_Offer"])
 
 
-def _applied_oracle(op: str, suffix: str) -> str:
-    return _CDC_CTE + f"""
-select 't_subscribed_offer{suffix}' as target, event_id as id, user_id as bid,
-       event_id % 50 as campaignid, strftime(ts, '%Y-%m-%d') as solddate,
-       try_cast(step as bigint) as deliverystepid, value as revenue
-from c where op = '{op}' and tbl = 'T_Subscribed_Offer'
-union all by name
-select 't_visited_affiliate{suffix}' as target, event_id as id, user_id as bid,
-       user_id % 20 as affiliateid, event_type as subaff2, strftime(ts, '%Y-%m-%d') as "date",
-       event_id % 12 as period
-from c where op = '{op}' and tbl = 'T_Visited_Affiliate'
-union all by name
-select 't_demographic_tag{suffix}' as target, user_id as bid, event_id % 7 as tagaid,
-       event_id % 9 as tagvid, strftime(ts, '%Y-%m-%d') as tagdate
-from c where op = '{op}' and tbl = 'T_Demographic_Tag'
-union all by name
-select 't_demographic_survey{suffix}' as target, user_id as bid, event_id % 7 as aid,
-       event_id % 9 as vid, strftime(ts, '%Y-%m-%d') as surveydate,
-       cast(null as varchar) as lastsurveydate
-from c where op = '{op}' and tbl = 'T_Demographic_Survey'
-"""
+@register("cdc_typed_cast_boolean", _typed_oracle("T_Demographic", "insert"))
+def q_cdc_typed_cast_boolean(spark, sf_dir):
+    ins = CDC.filter_operation(_decoded(spark, sf_dir), "insert")
+    return CDC.decode_typed(ins, REGISTRY["T_Demographic"])
+
+
+def _applied_oracle(*routes: tuple[str, str], tables=FX.CDC_TABLES, extra: str = "") -> str:
+    return _CDC_CTE + "\nunion all by name\n".join(
+        f"select '{t.lower()}{suffix}' as target, {_typed_select(t)}{extra} from c where op = '{op}' and tbl = '{t}'"
+        for op, suffix in routes for t in tables)
 
 
 def _read_routed(spark, written: dict[str, str]) -> DataFrame:
@@ -286,20 +305,43 @@ def _read_routed(spark, written: dict[str, str]) -> DataFrame:
     return out
 
 
-@register("cdc_apply_insert", _applied_oracle("insert", ""))
+_INSERT, _UPDATE = ("insert", ""), ("update", "_cdc_update")
+
+
+@register("cdc_apply_insert", _applied_oracle(_INSERT))
 def q_cdc_apply_insert(spark, sf_dir):
     root = scratch_path(spark, "transient")
     written = CDC.apply_changes(FX.fx_cdc(spark, sf_dir), "insert", root)
     return _read_routed(spark, written)
 
 
-@register("cdc_apply_update", _applied_oracle("update", "_cdc_update"))
+@register("cdc_apply_update", _applied_oracle(_UPDATE))
 def q_cdc_apply_update(spark, sf_dir):
     root = scratch_path(spark, "transient")
     written = CDC.apply_changes(FX.fx_cdc(spark, sf_dir), "update", root)
     return _read_routed(spark, written)
 
 
+def _land(spark, envelope: DataFrame, root: str, routed: bool = True) -> str:
+    """Messages of an envelope, landed by the stream; returns the landing."""
+    inbox, landing, ck = (path_join(root, p) for p in ("inbox", "landing", "_landing_checkpoint"))
+    envelope.select(F.concat(F.lit('{"data":'), F.col("data"), F.lit(',"metadata":'),
+                             F.col("metadata"), F.lit("}")).alias("value")).write.mode("append").text(inbox)
+    LAND.cdc_land_stream(LAND.message_file_stream(spark, inbox), landing, ck,
+                         available_now=True, routed=routed).awaitTermination()
+    return landing
+
+
+@register("cdc_apply_all_routed", _applied_oracle(_INSERT, _UPDATE))
+def q_cdc_apply_all_routed(spark, sf_dir):
+    root = scratch_path(spark, "zones")
+    landing = _land(spark, FX.fx_cdc(spark, sf_dir), root)
+    transient, ck = path_join(root, "transient"), path_join(root, "_checkpoint")
+    for _ in range(2):                # the second run finds nothing new
+        J.cdc_to_transient(spark, landing, transient, ("insert", "update"), ck)
+    return _read_routed(spark, {t: p for t, p in CAT.list_subfolders(spark, transient)})
+
+
 @register("route_target", _CDC_CTE + f"""
 select lower(tbl) || case when op = 'update' then '_cdc_update' else '' end as target,
        count(*) as cnt
@@ -321,6 +363,32 @@ def q_cdc_cutover(spark, sf_dir):
     return _flat(CDC.cutover_filter(_decoded(spark, sf_dir), CUTOVER_NOTICE))
 
 
+# The same times with 0, 6, 3 and 9 digits of fraction.
+_MIXED_TS = """case event_id % 4 when 0 then date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+  when 1 then date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") when 2 then date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+  else date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSS'Z'") end"""
+
+
+@register("cdc_cutover_formats", _CDC_CTE + f"""
+select op as operation, tbl as table_name, {_DATA_BID} as data_bid
+from c where ts >= timestamp '{CUTOVER_NOTICE[:19].replace('T', ' ')}'
+""")
+def q_cdc_cutover_formats(spark, sf_dir):
+    decoded = CDC.decode_metadata(FX.fx_cdc(spark, sf_dir, _MIXED_TS))
+    return _flat(CDC.cutover_filter(decoded, CUTOVER_NOTICE[:19] + "Z"), "data_bid").drop("change_ts")
+
+
+@register("cdc_cutover_job", _CDC_CTE + "\nunion all by name\n".join(
+    f"select '{t.lower()}' as target, {_typed_select(t)} from c where op = 'insert' and tbl = '{t}' "
+    f"and ts >= timestamp '{CUTOVER_NOTICE[:19].replace('T', ' ')}'" for t in FX.CDC_TABLES))
+def q_cdc_cutover_job(spark, sf_dir):
+    root = scratch_path(spark, "zones")
+    landing = _land(spark, FX.fx_cdc(spark, sf_dir), root)
+    transient = path_join(root, "transient")
+    J.cdc_to_transient(spark, landing, transient, "insert", path_join(root, "_checkpoint"), cutover_notice=CUTOVER_NOTICE)
+    return _read_routed(spark, {t: p for t, p in CAT.list_subfolders(spark, transient)})
+
+
 # --------------------------------------------------------------------------- audit, refined, pruned scans
 
 
@@ -338,9 +406,8 @@ def _audit_sql() -> str:
 
 
 def _zone(spark, name: str) -> str:
-    """Create a query-owned zone database below the shared checkpoint folder."""
-    return CAT.create_zone(spark, name, path_join(ensure_checkpoint_dir(spark), "strata-zones",
-                                                  name + ".db"))
+    """Create a zone database of this run below the scratch folder."""
+    return CAT.create_zone(spark, scratch_zone(spark, name), scratch_path(spark, name + ".db"))
 
 
 def _orders(spark, sf_dir):
@@ -380,16 +447,10 @@ def q_transient_to_refined(spark, sf_dir):
     return spark.read.parquet(refined)
 
 
-@register("update_history_to_refined", _CDC_CTE + f"""
-select 't_demographic_survey_cdc_update' as target, user_id as bid, event_id % 7 as aid,
-       event_id % 9 as vid, strftime(ts, '%Y-%m-%d') as surveydate,
-       cast(null as varchar) as lastsurveydate, {_audit_sql()}
-from c where op = 'update' and tbl = 'T_Demographic_Survey'
-union all by name
-select 't_demographic_tag_cdc_update' as target, user_id as bid, event_id % 7 as tagaid,
-       event_id % 9 as tagvid, strftime(ts, '%Y-%m-%d') as tagdate, {_audit_sql()}
-from c where op = 'update' and tbl = 'T_Demographic_Tag'
-""")
+_HISTORY = ("T_Demographic_Survey", "T_Demographic", "T_Demographic_Tag")
+
+
+@register("update_history_to_refined", _applied_oracle(_UPDATE, tables=_HISTORY, extra=f", {_audit_sql()}"))
 def q_update_history_to_refined(spark, sf_dir):
     root = scratch_path(spark, "zones")
     transient, refined = path_join(root, "transient"), path_join(root, "refined")
@@ -431,9 +492,39 @@ def q_scan_parquet(spark, sf_dir):
 def q_scan_catalog_table(spark, sf_dir):
     root = scratch_path(spark, "transient")
     write_parquet(_orders(spark, sf_dir), path_join(root, "orders"), mode="overwrite")
-    _zone(spark, "strata_transient")
-    CAT.register_table(spark, "strata_transient", "orders", path_join(root, "orders"))
-    return CAT.scan_catalog_table(spark, "strata_transient", "orders")
+    zone = _zone(spark, "strata_transient")
+    CAT.register_table(spark, zone, "orders", path_join(root, "orders"))
+    return CAT.scan_catalog_table(spark, zone, "orders")
+
+
+@register("register_prefixed_tables", "select *, year(o_orderdate) as o_year from orders")
+def q_register_prefixed_tables(spark, sf_dir):
+    """A crawl: one prefixed table per folder; a second load brings new
+    partitions and is recovered."""
+    root = scratch_path(spark, "refined")
+    zone, path = _zone(spark, "strata_refined"), path_join(root, "orders")
+    for part in _time_slices(_orders(spark, sf_dir), "o_orderdate", ("1997-01-01",)):
+        df = part.withColumn("o_year", F.year("o_orderdate").cast("long"))
+        write_parquet(df, path, partition_by=("o_year",), files_per_partition=1)
+        CAT.refresh_table(spark, zone, "orders", path, df.schema, "fig_", ("o_year",))
+    return spark.table(f"{zone}.fig_orders")
+
+
+@register("evolve_table", """
+select s_suppkey, s_name, s_nationkey, case when s_nationkey < 13 then null else s_acctbal end as s_acctbal
+from supplier
+""")
+def q_evolve_table(spark, sf_dir):
+    """A later load brings a column: the table gains it, old rows are NULL."""
+    sup = FX.read_table(spark, sf_dir, "supplier")
+    zone, path = _zone(spark, "strata_transient"), scratch_path(spark, "transient/supplier")
+    old = sup.where(F.col("s_nationkey") < 13).select("s_suppkey", "s_name", "s_nationkey")
+    new = sup.where(~(F.col("s_nationkey") < 13) | F.col("s_nationkey").isNull()).select(
+        "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    for df in (old, new):
+        write_parquet(df, path)
+        CAT.refresh_table(spark, zone, "supplier", path, df.schema, "fig_")
+    return spark.table(f"{zone}.fig_supplier")
 
 
 @register("scan_csv_pipe", "select * from customer")
@@ -444,6 +535,16 @@ def q_scan_csv_pipe(spark, sf_dir):
     return SRC.scan_csv_pipe(spark, path, schema=cust.schema)
 
 
+@register("scan_match_clusters", _CUSTOMER_CTES + "select bid, match_id from fm")
+def q_scan_match_clusters(spark, sf_dir):
+    """A wider match file with its columns in another order."""
+    path = scratch_path(spark, "matches")
+    m = FX.fx_match(spark, sf_dir)
+    wide = m.select(F.lit("x@y").alias("email"), "match_id", F.lit(0.5).alias("score"), "bid")
+    wide.write.option("header", "true").csv(path)
+    return SRC.scan_match_clusters(spark, path)
+
+
 @register("scan_inferred_csv", """
 select cast(c_custkey as integer) as c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
 from customer
@@ -462,27 +563,68 @@ def q_raw_to_transient(spark, sf_dir):
     root = scratch_path(spark, "zones")
     raw, transient = path_join(root, "raw/part"), path_join(root, "transient/part")
     write_csv_pipe(FX.read_table(spark, sf_dir, "part"), raw, mode="overwrite")
-    J.raw_to_transient(spark, raw, transient)
+    J.raw_to_transient(spark, raw, transient, infer=True)
     return spark.read.parquet(transient)
 
 
-_SNAPSHOT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+def _change_rows(spark, sf_dir, table: str, where: str) -> DataFrame:
+    """Rows of a change table as text, as a full load would hold them."""
+    columns = ", ".join(f"cast({e} as string) as `{f}`" for f, e in FX.CDC_FIELDS[table].items())
+    return spark.sql(f"select {columns} from {{base}} where tbl = '{table}' and {where}", base=FX.fx_cdc_base(spark, sf_dir))
+
+
+@register("raw_to_transient_typed", _CDC_CTE + f"select {_typed_select('T_Demographic')} from c where tbl = 'T_Demographic'")
+def q_raw_to_transient_typed(spark, sf_dir):
+    """Typed by the registry, with the header in another order and a column more."""
+    root = scratch_path(spark, "zones")
+    raw, transient = path_join(root, "raw/T_Demographic"), path_join(root, "transient/t_demographic")
+    rows = _change_rows(spark, sf_dir, "T_Demographic", "true")
+    write_csv_pipe(rows.select(F.lit("z").alias("unknown"), *reversed(rows.columns)), raw)
+    J.raw_to_transient(spark, raw, transient, escaped_breaks=True)
+    return spark.read.parquet(transient)
+
+
+def _snapshot(spark, sf_dir, pattern: str) -> tuple[dict[str, str], dict[str, DataFrame]]:
+    db = _zone(spark, "strata_source")
+    tables = {t: FX.read_table(spark, sf_dir, t) for t in FX.TABLES}
+    for t in tables:
+        CAT.register_table(spark, db, t, f"{sf_dir.rstrip('/')}/{t}.parquet")
+    return J.full_load_snapshot(spark, db, scratch_path(spark, "raw"), pattern=pattern), tables
 
 
 @register("full_load_snapshot", "\nunion all\n".join(
-    f"select '{t}' as table_name, count(*) as n_rows from {t}" for t in _SNAPSHOT_TABLES))
+    f"select '{t}' as table_name, count(*) as n_rows from {t}" for t in FX.TABLES))
 def q_full_load_snapshot(spark, sf_dir):
-    db = "strata_source_db"
-    _zone(spark, db)
-    for t in _SNAPSHOT_TABLES:
-        CAT.register_table(spark, db, t, f"{sf_dir.rstrip('/')}/{t}.parquet")
-    raw = scratch_path(spark, "raw")
-    written = J.full_load_snapshot(spark, db, raw, pattern="%")
-    frames = [SRC.scan_csv_pipe(spark, p).groupBy().agg(F.count(F.lit(1)).alias("n_rows"))
+    """Every table of the database, read back as typed rows."""
+    written, tables = _snapshot(spark, sf_dir, "%")
+    frames = [SRC.scan_csv_named(spark, p, tables[t].schema, escaped_breaks=True).groupBy().agg(F.count(F.lit(1)).alias("n_rows"))
               .select(F.lit(t).alias("table_name"), "n_rows") for t, p in written.items()]
     return SRC.union_all(frames)
 
 
+@register("full_load_snapshot_values", """
+select 'customer' as table_name, cast(c_custkey as varchar) as key, c_name as value, c_acctbal as number, cast(null as timestamp) as at from customer
+union all select 'conversations', cast(conv_id as varchar) || ':' || cast(turn as varchar), text, null, null from conversations
+""")
+def q_full_load_snapshot_values(spark, sf_dir):
+    """Tables chosen by a pattern, compared value by value."""
+    written, tables = _snapshot(spark, sf_dir, "c%")
+    assert sorted(written) == ["conversations", "customer"]
+    cust, conv = (SRC.scan_csv_named(spark, written[t], tables[t].schema, escaped_breaks=True) for t in ("customer", "conversations"))
+    return cust.select(F.lit("customer").alias("table_name"), F.col("c_custkey").cast("string").alias("key"), F.col("c_name").alias("value"),
+                       F.col("c_acctbal").alias("number"), F.lit(None).cast("timestamp_ntz").alias("at")).unionByName(
+        conv.select(F.lit("conversations").alias("table_name"),
+                    F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("key"),
+                    F.col("text").alias("value"), F.lit(None).cast("double").alias("number"), F.lit(None).cast("timestamp_ntz").alias("at")))
+
+
+@register("full_load_snapshot_text", "select doc_id, text, lang, source, n_chars from documents")
+def q_full_load_snapshot_text(spark, sf_dir):
+    """Text with line breaks survives the CSV and stays one line per row."""
+    written, tables = _snapshot(spark, sf_dir, "documents")
+    return SRC.scan_csv_named(spark, written["documents"], tables["documents"].schema, escaped_breaks=True)
+
+
 # --------------------------------------------------------------------------- schemas
 
 @register("merge_compatible_schemas", """
@@ -515,25 +657,30 @@ def q_conform_to_schema(spark, sf_dir):
     return SO.conform_to_schema(batch, registered)
 
 
-@register("union_full_load_and_cdc", "select * from customer")
+@register("union_full_load_and_cdc", _CDC_CTE + f"""
+select {_typed_select('T_Demographic')}, {_audit_sql()} from c where tbl = 'T_Demographic' and op <> 'delete'
+""")
 def q_union_full_load_and_cdc(spark, sf_dir):
-    spec = table_spec("T_Customer", "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment",
-                      "c_custkey long, c_nationkey int, c_acctbal double")
-    cust = FX.read_table(spark, sf_dir, "customer")
+    """Full load and change inserts of one table, typed alike in one folder, refined."""
     root = scratch_path(spark, "zones")
-    raw, transient = path_join(root, "raw/customer"), path_join(root, "transient")
-    full_part = cust.where(F.col("c_nationkey") < 13)
-    cdc_part = cust.where(~(F.col("c_nationkey") < 13) | F.col("c_nationkey").isNull())
-    # full load: pipe-CSV -> transient/t_customer, typed by the registered schema
-    write_csv_pipe(full_part, raw, mode="overwrite")
-    J.raw_to_transient(spark, raw, path_join(transient, "t_customer"), schema=spec.typed_schema)
-    # change inserts of the same table, as JSON envelopes, routed to the same folder
-    envelope = cdc_part.select(
-        F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in spec.fields])).alias("data"),
-        F.to_json(F.struct(F.lit("insert").alias("operation"),
-                           F.lit("T_Customer").alias("table-name"))).alias("metadata"))
-    CDC.apply_changes(envelope, "insert", transient, registry={"T_Customer": spec})
-    return spark.read.parquet(path_join(transient, "t_customer"))
+    raw, transient = path_join(root, "raw/T_Demographic"), path_join(root, "transient")
+    write_csv_pipe(_change_rows(spark, sf_dir, "T_Demographic", "op = 'update'"), raw)
+    J.raw_to_transient(spark, raw, path_join(transient, "t_demographic"), escaped_breaks=True)
+    CDC.apply_changes(FX.fx_cdc(spark, sf_dir), "insert", transient)
+    refined = path_join(root, "refined/t_demographic")
+    J.transient_to_refined(spark, path_join(transient, "t_demographic"), refined, path_join(root, "_ck"), *AUDIT_ARGS, as_of=AS_OF)
+    return spark.read.parquet(refined)
+
+
+@register("union_by_registered_schema", """
+select c_custkey, c_name, c_nationkey, case when c_nationkey < 13 then c_acctbal end as c_acctbal, c_mktsegment from customer
+""")
+def q_union_by_registered_schema(spark, sf_dir):
+    cust = FX.read_table(spark, sf_dir, "customer")
+    full = cust.where(F.col("c_nationkey") < 13).select(*reversed(cust.columns))
+    changes = cust.where(~(F.col("c_nationkey") < 13) | F.col("c_nationkey").isNull()).drop("c_acctbal").withColumn(
+        "c_custkey", F.col("c_custkey").cast("string"))
+    return SO.union_full_load_and_cdc(full, changes, cust.schema)
 
 
 # --------------------------------------------------------------------------- incremental / streaming
@@ -552,21 +699,46 @@ def q_incremental_scan(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+@register("incremental_late_file", "select * from events")
+def q_incremental_late_file(spark, sf_dir):
+    """Files dated long before the newest one are read like all others."""
+    ev = FX.read_table(spark, sf_dir, "events")
+    root = scratch_path(spark, "incremental")
+    landing, sink, ck = (path_join(root, p) for p in ("landing", "sink", "_checkpoint"))
+    for days, part in zip((0, 10, 400), _time_slices(ev, "ts", _EVENT_BOUNDS)):
+        write_parquet(part, path_join(root, f"arrived{days}"))
+        set_file_age(spark, path_join(root, f"arrived{days}"), days)
+        move_files(spark, path_join(root, f"arrived{days}"), landing)
+        INC.incremental_copy(spark, landing, ev.schema, sink, ck)
+    return spark.read.parquet(sink)
+
+
+@register("incremental_empty_run", "select * from events")
+def q_incremental_empty_run(spark, sf_dir):
+    """Runs without new files do nothing, before and after the data came."""
+    ev = FX.read_table(spark, sf_dir, "events")
+    root = scratch_path(spark, "incremental")
+    landing, sink, ck = (path_join(root, p) for p in ("landing", "sink", "_checkpoint"))
+    write_parquet(ev, landing)
+    ledger = INC.BatchLedger(spark, path_join(root, "_ledger"))
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        INC.commit_part(batch, sink, ledger, batch_id, "events")
+
+    for _ in range(3):
+        INC.incremental_foreach(spark, landing, ev.schema, ck, append)
+    return spark.read.parquet(sink)
+
+
 @register("cdc_land_stream", _CDC_CTE + f"""
 select op as operation, tbl as table_name, {_CHANGE_TS} as change_ts, {_DATA_BID} as data_bid
 from c
 """)
 def q_cdc_land_stream(spark, sf_dir):
     root = scratch_path(spark, "stream")
-    inbox, landing, ck = (path_join(root, p) for p in ("inbox", "landing", "_checkpoint"))
     # Messages arrive in three time slices; each landing run takes what is new.
     for part in _time_slices(FX.fx_cdc_base(spark, sf_dir), "ts", _EVENT_BOUNDS):
-        env = spark.sql(FX.FX_CDC, fx_cdc_base=part)
-        msgs = env.select(F.concat(F.lit('{"data":'), F.col("data"), F.lit(',"metadata":'),
-                                   F.col("metadata"), F.lit("}")).alias("value"))
-        msgs.write.mode("append").text(inbox)
-        LAND.cdc_land_stream(LAND.message_file_stream(spark, inbox), landing, ck,
-                             available_now=True).awaitTermination()
+        landing = _land(spark, spark.sql(FX.FX_CDC, fx_cdc_base=part), root)
     return _flat(CDC.decode_metadata(spark.read.parquet(landing)), "data_bid")
 
 
@@ -578,8 +750,7 @@ left join orders on o_custkey = c_custkey
 group by n_name
 """)
 def q_zone_sql(spark, sf_dir):
-    zone = "strata_refined"
-    _zone(spark, zone)
+    zone = _zone(spark, "strata_refined")
     for t in ("customer", "nation", "orders"):
         CAT.register_table(spark, zone, t, f"{sf_dir.rstrip('/')}/{t}.parquet")
     sql = f"""

@@ -14,25 +14,11 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 # The names, field lists, types and suffixes below must equal
 # the source system's for results to match.  Stated as text, in the order the
-# source tables define them.  Registry lines read: table | fields | cast map;
-# fields without a cast stay string.
+# source tables define them.  Fields without a cast stay string.
 # ---------------------------------------------------------------------------
 
-METADATA_FIELDS = ("operation, partition-key-type, record-type, schema-name, "
-                   "table-name, timestamp, transaction-id")
-
-_TABLES = """
-T_BaseID                       | bid, emailcrc, emailmd5, shade, email | bid long, emailcrc long, shade long
-T_Demographic                  | bid, date, version, lastmodified, lastsurveymodified, email, firstname, lastname, address1, address2, city, state, zippost, gender, phone, dobyear, dobmonth, dobday, bvemail, bvphone, bvaddress, clientip, ispid, carrierid, zipplus4 | bid long, version long, gender boolean, dobyear long, dobmonth long, dobday long, bvemail boolean, bvaddress boolean, ispid long, carrierid long, zipplus4 long
-T_Demographic_Survey           | bid, aid, vid, surveydate, lastsurveydate | bid long, aid long, vid long
-T_Demographic_Survey_Attribute | aid, attribute | aid long
-T_Demographic_Survey_Value     | vid, value | vid long
-T_Demographic_Tag              | bid, tagaid, tagvid, tagdate | bid long, tagaid long, tagvid long
-T_Demographic_Tag_Attribute    | tagaid, attribute, note, apikey | tagaid long
-T_Demographic_Tag_Value        | tagvid, value | tagvid long
-T_Subscribed_Offer             | id, bid, campaignid, solddate, deliverystepid, revenue | id long, bid long, campaignid long, deliverystepid long, revenue double
-T_Visited_Affiliate            | id, bid, affiliateid, subaff2, date, period | id long, bid long, affiliateid long, period long
-"""
+METADATA_FIELDS = ("operation", "partition-key-type", "record-type", "schema-name",
+                   "table-name", "timestamp", "transaction-id")
 
 AUDIT_COLUMNS = ("created_date", "created_timestamp", "create_user", "create_process",
                  "first_source", "create_year", "create_month", "create_date")
@@ -69,20 +55,77 @@ class TableSpec:
         return _TYPES[t] if t else None
 
 
-def _parse_registry(text: str) -> dict[str, TableSpec]:
-    out: dict[str, TableSpec] = {}
-    for line in text.strip().splitlines():
-        name, fields, casts = (p.strip() for p in line.split("|"))
-        pairs = tuple(tuple(c.split()) for c in casts.split(","))
-        out[name] = TableSpec(name, tuple(f.strip() for f in fields.split(",")),
-                              tuple((a.strip(), b.strip()) for a, b in pairs))
-    return out
-
-
-REGISTRY: dict[str, TableSpec] = _parse_registry(_TABLES)
-
-METADATA_SCHEMA = T.StructType([T.StructField(f.strip(), T.StringType(), True)
-                                for f in METADATA_FIELDS.split(",")])
+# The source tables -- name, fields in payload order, cast map.
+_TABLES = [
+    TableSpec(
+        "T_BaseID",
+        ("bid", "emailcrc", "emailmd5", "shade", "email"),
+        (("bid", "long"), ("emailcrc", "long"), ("shade", "long")),
+    ),
+    TableSpec(
+        "T_Demographic",
+        ("bid", "date", "version", "lastmodified", "lastsurveymodified", "email", "firstname",
+         "lastname", "address1", "address2", "city", "state", "zippost", "gender", "phone",
+         "dobyear", "dobmonth", "dobday", "bvemail", "bvphone", "bvaddress", "clientip",
+         "ispid", "carrierid", "zipplus4"),
+        (("bid", "long"), ("version", "long"), ("gender", "boolean"), ("dobyear", "long"),
+         ("dobmonth", "long"), ("dobday", "long"), ("bvemail", "boolean"), ("bvaddress",
+         "boolean"), ("ispid", "long"), ("carrierid", "long"), ("zipplus4", "long")),
+    ),
+    TableSpec(
+        "T_Demographic_Survey",
+        ("bid", "aid", "vid", "surveydate", "lastsurveydate"),
+        (("bid", "long"), ("aid", "long"), ("vid", "long")),
+    ),
+    TableSpec(
+        "T_Demographic_Survey_Attribute",
+        ("aid", "attribute"),
+        (("aid", "long"),),
+    ),
+    TableSpec(
+        "T_Demographic_Survey_Value",
+        ("vid", "value"),
+        (("vid", "long"),),
+    ),
+    TableSpec(
+        "T_Demographic_Tag",
+        ("bid", "tagaid", "tagvid", "tagdate"),
+        (("bid", "long"), ("tagaid", "long"), ("tagvid", "long")),
+    ),
+    TableSpec(
+        "T_Demographic_Tag_Attribute",
+        ("tagaid", "attribute", "note", "apikey"),
+        (("tagaid", "long"),),
+    ),
+    TableSpec(
+        "T_Demographic_Tag_Value",
+        ("tagvid", "value"),
+        (("tagvid", "long"),),
+    ),
+    TableSpec(
+        "T_Subscribed_Offer",
+        ("id", "bid", "campaignid", "solddate", "deliverystepid", "revenue"),
+        (("id", "long"), ("bid", "long"), ("campaignid", "long"), ("deliverystepid", "long"),
+         ("revenue", "double")),
+    ),
+    TableSpec(
+        "T_Visited_Affiliate",
+        ("id", "bid", "affiliateid", "subaff2", "date", "period"),
+        (("id", "long"), ("bid", "long"), ("affiliateid", "long"), ("period", "long")),
+    ),
+]
+
+REGISTRY: dict[str, TableSpec] = {t.name: t for t in _TABLES}
+
+
+def spec_of_folder(folder: str) -> TableSpec | None:
+    """The registered table that a zone folder (``.../t_demographic`` or
+    ``.../t_demographic_cdc_update``) belongs to, if any."""
+    name = folder.rstrip("/").rsplit("/", 1)[-1].lower().removesuffix(UPDATE_SUFFIX)
+    return next((t for t in _TABLES if t.name.lower() == name), None)
+
+
+METADATA_SCHEMA = T.StructType([T.StructField(f, T.StringType(), True) for f in METADATA_FIELDS])
 
 ENVELOPE_SCHEMA = T.StructType([T.StructField("data", T.StringType(), True),
                                 T.StructField("metadata", T.StringType(), True)])

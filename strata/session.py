@@ -8,8 +8,9 @@ tests) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -85,7 +86,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             path = None
     if path is None:
         master = _conf(spark, "spark.master") or ""
-        if master and not master.startswith("local"):
+        if not master.startswith("local") or master.startswith("local-cluster"):
             # A driver-local folder is invisible to executors on other hosts.
             raise RuntimeError("spark.checkpoint.dir is not set; on a cluster it must name a "
                                "shared folder (e.g. on the object store)")
@@ -103,7 +104,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint dir (never a local tmp dir)."""
     root = ensure_checkpoint_dir(spark)
-    return f"{root}/strata-scratch/{uuid.uuid4().hex}/{name}"
+    return f"{root}/strata-scratch/{_run_id(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+_RUNS: dict[str, str] = {}
+
+
+def _run_id(spark: SparkSession) -> str:
+    """A folder name for this application; its scratch data goes with it."""
+    app = spark.sparkContext.applicationId
+    if app not in _RUNS:
+        _RUNS[app] = f"run-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(clean_scratch, spark)
+    return _RUNS[app]
+
+
+def scratch_zone(spark: SparkSession, name: str) -> str:
+    """Name of a database that belongs to this run and goes with it."""
+    return f"{name}_{uuid.uuid4().hex[:6]}_{_run_id(spark)[-8:]}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove what this application put below the scratch folder (also done at
+    exit, if the session is still up then)."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jsc.sc().isStopped() or sc.applicationId not in _RUNS:
+        return
+    for zone in spark.catalog.listDatabases(f"*_{_RUNS[sc.applicationId][-8:]}"):
+        spark.sql(f"DROP DATABASE IF EXISTS `{zone.name}` CASCADE")
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/strata-scratch/{_RUNS[sc.applicationId]}")
+    jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def path_join(*parts: str) -> str:
@@ -115,10 +145,31 @@ def path_join(*parts: str) -> str:
     return out
 
 
-def local_path(path: str) -> str | None:
-    """Local filesystem path for ``file:`` / plain paths, else None."""
-    if path.startswith("file:"):
-        return path[5:]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else None
+def _files(spark: SparkSession, folder: str):
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path
+    fs = jpath(folder).getFileSystem(sc._jsc.hadoopConfiguration())
+    return fs, jpath, [s.getPath() for s in fs.listStatus(jpath(folder)) if not s.getPath().getName().startswith(("_", "."))]
+
+
+def set_file_age(spark: SparkSession, folder: str, days: int) -> None:
+    """Date the files of a folder ``days`` back."""
+    fs, _, files = _files(spark, folder)
+    at = int((time.time() - days * 86400) * 1000)
+    for path in files:
+        fs.setTimes(path, at, at)
+
+
+def move_files(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the files of a folder into another one, keeping their dates."""
+    fs, jpath, files = _files(spark, folder)
+    fs.mkdirs(jpath(target))
+    for path in files:
+        fs.rename(path, jpath(f"{target}/{path.getName()}"))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a storage path exists (a metadata call; errors are not hidden)."""
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath)

@@ -16,9 +16,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.schemas import PARTITION_KEYS
-from strata.sources.files import CSV_OPTIONS
+from strata.sources.files import CSV_OPTIONS, escape_breaks
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "append",
@@ -50,6 +51,20 @@ def write_refined(df: DataFrame, path: str, mode: str = "append") -> str:
 
 
 def write_csv_pipe(df: DataFrame, path: str, mode: str = "append") -> str:
-    """Pipe-delimited CSV with a header row, uncompressed (full-load layout)."""
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    """Pipe-delimited CSV with a header row, uncompressed (full-load layout).
+
+    A row is always one line, so that large files stay splittable: line breaks
+    in text are escaped (``scan_csv_named(..., escaped_breaks=True)`` undoes it),
+    times keep their microseconds, and nested values are written as JSON."""
+    columns = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            c = escape_breaks(c)
+        elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            c = escape_breaks(F.to_json(c))
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = c.cast("string")
+        columns.append(c.alias(f.name))
+    df.select(*columns).write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return path

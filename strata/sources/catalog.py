@@ -19,6 +19,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strata.session import path_exists
 from strata.sources.files import CSV_OPTIONS
 
 
@@ -91,6 +92,54 @@ def evolve_table(spark: SparkSession, zone: str, name: str, batch_schema: T.Stru
     return [f.name for f in new]
 
 
+def refresh_table(spark: SparkSession, zone: str, folder: str, path: str, schema: T.StructType,
+                  prefix: str = "", partition_by: tuple[str, ...] | None = None) -> str:
+    """Catalog upkeep after a write to ``path``: register the folder as
+    ``zone.<prefix><folder>`` if it is new, else append the columns it lacks and
+    pick up new partitions."""
+    create_zone(spark, zone)
+    name = prefix + folder
+    if not spark.catalog.tableExists(f"{zone}.{name}"):
+        return register_table(spark, zone, name, path, schema=schema, partition_by=partition_by)
+    evolve_table(spark, zone, name, T.StructType([f for f in schema.fields if f.name not in (partition_by or ())]))
+    if partition_by:
+        spark.sql(f"ALTER TABLE {_ident(zone)}.{_ident(name)} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(f"{zone}.{name}")
+    return f"{zone}.{name}"
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    """Folder of a catalog table (``zone.table``)."""
+    zone, table = name.split(".")
+    rows = spark.sql(f"DESCRIBE FORMATTED {_ident(zone)}.{_ident(table)}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def vanished_tables(spark: SparkSession, zone: str, deprecate: bool = True) -> list[str]:
+    """Tables of ``zone`` whose folder is gone.  They stay registered;
+    ``deprecate`` marks them with a table property, else they are only named
+    (change-capture zones)."""
+    gone = []
+    for t in spark.catalog.listTables(zone):
+        if not t.isTemporary and not path_exists(spark, table_location(spark, f"{zone}.{t.name}")):
+            gone.append(t.name)
+            if deprecate:
+                spark.sql(f"ALTER TABLE {_ident(zone)}.{_ident(t.name)} SET TBLPROPERTIES ('deprecated' = 'true')")
+    return sorted(gone)
+
+
+def is_table_name(source: str) -> bool:
+    """``zone.table`` rather than a path."""
+    return re.fullmatch(r"[A-Za-z_]\w*\.[A-Za-z_]\w*", source) is not None
+
+
+def resolve_input(spark: SparkSession, source: str) -> tuple[str, T.StructType | None]:
+    """(folder, schema) of a catalog table, or (path, None)."""
+    if is_table_name(source):
+        return table_location(spark, source), spark.table(source).schema
+    return source, None
+
+
 def scan_catalog_table(spark: SparkSession, zone: str, name: str) -> DataFrame:
     """All columns of a named catalog table."""
     return spark.table(f"{_ident(zone)}.{_ident(name)}")

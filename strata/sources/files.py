@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.schema_ops import conform_to_schema
 from strata.schemas import MATCH_SCHEMA, PARTITION_KEYS
 
 # Raw full-load file layout -- header row, '|' delimiter, '"' quote.
@@ -48,14 +49,50 @@ def scan_csv_pipe(spark: SparkSession, path: str | list[str],
     return reader.csv(paths)
 
 
-def scan_match_clusters(spark: SparkSession, path: str, header: bool = True,
-                        sep: str = ",") -> DataFrame:
-    """Match-cluster CSV typed as (bid long, match_id long).
+def scan_csv_named(spark: SparkSession, path: str | list[str], schema: T.StructType,
+                   escaped_breaks: bool = False) -> DataFrame:
+    """Pipe-delimited CSV whose columns are found by header name, in any order.
 
-    A typed schema means a malformed id becomes NULL rather than failing an
-    ANSI-mode join on a string/bigint comparison."""
-    return (spark.read.option("header", str(header).lower()).option("sep", sep)
-            .schema(MATCH_SCHEMA).csv(path).select("bid", "match_id"))
+    Everything is read as text and typed like the change path (``try_cast``, so
+    malformed values are NULL); ``schema`` columns that the file lacks are NULL
+    and others are left out.  ``escaped_breaks`` undoes the line-break escapes of
+    ``sinks.files.write_csv_pipe``, and JSON text becomes arrays and structs."""
+    df = scan_csv_pipe(spark, path)
+    if escaped_breaks:
+        df = df.select(*[unescape_breaks(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    nested = {f.name: f.dataType for f in schema.fields if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))}
+    for name, kind in nested.items():
+        if name in df.columns:
+            df = df.withColumn(name, F.from_json(name, kind))
+    return conform_to_schema(df, schema, keep_new_columns=False)
+
+
+def unescape_breaks(text: Column) -> Column:
+    """Undo ``escape_breaks``."""
+    # between doubled backslashes no backslash is left but those of escaped breaks
+    parts = F.split(text, r"\\\\", -1)
+    plain = F.transform(parts, lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(plain, "\\")
+
+
+def escape_breaks(text: Column) -> Column:
+    """Line breaks as two characters each, so that a file can be split at lines."""
+    held = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(held, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def match_columns(df: DataFrame) -> DataFrame:
+    """(bid long, match_id long) of a wider match table, by name; a malformed
+    id becomes NULL rather than failing an ANSI-mode comparison."""
+    missing = [f.name for f in MATCH_SCHEMA.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"match clusters lack the column(s) {', '.join(missing)}; found {', '.join(df.columns)}")
+    return df.select(*[F.col(f.name).cast("string").try_cast(f.dataType).alias(f.name) for f in MATCH_SCHEMA.fields])
+
+
+def scan_match_clusters(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """Match-cluster CSV with a header, as (bid long, match_id long)."""
+    return match_columns(spark.read.option("header", "true").option("sep", sep).csv(path))
 
 
 def partition_predicate(year: int, month_from: int, month_to: int,
@@ -81,7 +118,7 @@ def scan_partition_pruned(spark: SparkSession, source: str | DataFrame, year: in
         df = source
     elif "/" in source or ":" in source:
         df = spark.read.parquet(source)
-    else:
+    else:                           # zone.table
         df = spark.table(source)
     return df.where(partition_predicate(year, month_from, month_to, day_from, day_to, keys))
 

@@ -15,19 +15,27 @@ Two sinks:
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strata.session import path_join
+
+# Spark's file source leaves out files older than this, seen from the newest
+# one (7 days by default); restored and backfilled files must be read too.
+MAX_FILE_AGE = "36500d"
+
 
 def incremental_source(spark: SparkSession, path: str, schema: T.StructType,
                        fmt: str = "parquet", max_files_per_trigger: int | None = None,
                        options: dict[str, str] | None = None,
                        max_bytes_per_trigger: int | None = None) -> DataFrame:
-    """File-source stream; the per-batch file or byte cap bounds the size of
-    each micro-batch of a catch-up run (the run still processes everything)."""
-    reader = spark.readStream.format(fmt).schema(schema)
+    """File-source stream over files of any age; the per-batch file or byte cap
+    bounds the size of each micro-batch of a catch-up run (the run still
+    processes everything)."""
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     elif max_bytes_per_trigger:
@@ -80,53 +88,80 @@ def incremental_foreach(spark: SparkSession, source: str, schema: T.StructType,
                       .option("checkpointLocation", checkpoint))
 
 
-class BatchLedger:
-    """Commit markers below a checkpoint folder so a replayed micro-batch
-    (after a driver or executor failure) skips the parts it already wrote.
+def commit_part(df: DataFrame, target: str, ledger: BatchLedger, batch_id: int, part: str,
+                partition_by: tuple[str, ...] | None = None) -> None:
+    """Append ``df`` to ``target`` exactly once per (ledger, batch, part).
+
+    The rows are first written (overwriting) to a folder of this part next to
+    the data, then its files move into the table under names that begin with
+    the part's token.  A replay after a failure at any point finds the marker
+    (nothing to do), or starts by removing files with its token that an earlier
+    attempt had moved already.  Readers ignore the staging folder."""
+    if ledger.done(batch_id, part):
+        return
+    spark = df.sparkSession
+    token = ledger.token(batch_id, part)
+    staging = path_join(target, "_staging", token)
+    replay = ledger.begun(batch_id, part)
+    ledger.begin(batch_id, part)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staging)
+    fs, to_path = _file_system(spark, target)
+    if replay:
+        levels = "/*" * len(partition_by or ())
+        for status in fs.globStatus(to_path(f"{target}{levels}/{token}-*")) or ():
+            fs.delete(status.getPath(), False)
+    prefix = fs.makeQualified(to_path(staging)).toString()
+    files = fs.listFiles(to_path(staging), True)
+    while files.hasNext():            # one entry per task and partition value of this batch
+        path = files.next().getPath()
+        if path.getName().startswith(("_", ".")):
+            continue
+        folder = path.getParent().toString()[len(prefix):].strip("/")
+        into = path_join(target, folder) if folder else target
+        fs.mkdirs(to_path(into))
+        if not fs.rename(path, to_path(f"{into}/{token}-{path.getName()}")):
+            raise OSError(f"cannot move {path} to {into}")
+    ledger.mark(batch_id, part)
+    fs.delete(to_path(staging), True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    to_path = sc._jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(sc._jsc.hadoopConfiguration()), to_path
+
 
-    ``foreachBatch`` is at-least-once; each part's write is atomic through
-    the output committer, so marking a part only after its write commits
-    makes the replay idempotent at part granularity.
+class BatchLedger:
+    """Markers below a checkpoint folder: which parts of a micro-batch began,
+    and which are committed, so that a replayed batch (after a driver or
+    executor failure) neither skips nor doubles rows (see ``commit_part``).
 
-    Markers are empty files created through the Hadoop filesystem API.  Where
-    the JVM is not reachable from Python (Spark Connect), they are rows of a
-    small Parquet table in the same folder, written by Spark itself."""
+    Markers are empty files created through the Hadoop filesystem API."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._spark = spark
         self._root = root.rstrip("/")
-        self._fs = None
-        try:
-            sc = spark.sparkContext
-            self._path = sc._jvm.org.apache.hadoop.fs.Path
-            self._fs = self._path(self._root).getFileSystem(sc._jsc.hadoopConfiguration())
-        except Exception:  # no JVM gateway: Spark Connect
-            self._fs = None
+        self._fs, self._path = _file_system(spark, self._root)
 
     def _marker(self, batch_id: int, part: str):
         return self._path(f"{self._root}/{int(batch_id)}/{part}")
 
-    def _table(self) -> str:
-        return f"{self._root}/_markers"
+    def token(self, batch_id: int, part: str) -> str:
+        """File name prefix of a part, different for every ledger folder."""
+        folder = self._fs.makeQualified(self._path(self._root)).toString()
+        return f"{hashlib.md5(folder.encode()).hexdigest()[:12]}-{int(batch_id)}-{part}"
+
+    def begun(self, batch_id: int, part: str) -> bool:
+        return self._fs.exists(self._marker(batch_id, f"{part}.begun"))
+
+    def begin(self, batch_id: int, part: str) -> None:
+        self._fs.create(self._marker(batch_id, f"{part}.begun"), True).close()
 
     def done(self, batch_id: int, part: str) -> bool:
         return part in self.done_parts(batch_id, [part])
 
     def done_parts(self, batch_id: int, parts) -> set[str]:
-        parts = list(parts)
-        if self._fs is not None:
-            return {p for p in parts if self._fs.exists(self._marker(batch_id, p))}
-        try:
-            rows = (self._spark.read.parquet(self._table())
-                    .where(f"batch_id = {int(batch_id)}").select("part").collect())
-        except Exception:  # no marker table yet
-            return set()
-        seen = {r["part"] for r in rows}
-        return {p for p in parts if p in seen}
+        return {p for p in parts if self._fs.exists(self._marker(batch_id, p))}
 
     def mark(self, batch_id: int, part: str) -> None:
-        if self._fs is not None:
-            self._fs.create(self._marker(batch_id, part), True).close()
-            return
-        (self._spark.createDataFrame([(int(batch_id), part)], "batch_id long, part string")
-         .write.mode("append").parquet(self._table()))
+        self._fs.create(self._marker(batch_id, part), True).close()

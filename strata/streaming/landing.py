@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.schemas import ENVELOPE_SCHEMA, METADATA_SCHEMA, ROUTE_COLUMNS
+from strata.streaming.incremental import MAX_FILE_AGE
 
-# Landing buffer of the delivery stream -- flush every 900 s or
-# every 128 MB, whichever comes first.
+# Fixed value: the delivery stream flushes its buffer at least every 900 s.  Its
+# other limit (128 MB) sizes files there; here a micro-batch takes all that has
+# arrived and its tasks size the files, so the intake is never held back.
 LANDING_TRIGGER = "900 seconds"
-LANDING_MAX_BYTES = 128 * 1024 * 1024
 
 
 def envelope_from_messages(messages: DataFrame, column: str = "value") -> DataFrame:
@@ -41,13 +42,15 @@ def routed_envelope(envelope: DataFrame) -> DataFrame:
 
 
 def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                        max_bytes_per_trigger: int | None = LANDING_MAX_BYTES) -> DataFrame:
+                        max_bytes_per_trigger: int | None = None,
+                        max_file_age: str = MAX_FILE_AGE) -> DataFrame:
     """JSON-lines files as a message stream (column ``value``).
 
-    A micro-batch takes at most ``max_bytes_per_trigger`` bytes of new files
-    (the landing buffer size); ``max_files_per_trigger`` replaces it when set.
-    For a Kafka source the equivalent is ``maxOffsetsPerTrigger``."""
-    reader = spark.readStream.format("text")
+    Without a limit a micro-batch takes everything new.  A limit bounds the
+    size of a micro-batch only: use it with ``available_now``, which goes on
+    until nothing is left, not with a timed trigger, which would wait between
+    batches while a backlog grows.  Files of any age are read."""
+    reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     elif max_bytes_per_trigger:
@@ -55,14 +58,21 @@ def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: i
     return reader.load(path)
 
 
+def message_stream(spark: SparkSession, fmt: str, options: dict[str, str]) -> DataFrame:
+    """Messages of any streaming source that Spark has a reader for (e.g.
+    ``kafka`` with its broker and topic options), as a text column ``value``."""
+    return spark.readStream.format(fmt).options(**options).load().select(F.col("value").cast("string").alias("value"))
+
+
 def cdc_land_stream(messages: DataFrame, landing_path: str, checkpoint: str,
                     available_now: bool = False, processing_time: str = LANDING_TRIGGER,
-                    column: str = "value", routed: bool = False) -> StreamingQuery:
+                    column: str = "value", routed: bool = True) -> StreamingQuery:
     """Start the landing query (append mode, Parquet file sink).
 
-    ``routed=True`` partitions the landing by operation and table name; the
-    change-capture jobs then read only their operation's and table's files
-    (partition pruning) instead of decoding every record's metadata."""
+    The landing is partitioned by operation and table name, so the
+    change-capture jobs read only their operation's and table's files
+    (partition pruning) instead of decoding every record's metadata;
+    ``routed=False`` writes one flat folder."""
     env = envelope_from_messages(messages, column)
     if routed:
         env = routed_envelope(env)

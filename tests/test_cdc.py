@@ -59,12 +59,12 @@ def test_frequency_and_allowed_tables(spark):
     ins = CDC.filter_operation(CDC.decode_metadata(e), "insert")
     freq = [(r.table_name, r.cnt) for r in CDC.table_frequency(ins).collect()]
     assert freq == [("T_Unknown", 1), ("T_BaseID", 2)]
-    assert CDC.present_tables(ins) == ["T_BaseID"]
+    assert [r.table_name for r in CDC.allowed_tables(ins).collect()] == ["T_BaseID"]
 
 
 def test_table_name_is_case_sensitive(spark):
     e = env(spark, [({"bid": 1}, md("insert", "t_baseid"))])
-    assert CDC.present_tables(CDC.decode_metadata(e)) == []
+    assert CDC.allowed_tables(CDC.decode_metadata(e)).count() == 0
 
 
 def test_route_names():
@@ -80,15 +80,35 @@ def test_cutover_second_precision(spark):
     assert kept.count() == 2
 
 
-def test_apply_changes_routes_and_skips(spark, tmp_path):
+def test_cutover_time_formats(spark):
+    texts = ["2024-01-05T10:11:11Z", "2024-01-05T10:11:12Z", "2024-01-05T10:11:12.5Z", "2024-01-05T10:11:12.1234567Z",
+             "2024-01-05T10:11:12.123456789Z", "2024-01-05T10:11:14Z"]
+    e = env(spark, [({}, md("insert", "T_BaseID", t)) for t in texts] + [({}, md("insert", "T_BaseID", "soon"))])
+    decoded = CDC.decode_metadata(e)
+    for notice in ("2024-01-05T10:11:12Z", "2024-01-05T10:11:12.9Z", "2024-01-05T10:11:12.987654Z"):
+        kept = CDC.metadata_columns(CDC.cutover_filter(decoded, notice))
+        assert sorted(r.change_ts for r in kept.collect()) == sorted(texts[1:] + ["soon"])   # an unreadable time is kept
+    for bad in ("yesterday", "2024-01-05 10:11:12", "2024-01-05T10:11:12+01:00", ""):
+        with pytest.raises(ValueError):
+            CDC.cutover_filter(decoded, bad)
+
+
+def test_parsed_change_times(spark):
+    from strata.functions.casts import parse_change_ts
+    df = spark.createDataFrame([("2024-01-05T10:11:12.5Z",), ("2024-01-05T10:11:12.123456789Z",), ("2024-13-05T10:11:12Z",), (None,)], "t string")
+    got = [r[0] and r[0].isoformat() for r in df.select(parse_change_ts("t")).collect()]
+    assert got == ["2024-01-05T10:11:12.500000", "2024-01-05T10:11:12.123456", None, None]
+
+
+def test_apply_changes_routes(spark, tmp_path):
     e = env(spark, [({"bid": "1", "email": "a"}, md("update", "T_BaseID")),
                     ({"bid": "2", "tagaid": "3"}, md("update", "T_Demographic_Tag")),
                     ({"x": 1}, md("update", "T_Unknown"))])
     out = str(tmp_path / "transient")
-    written = CDC.apply_changes(e, "update", out, skip={"T_Demographic_Tag"})
-    assert list(written) == ["T_BaseID"]
-    assert written["T_BaseID"].endswith("t_baseid_cdc_update")
-    assert spark.read.parquet(written["T_BaseID"]).collect()[0].bid == 1
+    written = CDC.apply_changes(e, "update", out)
+    assert list(written) == ["t_baseid_cdc_update", "t_demographic_tag_cdc_update"]
+    assert spark.read.parquet(written["t_baseid_cdc_update"]).collect()[0].bid == 1
+    assert CDC.apply_changes(e, "insert", out) == {}
 
 
 def test_custom_registry_entry(spark):

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 def test_cli_raw_to_refined(spark, tmp_path):
     raw, tr, rf = (str(tmp_path / n) for n in ("raw", "tr", "rf"))
     write_csv_pipe(FX.read_table(spark, SF, "nation"), raw, mode="overwrite")
-    cli.main(["raw-to-transient", "--raw-path", raw, "--transient-path", tr], spark=spark)
+    cli.main(["raw-to-transient", "--raw-path", raw, "--transient-path", tr, "--infer"], spark=spark)
     cli.main(["transient-to-refined", "--transient-path", tr, "--refined-path", rf,
               "--checkpoint", str(tmp_path / "ck"), "--create-user", "u", "--create-process", "p",
               "--first-source", "db", "--as-of", "2021-02-03 00:00:00"], spark=spark)
@@ -33,9 +33,9 @@ def test_cli_land_then_cdc(spark, tmp_path):
                         "metadata": {"operation": "insert", "table-name": "T_BaseID"}}) for b in range(4)]
     spark.createDataFrame([(m,) for m in msgs], "value string").write.text(inbox)
     cli.main(["land-stream", "--inbox", inbox, "--landing", land, "--checkpoint",
-              str(tmp_path / "ck1"), "--available-now", "--routed"], spark=spark)
+              str(tmp_path / "ck1"), "--available-now"], spark=spark)
     cli.main(["cdc-to-transient", "--landing", land, "--transient-root", tr, "--operation", "insert",
-              "--checkpoint", str(tmp_path / "ck2"), "--routed"], spark=spark)
+              "--checkpoint", str(tmp_path / "ck2")], spark=spark)
     assert sorted(r.bid for r in spark.read.parquet(tr + "/t_baseid").collect()) == [0, 1, 2, 3]
 
 
@@ -57,10 +57,7 @@ def test_cli_cdc_all_operations(spark, tmp_path):
     land, tr = str(tmp_path / "land"), str(tmp_path / "tr")
     FX.fx_cdc(spark, SF).write.parquet(land)
     cli.main(["cdc-to-transient", "--landing", land, "--transient-root", tr, "--operation", "all",
-              "--checkpoint", str(tmp_path / "ck")], spark=spark)
+              "--checkpoint", str(tmp_path / "ck"), "--flat"], spark=spark)
     import os
     got = sorted(f for f in os.listdir(tr) if not f.startswith((".", "_")))
-    assert got == sorted(["t_demographic_survey", "t_demographic_tag", "t_subscribed_offer",
-                          "t_visited_affiliate", "t_demographic_survey_cdc_update",
-                          "t_demographic_tag_cdc_update", "t_subscribed_offer_cdc_update",
-                          "t_visited_affiliate_cdc_update"])
+    assert got == sorted(t.lower() + s for t in FX.CDC_TABLES for s in ("", "_cdc_update"))

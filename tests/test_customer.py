@@ -82,8 +82,8 @@ def test_hot_cluster_split_matches_plain(spark):
     assert (11, 1, 10) in hot and (61, None, 60) in hot and (4, 2, 3) in hot
 
 
-def test_hot_key_bound(spark):
-    from strata.operators.skew import hot_key_threshold
-    lk = spark.createDataFrame([(i, 1) for i in range(100)] + [(999, 900)], "k long, n long")
-    t = hot_key_threshold(lk, "n", max_hot_keys=10, min_hot_rows=1)
-    assert t == 100 and lk.where(lk.n > t).count() == 1
+def test_hot_keys_are_bounded(spark):
+    from strata.operators.skew import hot_keys
+    lk = spark.createDataFrame([(i, i) for i in range(100)], "k long, n long")
+    assert sorted(r.k for r in hot_keys(lk, "n", max_hot_keys=3, min_hot_rows=50).collect()) == [97, 98, 99]
+    assert sorted(r.k for r in hot_keys(lk, "n", max_hot_keys=30, min_hot_rows=95).collect()) == [96, 97, 98, 99]

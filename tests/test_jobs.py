@@ -47,11 +47,42 @@ def test_full_load_snapshot_selects_by_pattern(spark, tmp_path):
 def test_raw_to_transient_appends(spark, tmp_path):
     raw, tr = str(tmp_path / "raw"), str(tmp_path / "tr")
     FX.read_table(spark, SF, "nation").write.options(header=True, sep="|").csv(raw)
-    J.raw_to_transient(spark, raw, tr)
-    J.raw_to_transient(spark, raw, tr)  # no bookmark on the plain hop: a rerun doubles rows
+    schema = FX.read_table(spark, SF, "nation").schema
+    J.raw_to_transient(spark, raw, tr, schema=schema)
+    J.raw_to_transient(spark, raw, tr, schema=schema)  # no bookmark on the plain hop: a rerun doubles rows
     assert spark.read.parquet(tr).count() == 50
 
 
+def test_raw_to_transient_needs_a_known_table(spark, tmp_path):
+    import pytest
+    raw = str(tmp_path / "raw")
+    FX.read_table(spark, SF, "nation").write.options(header=True, sep="|").csv(raw)
+    with pytest.raises(ValueError):
+        J.raw_to_transient(spark, raw, str(tmp_path / "tr"))
+
+
+def test_full_load_and_changes_are_typed_alike(spark, tmp_path):
+    import json
+    from strata.operators.cdc import apply_changes
+    raw, tr = str(tmp_path / "raw/T_Demographic"), str(tmp_path / "tr")
+    row = {"bid": "7", "zippost": "01234", "phone": "0501", "gender": "1", "bvemail": "0", "bvphone": "1", "version": "x"}
+    spark.createDataFrame([row]).write.options(header=True, sep="|").csv(raw)       # columns in alphabetical order
+    J.raw_to_transient(spark, raw, tr + "/t_demographic")
+    apply_changes(spark.createDataFrame([(json.dumps(row), json.dumps({"operation": "insert", "table-name": "T_Demographic"}))],
+                                        "data string, metadata string"), "insert", tr)
+    a, b = spark.read.parquet(tr + "/t_demographic").collect()
+    assert a == b and (a.bid, a.zippost, a.phone, a.gender, a.bvemail, a.bvphone, a.version) == (7, "01234", "0501", True, False, "1", None)
+
+
+def test_update_history_raises_on_a_damaged_folder(spark, tmp_path):
+    import pytest
+    folder = tmp_path / "tr" / "t_demographic_tag_cdc_update"
+    folder.mkdir(parents=True)
+    (folder / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        J.update_history_to_refined(spark, str(tmp_path / "tr"), str(tmp_path / "rf"), str(tmp_path / "ck"), "u", "p", "s")
+
+
 def test_update_history_only_existing_tables(spark, tmp_path):
     import json
     rows = [(json.dumps({"bid": "1", "tagaid": "2", "tagvid": "3", "tagdate": "2024-01-01"}),

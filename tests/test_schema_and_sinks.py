@@ -81,6 +81,43 @@ def test_match_clusters_typed(spark, tmp_path):
     assert [(r.bid, r.match_id) for r in rows] == [(1, 10), (None, 11)]
 
 
+def test_match_columns_are_found_by_name(spark, tmp_path):
+    import pytest
+    p = tmp_path / "wide.csv"
+    p.write_text("email,bid,match_id,score\nx@y,7,3,0.5\nz@y,n/a,4,0.1\n")
+    assert sorted(map(tuple, SRC.scan_match_clusters(spark, str(p)).collect()), key=repr) == [(7, 3), (None, 4)]
+    p.write_text("match_id,bid\n3,7\n")
+    assert [tuple(r) for r in SRC.scan_match_clusters(spark, str(p)).collect()] == [(7, 3)]
+    p.write_text("bid,cluster\n7,3\n")
+    with pytest.raises(ValueError):
+        SRC.scan_match_clusters(spark, str(p))
+
+
+def test_csv_round_trip_of_awkward_values(spark, tmp_path):
+    from strata.sinks.files import write_csv_pipe
+    rows = [(1, "a\nb\r\nc", 0.1, [1.5, None]), (2, "back\\nslash \\\\ end\\", None, []), (3, 'q"u|o"te', 1e-300, None), (4, None, 2.0, [2.0]),
+            (5, "tail\\\n", 3.0, [1.0])]
+    df = spark.createDataFrame(rows, "id long, t string, x double, v array<double>")
+    path = str(tmp_path / "csv")
+    write_csv_pipe(df.coalesce(1), path)
+    back = SRC.scan_csv_named(spark, path, df.schema, escaped_breaks=True)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    assert spark.read.text(path).count() == len(rows) + 1          # a line per row
+
+
+def test_vanished_folders_are_named_and_marked(spark, tmp_path):
+    import shutil
+    zone = "vanish_zone"
+    CAT.create_zone(spark, zone, str(tmp_path / "db"))
+    for t in ("a", "b"):
+        write_parquet(spark.range(3), str(tmp_path / t))
+        CAT.register_table(spark, zone, t, str(tmp_path / t))
+    shutil.rmtree(tmp_path / "b")
+    assert CAT.vanished_tables(spark, zone, deprecate=False) == ["b"]
+    assert CAT.vanished_tables(spark, zone) == ["b"]
+    assert spark.sql(f"show tblproperties {zone}.b ('deprecated')").first()[1] == "true"
+
+
 def test_crawl_csv_folders_with_inference(spark, tmp_path):
     root = tmp_path / "raw"
     write_csv_pipe(spark.createDataFrame([(1, "a", 2.5)], "id int, s string, x double"), str(root / "t_one"))

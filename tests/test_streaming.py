@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from strata.operators.cdc import decode_metadata, metadata_columns
@@ -38,7 +40,7 @@ def test_landing_keeps_json_text(spark, tmp_path):
     inbox, landing, ck = (str(tmp_path / n) for n in ("inbox", "landing", "ck"))
     msgs = [json.dumps({"data": {"bid": 1}, "metadata": {"operation": "insert", "table-name": "T_BaseID"}})]
     spark.createDataFrame([(m,) for m in msgs], "value string").write.text(inbox)
-    LAND.cdc_land_stream(LAND.message_file_stream(spark, inbox), landing, ck, available_now=True).awaitTermination()
+    LAND.cdc_land_stream(LAND.message_file_stream(spark, inbox), landing, ck, available_now=True, routed=False).awaitTermination()
     out = spark.read.parquet(landing)
     assert out.columns == ["data", "metadata"]
     (r,) = metadata_columns(decode_metadata(out)).collect()
@@ -54,10 +56,10 @@ def test_cdc_to_transient_incremental(spark, tmp_path):
         write_parquet(spark.createDataFrame(rows, "data string, metadata string"), landing)
 
     batch([1, 2])
-    J.cdc_to_transient(spark, landing, transient, "insert", ck)
+    J.cdc_to_transient(spark, landing, transient, "insert", ck, routed=False)
     batch([3])
-    J.cdc_to_transient(spark, landing, transient, "insert", ck)
-    J.cdc_to_transient(spark, landing, transient, "insert", ck)
+    J.cdc_to_transient(spark, landing, transient, "insert", ck, routed=False)
+    J.cdc_to_transient(spark, landing, transient, "insert", ck, routed=False)
     got = sorted(r.bid for r in spark.read.parquet(transient + "/t_baseid").collect())
     assert got == [1, 2, 3]
 
@@ -84,80 +86,95 @@ def test_routed_landing_and_cdc_job_match_unrouted(spark, tmp_path):
     assert os.path.isdir(str(tmp_path / "landTrue" / "operation=insert" / "table_name=T_Demographic_Tag"))
 
 
-def test_ledger_table_fallback(spark, tmp_path):
-    ledger = INC.BatchLedger(spark, str(tmp_path / "ledger"))
-    ledger._fs = None  # the path taken when no JVM gateway is reachable
-    assert ledger.done_parts(3, ["a", "b"]) == set()
-    ledger.mark(3, "a")
-    ledger.mark(4, "b")
-    assert ledger.done_parts(3, ["a", "b"]) == {"a"} and ledger.done(4, "b")
+def test_old_files_are_read(spark, tmp_path):
+    import os
+    import time
+    src, dst, ck = (str(tmp_path / n) for n in ("src", "dst", "ck"))
+    write_parquet(spark.range(20).coalesce(1), src)
+    INC.incremental_copy(spark, src, spark.range(1).schema, dst, ck)
+    write_parquet(spark.range(20, 30).coalesce(1), str(tmp_path / "late"))
+    for f in os.listdir(tmp_path / "late"):
+        if f.endswith(".parquet"):
+            old = time.time() - 30 * 86400
+            os.utime(tmp_path / "late" / f, (old, old))
+            os.rename(tmp_path / "late" / f, os.path.join(src, f))
+    INC.incremental_copy(spark, src, spark.range(1).schema, dst, ck)
+    assert spark.read.parquet(dst).count() == 30
+
+
+def test_a_timed_landing_drains_a_backlog_in_one_batch(spark, tmp_path):
+    import os
+    inbox, landing, ck = (str(tmp_path / n) for n in ("inbox", "landing", "ck"))
+    for i in range(6):
+        msg = json.dumps({"data": {"bid": i}, "metadata": {"operation": "insert", "table-name": "T_BaseID"}})
+        spark.createDataFrame([(msg,)], "value string").coalesce(1).write.mode("append").text(inbox)
+    q = LAND.cdc_land_stream(LAND.message_file_stream(spark, inbox), landing, ck)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(landing).count() == 6
+    assert len([c for c in os.listdir(os.path.join(ck, "commits")) if c.isdigit()]) == 1
+
+
+def _die_at(monkeypatch, when: str):
+    """Die once around a part's marker: before it is set, or right after."""
+    real, state = INC.BatchLedger.mark, {"left": 1}
+
+    def mark(self, batch_id, part):
+        if when == "after":
+            real(self, batch_id, part)
+        if state["left"]:
+            state["left"] -= 1
+            raise RuntimeError("simulated driver failure")
+        if when == "before":
+            real(self, batch_id, part)
 
+    monkeypatch.setattr(INC.BatchLedger, "mark", mark)
 
-def test_byte_capped_batches_each_row_once(spark, tmp_path):
-    src, dst, ck = (str(tmp_path / n) for n in ("src", "dst", "ck"))
-    for lo in range(0, 50, 10):
-        write_parquet(spark.range(lo, lo + 10).coalesce(1), src)
-    INC.incremental_copy(spark, src, spark.range(1).schema, dst, ck, max_bytes_per_trigger=1)
+
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_refined_replay_neither_loses_nor_doubles_rows(spark, tmp_path, monkeypatch, when):
+    src, dst, ck = (str(tmp_path / n) for n in ("transient", "refined", "ck"))
+    write_parquet(spark.range(20), src)
+    _die_at(monkeypatch, when)
+    with pytest.raises(Exception):
+        J.transient_to_refined(spark, src, dst, ck, "u", "p", "s", as_of="2024-01-02 00:00:00")
+    # the load time has moved on to another partition meanwhile
+    J.transient_to_refined(spark, src, dst, ck, "u", "p", "s", as_of="2024-01-03 00:00:00")
     out = spark.read.parquet(dst)
-    assert out.count() == 50 and out.distinct().count() == 50
-    import os
-    commits = os.listdir(os.path.join(ck, "commits"))
-    assert len([c for c in commits if c.isdigit()]) == 5  # one file per micro-batch
+    assert out.count() == 20 and out.select("id").distinct().count() == 20
 
 
-def test_failed_batch_replay_writes_each_table_once(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("when", ["before", "after"])
+@pytest.mark.parametrize("operations", ["insert", ("insert", "update")])
+def test_change_replay_neither_loses_nor_doubles_rows(spark, tmp_path, monkeypatch, when, operations):
     landing, transient, ck = (str(tmp_path / n) for n in ("landing", "transient", "ck"))
     rows = []
     for b in range(6):
-        rows.append((json.dumps({"bid": str(b), "email": f"e{b}"}),
-                     json.dumps({"operation": "insert", "table-name": "T_BaseID"})))
-        rows.append((json.dumps({"bid": str(b), "tagaid": "1"}),
-                     json.dumps({"operation": "insert", "table-name": "T_Demographic_Tag"})))
+        for op in ("insert", "update"):
+            rows.append((json.dumps({"bid": str(b), "email": f"e{b}"}), json.dumps({"operation": op, "table-name": "T_BaseID"})))
+            rows.append((json.dumps({"bid": str(b), "tagaid": "1"}), json.dumps({"operation": op, "table-name": "T_Demographic_Tag"})))
     write_parquet(spark.createDataFrame(rows, "data string, metadata string"), landing)
-
-    real_apply = J.apply_changes
-    calls = {"n": 0}
-
-    def crash_after_first_table(*args, **kwargs):
-        calls["n"] += 1
-        if calls["n"] == 1:  # first attempt: the process dies after one table committed
-            mark = kwargs["on_written"]
-
-            def mark_then_die(name):
-                mark(name)
-                raise RuntimeError("simulated failure after " + name)
-            kwargs = {**kwargs, "on_written": mark_then_die, "parallelism": 1}
-        return real_apply(*args, **kwargs)
-
-    monkeypatch.setattr(J, "apply_changes", crash_after_first_table)
-    import pytest
+    _die_at(monkeypatch, when)
     with pytest.raises(Exception):
-        J.cdc_to_transient(spark, landing, transient, "insert", ck)
-    J.cdc_to_transient(spark, landing, transient, "insert", ck)  # replays batch 0
-    for table in ("t_baseid", "t_demographic_tag"):
-        got = sorted(r.bid for r in spark.read.parquet(f"{transient}/{table}").collect())
-        assert got == list(range(6)), table
+        J.cdc_to_transient(spark, landing, transient, operations, ck, routed=False)
+    J.cdc_to_transient(spark, landing, transient, operations, ck, routed=False)
+    suffixes = [""] if operations == "insert" else ["", "_cdc_update"]
+    for table in [t + s for t in ("t_baseid", "t_demographic_tag") for s in suffixes]:
+        assert sorted(r.bid for r in spark.read.parquet(f"{transient}/{table}").collect()) == list(range(6)), table
 
 
-def test_refined_replay_after_commit_failure(spark, tmp_path, monkeypatch):
-    src, dst, ck = (str(tmp_path / n) for n in ("transient", "refined", "ck"))
-    write_parquet(spark.range(20), src)
-    real_mark = INC.BatchLedger.mark
-    state = {"failed": False}
-
-    def mark_then_die(self, batch_id, part):
-        real_mark(self, batch_id, part)
-        if not state["failed"]:  # the write and its marker committed, then the driver dies
-            state["failed"] = True
-            raise RuntimeError("simulated driver failure")
-
-    monkeypatch.setattr(INC.BatchLedger, "mark", mark_then_die)
-    import pytest
-    with pytest.raises(Exception):
-        J.transient_to_refined(spark, src, dst, ck, "u", "p", "s", as_of="2024-01-02 00:00:00")
-    J.transient_to_refined(spark, src, dst, ck, "u", "p", "s", as_of="2024-01-02 00:00:00")
+def test_byte_capped_batches_each_row_once(spark, tmp_path):
+    src, dst, ck = (str(tmp_path / n) for n in ("src", "dst", "ck"))
+    for lo in range(0, 50, 10):
+        write_parquet(spark.range(lo, lo + 10).coalesce(1), src)
+    INC.incremental_copy(spark, src, spark.range(1).schema, dst, ck, max_bytes_per_trigger=1)
     out = spark.read.parquet(dst)
-    assert out.count() == 20 and out.select("id").distinct().count() == 20
+    assert out.count() == 50 and out.distinct().count() == 50
+    import os
+    commits = os.listdir(os.path.join(ck, "commits"))
+    assert len([c for c in commits if c.isdigit()]) == 5  # one file per micro-batch
 
 
 def test_all_operations_in_one_decode_equal_separate_runs(spark, tmp_path):
@@ -167,12 +184,12 @@ def test_all_operations_in_one_decode_equal_separate_runs(spark, tmp_path):
     write_parquet(env, land)
     sep, one = str(tmp_path / "sep"), str(tmp_path / "one")
     for op in ("insert", "update"):
-        J.cdc_to_transient(spark, land, sep, op, str(tmp_path / f"ck_{op}"))
-    J.cdc_to_transient_all(spark, land, one, str(tmp_path / "ck_all"))
+        J.cdc_to_transient(spark, land, sep, op, str(tmp_path / f"ck_{op}"), routed=False)
+    J.cdc_to_transient(spark, land, one, ("insert", "update"), str(tmp_path / "ck_all"), routed=False)
     import os
     folders = sorted(f for f in os.listdir(sep) if not f.startswith((".", "_")))
     assert folders == sorted(f for f in os.listdir(one) if not f.startswith((".", "_")))
-    assert len(folders) == 8
+    assert len(folders) == 20
     for f in folders:
         a = sorted(map(tuple, spark.read.parquet(f"{sep}/{f}").collect()), key=repr)
         b = sorted(map(tuple, spark.read.parquet(f"{one}/{f}").collect()), key=repr)
