@@ -34,7 +34,7 @@ Buckets are as many as the candidates need.  An anchor hash with more than
 ``GROUP_LIMIT`` different records (a passage that very many texts share) is taken
 apart first, in rounds: all members are compared with one of them; as prefix
 lengths form an ultrametric, two members can match further than with it only
-where they leave it at the same place with the same next bytes, on the right or
+where they leave it at the same place with the same next byte, on the right or
 on the left, so they are regrouped by that.  No pair is lost.
 
 Defined cases: a NULL text counts as empty; repeated rows repeat each other's
@@ -331,7 +331,8 @@ def _sorted_runs(records: DataFrame, buckets: int) -> DataFrame:
                 held, size = [], 0
         yield from flush()
 
-    return records.mapInArrow(run, "bucket long, shared array<int>, rests array<binary>, lefts array<binary>, numbers array<long>")
+    return records.select("number", "g", "lefts", "suffix").mapInArrow(
+        run, "bucket long, shared array<int>, rests array<binary>, lefts array<binary>, numbers array<long>")
 
 
 def _matches(records: DataFrame, total: int) -> DataFrame:
@@ -366,7 +367,7 @@ def _split_large(records: DataFrame) -> tuple[DataFrame, DataFrame]:
                     out.append((who, None, None, None, n, m))
                 for side, at, text in ((b"R", m, suffix), (b"L", n, left)):
                     if at < len(text):
-                        key = xxhash.xxh3_64_intdigest(side + at.to_bytes(4, "big") + text[at:at + 24], g & 0xFFFFFFFFFFFFFFFF)
+                        key = xxhash.xxh3_64_intdigest(side + at.to_bytes(4, "big") + text[at:at + 1], g & 0xFFFFFFFFFFFFFFFF)
                         out.append((number, key - (1 << 64) if key >> 63 else key, left, suffix, None, None))
             columns = list(zip(*out)) or [()] * 6
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
