@@ -43,7 +43,7 @@ def test_battery_finds_random_strings_and_leaves_words(spark):
     b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
     keys = ["".join(rng.choice(b64) for _ in range(n)) for n in (32, 40, 44, 64, 88)] * 4
     plain = ["internationalizationConfigurationManagerFactory1", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaA1", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghij01",
-             "theQuickBrownFoxJumpsOverTheLazyDogTheEnd2", "some/path/that/is/long/and/has/Words/in/it2"]
+             "thisFunctionReturnsTheValueOfTheSetting2", "some/path/that/is/long/and/has/Words/in/it2"]
     rows = [(i, f"x {t} y") for i, t in enumerate(keys + plain)]
     out = {r["doc_id"]: r["n_random"] for r in S.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert sum(out[i] for i in range(len(keys))) >= 0.8 * len(keys)
