@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (forest_dedup, mixing, pieces, quality_crf, secret_scan, sharding, simhash, suffix_dedup,
-                        token_files, url_filter)
+from strata.llm import (forest_dedup, mixing, oracles, pieces, quality_crf, secret_scan, sharding, simhash,
+                        suffix_dedup, token_files, url_filter)
 from strata.llm.common import read_table
 
 
@@ -58,4 +58,4 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_token_files, op3_mixing, op4_forest_dedup, op5_simhash, op6_suffix_dedup,
     op7_sharding, op8_pieces, op9_quality_crf, op10_url_filter)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_mixing": oracles.mixing_sql(), "op10_url_filter": oracles.url_filter_sql()}

@@ -58,7 +58,7 @@ PATTERN_RULES = [
 ]
 
 MAX_BROADCAST_RULES = 100_000
-_SEPARATOR = r"(?:[^A-Za-z0-9_.%-]|$)"
+_SEPARATOR = r"(?:[^A-Za-z0-9_.%-]|\z)"
 
 
 @dataclass(frozen=True)
@@ -84,7 +84,7 @@ def compile_pattern(verdict: str, pattern: str, name: str | None = None, listed:
         body, prefix, open_left = body[1:], "^", False
     suffix = ""
     if body.endswith("|"):
-        body, suffix, open_right = body[:-1], "$", False
+        body, suffix, open_right = body[:-1], r"\z", False
     regex = "".join(".*" if c == "*" else _SEPARATOR if c == "^" else _java_quote(c) for c in body)
     tokens = []
     for m in re.finditer(r"[A-Za-z0-9]+", body):
@@ -92,7 +92,7 @@ def compile_pattern(verdict: str, pattern: str, name: str | None = None, listed:
         right = body[m.end()] if m.end() < len(body) else ("*" if open_right else "")
         if left != "*" and right != "*":
             tokens.append(m[0].lower())
-    return Rule(name or pattern, verdict, "(?s)" + prefix + regex + suffix.replace("$", r"\z"),
+    return Rule(name or pattern, verdict, "(?s)" + prefix + regex + suffix,
                 tuple(dict.fromkeys(tokens)), listed, len(pattern))
 
 
