@@ -13,9 +13,9 @@ similarity of 0.75 or more; components of links are groups of near copies.
    of more than ``region_size`` documents.  Regions are found by counting prefix
    keys and joining the counts back, so no task meets a whole region.
 3. *Candidates.*  All pairs of a small region.  In a large one every document
-   is paired with the region's hub -- the member that lies in the most large
-   regions, which is the text the others were copied from if there is one --
-   and the region is split further.  The number of candidates stays linear.
+   is paired with the region's hubs -- the members that lie in the most large
+   regions, which are nearest to the text the others were copied from -- and the
+   region is split further.  The number of candidates stays linear.
 4. *Confirmation* on the full shingle sets, in rounds: every document tries its
    best candidates (sharing the most regions) first, confirmed links join
    components, and candidates inside one component are dropped, as they cannot
@@ -50,6 +50,7 @@ ORDERS = 32
 FIRST_DEPTH = VALUES // ORDERS
 DEPTHS = (4, 6, 8, 12, 16, 24, 32, 64, 128)
 REGION_SIZE = 8
+HUBS = 8
 SIMILARITY_PERCENT = 75
 TRIES = (1, 4, 16, 64)
 
@@ -137,7 +138,9 @@ def candidates(signed: DataFrame, region_size: int = REGION_SIZE) -> DataFrame:
         large = members.where(F.col("n") > region_size)
         crowded = materialise(large.groupBy("id").agg(F.collect_list("ord").alias("orders")), "crowded")  # at most ORDERS
         score = crowded.select("id", F.size("orders").alias("s"))
-        hubs = (large.join(score, "id").groupBy("key")
+        # the best of each of a few hash classes of the region: all by partial aggregation
+        part = F.pmod(F.xxhash64("id"), F.lit(HUBS if depth == FIRST_DEPTH else 1))
+        hubs = (large.join(score, "id").groupBy("key", part.alias("part"))
                 .agg(F.max(F.struct("s", "id")).alias("h")).select("key", F.col("h.id").alias("parent")))
         stars = large.select("key", F.col("id").alias("child")).join(hubs, "key").where("child <> parent").select("child", "parent")
         level = pairs.unionByName(stars)
