@@ -97,3 +97,33 @@ def test_routed_landing_read_prunes_partitions(spark, tmp_path):
     p = plan(df)
     assert "PartitionFilters: [" in p and "table_name" in p.split("PartitionFilters: [")[1].split("]")[0]
     assert "ReadSchema: struct<data:string>" in p  # metadata column is not read
+
+
+def test_star_moves_demographic_rows_once_per_key(spark, tmp_path):
+    """Broadcasts off: one exchange per input on bid, one on the grouped column."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    paths = {n: str(tmp_path / n) for n in ("m", "b", "d")}
+    FX.fx_match(spark, SF).write.parquet(paths["m"])
+    FX.fx_baseid(spark, SF).write.parquet(paths["b"])
+    FX.fx_demographic(spark, SF).write.parquet(paths["d"])
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        m, b, d = (spark.read.parquet(paths[n]) for n in ("m", "b", "d"))
+
+        def exchanges(df):
+            return [line for line in plan(df).splitlines() if "Exchange hashpartitioning" in line]
+
+        phone = exchanges(C.customer_phone(m, b, d))
+        assert sum("hashpartitioning(phone" in x for x in phone) == 1
+        assert sum("hashpartitioning(bid" in x for x in phone) == 3          # match, base id, demographic
+        email = exchanges(C.customer_email(m, b))
+        assert sum("hashpartitioning(bid" in x for x in email) == 2 and sum("hashpartitioning(email" in x for x in email) == 1
+        # the star is built without running a job
+        before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+        C.customer(m, d)
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
