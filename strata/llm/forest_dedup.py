@@ -180,8 +180,10 @@ def links(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, percent
     """(node, root) of the components that the confirmed candidates make."""
     open_ = materialise(pairs.withColumns({"cc": F.col("child"), "cp": F.col("parent")}), "candidates")
     nodes = open_.select(F.col("child").alias("id")).unionByName(open_.select(F.col("parent").alias("id"))).distinct()
-    # only texts in some candidate pair are compared; one row per id
-    texts = materialise(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(nodes, "id", "left_semi")
+    # only texts in some candidate pair are compared; one row per id.  The same join at every size: the
+    # node list grows with the corpus, so broadcasting it where it happens to be small would tell nothing
+    texts = materialise(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+                        .join(nodes.hint("shuffle_merge"), "id", "left_semi")
                         .groupBy("id").agg(F.min("text").alias("text")), "candidate-texts")
     roots = None
     for tries in (*TRIES, None):
