@@ -27,7 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = e.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(
             e.select(F.col("v").alias("x"), F.col("u").alias("y")))
         least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
-        large = (both.join(least, "x").where("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct())
+        large = both.join(least, "x").where("y > x").select(F.col("y").alias("u"), F.col("m").alias("v"))
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(lowest, "u")
         small = (joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))

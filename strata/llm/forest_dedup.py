@@ -13,9 +13,9 @@ similarity of 0.75 or more; components of links are groups of near copies.
    of more than ``region_size`` documents.  Regions are found by counting prefix
    keys and joining the counts back, so no task meets a whole region.
 3. *Candidates.*  All pairs of a small region.  In a large one every document
-   is paired with the region's hubs -- the members that lie in the most large
-   regions, which are nearest to the text the others were copied from -- and the
-   region is split further.  The number of candidates stays linear.
+   is paired with the region's hubs -- the members whose large regions hold the
+   most documents, which are nearest to the text the others were copied from --
+   and the region is split further.  The number of candidates stays linear.
 4. *Confirmation* on the full shingle sets, in rounds: every document tries its
    best candidates (sharing the most regions) first, confirmed links join
    components, and candidates inside one component are dropped, as they cannot
@@ -48,11 +48,11 @@ from strata.llm.shingles import ShingleHasher
 VALUES = 128
 ORDERS = 32
 FIRST_DEPTH = VALUES // ORDERS
-DEPTHS = (4, 6, 8, 12, 16, 24, 32, 64, 128)
-REGION_SIZE = 8
+DEPTHS = (4, 8, 16, 40, 128)
+REGION_SIZE = 4
 HUBS = 8
 SIMILARITY_PERCENT = 75
-TRIES = (1, 4, 16, 64)
+TRIES = (3,)
 
 _RNG = np.random.default_rng(20240607)
 _A = (_RNG.integers(0, 1 << 63, VALUES, dtype=np.uint64) << np.uint64(1) | np.uint64(1))[:, None]
@@ -136,8 +136,9 @@ def candidates(signed: DataFrame, region_size: int = REGION_SIZE) -> DataFrame:
             F.slice("ids", i + 2, F.lit(region_size)), lambda b: F.struct(b.alias("child"), a.alias("parent")))))
         pairs = small.select(F.explode(pairs).alias("p")).select("p.child", "p.parent")
         large = members.where(F.col("n") > region_size)
-        crowded = materialise(large.groupBy("id").agg(F.collect_list("ord").alias("orders")), "crowded")  # at most ORDERS
-        score = crowded.select("id", F.size("orders").alias("s"))
+        # at most ORDERS entries; the sum is largest for the text that shares most with the crowd
+        crowded = materialise(large.groupBy("id").agg(F.collect_list("ord").alias("orders"), F.sum("n").alias("s")), "crowded")
+        score = crowded.select("id", "s")
         # the best of each of a few hash classes of the region: all by partial aggregation
         part = F.pmod(F.xxhash64("id"), F.lit(HUBS if depth == FIRST_DEPTH else 1))
         hubs = (large.join(score, "id").groupBy("key", part.alias("part"))
@@ -147,7 +148,7 @@ def candidates(signed: DataFrame, region_size: int = REGION_SIZE) -> DataFrame:
         found = level if found is None else found.unionByName(level)
         if crowded.isEmpty():
             break
-        todo = signed.select("id", "signature").join(crowded, "id")
+        todo = signed.select("id", "signature").join(crowded.select("id", "orders"), "id")
     return found.groupBy("child", "parent").agg(F.count(F.lit(1)).alias("score"))
 
 
