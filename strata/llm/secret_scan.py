@@ -5,7 +5,8 @@ non-overlapping per kind.  Offsets come from the pieces between matches: the
 k-th match starts after the first k pieces and the matches between them.
 
 The battery looks at every run of 20 or more characters of
-``[A-Za-z0-9+/_=-]`` that overlaps no pattern span.  Per run:
+``[A-Za-z0-9+/_-]``, with the ``=`` that pad its end, that overlaps no pattern
+span; in ``name=value`` both sides are runs of their own.  Per run:
 
 * the encoding is inferred from the characters: ``hex`` (k = 16), ``base32``
   (k = 32), ``base64`` (k = 64; at least two of upper case, lower case, digit);
@@ -48,7 +49,7 @@ HEX = r"[0-9a-f]{16,}"            # the runs of [0-9a-f]+ that are long enough
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 KINDS = ("assign", "access", "hex", "random")
 BLOCK = 256                      # matches numbered at a time
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN = r"[A-Za-z0-9+/_-]{20,}(?:=++(?![A-Za-z0-9+/_-]))?"    # "=" only as padding at the end
 
 ALPHABETS = {
     "hex": "0123456789abcdef",

@@ -50,6 +50,31 @@ def test_battery_finds_random_strings_and_leaves_words(spark):
     assert sum(out[len(keys) + i] for i in range(len(plain))) == 0
 
 
+def test_values_after_any_name_reach_the_battery(spark):
+    """A value is judged as the bare key is: same span, same decision."""
+    rng = random.Random(4)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(rng.choice(b64) for _ in range(n)) + pad for n, pad in ((40, ""), (43, "="), (44, ""), (86, "=="), (88, ""))] * 6
+    frames = ["%s", "aws_secret_access_key=%s", "client_key=%s", "see https://h.example/x?sig=%s&v=1", "a_rather_long_name_of_a_setting=%s", "x==%s"]
+    rows = [(i * len(keys) + j, f % k) for i, f in enumerate(frames) for j, k in enumerate(keys)]
+    plain = ["the_name_of_some_setting=the_value_of_some_setting", "internationalization=configurationManagerFactory"]
+    rows += [(-1 - i, t) for i, t in enumerate(plain)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r["spans"] for r in S.scan_secrets(table).collect()}
+    clean = {r["doc_id"]: r["text"] for r in S.redact(table).collect()}
+    found = 0
+    for j, key in enumerate(keys):
+        bare = out[j] == f"random:0:{len(key)}"
+        assert bare or out[j] == ""
+        found += bare
+        for i, f in enumerate(frames):
+            at = f.index("%s")
+            assert out[i * len(keys) + j] == (f"random:{at}:{at + len(key)}" if bare else ""), f
+            assert clean[i * len(keys) + j] == f % ("[SECRET]" if bare else key)
+    assert found >= 0.8 * len(keys)
+    assert all(out[-1 - i] == "" for i in range(len(plain)))
+
+
 def test_redaction_cuts_every_span_and_keeps_the_rest(docs, texts):
     rows = {r["doc_id"]: r for r in S.redact(docs).collect()}
     assert S.redact(docs).columns == docs.columns
