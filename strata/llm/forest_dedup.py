@@ -67,6 +67,23 @@ def minhash(hashes: np.ndarray) -> np.ndarray:
     return (best >> np.uint64(32)).astype("<u4")
 
 
+def _set_hash(hashes: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None
+
+
+def with_set_hash(docs: DataFrame, text_col: str, name: str) -> DataFrame:
+    """``docs`` and the hash of each text's set, NULL for empty sets."""
+    at, schema = docs.columns.index(text_col), docs.withColumn(name, F.lit(None).cast("binary")).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = ShingleHasher()
+        for batch in text_slices(batches):
+            sets = pa.array([_set_hash(hasher(text)) for text in batch.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, sets], [*batch.schema.names, name])
+
+    return docs.mapInArrow(run, schema)
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, n_shingles, set_hash, signature); the last two NULL for empty sets."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -78,7 +95,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for text in batch.column(1).to_pylist():
                 hashes = hasher(text)
                 counts.append(len(hashes))
-                classes.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
+                classes.append(_set_hash(hashes))
                 signs.append(minhash(hashes).tobytes() if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(classes, pa.binary()), pa.array(signs, pa.binary())],
@@ -223,6 +240,11 @@ def _by_child():
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id, kept."""
+    return _judged(docs, id_col, text_col, percent).select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(id, set_hash, n_shingles, component_id, kept), a row per row of ``docs``."""
     signed = materialise(signatures(docs, id_col, text_col), "signatures")
     classes = (signed.where("set_hash is not null").groupBy("set_hash")
                .agg(F.min("id").alias("rep"), F.min_by("signature", "id").alias("signature")))
@@ -233,13 +255,21 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select("set_hash", F.coalesce("root", "rep").alias("root")))
     rows = signed.select("id", "n_shingles", "set_hash").join(named, "set_hash", "left")
     component = F.when(F.col("set_hash").isNull(), F.col("id")).otherwise(F.col("root"))
-    return (rows.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"))
-            .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))))
+    return (rows.select("id", "set_hash", "n_shingles", component.alias("component_id"))
+            .withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              percent: int = SIMILARITY_PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose id leads its group, all columns as they are."""
-    out = materialise(groups(docs, id_col, text_col, percent).where(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct(),
-                      "near-copies")
-    return docs.join(out, docs[id_col].eqNullSafe(out["__gone"]), "left_anti")
+    """The rows of ``docs`` whose id leads its group, all columns as they are;
+    of the rows without an id, those whose text is in no group that has one."""
+    gone = materialise(_judged(docs, id_col, text_col, percent).where(~F.col("kept"))
+                       .select("id", F.when(F.col("id").isNull(), F.col("set_hash")).alias("__gone_set")).distinct(), "near-copies")
+    ids = gone.where("id is not null").select(F.col("id").alias("__gone"))
+    named = docs.where(docs[id_col].isNotNull())
+    named = named.join(ids, named[id_col] == ids["__gone"], "left_anti")
+    # rows without an id are no document in common: each goes or stays by its own text
+    unnamed = with_set_hash(docs.where(docs[id_col].isNull()), text_col, "__set")
+    sets = gone.where("id is null").select("__gone_set")
+    unnamed = unnamed.join(sets, unnamed["__set"] == sets["__gone_set"], "left_anti").select(*docs.columns)
+    return named.unionByName(unnamed)

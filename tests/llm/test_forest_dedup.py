@@ -68,6 +68,16 @@ def test_keep_one_and_odd_tables(docs, odd_docs, no_docs, texts):
     assert D.groups(no_docs).count() == 0 and D.keep_one(no_docs).count() == 0
 
 
+def test_rows_without_an_id_go_by_their_own_text(spark, odd_docs):
+    """odd_docs: a NULL id with the text of doc 3 goes, one without a text stays."""
+    rows = D.keep_one(odd_docs).where("doc_id is null").collect()
+    assert [r["text"] for r in rows] == [None]
+    table = [(1, "a b c d e f g"), (None, "a b c d e f g"), (None, "A  b c d e f g"), (None, "one of a kind, no id"),
+             (None, "twice without an id"), (None, "twice without an id"), (None, ""), (2, "some other text of that table")]
+    kept = D.keep_one(spark.createDataFrame(table, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted((i or 0, t) for i, t in table[:1] + table[3:])
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed):
     rng = random.Random(seed)
