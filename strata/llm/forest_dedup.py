@@ -20,10 +20,15 @@ similarity of 0.75 or more; components of links are groups of near copies.
    best candidates (sharing the most regions) first, confirmed links join
    components, and candidates inside one component are dropped, as they cannot
    change it.  The last round tries all that is left.
+5. *Crowds.*  Sub-regions and hubs may leave the members of a split region of
+   depth 4 in several components.  Such regions that overlap make a crowd, and
+   in a crowd every pair across components is judged, in blocks of bounded size:
+   by length, then by a lower bound of the sets' difference, then on the full
+   sets.  A block gives only the links that join components in it.
 
-A link within a region that was split is found by its own sub-regions or through
-hubs; a link is lost only if no order brings its two texts, or texts that chain
-them, together.
+So every pair that shares a region of depth 4 in some order is judged or lies in
+one component already; a link is lost only if no order brings its two texts, or
+texts that chain them, together.
 
 Defined cases: a NULL or empty text has an empty set and is linked with nothing;
 rows of one id are one document: they stay or go together; a NULL id is linked
@@ -53,6 +58,7 @@ REGION_SIZE = 4
 HUBS = 8
 SIMILARITY_PERCENT = 75
 TRIES = (3,)
+BLOCK_DOCS, BLOCK_BYTES = 2048, 8 << 20      # of a crowd that are compared at a time
 
 _RNG = np.random.default_rng(20240607)
 _A = (_RNG.integers(0, 1 << 63, VALUES, dtype=np.uint64) << np.uint64(1) | np.uint64(1))[:, None]
@@ -139,10 +145,11 @@ def _regions(signed: DataFrame, depth: int, orders_col: str | None = None) -> Da
     return signed.select(*columns).mapInArrow(run, f"key long, ord short, id {id_type}")
 
 
-def candidates(signed: DataFrame, region_size: int = REGION_SIZE) -> DataFrame:
+def candidates(signed: DataFrame, region_size: int = REGION_SIZE) -> tuple[DataFrame, DataFrame]:
     """(child, parent, score): pairs worth a full comparison.  A child has a
-    bounded number of them; a parent may have very many."""
-    found, todo = None, signed
+    bounded number of them; a parent may have very many.  And (key, id): the
+    members of the regions of the first depth that were split."""
+    found, split, todo = None, None, signed
     for depth in DEPTHS:
         regions = _regions(todo, depth, None if todo is signed else "orders")
         sizes = regions.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -153,6 +160,7 @@ def candidates(signed: DataFrame, region_size: int = REGION_SIZE) -> DataFrame:
             F.slice("ids", i + 2, F.lit(region_size)), lambda b: F.struct(b.alias("child"), a.alias("parent")))))
         pairs = small.select(F.explode(pairs).alias("p")).select("p.child", "p.parent")
         large = members.where(F.col("n") > region_size)
+        split = large.select("key", "id") if split is None else split
         # at most ORDERS entries; the sum is largest for the text that shares most with the crowd
         crowded = materialise(large.groupBy("id").agg(F.collect_list("ord").alias("orders"), F.sum("n").alias("s")), "crowded")
         score = crowded.select("id", "s")
@@ -166,7 +174,7 @@ def candidates(signed: DataFrame, region_size: int = REGION_SIZE) -> DataFrame:
         if crowded.isEmpty():
             break
         todo = signed.select("id", "signature").join(crowded.select("id", "orders"), "id")
-    return found.groupBy("child", "parent").agg(F.count(F.lit(1)).alias("score"))
+    return found.groupBy("child", "parent").agg(F.count(F.lit(1)).alias("score")), split
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -194,8 +202,122 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, schema)
 
 
-def links(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, percent: int = SIMILARITY_PERCENT) -> DataFrame:
-    """(node, root) of the components that the confirmed candidates make."""
+def crowd_members(split: DataFrame, roots: DataFrame) -> DataFrame:
+    """(id, root, crowd): the members of split regions that hold several
+    components; regions with a common member are one crowd."""
+    rooted = materialise(split.join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
+                         .select("key", "id", F.coalesce("root", "id").alias("root")), "split-regions")
+    mixed = (rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("id").alias("least"))
+             .where("low <> high").select("key", "least"))
+    held = materialise(rooted.join(mixed, "key"), "mixed-regions")
+    crowds = components(held.select(F.col("id").alias("u"), F.col("least").alias("v")))
+    return (held.select("id", "root").distinct()
+            .join(crowds.select(F.col("node").alias("id"), F.col("root").alias("crowd")), "id"))
+
+
+def _sets(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``members`` with ``n`` and ``hashes``, the sorted set of the text."""
+    rows = members.join(texts, "id").select("crowd", "root", "text")
+    head = rows.drop("text").schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = ShingleHasher()
+        for batch in text_slices(batches):
+            sets = [hasher(text) for text in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([len(x) for x in sets], pa.int64()),
+                 pa.array([x.tobytes() for x in sets], pa.binary())], ["crowd", "root", "n", "hashes"])
+
+    return rows.mapInArrow(run, head.add("n", "long").add("hashes", "binary"))
+
+
+def _parity(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """Per set, the parity of its members in each of ``bits`` classes: two sets
+    differ in at least as many members as their parities differ in bits."""
+    out = np.empty((len(sets), bits // 64), np.uint64)
+    for row, x in zip(out, sets):
+        odd = np.bincount((x & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+        row[:] = np.packbits(odd).view(np.uint64)
+    return out
+
+
+def block_links(left: list[np.ndarray], right: list[np.ndarray], names: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs (position in left, position in right) of links that join the
+    components ``names`` (of left, then right; changed) with as few pairs as do."""
+    counts = np.array([len(x) for x in right])
+    top = max(max(len(x) for x in left), int(counts.max()))
+    bits = 1 << min(15, max(10, (4 * top - 1).bit_length()))
+    a, b, out = _parity(left, bits), _parity(right, bits), []
+    mine = names[len(left):]
+    for i, x in enumerate(left):
+        fit = (100 * np.minimum(counts, len(x)) >= percent * np.maximum(counts, len(x))) & (mine != names[i])
+        near = np.flatnonzero(fit)
+        apart = np.bitwise_count(b[near] ^ a[i]).sum(axis=1, dtype=np.int64)
+        near = near[(100 + percent) * apart <= (100 - percent) * (counts[near] + len(x))]
+        for j in near:
+            if mine[j] != names[i]:
+                common = len(np.intersect1d(x, right[j], assume_unique=True))
+                if 100 * common >= percent * (len(x) + len(right[j]) - common):
+                    names[names == mine[j]] = names[i]
+                    out.append((i, int(j)))
+    return out
+
+
+def crowd_links(sets: DataFrame, percent: int, block_docs: int = BLOCK_DOCS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(u, v): links between roots of one crowd, from all pairs of ``sets``
+    (crowd, root, n, hashes) across roots.  A crowd is cut into blocks; those of
+    its largest component are not compared with each other."""
+    per = sets.groupBy("crowd", "root").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("size"))
+    total = (per.groupBy("crowd").agg(F.max(F.struct("docs", "root", "size")).alias("main"),
+                                      F.sum("docs").alias("docs"), F.sum("size").alias("size")))
+
+    def blocks(docs, size):
+        return F.greatest(F.lit(1), F.ceil(docs / block_docs), F.ceil(size * 8 / block_bytes)).cast("int")
+
+    # blocks 0 .. rest - 1 hold the smaller components, rest .. last the largest one
+    plan = total.select("crowd", F.col("main.root").alias("main"),
+                        blocks(F.col("docs") - F.col("main.docs"), F.col("size") - F.col("main.size")).alias("rest"),
+                        blocks(F.col("main.docs"), F.col("main.size")).alias("most"))
+    spot, count = F.xxhash64("hashes"), F.col("rest") + F.col("most")
+    own = F.when(F.col("root") == F.col("main"), F.col("rest") + F.pmod(spot, F.col("most"))).otherwise(F.pmod(spot, F.col("rest")))
+    rows = sets.join(plan, "crowd").withColumn("own", own.cast("int")).withColumn("last", (count - 1).cast("int"))
+    with_lower = F.transform(F.sequence(F.lit(0), F.least("own", F.col("rest") - 1)),
+                             lambda x: F.struct(x.alias("a"), F.col("own").alias("b")))
+    with_higher = F.when((F.col("own") < F.col("rest")) & (F.col("own") < F.col("last")), F.transform(
+        F.sequence(F.col("own") + 1, F.col("last")), lambda x: F.struct(F.col("own").alias("a"), x.alias("b"))))
+    meets = F.concat(with_lower, F.coalesce(with_higher, F.array().cast("array<struct<a:int,b:int>>")))
+    rows = rows.select("crowd", "root", "hashes", "own", F.explode(meets).alias("m")).select(
+        "crowd", "m.a", "m.b", "own", "root", "hashes")
+
+    def run(table: pa.Table) -> pa.Table:
+        own, sides = table.column("own").to_numpy(), []
+        for block in (table.column("a")[0].as_py(), table.column("b")[0].as_py()):
+            sides.append(np.flatnonzero(own == block))
+        hashes, roots = table.column("hashes"), table.column("root").combine_chunks()
+        found: list[tuple[int, int]] = []
+        if len(sides[0]) and len(sides[1]):
+            names = roots.dictionary_encode().indices.to_numpy()[np.concatenate(sides)]
+            left, right = ([np.frombuffer(hashes[int(r)].as_buffer(), np.uint64) for r in side] for side in sides)
+            found = block_links(left, right, names.copy(), percent)
+        return pa.table({"u": roots.take(pa.array([sides[0][i] for i, _ in found], pa.int64())),
+                         "v": roots.take(pa.array([sides[1][j] for _, j in found], pa.int64()))})
+
+    kind = sets.schema["root"].dataType.simpleString()
+    return rows.groupBy("crowd", "a", "b").applyInArrow(run, f"u {kind}, v {kind}")
+
+
+def _joined(roots: DataFrame, moved: DataFrame) -> DataFrame:
+    """``roots`` after the components ``moved`` (node, root) of its roots."""
+    return materialise(
+        roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+        .select("node", F.coalesce("top", "root").alias("root"))
+        .unionByName(moved.join(roots.select("node"), "node", "left_anti")), "roots")
+
+
+def links(docs: DataFrame, pairs: DataFrame, split: DataFrame, id_col: str, text_col: str,
+          percent: int = SIMILARITY_PERCENT) -> DataFrame:
+    """(node, root) of the components that the confirmed candidates and the
+    links across the components of a crowd make."""
     open_ = materialise(pairs.withColumns({"cc": F.col("child"), "cp": F.col("parent")}), "candidates")
     nodes = open_.select(F.col("child").alias("id")).unionByName(open_.select(F.col("parent").alias("id"))).distinct()
     # only texts in some candidate pair are compared; one row per id.  The same join at every size: the
@@ -218,17 +340,18 @@ def links(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, percent
             later = open_.limit(0)
         good = materialise(_confirmed(tried, texts, percent).select(F.col("cc").alias("u"), F.col("cp").alias("v")), "confirmed")
         moved = materialise(components(good), "roots")
-        roots = moved if roots is None else materialise(
-            roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
-            .select("node", F.coalesce("top", "root").alias("root"))
-            .unionByName(moved.join(roots.select("node"), "node", "left_anti")), "roots")
+        roots = moved if roots is None else _joined(roots, moved)
         here, there = (moved.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("cc", "cp"))
         open_ = materialise(later.join(here, "cc", "left").join(there, "cp", "left")
                             .select("child", "parent", "score", F.coalesce("cc_root", "cc").alias("cc"),
                                     F.coalesce("cp_root", "cp").alias("cp")).where("cc <> cp"), "candidates")
     if roots is None:
-        roots = nodes.select(F.col("id").alias("node"), F.col("id").alias("root")).limit(0)
-    return roots
+        return nodes.select(F.col("id").alias("node"), F.col("id").alias("root")).limit(0)
+    crowd = materialise(crowd_members(split, roots), "crowds")
+    if crowd.isEmpty():
+        return roots
+    sets = materialise(_sets(crowd, texts), "crowd-sets")          # a member of a split region has a hub
+    return _joined(roots, materialise(components(materialise(crowd_links(sets, percent), "crowd-links")), "roots"))
 
 
 def _by_child():
@@ -250,7 +373,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFr
                .agg(F.min("id").alias("rep"), F.min_by("signature", "id").alias("signature")))
     reps = materialise(classes.where("rep is not null").select(F.col("rep").alias("id"), "signature")
                        .groupBy("id").agg(F.min("signature").alias("signature")), "representatives")
-    roots = links(docs, candidates(reps), id_col, text_col, percent)
+    roots = links(docs, *candidates(reps), id_col, text_col, percent)
     named = (classes.select("set_hash", "rep").join(roots, F.col("rep") == F.col("node"), "left")
              .select("set_hash", F.coalesce("root", "rep").alias("root")))
     rows = signed.select("id", "n_shingles", "set_hash").join(named, "set_hash", "left")

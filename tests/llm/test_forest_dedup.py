@@ -57,6 +57,39 @@ def test_a_star_of_many_near_copies(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
 
 
+def centreless(n, seed=3):
+    """Texts around 0.735 to each other, neighbours (2k, 2k + 1) at 0.766."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(3000)]
+    template = [rng.choice(words) for _ in range(170)]
+    rows = []
+    for i in range(0, n, 2):
+        shared = [rng.choice(words) for _ in range(4)]
+        rows += [(i + j, " ".join(template + shared + [f"own{i + j}"] + [rng.choice(words) for _ in range(25)])) for j in (0, 1)]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_a_crowd_without_a_centre(spark):
+    """No text is near enough to many others to be their hub."""
+    rows = centreless(400)
+    want = brute(rows)
+    assert [want[i][1] for i in range(400)] == [i - i % 2 for i in range(400)]
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
+
+
+def test_crowd_links_in_small_blocks(spark):
+    """Every pair of blocks meets, also where one component is the largest."""
+    rows = centreless(60)
+    hasher = D.ShingleHasher()
+    # 0 .. 19 are one component already: only links outside it, or into it, are left
+    sets = [(c, min(i, 1) if i < 20 else i, *(lambda x: (len(x), x.tobytes()))(hasher(t))) for i, t in rows for c in (1, 2)]
+    table = spark.createDataFrame(sets, "crowd long, root long, n long, hashes binary").repartition(4)
+    for docs, size in ((7, 1 << 20), (2048, 8000), (2048, 8 << 20)):
+        links = {tuple(sorted((r["u"], r["v"]))) for r in D.crowd_links(table, 75, docs, size).collect()}
+        assert links == {(0, 1)} | {(i, i + 1) for i in range(20, 60, 2)}
+
+
 def test_keep_one_and_odd_tables(docs, odd_docs, no_docs, texts):
     kept = D.keep_one(docs)
     lead = {i for i, (_, root) in brute(list(enumerate(texts))).items() if i == root}
