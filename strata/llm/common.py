@@ -29,6 +29,26 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_hot(rows: DataFrame, found: DataFrame, keys: list[str], slot: str, how: str = "left",
+             hot_keys: int = 10_000, hot_rows: int = 1000, fan: int = 64) -> DataFrame:
+    """``rows`` joined with ``found`` on ``keys``, hot keys dealt over ``fan`` tasks.
+
+    The ``hot_keys`` most frequent keys of over ``hot_rows`` rows are looked up
+    (a top-k, so what is broadcast is bounded); rows of those keys take their
+    sub-key from ``slot`` (a non-negative integer column, fixed per row) and the
+    rows of ``found`` of those keys are repeated per sub-key.  Any other key has
+    at most 1 / ``hot_keys`` of the rows.  ``slot`` is dropped."""
+    hot = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
+           .orderBy(F.desc("__n"), *keys).limit(hot_keys).select(*keys, F.lit(True).alias("__hot")))
+    hot = F.broadcast(materialise(hot, "hot-keys"))
+    left = (rows.join(hot, keys, "left")
+            .withColumn("__sub", F.when(F.col("__hot"), F.pmod(slot, F.lit(fan))).otherwise(0).cast("int")).drop("__hot", slot))
+    right = (found.join(hot, keys, "left")
+             .withColumn("__sub", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(fan - 1)))
+                                            .otherwise(F.array(F.lit(0))))).drop("__hot"))
+    return left.join(right, [*keys, "__sub"], how).drop("__sub")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, also where ``body`` uses
     it several times or inside a lambda."""

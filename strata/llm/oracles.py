@@ -78,3 +78,24 @@ run as (select *, sum(n_tokens) over (partition by domain, lang, source order by
 select doc_id, domain, lang, source, n_tokens, cast(epochs + case when upto <= rest then 1 else 0 end as integer) as copies
 from run where epochs + case when upto <= rest then 1 else 0 end > 0
 """
+
+
+def winnowing_sql(window: int = 10) -> str:
+    """Every window of the items against every window of the documents."""
+    words = "regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(_UPPER, _LOWER)
+    return f"""
+with b as (select item_id, {words} as w from benchmark),
+bw as (select distinct item_id, list_slice(w, i, i + least({window}, len(w)) - 1) as win
+       from (select item_id, w, unnest(range(1, greatest(len(w) - least({window}, len(w)), 0) + 2)) as i from b where len(w) > 0)),
+sizes as (select distinct len(win) as k from bw),
+d as (select row_number() over () as r, doc_id, {words} as w from documents),
+dw as (select r, i, k, list_slice(w, i, i + k - 1) as win
+       from (select r, w, k, unnest(range(1, len(w) - k + 2)) as i from d, sizes where len(w) >= k)),
+hits as (select dw.r, dw.i, dw.k, bw.item_id from dw join bw on dw.win = bw.win),
+places as (select r, count(distinct p) as n from (select r, unnest(range(i, i + k)) as p from (select distinct r, i, k from hits)) group by r),
+lists as (select r, count(*) as n, string_agg(item, ',' order by item) as s
+          from (select distinct r, cast(item_id as varchar) as item from hits where item_id is not null) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(places.n, 0) as n_hit, coalesce(lists.n, 0) as n_items,
+       sha256(coalesce(lists.s, '')) as items_sha256, places.n is not null as contaminated
+from d left join places using (r) left join lists using (r)
+"""

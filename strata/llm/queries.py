@@ -1,4 +1,4 @@
-"""Queries of the ten operators, with production parameters, over whole tables."""
+"""Queries of the operators, with production parameters, over whole tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (forest_dedup, mixing, oracles, pieces, quality_crf, secret_scan, sharding, simhash,
-                        suffix_dedup, token_files, url_filter)
+                        suffix_dedup, token_files, url_filter, winnowing)
 from strata.llm.common import read_table
 
 
@@ -55,7 +55,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_token_files, op3_mixing, op4_forest_dedup, op5_simhash, op6_suffix_dedup,
-    op7_sharding, op8_pieces, op9_quality_crf, op10_url_filter)}
-ORACLES: dict[str, str] = {"op3_mixing": oracles.mixing_sql(), "op10_url_filter": oracles.url_filter_sql()}
+    op7_sharding, op8_pieces, op9_quality_crf, op10_url_filter, op12_winnowing)}
+ORACLES: dict[str, str] = {"op3_mixing": oracles.mixing_sql(), "op10_url_filter": oracles.url_filter_sql(),
+                           "op12_winnowing": oracles.winnowing_sql()}
