@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +73,29 @@ def ascii_words(col: Column) -> Column:
     return F.split(F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     "), " ")
 
 
+FILTER_LOG2_BITS = 26           # a bit table has 8 MB at most
+
+
+def bit_table(hashes: DataFrame, column: str) -> np.ndarray:
+    """A table of bits, set where a 64-bit hash falls: about 32 bits for each, at
+    most 2 ** FILTER_LOG2_BITS however many there are.  A full one lets more
+    through, but never holds anything back."""
+    n = hashes.select(F.approx_count_distinct(column)).first()[0]
+    log2 = min(FILTER_LOG2_BITS, max(16, int(32 * n).bit_length()))
+    place = F.shiftrightunsigned(column, 64 - log2)
+    words = (hashes.select(F.shiftright(place, 6).alias("w"), F.pmod(place, F.lit(64)).cast("int").alias("b"))
+             .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits")).toArrow())
+    table = np.zeros(1 << (log2 - 6), np.uint64)
+    table[words.column("w").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return table
+
+
+def bit_held(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set."""
+    place = hashes >> np.uint64(64 - (len(table).bit_length() + 5))
+    return (table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], text_column: str = "text",
                 max_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``max_bytes`` of text (one

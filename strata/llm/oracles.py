@@ -99,3 +99,27 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(places.n, 0) as n_hit
        sha256(coalesce(lists.s, '')) as items_sha256, places.n is not null as contaminated
 from d left join places using (r) left join lists using (r)
 """
+
+
+def phrases_sql(max_words: int = 5, min_count: int = 100, top: int = 2000) -> str:
+    """Every n-gram counted as a list; every cut and every inner phrase looked up."""
+    lower = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+    return f"""
+with p as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({lower}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from p),
+total as (select lang, sum(len(w)) as n from w group by lang),
+g as (select lang, list_slice(w, i, i + m - 1) as gram, m
+      from (select lang, w, m, unnest(range(1, len(w) - m + 2)) as i from w, range(1, {max_words + 1}) t(m) where len(w) >= m)),
+f as (select lang, gram, m, count(*) as c from g group by lang, gram, m having count(*) >= {min_count}),
+parts as (select lang, gram, m, c, i, j from f, range(1, {max_words + 1}) a(i), range(1, {max_words + 1}) b(j) where i <= j and j <= m),
+inner_ as (select distinct lang, list_slice(gram, i, j) as gram, c from parts where j - i + 1 between 2 and m - 1),
+kept as (select * from f where m > 1 and not exists (select 1 from inner_ q where q.lang = f.lang and q.gram = f.gram and q.c >= f.c)),
+cuts as (select k.lang, k.gram, k.c as a, i as k, l.c as l, r.c as r
+         from kept k, range(1, {max_words}) t(i), f l, f r
+         where i < k.m and l.lang = k.lang and r.lang = k.lang and l.gram = list_slice(k.gram, 1, i) and r.gram = list_slice(k.gram, i + 1, k.m)),
+scored as (select cuts.*, n, (1000::hugeint * a * n) // (l::hugeint * r) as score from cuts join total using (lang)),
+best as (select * from scored qualify row_number() over (partition by lang, gram order by score, k) = 1),
+ranked as (select *, array_to_string(gram, ' ') as phrase,
+                  row_number() over (partition by lang order by score desc, a desc, array_to_string(gram, ' ')) as rank from best)
+select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score from ranked where rank <= {top}
+"""

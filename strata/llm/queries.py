@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (forest_dedup, mixing, oracles, pieces, quality_crf, secret_scan, sharding, simhash,
+from strata.llm import (alignment, forest_dedup, mixing, oracles, phrases, pieces, quality_crf, secret_scan, sharding, simhash,
                         suffix_dedup, token_files, url_filter, winnowing)
 from strata.llm.common import read_table
 
@@ -55,12 +55,22 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_token_files, op3_mixing, op4_forest_dedup, op5_simhash, op6_suffix_dedup,
-    op7_sharding, op8_pieces, op9_quality_crf, op10_url_filter, op12_winnowing)}
+    op7_sharding, op8_pieces, op9_quality_crf, op10_url_filter,
+    op11_alignment, op12_winnowing, op13_phrases)}
 ORACLES: dict[str, str] = {"op3_mixing": oracles.mixing_sql(), "op10_url_filter": oracles.url_filter_sql(),
-                           "op12_winnowing": oracles.winnowing_sql()}
+                           "op12_winnowing": oracles.winnowing_sql(), "op13_phrases": oracles.phrases_sql()}

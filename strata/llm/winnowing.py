@@ -41,11 +41,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
-from strata.llm.common import join_hot, materialise, text_slices
+from strata.llm.common import bit_held, bit_table, join_hot, materialise, text_slices
 
 WINDOW = 10
 GRAM = 5
-FILTER_LOG2_BITS = 26           # 8 MB at most
 _REMEMBER = 200_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -141,30 +140,11 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
             .mapInArrow(run, "item string, size int, fp long, win long").distinct())
 
 
-def bit_table(fingerprints: DataFrame, column: str = "fp") -> np.ndarray:
-    """A table of bits, set where a fingerprint falls; about 32 bits for each, at
-    most 2 ** FILTER_LOG2_BITS however many there are."""
-    n = fingerprints.select(F.approx_count_distinct(column)).first()[0]
-    log2 = min(FILTER_LOG2_BITS, max(16, int(32 * n).bit_length()))
-    place = F.shiftrightunsigned(column, 64 - log2)
-    words = (fingerprints.select(F.shiftright(place, 6).alias("w"), F.pmod(place, F.lit(64)).cast("int").alias("b"))
-             .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits")).toArrow())
-    table = np.zeros(1 << (log2 - 6), np.uint64)
-    table[words.column("w").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    return table
-
-
-def _held(table: np.ndarray, fp: np.ndarray) -> np.ndarray:
-    log2 = len(table).bit_length() + 5
-    place = fp >> np.uint64(64 - log2)
-    return (table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-
-
 def marked_documents(docs: DataFrame, items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, key, slot, n_words, windows): the windows of a document whose
     fingerprint the bit table holds; ``key`` tells texts apart."""
     spark = docs.sparkSession
-    table = spark.sparkContext.broadcast(bit_table(items))          # size bounded above
+    table = spark.sparkContext.broadcast(bit_table(items, "fp"))    # size bounded above
     shorter = sorted(r["size"] for r in items.select("size").distinct().collect() if r["size"] < WINDOW)   # <= WINDOW rows
     id_type = docs.schema[id_col].dataType.simpleString()
     window_type = pa.struct([("at", pa.int32()), ("size", pa.int32()), ("fp", pa.int64()), ("win", pa.int64())])
@@ -176,7 +156,7 @@ def marked_documents(docs: DataFrame, items: DataFrame, id_col: str, text_col: s
             hashes, starts = hasher(texts)
             parts = []
             for size, at, fp, win in _windows(hashes, starts, shorter):
-                hit = _held(table.value, fp)
+                hit = bit_held(table.value, fp)
                 parts.append((at[hit], np.full(int(hit.sum()), size, np.int32), fp[hit], win[hit]))
             at, size, fp, win = (np.concatenate(c) for c in zip(*parts))
             order = np.lexsort((size, at))

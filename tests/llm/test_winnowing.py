@@ -102,7 +102,7 @@ def test_every_shared_window_shares_a_fingerprint():
 
 def test_a_full_bit_table_loses_nothing(spark, monkeypatch):
     """With every bit set the joins alone decide."""
-    monkeypatch.setattr(W, "bit_table", lambda items: ~W.np.zeros(1 << 10, W.np.uint64))
+    monkeypatch.setattr(W, "bit_table", lambda items, column: ~W.np.zeros(1 << 10, W.np.uint64))
     check(spark, *made(1))
 
 
