@@ -8,10 +8,10 @@ decoded struct, ``try_cast`` typing, and a routed multi-table write.
 Scale notes:
 
 * The landing is partitioned by operation and table name (see
-  ``streaming.landing``); each table's write reads only its own partition, so
-  nothing is cached, no other record is decoded and no metadata is parsed.
-  An envelope without these columns is first written in that layout below the
-  shared checkpoint folder, decoding its metadata once.
+  ``streaming.landing``).  The change job runs one stream per route
+  (``route_rows``), which reads only the route's files.  The batch form
+  (``apply_changes``) first writes an envelope in that layout below the shared
+  checkpoint folder, decoding its metadata once.
 * The list of tables to write is the registered tables present in the batch,
   a bounded list (at most the registry size) -- never the data itself.
 """
@@ -154,6 +154,40 @@ def run_concurrently(fn, items, parallelism: int = 1) -> None:
             f.result()  # re-raise the first failure
 
 
+def route_rows(envelope: DataFrame, operation: str, spec: TableSpec, cutover_notice: str | None = None) -> DataFrame:
+    """Typed rows of one operation and table from a routed envelope (data,
+    metadata, operation, table_name), batch or streaming.
+
+    The route is a filter on partition columns, so only the route's files are
+    read, and the metadata text only where the cut-over asks for its time.
+    ``__rejects`` holds what typing made NULL: (field, value) of every value that
+    its type rejects, or (NULL, payload) where the payload gave no field at all."""
+    rows = envelope.where((F.col("operation") == operation) & (F.col("table_name") == spec.name))
+    if cutover_notice is not None:
+        rows = rows.where(cutover_condition(F.from_json("metadata", METADATA_SCHEMA)["timestamp"], cutover_notice))
+    decoded = rows.select(F.from_json("data", spec.json_schema).alias("row"), F.col("data").alias("payload"))
+    values = {f.name: F.col(f"row.`{f.name}`") for f in spec.json_schema.fields}
+    typed = {f: v.try_cast(spec.cast_type(f)) if spec.cast_type(f) is not None else v for f, v in values.items()}
+    lost = [F.when(v.isNotNull() & typed[f].isNull(), F.struct(F.lit(f).alias("field"), v.alias("value")))
+            for f, v in values.items() if spec.cast_type(f) is not None]
+    empty = F.coalesce(*values.values()).isNull()
+    lost.append(F.when(empty, F.struct(F.lit(None).cast("string").alias("field"), F.col("payload").alias("value"))))
+    return decoded.select(*[c.alias(f) for f, c in typed.items()], F.array_compact(F.array(*lost)).alias("__rejects"))
+
+
+def route_metrics() -> dict[str, Column]:
+    """Aggregates over what :func:`route_rows` returns: payloads that gave no
+    field, and values that their type rejected."""
+    undecoded = F.exists("__rejects", lambda r: r["field"].isNull())
+    return {"undecoded": F.count_if(undecoded),
+            "rejected": F.coalesce(F.sum(F.when(~undecoded, F.size("__rejects"))), F.lit(0))}
+
+
+def rejected_values(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """(table_name, field, value) of what typing made NULL in :func:`route_rows`."""
+    return rows.select(F.lit(spec.name).alias("table_name"), F.inline("__rejects"))
+
+
 def routed_rows(envelope: DataFrame, operations: tuple[str, ...], registry: dict[str, TableSpec],
                 cutover_notice: str | None = None) -> DataFrame:
     """(data, operation, table_name) of registered tables, so laid out that a

@@ -18,19 +18,21 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.audit import audit_columns
-from strata.operators.cdc import apply_changes, route_name, run_concurrently
+from strata.operators.cdc import rejected_values, route_metrics, route_name, route_rows, run_concurrently
 from strata.operators.customer import customer_star
-from strata.schemas import (ENVELOPE_SCHEMA, PARTITION_KEYS, ROUTED_ENVELOPE_SCHEMA,
+from strata.schemas import (ENVELOPE_SCHEMA, PARTITION_KEYS, REGISTRY, ROUTE_COLUMNS, ROUTED_ENVELOPE_SCHEMA,
                             UPDATE_HISTORY_TABLES, TableSpec, spec_of_folder)
 from strata.session import ensure_checkpoint_dir, path_exists, path_join
 from strata.sinks.files import write_csv_pipe, write_parquet, write_refined
 from strata.sources import catalog as CAT
 from strata.sources.files import (match_columns, scan_csv_named, scan_csv_pipe, scan_match_clusters,
                                   scan_partition_pruned)
-from strata.streaming.incremental import BatchLedger, commit_part, incremental_foreach
+from strata.streaming.incremental import LOAD_COLUMN, incremental_copy, incremental_source, run_routes
+from strata.streaming.landing import routed_envelope
 
 
 def _folder(path: str) -> str:
@@ -63,7 +65,7 @@ def full_load_snapshot(spark: SparkSession, database: str, raw_root: str,
 def raw_to_transient(spark: SparkSession, raw: str, transient_path: str,
                      table: str | None = None, schema: T.StructType | None = None,
                      infer: bool = False, mode: str = "append", escaped_breaks: bool = False,
-                     zone: str | None = None, prefix: str = "") -> DataFrame:
+                     zone: str | None = None, prefix: str = "", load: str | None = None) -> DataFrame:
     """Pipe-CSV (a folder or ``zone.table``) -> Parquet.  Returns the frame that
     was written.
 
@@ -71,7 +73,9 @@ def raw_to_transient(spark: SparkSession, raw: str, transient_path: str,
     ``schema``, else by the registered table that ``table`` or the folder name
     says.  Types are inferred (an extra pass; leading zeros are lost) only with
     ``infer``.  Appends by default: re-running a load doubles its rows, as the
-    plain full-load hop has no bookmark.  ``zone``: keep the catalog up to date."""
+    plain full-load hop has no bookmark.  With ``load`` the rows are that load's
+    partition of the table: the same load again replaces it, and change rows
+    (other partitions) stay.  ``zone``: keep the catalog up to date."""
     path, _ = CAT.resolve_input(spark, raw)
     if infer:
         df = scan_csv_pipe(spark, path, infer=True)
@@ -82,9 +86,12 @@ def raw_to_transient(spark: SparkSession, raw: str, transient_path: str,
                 raise ValueError(f"no registered table for {table or path!r}: pass schema, or infer=True")
             schema = spec.typed_schema
         df = scan_csv_named(spark, path, schema, escaped_breaks)
-    write_parquet(df, transient_path, mode=mode)
+    write_parquet(df, transient_path if load is None else path_join(transient_path, f"{LOAD_COLUMN}={load}"),
+                  mode=mode if load is None else "overwrite")
     if zone:
-        CAT.refresh_table(spark, zone, _folder(transient_path), transient_path, df.schema, prefix)
+        keys = None if load is None else (LOAD_COLUMN,)
+        schema = df.schema if load is None else T.StructType([*df.schema.fields, T.StructField(LOAD_COLUMN, T.StringType())])
+        CAT.refresh_table(spark, zone, _folder(transient_path), transient_path, schema, prefix, keys)
     return df
 
 
@@ -93,30 +100,50 @@ def cdc_to_transient(spark: SparkSession, landing_path: str, transient_root: str
                      registry: dict[str, TableSpec] | None = None,
                      max_files_per_trigger: int | None = None, routed: bool = True,
                      max_bytes_per_trigger: int | None = None, cutover_notice: str | None = None,
-                     zone: str | None = None, prefix: str = "") -> None:
+                     zone: str | None = None, prefix: str = "", parallelism: int = 4,
+                     rejects_root: str | None = None) -> dict[str, dict[str, int]]:
     """Incremental run over newly landed change events for one operation or
     several (inserts go to ``<t>``, updates to ``<t>_cdc_update``).
 
-    Each micro-batch is routed to one folder per table, and each of these is
-    committed exactly once.  ``routed`` tells whether the landing is partitioned
-    by operation and table name.  ``cutover_notice``: leave out changes before
-    that snapshot.  ``zone``: keep the catalog up to date."""
-    ledger = BatchLedger(spark, path_join(checkpoint, "ledger"))
-
-    def batch_fn(batch: DataFrame, batch_id: int) -> None:
-        def sink(df: DataFrame, path: str, route: str) -> None:
-            commit_part(df, path, ledger, batch_id, route)
-            if zone:
-                CAT.refresh_table(spark, zone, route, path, df.schema, prefix)
-
-        # the catalog is changed by one thread at a time
-        apply_changes(batch, operations, transient_root, registry=registry, sink=sink,
-                      cutover_notice=cutover_notice, parallelism=1 if zone else 4)
-
-    schema = ROUTED_ENVELOPE_SCHEMA if routed else ENVELOPE_SCHEMA
-    incremental_foreach(spark, landing_path, schema, path_join(checkpoint, "stream"),
-                        batch_fn, max_files_per_trigger=max_files_per_trigger,
-                        max_bytes_per_trigger=max_bytes_per_trigger)
+    One stream per operation and registered table that the landing holds: it
+    finds new files through the landing's own log and reads those of its route
+    only.  Every micro-batch is one ``load=`` partition of the route's table, so
+    a batch that runs again adds nothing.  ``routed=False``: a landing that is
+    not partitioned by operation and table is first landed again so, below the
+    checkpoint, decoding its metadata once.  ``cutover_notice``: leave out
+    changes before that snapshot.  ``rejects_root``: keep what typing made NULL,
+    one table (table_name, field, value) per route.  ``zone``: keep the catalog
+    up to date.
+
+    Returns per route the counts of this run, observed in the writes: ``rows``,
+    ``undecoded`` payloads and ``rejected`` values."""
+    registry = registry or REGISTRY
+    operations = (operations,) if isinstance(operations, str) else tuple(operations)
+    if not routed:
+        flat, landing_path = landing_path, path_join(checkpoint, "routed")
+        known = F.col("operation").isin(*operations) & F.col("table_name").isin(*sorted(registry))
+        incremental_copy(spark, flat, ENVELOPE_SCHEMA, landing_path, path_join(checkpoint, "routing"),
+                         transform=lambda df: routed_envelope(df).where(known), partition_by=ROUTE_COLUMNS,
+                         max_files_per_trigger=max_files_per_trigger, max_bytes_per_trigger=max_bytes_per_trigger)
+    present = {(op, t) for op in operations for t, _ in CAT.list_partitions(spark, path_join(landing_path, f"operation={op}"))}
+    routes, targets, also = {}, {}, {}
+    for op in operations:
+        for spec in registry.values():
+            if (op, spec.name) in present:
+                name = route_name(spec.name, op)
+                targets[name] = path_join(transient_root, name)
+                also[name] = (lambda batch, spec=spec: rejected_values(batch, spec), path_join(rejects_root or "", name))
+                routes[name] = lambda op=op, spec=spec: route_rows(
+                    incremental_source(spark, landing_path, ROUTED_ENVELOPE_SCHEMA, "parquet", max_files_per_trigger,
+                                       max_bytes_per_trigger=max_bytes_per_trigger), op, spec, cutover_notice)
+    counts = run_routes(spark, routes, targets, path_join(checkpoint, "routes"), {n: route_metrics() for n in routes},
+                        parallelism, also if rejects_root else None)
+    if zone:
+        for name, count in counts.items():
+            if count.get("rows"):
+                table = spark.read.parquet(targets[name])
+                CAT.refresh_table(spark, zone, name, targets[name], table.schema, prefix, (LOAD_COLUMN,))
+    return counts
 
 
 def transient_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -125,7 +152,8 @@ def transient_schema(spark: SparkSession, path: str) -> T.StructType:
     spec = spec_of_folder(path)
     if spec is not None:
         return spec.typed_schema
-    return spark.read.option("mergeSchema", "true").parquet(path).schema
+    merged = spark.read.option("mergeSchema", "true").parquet(path).schema
+    return T.StructType([f for f in merged.fields if f.name != LOAD_COLUMN])
 
 
 def transient_to_refined(spark: SparkSession, transient: str, refined_path: str,
@@ -136,21 +164,27 @@ def transient_to_refined(spark: SparkSession, transient: str, refined_path: str,
                          max_bytes_per_trigger: int | None = None,
                          zone: str | None = None, prefix: str = "") -> None:
     """Incremental run: new files of a transient table (a folder or
-    ``zone.table``) + audit columns -> refined, partitioned by
-    create_year/create_month/create_date; every batch is committed once."""
+    ``zone.table``, plain or with ``load=`` partitions) + audit columns -> refined,
+    partitioned by create_year/create_month/create_date.
+
+    Spark's own file sink: its log makes every batch count once, for readers of
+    the folder and of the catalog table alike.  Without ``as_of`` the load time
+    is the micro-batch's, which a replay takes over from the stream's log."""
     path, known = CAT.resolve_input(spark, transient)
     schema = schema or known or transient_schema(spark, path)
-    ledger = BatchLedger(spark, path_join(checkpoint, "ledger"))
-
-    def batch_fn(batch: DataFrame, batch_id: int) -> None:
-        audited = audit_columns(batch, create_user, create_process, first_source, as_of)
-        commit_part(audited, refined_path, ledger, batch_id, "refined", PARTITION_KEYS)
-        if zone:
-            CAT.refresh_table(spark, zone, _folder(refined_path), refined_path, audited.schema, prefix, PARTITION_KEYS)
-
-    incremental_foreach(spark, path, schema, path_join(checkpoint, "stream"),
-                        batch_fn, max_files_per_trigger=max_files_per_trigger,
-                        max_bytes_per_trigger=max_bytes_per_trigger)
+    if CAT.list_partitions(spark, path, LOAD_COLUMN) and LOAD_COLUMN not in schema.fieldNames():
+        schema = T.StructType([*schema.fields, T.StructField(LOAD_COLUMN, T.StringType())])
+    loads = LOAD_COLUMN in schema.fieldNames() and bool(CAT.list_partitions(spark, path, LOAD_COLUMN))
+
+    def audited(df: DataFrame) -> DataFrame:
+        return audit_columns(df.drop(LOAD_COLUMN) if loads else df, create_user, create_process, first_source, as_of)
+
+    incremental_copy(spark, path, schema, refined_path, path_join(checkpoint, "stream"), transform=audited,
+                     partition_by=PARTITION_KEYS, max_files_per_trigger=max_files_per_trigger,
+                     max_bytes_per_trigger=max_bytes_per_trigger)
+    if zone and path_exists(spark, refined_path):
+        table = audited(spark.createDataFrame([], schema))
+        CAT.refresh_table(spark, zone, _folder(refined_path), refined_path, table.schema, prefix, PARTITION_KEYS)
 
 
 def update_history_to_refined(spark: SparkSession, transient_root: str, refined_root: str,

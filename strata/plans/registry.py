@@ -297,7 +297,7 @@ def _applied_oracle(*routes: tuple[str, str], tables=FX.CDC_TABLES, extra: str =
 
 
 def _read_routed(spark, written: dict[str, str]) -> DataFrame:
-    frames = [spark.read.parquet(p).withColumn("target", F.lit(p.rstrip("/").rsplit("/", 1)[-1]))
+    frames = [spark.read.parquet(p).drop("load").withColumn("target", F.lit(p.rstrip("/").rsplit("/", 1)[-1]))
               for p in written.values()]
     out = frames[0]
     for f in frames[1:]:
@@ -342,6 +342,56 @@ def q_cdc_apply_all_routed(spark, sf_dir):
     return _read_routed(spark, {t: p for t, p in CAT.list_subfolders(spark, transient)})
 
 
+def _rejected(table: str) -> list[tuple[str, str, str]]:
+    """(field, value, condition) of what the cast map makes NULL, for DuckDB."""
+    kinds = {"long": "bigint", "double": "double", "boolean": "boolean"}
+    return [(f, f"cast({e} as varchar)", f"cast({e} as varchar) is not null and try_cast(cast({e} as varchar) as {kinds[t]}) is null")
+            for f, e in FX.CDC_FIELDS[table].items() for t in [dict(REGISTRY[table].casts).get(f)] if t]
+
+
+@register("cdc_counts", _CDC_CTE + "\nunion all\n".join(
+    f"select '{t.lower()}{suffix}' as target, count(*) as n_rows, cast(0 as bigint) as n_undecoded, cast(coalesce(sum(0"
+    + "".join(f" + case when {c} then 1 else 0 end" for _, _, c in _rejected(t)) + "), 0) as bigint) as n_rejected "
+    f"from c where op = '{op}' and tbl = '{t}' having count(*) > 0"
+    for op, suffix in (_INSERT, _UPDATE) for t in FX.CDC_TABLES))
+def q_cdc_counts(spark, sf_dir):
+    """Counts observed while two change runs write, no pass of their own."""
+    root = scratch_path(spark, "zones")
+    frames = []
+    for part in _time_slices(FX.fx_cdc_base(spark, sf_dir), "ts", ("2024-01-16",)):
+        landing = _land(spark, spark.sql(FX.FX_CDC, fx_cdc_base=part), root)
+        counts = J.cdc_to_transient(spark, landing, path_join(root, "transient"), ("insert", "update"), path_join(root, "_ck"))
+        frames += [(t, n["rows"], n["undecoded"], n["rejected"]) for t, n in counts.items() if n]
+    out = spark.createDataFrame(frames, "target string, n_rows long, n_undecoded long, n_rejected long")
+    return out.groupBy("target").agg(*[F.sum(c).alias(c) for c in out.columns[1:]])
+
+
+@register("cdc_rejected_values", _CDC_CTE + "\nunion all\n".join(
+    f"select '{t}' as table_name, '{f}' as field, {v} as value from c where op = 'insert' and tbl = '{t}' and {cond}"
+    for t in FX.CDC_TABLES for f, v, cond in _rejected(t)))
+def q_cdc_rejected_values(spark, sf_dir):
+    """What typing made NULL is kept beside the tables, field and text."""
+    root = scratch_path(spark, "zones")
+    landing, rejects = _land(spark, FX.fx_cdc(spark, sf_dir), root), path_join(root, "rejects")
+    J.cdc_to_transient(spark, landing, path_join(root, "transient"), "insert", path_join(root, "_ck"), rejects_root=rejects)
+    return SRC.union_all([spark.read.parquet(path).drop("load") for _, path in CAT.list_subfolders(spark, rejects)])
+
+
+@register("full_load_rerun", _CDC_CTE + f"""
+select {_typed_select('T_Demographic')} from c where tbl = 'T_Demographic' and op <> 'delete'
+""")
+def q_full_load_rerun(spark, sf_dir):
+    """The same full load twice, change inserts before and between: each row once."""
+    root = scratch_path(spark, "zones")
+    raw, table = path_join(root, "raw/T_Demographic"), path_join(root, "transient/t_demographic")
+    landing = _land(spark, FX.fx_cdc(spark, sf_dir), root)
+    write_csv_pipe(_change_rows(spark, sf_dir, "T_Demographic", "op = 'update'"), raw)
+    for _ in range(2):
+        J.cdc_to_transient(spark, landing, path_join(root, "transient"), "insert", path_join(root, "_ck"))
+        J.raw_to_transient(spark, raw, table, escaped_breaks=True, load="full")
+    return spark.read.parquet(table).drop("load")
+
+
 @register("route_target", _CDC_CTE + f"""
 select lower(tbl) || case when op = 'update' then '_cdc_update' else '' end as target,
        count(*) as cnt
@@ -720,14 +770,9 @@ def q_incremental_empty_run(spark, sf_dir):
     root = scratch_path(spark, "incremental")
     landing, sink, ck = (path_join(root, p) for p in ("landing", "sink", "_checkpoint"))
     write_parquet(ev, landing)
-    ledger = INC.BatchLedger(spark, path_join(root, "_ledger"))
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        INC.commit_part(batch, sink, ledger, batch_id, "events")
-
     for _ in range(3):
-        INC.incremental_foreach(spark, landing, ev.schema, ck, append)
-    return spark.read.parquet(sink)
+        INC.run_routes(spark, {"events": lambda: INC.incremental_source(spark, landing, ev.schema)}, {"events": sink}, ck)
+    return spark.read.parquet(sink).drop("load")
 
 
 @register("cdc_land_stream", _CDC_CTE + f"""

@@ -173,3 +173,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     sc = spark.sparkContext
     jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is below it."""
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)

@@ -73,7 +73,7 @@ def register_table(spark: SparkSession, zone: str, name: str, path: str | None,
         part_sql = " PARTITIONED BY (" + ", ".join(_ident(c) for c in partition_by) + ")"
     loc_sql = f" LOCATION {_lit(path)}" if path is not None else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {full} {cols} USING {fmt}{opt_sql}{part_sql}{loc_sql}")
-    if partition_by and path is not None:
+    if partition_by and path is not None and not has_sink_log(spark, path):
         spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
     return f"{zone}.{name}"
 
@@ -92,6 +92,12 @@ def evolve_table(spark: SparkSession, zone: str, name: str, batch_schema: T.Stru
     return [f.name for f in new]
 
 
+def has_sink_log(spark: SparkSession, path: str) -> bool:
+    """Whether a stream's file sink keeps the folder: Spark then takes files and
+    partitions from the sink's log, and the catalog keeps no partitions."""
+    return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
+
+
 def refresh_table(spark: SparkSession, zone: str, folder: str, path: str, schema: T.StructType,
                   prefix: str = "", partition_by: tuple[str, ...] | None = None) -> str:
     """Catalog upkeep after a write to ``path``: register the folder as
@@ -102,7 +108,7 @@ def refresh_table(spark: SparkSession, zone: str, folder: str, path: str, schema
     if not spark.catalog.tableExists(f"{zone}.{name}"):
         return register_table(spark, zone, name, path, schema=schema, partition_by=partition_by)
     evolve_table(spark, zone, name, T.StructType([f for f in schema.fields if f.name not in (partition_by or ())]))
-    if partition_by:
+    if partition_by and not has_sink_log(spark, path):
         spark.sql(f"ALTER TABLE {_ident(zone)}.{_ident(name)} RECOVER PARTITIONS")
     spark.catalog.refreshTable(f"{zone}.{name}")
     return f"{zone}.{name}"
@@ -164,6 +170,12 @@ def list_subfolders(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     return sorted(out)
 
 
+def list_partitions(spark: SparkSession, root: str, column: str | None = None) -> list[tuple[str, str]]:
+    """(value, path) of the ``column=value`` folders of ``root`` (of any column by default)."""
+    found = [(name.split("=", 1), path) for name, path in list_subfolders(spark, root) if "=" in name]
+    return [(value, path) for (key, value), path in found if column in (None, key)]
+
+
 def register_folder_tables(spark: SparkSession, zone: str, root: str, fmt: str = "parquet",
                            prefix: str = "", partition_by: tuple[str, ...] | None = None,
                            options: dict[str, str] | None = None) -> list[str]:

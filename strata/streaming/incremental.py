@@ -6,22 +6,31 @@ stops.  One call = one scheduled run (e.g. the daily batch).  The bookmark
 advances only when a micro-batch commits, and a run that finds no new
 files does nothing (the emptiness guard).
 
-Two sinks:
-
-* ``incremental_copy`` -- Spark's file sink (exactly-once via its log).
-* ``incremental_foreach`` -- a ``foreachBatch`` function for multi-table or
-  partitioned writes; the function gets the micro-batch DataFrame and its id.
+Three sinks:
+
+* ``incremental_copy`` -- Spark's file sink (exactly-once via its log), for a
+  table that one stream alone writes.
+* ``run_routes`` -- a stream per target table, each micro-batch written as its
+  own ``load=`` partition, for tables that other loads append to as well.  A
+  replayed batch has the same load name, so it adds nothing.
+* ``incremental_foreach`` -- any other ``foreachBatch`` function; it gets the
+  micro-batch DataFrame and its id.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import path_join
+from strata.session import delete_path, path_exists, path_join
+
+# Partition column of tables that several loads append to.
+LOAD_COLUMN = "load"
 
 # Spark's file source leaves out files older than this, seen from the newest
 # one (7 days by default); restored and backfilled files must be read too.
@@ -88,80 +97,66 @@ def incremental_foreach(spark: SparkSession, source: str, schema: T.StructType,
                       .option("checkpointLocation", checkpoint))
 
 
-def commit_part(df: DataFrame, target: str, ledger: BatchLedger, batch_id: int, part: str,
-                partition_by: tuple[str, ...] | None = None) -> None:
-    """Append ``df`` to ``target`` exactly once per (ledger, batch, part).
+def load_name(checkpoint: str, batch_id: int) -> str:
+    """Name of a micro-batch's load: the same for every attempt at it, another
+    for every other stream and batch."""
+    return f"{hashlib.md5(checkpoint.rstrip('/').encode()).hexdigest()[:10]}-{int(batch_id)}"
+
+
+def write_load(df: DataFrame, table_path: str, load: str, metrics: dict[str, Column] | None = None) -> dict[str, int]:
+    """Write ``df`` as the partition ``load=<load>`` of a table, replacing what an
+    earlier attempt at the same load may have left there.
 
-    The rows are first written (overwriting) to a folder of this part next to
-    the data, then its files move into the table under names that begin with
-    the part's token.  A replay after a failure at any point finds the marker
-    (nothing to do), or starts by removing files with its token that an earlier
-    attempt had moved already.  Readers ignore the staging folder."""
-    if ledger.done(batch_id, part):
-        return
+    Spark's committer ends a complete write with ``_SUCCESS``; a load that has
+    it is left as it is, so files that others may have read already are not
+    replaced.  Returns ``metrics`` (aggregates observed in the write itself) and
+    ``rows``; a load without rows leaves nothing behind."""
     spark = df.sparkSession
-    token = ledger.token(batch_id, part)
-    staging = path_join(target, "_staging", token)
-    replay = ledger.begun(batch_id, part)
-    ledger.begin(batch_id, part)
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staging)
-    fs, to_path = _file_system(spark, target)
-    if replay:
-        levels = "/*" * len(partition_by or ())
-        for status in fs.globStatus(to_path(f"{target}{levels}/{token}-*")) or ():
-            fs.delete(status.getPath(), False)
-    prefix = fs.makeQualified(to_path(staging)).toString()
-    files = fs.listFiles(to_path(staging), True)
-    while files.hasNext():            # one entry per task and partition value of this batch
-        path = files.next().getPath()
-        if path.getName().startswith(("_", ".")):
-            continue
-        folder = path.getParent().toString()[len(prefix):].strip("/")
-        into = path_join(target, folder) if folder else target
-        fs.mkdirs(to_path(into))
-        if not fs.rename(path, to_path(f"{into}/{token}-{path.getName()}")):
-            raise OSError(f"cannot move {path} to {into}")
-    ledger.mark(batch_id, part)
-    fs.delete(to_path(staging), True)
-
-
-def _file_system(spark: SparkSession, path: str):
-    sc = spark.sparkContext
-    to_path = sc._jvm.org.apache.hadoop.fs.Path
-    return to_path(path).getFileSystem(sc._jsc.hadoopConfiguration()), to_path
-
-
-class BatchLedger:
-    """Markers below a checkpoint folder: which parts of a micro-batch began,
-    and which are committed, so that a replayed batch (after a driver or
-    executor failure) neither skips nor doubles rows (see ``commit_part``).
-
-    Markers are empty files created through the Hadoop filesystem API."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self._root = root.rstrip("/")
-        self._fs, self._path = _file_system(spark, self._root)
-
-    def _marker(self, batch_id: int, part: str):
-        return self._path(f"{self._root}/{int(batch_id)}/{part}")
-
-    def token(self, batch_id: int, part: str) -> str:
-        """File name prefix of a part, different for every ledger folder."""
-        folder = self._fs.makeQualified(self._path(self._root)).toString()
-        return f"{hashlib.md5(folder.encode()).hexdigest()[:12]}-{int(batch_id)}-{part}"
-
-    def begun(self, batch_id: int, part: str) -> bool:
-        return self._fs.exists(self._marker(batch_id, f"{part}.begun"))
-
-    def begin(self, batch_id: int, part: str) -> None:
-        self._fs.create(self._marker(batch_id, f"{part}.begun"), True).close()
-
-    def done(self, batch_id: int, part: str) -> bool:
-        return part in self.done_parts(batch_id, [part])
-
-    def done_parts(self, batch_id: int, parts) -> set[str]:
-        return {p for p in parts if self._fs.exists(self._marker(batch_id, p))}
-
-    def mark(self, batch_id: int, part: str) -> None:
-        self._fs.create(self._marker(batch_id, part), True).close()
+    path = path_join(table_path, f"{LOAD_COLUMN}={load}")
+    if path_exists(spark, path_join(path, "_SUCCESS")):
+        return {}
+    seen = Observation()
+    aggregates = [F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in (metrics or {}).items())]
+    written = df.observe(seen, *aggregates)
+    written.drop(*[c for c in df.columns if c.startswith("__")]).write.mode("overwrite").parquet(path)
+    counts = seen.get
+    if counts["rows"] == 0:
+        delete_path(spark, path)
+    return counts
+
+
+def run_routes(spark: SparkSession, routes: dict[str, Callable[[], DataFrame]], targets: dict[str, str], checkpoint: str,
+               metrics: dict[str, dict[str, Column]] | None = None, parallelism: int = 4,
+               also: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] | None = None) -> dict[str, dict[str, int]]:
+    """One ``availableNow`` stream per route, up to ``parallelism`` at a time.
+
+    ``routes[name]()`` is a streaming frame; each micro-batch of it becomes a load
+    of ``targets[name]``.  A stream has its own checkpoint, so a route that fails
+    holds nothing else back; the first error is raised after all have ended.
+    ``also[name]`` is a second output of a route (a function of the batch, and
+    the table it goes to), written unless the metrics say that only ``rows`` is
+    not zero.  Columns that begin with ``__`` are for metrics and second outputs.
+    Returns the summed metrics of this run's batches per route."""
+    totals: dict[str, dict[str, int]] = {}
+
+    def run(name: str) -> None:
+        own = path_join(checkpoint, name)
+        total = totals.setdefault(name, {})
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            load = load_name(own, batch_id)
+            counts = write_load(batch, targets[name], load, (metrics or {}).get(name))
+            for key, n in counts.items():
+                total[key] = total.get(key, 0) + n
+            # no counts: an earlier attempt wrote the rows, but maybe not this
+            if also and (not counts or any(n for key, n in counts.items() if key != "rows")):
+                second, path = also[name]
+                write_load(second(batch), path, load)
+
+        run_available_now(routes[name]().writeStream.foreachBatch(write).option("checkpointLocation", own))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        runs = [pool.submit(run, name) for name in routes]
+    for done in runs:
+        done.result()
+    return totals
