@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 from strata.functions import keys as K
 from strata.operators import cdc as CDC
 from strata.operators import customer as C
+from strata.operators import integrity as INT
 from strata.operators import schema_ops as SO
 from strata.operators.audit import audit_columns
 from strata.plans import fixtures as FX
 from strata.plans import jobs as J
 from strata.schemas import PARTITION_KEYS, REGISTRY
-from strata.session import move_files, path_join, scratch_path, scratch_zone, set_file_age
+from strata.session import delete_path, move_files, path_join, scratch_path, scratch_zone, set_file_age
 from strata.sinks.files import write_csv_pipe, write_parquet, write_refined
 from strata.sources import catalog as CAT
+from strata.sources import crawl as CRAWL
 from strata.sources import files as SRC
 from strata.streaming import incremental as INC
 from strata.streaming import landing as LAND
@@ -162,6 +164,41 @@ def q_customer_tables_job(spark, sf_dir):
                           for t, c in ids.items()])
 
 
+@register("fk_email_dangling", _CUSTOMER_CTES + f"""
+, f as (select {_EMAIL_KEY_D} as e, {_NAME_KEY} as n, {_ADDR_KEY} as a, {_PHONE_KEY} as p
+        from (select fm.bid, nullif(first_value(fm.bid) over (partition by fm.match_id order by fm.bid), fm.bid) as parent_bid
+              from (select distinct bid, match_id from fm) fm join (select distinct bid from d) x on fm.bid = x.bid) l
+        join (select distinct * from d) d on l.bid = d.bid group by l.bid, l.parent_bid, 1, 2, 3, 4)
+, k as (select fm.bid from fm join b on fm.bid = b.bid)
+, dims as (select 'customer_email' as dimension, {H("coalesce(lower(b.email), '')")} as key from b where b.bid in (select bid from fm)
+           union select 'customer_name', {_NAME_KEY} from d where d.bid in (select bid from k)
+           union select 'customer_address', {_ADDR_KEY} from d where d.bid in (select bid from k)
+           union select 'customer_phone', {_PHONE_KEY} from d where d.bid in (select bid from k))
+, keys as (select 'customer_email_id' as foreign_key, 'customer_email' as dimension, e as key from f
+           union all select 'customer_name_id', 'customer_name', n from f
+           union all select 'customer_address_id', 'customer_address', a from f
+           union all select 'customer_phone_id', 'customer_phone', p from f)
+select foreign_key, dimension, key, count(*) as n_rows from keys
+where not exists (select 1 from dims where dims.dimension = keys.dimension and dims.key = keys.key) group by all
+""")
+def q_fk_email_dangling(spark, sf_dir):
+    """Foreign keys of the customer table that no dimension row has."""
+    return INT.star_dangling(C.customer_star(*_star_inputs(spark, sf_dir)))
+
+
+@register("key_collisions", f"""
+with s as (select distinct {H("lower(o_orderstatus) || cast(o_custkey as varchar) || cast(o_orderkey % 100 as varchar)")} as key,
+                  lower(o_orderstatus) || '|' || cast(o_custkey as varchar) || '|' || cast(o_orderkey % 100 as varchar) as source from orders),
+r as (select key, source, row_number() over (partition by key order by source) as i, count(*) over (partition by key) as n from s)
+select key, n as n_sources, string_agg(source, ', ' order by source) as sources from r where n > 1 and i <= 10 group by key, n
+""")
+def q_key_collisions(spark, sf_dir):
+    """Composites without a separator that stand for unequal values."""
+    rows = _orders(spark, sf_dir).select("o_orderstatus", "o_custkey", (F.col("o_orderkey") % 100).alias("place"))
+    parts = ["o_orderstatus", "o_custkey", "place"]
+    return INT.key_collisions(rows, K.key_composite(*parts), parts)
+
+
 # --------------------------------------------------------------------------- key functions
 
 _KEY_CTES = _with(d=FX.FX_DEMOGRAPHIC)
@@ -560,6 +597,36 @@ def q_register_prefixed_tables(spark, sf_dir):
     return spark.table(f"{zone}.fig_orders")
 
 
+@register("incremental_crawl", """
+select 'fig_kept' as table_name, 'same' as state, count(*) as n_rows, cast(null as varchar) as deprecated from nation
+union all select 'fig_gone', 'vanished', null, 'true'
+union all select 'fig_fresh', 'new', count(*), null from supplier
+union all select 'fig_grown', 'changed', count(o_orderpriority), null from orders where o_orderkey % 3 > 0 and o_orderstatus <> 'P'
+""")
+def q_incremental_crawl(spark, sf_dir):
+    """Two crawls; between them a folder comes, one goes and one changes: a file
+    and a column are added, a partition is added, and one goes."""
+    root, manifest, zone = scratch_path(spark, "refined"), scratch_path(spark, "manifest"), _zone(spark, "strata_crawl")
+    orders = _orders(spark, sf_dir).where("o_orderkey % 3 > 0")
+    write_parquet(FX.read_table(spark, sf_dir, "nation"), path_join(root, "kept"))
+    write_parquet(FX.read_table(spark, sf_dir, "region"), path_join(root, "gone"))
+    write_parquet(orders.where("o_orderstatus <> 'F'").select("o_orderkey", "o_orderstatus"), path_join(root, "grown"), partition_by=("o_orderstatus",))
+    CRAWL.crawl(spark, zone, root, manifest, "fig_")
+    delete_path(spark, path_join(root, "gone"))
+    delete_path(spark, path_join(root, "grown", "o_orderstatus=P"))
+    delete_path(spark, path_join(root, "grown", "o_orderstatus=O"))
+    write_parquet(orders.where("o_orderstatus in ('F', 'O')").select("o_orderkey", "o_orderpriority", "o_orderstatus"),
+                  path_join(root, "grown"), partition_by=("o_orderstatus",))
+    write_parquet(FX.read_table(spark, sf_dir, "supplier"), path_join(root, "fresh"))
+    states = {"fig_" + r["folder"]: r["state"] for r in CRAWL.crawl(spark, zone, root, manifest, "fig_")}
+    counted = {"fig_kept": "count(*)", "fig_fresh": "count(*)", "fig_grown": "count(o_orderpriority)"}
+    frames = [spark.table(f"{zone}.{t}").selectExpr(f"'{t}' as table_name", f"'{states[t]}' as state", f"{c} as n_rows", "cast(null as string) as deprecated")
+              for t, c in counted.items()]
+    gone = spark.sql(f"SHOW TBLPROPERTIES {zone}.fig_gone").where("key = 'deprecated'").select(
+        F.lit("fig_gone").alias("table_name"), F.lit(states["fig_gone"]).alias("state"), F.lit(None).cast("long").alias("n_rows"), F.col("value").alias("deprecated"))
+    return SRC.union_all([*frames, gone])
+
+
 @register("evolve_table", """
 select s_suppkey, s_name, s_nationkey, case when s_nationkey < 13 then null else s_acctbal end as s_acctbal
 from supplier
@@ -692,6 +759,33 @@ def q_merge_compatible_schemas(spark, sf_dir):
     return SO.merge_compatible_schemas(spark, path)
 
 
+_EPOCHS = ("l_orderkey % 3 = 0", "l_orderkey % 3 = 1", "l_orderkey % 3 = 2")
+
+
+@register("merge_type_lattice", f"""
+select cast(l_orderkey as bigint) as l_orderkey, cast(l_linenumber as varchar) as l_linenumber,
+       cast(cast(l_quantity as integer) as double) as l_quantity, cast(cast(l_shipdate as date) as timestamp) as l_shipdate,
+       cast(null as varchar) as l_note from lineitem where {_EPOCHS[0]}
+union all
+select l_orderkey, 'n' || cast(l_linenumber as varchar), cast(l_quantity as double), cast(l_shipdate as timestamp), null from lineitem where {_EPOCHS[1]}
+union all
+select l_orderkey, cast(l_linenumber as varchar), null, cast(l_shipdate as timestamp), l_returnflag from lineitem where {_EPOCHS[2]}
+""")
+def q_merge_type_lattice(spark, sf_dir):
+    """One folder in which types changed over time: int and bigint, int and double,
+    date and timestamp, number and text, a column missing and one added."""
+    line, path = FX.read_table(spark, sf_dir, "lineitem"), scratch_path(spark, "transient/lineitem")
+    for where, columns in zip(_EPOCHS, (
+            ["cast(l_orderkey as int) l_orderkey", "cast(l_linenumber as int) l_linenumber", "cast(l_quantity as int) l_quantity",
+             "cast(l_shipdate as date) l_shipdate"],
+            ["cast(l_orderkey as bigint) l_orderkey", "'n' || cast(l_linenumber as string) l_linenumber",
+             "cast(l_quantity as double) l_quantity", "cast(l_shipdate as timestamp_ntz) l_shipdate"],
+            ["cast(l_orderkey as bigint) L_OrderKey", "cast(l_linenumber as smallint) l_linenumber",
+             "cast(l_shipdate as timestamp_ntz) l_shipdate", "l_returnflag l_note"])):
+        write_parquet(line.where(where).selectExpr(*columns), path)
+    return SO.merge_compatible_schemas(spark, path)
+
+
 @register("conform_to_schema", """
 select s_suppkey, s_name, case when s_nationkey = 0 then null else s_nationkey end as s_nationkey,
        cast(null as double) as s_acctbal, upper(s_name) as s_extra

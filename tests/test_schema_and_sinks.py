@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,3 +151,49 @@ def test_checkpoint_dir_comes_from_session(spark):
     from strata.session import ensure_checkpoint_dir, scratch_path
     root = ensure_checkpoint_dir(spark)
     assert root and scratch_path(spark, "x").startswith(root + "/strata-scratch/")
+
+
+def test_common_types():
+    from pyspark.sql import types as T
+
+    from strata.operators.schema_ops import common_schema, common_type
+    parse = T._parse_datatype_string
+    cases = {("int", "bigint"): "bigint", ("tinyint", "smallint"): "smallint", ("int", "double"): "double", ("float", "double"): "double",
+             ("bigint", "decimal(10,2)"): "decimal(22,2)", ("decimal(10,2)", "decimal(8,4)"): "decimal(12,4)",
+             ("decimal(38,0)", "decimal(38,10)"): "string", ("date", "timestamp"): "timestamp", ("boolean", "int"): "string",
+             ("string", "bigint"): "string", ("void", "int"): "int", ("array<int>", "array<bigint>"): "array<bigint>",
+             ("map<string,int>", "map<string,double>"): "map<string,double>",
+             ("struct<a:int,b:string>", "struct<A:bigint,c:date>"): "struct<a:bigint,b:string,c:date>"}
+    for (a, b), want in cases.items():
+        assert common_type(parse(a), parse(b)).simpleString() == want, (a, b)
+        if "struct" not in a:
+            assert common_type(parse(b), parse(a)).simpleString() == want, (b, a)
+    with pytest.raises(TypeError):
+        common_type(parse("int"), parse("array<int>"))
+    assert common_schema([T.StructType()]).fields == []
+
+
+def test_merge_widens_and_reads_each_group_once(spark, tmp_path):
+    from strata.operators import schema_ops as S
+    path = str(tmp_path / "t")
+    ddls = ["id int, v int, s struct<a:int>, day string", "id bigint, s struct<a:bigint,b:string>, day string",
+            "id bigint, v double, s struct<a:bigint,b:string>, day string"]
+    rows = [(1, 2, (3,), "a"), (2 ** 40, (2 ** 41, "x"), "b"), (5, 1.5, (7, None), "a")]
+    for ddl, row in zip(ddls, rows):
+        spark.createDataFrame([row] * 3, ddl).repartition(3).write.mode("append").partitionBy("day").parquet(path)
+    out = S.merge_compatible_schemas(spark, path)
+    assert sorted({(r.id, r.v, r.s.a, r.s.b, r.day) for r in out.collect()}, key=str) == sorted(
+        [(1, 2.0, 3, None, "a"), (2 ** 40, None, 2 ** 41, "x", "b"), (5, 1.5, 7, None, "a")], key=str)
+    assert out.count() == 9
+    groups = S.schema_groups(spark, S.data_files(spark, [path]), {"basePath": path})
+    assert len(groups) == 2 and sorted(len(f) for _, f in groups) in ([3, 6], [1, 8], [2, 7])
+    plan = out.where("day = 'b'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == len(groups) and "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_a_damaged_file_is_an_error(spark, tmp_path):
+    from strata.operators.schema_ops import merge_compatible_schemas
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    (tmp_path / "t" / "part-x.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        merge_compatible_schemas(spark, str(tmp_path / "t")).count()
