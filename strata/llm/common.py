@@ -77,11 +77,11 @@ FILTER_LOG2_BITS = 26           # a bit table has 8 MB at most
 
 
 def bit_table(hashes: DataFrame, column: str) -> np.ndarray:
-    """A table of bits, set where a 64-bit hash falls: about 32 bits for each, at
+    """A table of bits, set where a 64-bit hash falls: about 256 bits for each, at
     most 2 ** FILTER_LOG2_BITS however many there are.  A full one lets more
     through, but never holds anything back."""
     n = hashes.select(F.approx_count_distinct(column)).first()[0]
-    log2 = min(FILTER_LOG2_BITS, max(16, int(32 * n).bit_length()))
+    log2 = min(FILTER_LOG2_BITS, max(16, int(256 * n).bit_length()))
     place = F.shiftrightunsigned(column, 64 - log2)
     words = (hashes.select(F.shiftright(place, 6).alias("w"), F.pmod(place, F.lit(64)).cast("int").alias("b"))
              .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits")).toArrow())
