@@ -4,8 +4,9 @@ Every term (word, A-Z lower-cased) has a 64-bit hash and a weight (its length
 up to ``MAX_WEIGHT``: long words say more than short ones).  Bit ``i`` of a
 fingerprint is set if terms with that hash bit set hold more than half of the
 text's total weight.  Votes are 32 sums of two 31-bit lanes each, so a text of
-any length fits.  Terms are counted where the text is read (partial
-aggregation); equal texts are one group, which cannot change a majority.
+up to 2 ** 27 words of any length fits.  Terms are counted where the text is
+read (partial aggregation), each row of the table by itself: copies are never
+summed, however many there are.
 
 Neighbours: the 64 bits are cut in ``radius + 1`` blocks.  Two fingerprints
 within ``radius`` bits agree in a block at least, so a table per block, keyed
@@ -31,8 +32,8 @@ _LANES = 0x100000001
 
 
 def fingerprints(texts: DataFrame, key: str, text_col: str) -> DataFrame:
-    """(key, fingerprint long): one row per distinct ``key``; rows of one key
-    must have equal texts.  Keys whose text has no word are left out."""
+    """(key, fingerprint long): one row per ``key``, which must be unique.  Keys
+    whose text has no word are left out."""
     terms = texts.select(key, F.explode(ascii_words(F.col(text_col))).alias("__term")).where(F.col("__term") != "")
     terms = terms.select(key, F.xxhash64("__term").alias("__h"),
                          F.least(F.length("__term"), F.lit(MAX_WEIGHT)).cast("long").alias("__w"))
@@ -88,7 +89,8 @@ def replace_tail(text: Column, other: Column) -> Column:
 
 
 def with_edits(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, sha, edited, edited_sha, next_sha) per row.  ``edited`` takes
+    """(id, rid, next_rid, text, edited, edited_sha) per row; ``rid`` numbers the
+    rows of ``docs``, a table scan.  ``edited`` takes
     its new tail from the next row in descending id order (ties: by text);
     after the last row comes the first.
 
@@ -100,11 +102,12 @@ def with_edits(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     cuts = docs.select(F.percentile_approx(id_col, [i / n for i in range(1, n)], 10_000).alias("q")).first()["q"] or []
     cuts = sorted(set(cuts))                    # fewer than the partitions
     bucket = F.coalesce(_bucket(F.col(id_col), cuts, 0, len(cuts)), F.lit(-1))     # NULL ids come last
-    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"), bucket.alias("bucket"))
-    within = Window.partitionBy("bucket").orderBy(F.col(id_col).desc_nulls_last(), F.col("text"))
-    rows = rows.withColumns({"next": F.lead("text").over(within), "first": F.row_number().over(within) == 1})
-    rows = rows.select(id_col, "text", F.sha2("text", 256).alias("sha"), "bucket", "first",
-                       F.col("next").isNull().alias("last"), F.sha2("next", 256).alias("next_sha"),
+    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"), bucket.alias("bucket"),
+                       F.monotonically_increasing_id().alias("rid"))
+    within = Window.partitionBy("bucket").orderBy(F.col(id_col).desc_nulls_last(), F.col("text"), F.col("rid"))
+    rows = rows.withColumns({"next": F.lead("text").over(within), "next_rid": F.lead("rid").over(within),
+                             "first": F.row_number().over(within) == 1})
+    rows = rows.select(id_col, "rid", "next_rid", "text", "bucket", "first", F.col("next").isNull().alias("last"),
                        F.substring(F.col("next"), F.lit(1), F.floor(F.length("text") / 3).cast("int")).alias("tail"))
     rows = materialise(rows, "next-texts", "last")
     # at most one row per range
@@ -112,10 +115,10 @@ def with_edits(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     order = Window.orderBy(F.desc("bucket"))
     follow = ranges.select("bucket", F.coalesce(F.lead("bucket").over(order), F.max("bucket").over(Window.partitionBy()))
                            .alias("following"))
-    heads = rows.where("first").select(F.col("bucket").alias("following"), F.col("text").alias("head"), F.col("sha").alias("head_sha"))
-    ends = (rows.where("last").drop("next_sha", "tail").join(follow.join(heads, "following"), "bucket")
-            .withColumnsRenamed({"head_sha": "next_sha", "head": "tail"}))
-    columns = [id_col, "text", "sha", "next_sha", "tail"]
+    heads = rows.where("first").select(F.col("bucket").alias("following"), F.col("text").alias("head"), F.col("rid").alias("head_rid"))
+    ends = (rows.where("last").drop("next_rid", "tail").join(follow.join(heads, "following"), "bucket")
+            .withColumnsRenamed({"head_rid": "next_rid", "head": "tail"}))
+    columns = [id_col, "rid", "next_rid", "text", "tail"]
     both = rows.where(~F.col("last")).select(*columns).unionByName(ends.select(*columns))
     both = both.withColumn("edited", replace_tail(F.col("text"), F.col("tail")))
     return both.withColumn("edited_sha", F.sha2("edited", 256)).drop("tail")
@@ -127,17 +130,20 @@ def edit_likeness(docs: DataFrame, queries: Column | None = None, id_col: str =
     are.  For rows where ``queries`` holds, ``n_near`` counts the other rows
     whose fingerprint is within ``radius`` bits (NULL elsewhere)."""
     edits = with_edits(docs, id_col, text_col)
-    texts = edits.select(F.explode(F.array(F.struct("sha", "text"),
-                                           F.struct(F.col("edited_sha").alias("sha"), F.col("edited").alias("text")))).alias("t"))
-    prints = materialise(fingerprints(texts.select("t.sha", "t.text"), "sha", "text"), "fingerprints")
-    rows = edits.select(id_col, F.length("text").cast("long").alias("n_chars"), "sha", "edited_sha", "next_sha")
-
-    def lookup(df: DataFrame, sha: str, name: str) -> DataFrame:
-        other = prints.select(F.col("sha").alias(sha), F.col("fingerprint").alias(name))
-        return df.join(other, sha, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
-
-    rows = materialise(lookup(lookup(lookup(rows, "sha", "own"), "edited_sha", "edited"), "next_sha", "following")
-                       .drop("sha", "next_sha"), "likeness")
+    # a text and its edit have even and odd numbers
+    texts = edits.select(F.explode(F.array(F.struct((2 * F.col("rid")).alias("no"), F.col("text").alias("text")),
+                                           F.struct((2 * F.col("rid") + 1).alias("no"), F.col("edited").alias("text")))).alias("t"))
+    prints = materialise(fingerprints(texts.select("t.no", "t.text"), "no", "text"), "fingerprints")
+    rows = edits.select(id_col, F.length("text").cast("long").alias("n_chars"), "rid", "edited_sha", "next_rid")
+    none = F.lit(0).cast("long")
+
+    def own(odd: int, name: str) -> DataFrame:
+        return prints.where(F.col("no") % 2 == odd).select(F.shiftright("no", 1).alias("rid"), F.col("fingerprint").alias(name))
+
+    rows = rows.join(own(0, "own"), "rid", "left").join(own(1, "edited"), "rid", "left")
+    rows = rows.join(own(0, "following").withColumnRenamed("rid", "next_rid"), "next_rid", "left")
+    rows = materialise(rows.withColumns({c: F.coalesce(c, none) for c in ("own", "edited", "following")})
+                       .drop("rid", "next_rid"), "likeness")
 
     def text(name: str) -> Column:
         return F.lpad(F.lower(F.hex(name)), 16, "0")

@@ -83,3 +83,14 @@ def test_neighbour_counts(docs):
     for r, p in zip(rows, prints):
         near = sum(bin(p ^ q).count("1") <= S.RADIUS for q in prints) - 1
         assert r["n_near"] == (near if r["doc_id"] % 4 == 0 else None)
+
+
+def test_votes_of_very_many_copies_do_not_run_over(spark):
+    """2 ** 31 votes in one lane, if copies were summed."""
+    text = " ".join(["abcdefghijklmnopqrst"] * 4_000)
+    copies = spark.range(36_000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text")).repartition(4)
+    alone = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    (want,) = S.fingerprints(alone, "doc_id", "text").collect()
+    assert {r["fingerprint"] for r in S.fingerprints(copies, "doc_id", "text").select("fingerprint").distinct().collect()} == {want["fingerprint"]}
+    rows = S.edit_likeness(spark.createDataFrame([(i, "w v u " * 50) for i in range(500)], "doc_id long, text string")).collect()
+    assert len(rows) == 500 and len({r["fingerprint"] for r in rows}) == 1 and all(r["near_next"] == 1.0 for r in rows)
