@@ -6,11 +6,20 @@ content lines decides.  Word and repetition statistics (fixed rules) come on
 top: a text that fails them goes whatever its lines say.
 
 The field has line features (symbols, capitals, digits, repetition, sentence
-ends ...) and label-to-label weights.  It is trained here by stochastic
-gradient steps on the log-likelihood, on a bounded sample of labelled
-documents (``train_docs`` of either label, the smallest by a hash of the id):
-the lines of good documents count as content, those of bad ones as
-boilerplate.  Without labelled documents fixed default weights are used.
+ends ...) and label-to-label weights.  It is trained here on a bounded sample of
+labelled documents (``train_docs`` of either label, the smallest by a hash of the
+id).  Only whole documents are labelled, so line labels come in two steps:
+
+1. line weights alone are fitted, at first with every line labelled as its
+   document; lines are then labelled again by these weights, a bad document
+   keeping boilerplate for half its words at least and a good one content for
+   two thirds, and the weights are fitted again;
+2. the field is fitted by stochastic gradient steps on the log-likelihood of
+   these sequences and of good documents into which a block of boilerplate lines
+   of bad ones is spliced, so that labels change within a training sequence and
+   the label-to-label weights say how often.
+
+Without labelled documents fixed default weights are used.
 
 Defined cases: a NULL or empty text has no words and fails the base rules;
 repeated rows give repeated rows; texts of any length are read whole; an empty
@@ -159,19 +168,13 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def train(samples: list[tuple[str, int]], epochs: int = TRAIN_EPOCHS, rate: float = 0.3,
-          decay: float = 1e-3, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and transitions from (text, quality) pairs by gradient steps on
-    the mean log-likelihood per line, one document a step."""
-    data = []
-    for text, quality in samples:
-        features, _, _ = text_lines((text or "").encode("utf-8", "surrogatepass"))
-        if features:
-            data.append((np.asarray(features), CONTENT if quality else BOILERPLATE))
-    if len({y for _, y in data}) < 2:
-        return DEFAULT_WEIGHTS, DEFAULT_TRANSITIONS
+def _fit(data: list[tuple[np.ndarray, np.ndarray]], epochs: int, rate: float, decay: float, rng: np.random.Generator,
+         chained: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and transitions from (features, labels) of lines by gradient steps
+    on the mean log-likelihood per line, one sequence a step, averaged over the
+    last half of the steps; transitions stay 0 unless ``chained``."""
     w, t = np.zeros((len(FEATURES), 2)), np.zeros((2, 2))
-    rng = np.random.default_rng(seed)
+    mean_w, mean_t, taken = np.zeros_like(w), np.zeros_like(t), 0
     for epoch in range(epochs):
         step = rate / (1 + epoch)
         for i in rng.permutation(len(data)):
@@ -180,21 +183,78 @@ def train(samples: list[tuple[str, int]], epochs: int = TRAIN_EPOCHS, rate: floa
             scores = x @ w
             alpha, beta = np.empty((n, 2)), np.zeros((n, 2))
             alpha[0] = scores[0]
-            for k in range(1, n):
-                alpha[k] = scores[k] + _log_sum(alpha[k - 1][:, None] + t, 0)
-            for k in range(n - 2, -1, -1):
-                beta[k] = _log_sum(t + (scores[k + 1] + beta[k + 1])[None, :], 1)
-            total = _log_sum(alpha[-1], 0)
-            unary = np.exp(alpha + beta - total)
+            if not chained:
+                alpha = scores
+                unary = np.exp(scores - _log_sum(scores, 1)[:, None])
+            else:
+                for k in range(1, n):
+                    alpha[k] = scores[k] + _log_sum(alpha[k - 1][:, None] + t, 0)
+                for k in range(n - 2, -1, -1):
+                    beta[k] = _log_sum(t + (scores[k + 1] + beta[k + 1])[None, :], 1)
+                total = _log_sum(alpha[-1], 0)
+                unary = np.exp(alpha + beta - total)
             gold = np.zeros((n, 2))
-            gold[:, y] = 1
+            gold[np.arange(n), y] = 1
             w += step * (x.T @ (gold - unary) / n - decay * w)
-            if n > 1:
+            if chained and n > 1:
                 pairs = np.exp(alpha[:-1, :, None] + t[None] + (scores[1:] + beta[1:])[:, None, :] - total)
                 want = np.zeros((2, 2))
-                want[y, y] = n - 1
+                np.add.at(want, (y[:-1], y[1:]), 1)
                 t += step * ((want - pairs.sum(0)) / n - decay * t)
-    return w, t
+            if 2 * epoch >= epochs:
+                taken += 1
+                mean_w += (w - mean_w) / taken
+                mean_t += (t - mean_t) / taken
+    return mean_w, mean_t
+
+
+def line_labels(features: np.ndarray, counts: np.ndarray, quality: int, weights: np.ndarray) -> np.ndarray:
+    """Labels of a document's lines by line weights, within what its own label
+    allows: half the words of a bad document are boilerplate at least, a third of
+    a good one's at most."""
+    scores = features @ weights
+    lean = scores[:, BOILERPLATE] - scores[:, CONTENT]
+    order = np.argsort(-lean, kind="stable")
+    before = np.cumsum(counts[order]) - counts[order]
+    labels = np.full(len(lean), CONTENT)
+    if quality:
+        labels[order[(lean[order] > 0) & (before + counts[order] <= counts.sum() / 3)]] = BOILERPLATE
+    else:
+        labels[order[(lean[order] > 0) | (before < counts.sum() / 2)]] = BOILERPLATE
+    return labels
+
+
+def splice(lines: list[bytes], labels: np.ndarray, block: list[bytes], at: int) -> tuple[list[bytes], np.ndarray]:
+    """``block``, as boilerplate, before line ``at``."""
+    return lines[:at] + block + lines[at:], np.concatenate([labels[:at], np.full(len(block), BOILERPLATE), labels[at:]])
+
+
+def train(samples: list[tuple[str, int]], epochs: int = TRAIN_EPOCHS, rate: float = 0.3,
+          decay: float = 1e-3, seed: int = 7, rounds: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and transitions from (text, quality) pairs."""
+    docs = []
+    for text, quality in samples:
+        lines = [x for x in (text or "").encode("utf-8", "surrogatepass").split(b"\n") if x.split()]
+        if lines:
+            features, counts, _ = text_lines(b"\n".join(lines))
+            docs.append((lines, np.asarray(features), np.asarray(counts), int(bool(quality))))
+    if len({q for *_, q in docs}) < 2:
+        return DEFAULT_WEIGHTS, DEFAULT_TRANSITIONS
+    rng = np.random.default_rng(seed)
+    labels = [np.full(len(x), CONTENT if q else BOILERPLATE) for _, x, _, q in docs]
+    for _ in range(rounds):
+        weights, _ = _fit([(x, y) for (_, x, _, _), y in zip(docs, labels)], 2, rate, decay, rng, False)
+        labels = [line_labels(x, counts, q, weights) for _, x, counts, q in docs]
+    sequences = [(x, y) for (_, x, _, _), y in zip(docs, labels)]
+    blocks = [[line for line, y in zip(lines, own) if y == BOILERPLATE] for (lines, _, _, q), own in zip(docs, labels) if not q]
+    for (lines, _, _, quality), own in zip(docs, labels):
+        if quality:
+            block = blocks[rng.integers(len(blocks))]
+            size = int(rng.integers(1, min(len(block), 8) + 1))
+            first = int(rng.integers(len(block) - size + 1))
+            mixed, y = splice(lines, own, block[first:first + size], int(rng.integers(len(lines) + 1)))
+            sequences.append((np.asarray(text_lines(b"\n".join(mixed))[0]), y))
+    return _fit(sequences, epochs, rate, decay, rng, True)
 
 
 def fit_field(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, id_col: str = "doc_id",

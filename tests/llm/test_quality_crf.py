@@ -2,6 +2,7 @@ import itertools
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from strata.llm import quality_crf as Q
 
@@ -69,3 +70,49 @@ def test_without_labels_defaults_are_used(docs, spark):
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     weights, transitions = Q.fit_field(docs, empty)
     assert weights is Q.DEFAULT_WEIGHTS and transitions is Q.DEFAULT_TRANSITIONS
+
+
+def _labelled(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "quality")
+    rows = docs.join(labels, "doc_id").orderBy(F.xxhash64("doc_id")).collect()
+    return [r["text"] for r in rows if r["quality"] == 1], [r["text"] for r in rows if r["quality"] == 0]
+
+
+def _lines(text):
+    return [x for x in text.encode().split(b"\n") if x.split()]
+
+
+def test_a_spliced_block_is_cut_out_of_held_out_documents(spark):
+    good, bad = _labelled(spark)
+    weights, transitions = Q.train([(t, 1) for t in good[:300]] + [(t, 0) for t in bad[:300]])
+    rng = np.random.default_rng(3)
+    # blocks of held-out bad documents, their plain lines left out
+    blocks = [[x for x in _lines(t) if Q._share(x, Q.SYMBOLS) > 0.05 or Q._share(x, Q._UPPER) > 0.4
+               or 2 * len(set(x.split())) < len(x.split())][:6] for t in bad[300:]]
+    blocks = [b for b in blocks if b]
+    right = total = cut = tried = 0
+    for text in good[300:900]:
+        lines = _lines(text)
+        if len(lines) < 4:
+            continue
+        block, at = blocks[rng.integers(len(blocks))], int(rng.integers(len(lines) + 1))
+        mixed, want = Q.splice(lines, np.zeros(len(lines), int), block, at)
+        got = np.asarray(Q.viterbi(np.asarray(Q.text_lines(b"\n".join(mixed))[0]) @ weights, transitions))
+        on = np.flatnonzero(got == Q.BOILERPLATE)
+        right, total, tried = right + (got == want).sum(), total + len(want), tried + 1
+        cut += len(on) > 0 and abs(on[0] - at) <= 1 and abs(on[-1] - (at + len(block) - 1)) <= 1
+    assert tried > 300 and right >= 0.95 * total and cut >= 0.9 * tried
+    # bad documents have lines of either kind
+    judged = [Q.judge_text(t, weights, transitions) for t in bad[300:]]
+    assert sum(0 < j[8] < j[7] for j in judged) > 0.3 * len(judged)
+
+
+def test_line_labels_keep_to_the_document():
+    x = np.zeros((4, len(Q.FEATURES)))
+    x[:, 0] = 1
+    weights, counts = np.zeros((len(Q.FEATURES), 2)), np.asarray([5, 5, 5, 5])
+    weights[0] = [0, 1]                                     # every line leans to boilerplate
+    assert Q.line_labels(x, counts, 0, weights).tolist() == [1, 1, 1, 1]
+    assert Q.line_labels(x, counts, 1, weights).sum() == 1
+    assert Q.line_labels(x, counts, 0, -weights).sum() == 2 and Q.line_labels(x, counts, 1, -weights).sum() == 0
