@@ -176,7 +176,10 @@ def choose(docs: DataFrame, config: MixConfig = MixConfig(), id_col: str = "doc_
 
 def mix(docs: DataFrame, config: MixConfig = MixConfig(), id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """The mixture itself: the chosen rows with all their columns, a row per copy."""
-    rows = docs.withColumns(_tree_columns(text_col, source_col, lang_col))
-    out = _copies(rows, config, id_col)
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    """The mixture itself: the chosen rows with all their columns, whatever they
+    are called, a row per copy."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"),
+                       *[c.alias(k) for k, c in _tree_columns(text_col, source_col, lang_col).items()])
+    out = _copies(rows, config, "id")
+    return (out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+            .select(*[F.col("row")[c].alias(c) for c in docs.columns]))

@@ -276,12 +276,14 @@ def cut_out(text: Column, spans: Column, mark: str) -> Column:
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", mark: str = "[SECRET]",
            alpha: float = ALPHA, fdr: float = FDR) -> DataFrame:
-    """All rows and columns of ``docs``; secrets in the text are replaced."""
-    df = with_spans(docs, text_col, docs.columns, alpha, fdr)
-    dirty = F.size("__spans") > 0
-    new = {text_col: F.when(dirty, cut_out(F.col(text_col), F.col("__spans"), mark)).otherwise(F.col(text_col))}
-    df = df.withColumns(new)
+    """All rows and columns of ``docs``, whatever they are called; secrets in the
+    text are replaced."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    df = with_spans(packed, "text", ["row"], alpha, fdr)
+    dirty, text = F.size("__spans") > 0, F.col("row")[text_col]
+    out = {c: F.col("row")[c] for c in docs.columns}
+    out[text_col] = F.when(dirty, cut_out(text, F.col("__spans"), mark)).otherwise(text)
     if length_col in docs.columns:
-        size = F.length(text_col).cast(docs.schema[length_col].dataType)
-        df = df.withColumn(length_col, F.when(dirty, size).otherwise(F.col(length_col)))
-    return df.select(*docs.columns)
+        size = F.length(out[text_col]).cast(docs.schema[length_col].dataType)
+        out[length_col] = F.when(dirty, size).otherwise(out[length_col])
+    return df.select(*[c.alias(name) for name, c in out.items()])

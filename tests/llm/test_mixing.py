@@ -84,3 +84,12 @@ def test_mix_returns_rows_per_copy(docs, odd_docs, no_docs):
     assert {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()} == chosen
     assert M.mix(odd_docs, config).count() > 0 and M.choose(odd_docs).count() > 0
     assert M.mix(no_docs).count() == 0 and M.choose(no_docs).count() == 0
+
+
+def test_columns_of_any_name_pass_through(docs):
+    from pyspark.sql import functions as F
+    names = ["row", "__domain", "__lang", "__tok", "__copies", "__draw", "__bucket", "__id", "a.b", "text2"]
+    wide = docs.select("doc_id", "text", "lang", "source", *[F.lit(f"mine {n}").alias(n) for n in names])
+    out = M.mix(wide, M.MixConfig(budget_share=1.0)) if "M" in globals() else mixing.mix(wide, mixing.MixConfig(budget_share=1.0))
+    assert out.columns == wide.columns and out.count() > 0
+    assert out.where(" or ".join(f"`{n}` <> 'mine {n}'" for n in names)).count() == 0

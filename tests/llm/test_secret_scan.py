@@ -95,3 +95,12 @@ def test_odd_and_empty_tables(odd_docs, no_docs):
 def test_no_python_in_the_plan(docs):
     plan = S.scan_secrets(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_redact_passes_columns_of_any_name(docs):
+    names = ["row", "__base", "__spans", "__assign", "__access", "__hex", "__text", "__judged", "a.b"]
+    wide = docs.select("doc_id", "text", "n_chars", *[F.lit(f"mine {n}").alias(n) for n in names])
+    out = S.redact(wide)
+    assert out.columns == wide.columns and out.count() == wide.count()
+    assert out.where(" or ".join(f"`{n}` <> 'mine {n}'" for n in names)).count() == 0
+    assert out.where("text like '%[SECRET]%' and n_chars = length(text)").count() > 0
