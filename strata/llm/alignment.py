@@ -43,7 +43,7 @@ from strata.llm.token_files import load_encoder
 
 HOT_PAIRS = 1 << 20
 OUTER_PAIRS = 256               # groups of more token pairs are paired by distinct ids
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 class ByteSide:

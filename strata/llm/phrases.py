@@ -8,8 +8,8 @@ of occurrences.  Symbols are 64-bit hashes of words.
    transitions with equal symbols, weights and targets -- are stored once.  A
    shard leaves blocks of a bounded number of n-grams, each a transducer over
    one prefix range.
-2. Cut points between prefix ranges come from a bounded sample of the blocks'
-   first n-grams, one range for about ``RANGE_GRAMS`` of them.  A hot prefix
+2. Cut points between prefix ranges come from a bounded sample of n-grams at
+   random places of the blocks, one range for about ``RANGE_GRAMS`` of them.  A hot prefix
    is cut below itself, and a single n-gram counts once per shard, so no range
    is much larger.  Blocks are restricted to their ranges, and each range is
    the union of its blocks, weights summed.
@@ -46,10 +46,13 @@ MAX_WORDS = 5
 MIN_COUNT = 100
 TOP = 2000
 COVER_PERCENT = 100
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_000_000
+SHARD_VOCABULARY = 400_000
 BLOCK_GRAMS = 1 << 16
-RANGE_GRAMS = 1 << 20
-SAMPLE_BLOCKS = 20_000
+RANGE_GRAMS = 1 << 18           # n-grams before the union, per range
+COMPOSE_GRAMS = 1 << 14         # frequent n-grams per range
+MARK_GRAMS = 1 << 12            # a block shows one of so many n-grams to the sample
+SAMPLE_MARKS = 200_000          # cut points come from so many of them; also the most ranges
 NO_LANG = "und"
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -311,12 +314,12 @@ class Shard:
         return tree, symbols[used], [words[i] for i in used]
 
 
-BLOCK_DDL = "lang string, words long, grams long, first binary, block binary, symbols array<binary>, texts array<string>"
+BLOCK_DDL = "lang string, words long, grams long, marks array<binary>, block binary, symbols array<binary>, texts array<string>"
 
 
 def _blocks(lang: str, words: int, tree: Levels | None, symbols: np.ndarray, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
     """Rows of a shard: its transducer in blocks; words and texts on the first."""
-    names = ["lang", "words", "grams", "first", "block", "symbols", "texts"]
+    names = ["lang", "words", "grams", "marks", "block", "symbols", "texts"]
     columns, sizes, weights, order = tree.grams() if tree else ([], np.zeros(0), np.zeros(0), np.zeros(0, np.int64))
     if len(order):                              # prefixes that weigh nothing are there by their extensions
         order = order[weights[order] > 0]
@@ -325,10 +328,12 @@ def _blocks(lang: str, words: int, tree: Levels | None, symbols: np.ndarray, tex
         part = order[lo:lo + BLOCK_GRAMS]
         cols, size = [c[part] for c in columns], sizes[part]
         block = transducer_of(cols, size, weights[part])[0].dump() if len(part) else None
-        first = gram_keys([c[:1] for c in cols], size[:1])[0] if len(part) else None
+        # places that differ from shard to shard: all shards hold much the same n-grams in the same order
+        places = np.random.default_rng([words, lo, len(part)]).integers(len(part), size=-(-len(part) // MARK_GRAMS)) if len(part) else []
+        marks = gram_keys([c[places] for c in cols], size[places]) if len(part) else []
         yield pa.RecordBatch.from_arrays(
             [pa.array([lang]), pa.array([0 if lo else words], pa.int64()), pa.array([len(part)], pa.int64()),
-             pa.array([first], pa.binary()), pa.array([block], pa.binary()),
+             pa.array([marks], pa.list_(pa.binary())), pa.array([block], pa.binary()),
              pa.array([[] if lo else keys], pa.list_(pa.binary())),
              pa.array([[] if lo else spelled], pa.list_(pa.string()))], names)
 
@@ -356,8 +361,8 @@ def shards(docs: DataFrame, text_col: str, lang_col: str, max_words: int, table=
                 if lang not in open_:
                     open_[lang] = Shard(lang)
                 open_[lang].add(own)
-            while sum(s.words for s in open_.values()) > SHARD_WORDS or sum(len(s.known) for s in open_.values()) > SHARD_WORDS:
-                yield from rows(open_.pop(max(open_, key=lambda key: open_[key].words)))
+            while sum(s.words for s in open_.values()) > SHARD_WORDS or sum(len(s.known) for s in open_.values()) > SHARD_VOCABULARY:
+                yield from rows(open_.pop(max(open_, key=lambda key: (open_[key].words, key))))
         for lang in sorted(open_):
             yield from rows(open_[lang])
 
@@ -367,17 +372,30 @@ def shards(docs: DataFrame, text_col: str, lang_col: str, max_words: int, table=
 
 # -- unions by prefix range --------------------------------------------------
 
-def range_cuts(blocks: DataFrame) -> list[tuple[str, bytes]]:
-    """First n-grams of all prefix ranges but the first, from the blocks with
-    the smallest hashes (``SAMPLE_BLOCKS`` rows at most)."""
-    blocks = blocks.where("block is not null")
-    total = blocks.agg(F.sum("grams")).first()[0] or 0
-    sample = sorted((r["lang"], bytes(r["first"])) for r in blocks.select("lang", "first")
-                    .orderBy(F.xxhash64("lang", "first"), "lang", "first").limit(SAMPLE_BLOCKS).collect())
-    ranges = min(-(-total // RANGE_GRAMS), len(sample))
+def range_cuts(keys: DataFrame, total: int, size: int) -> list[tuple[str, bytes]]:
+    """First keys (lang, first) of all prefix ranges but the first, for ranges of
+    about ``size`` of ``total``: quantiles of the ``keys`` (lang, first) with the
+    smallest hashes (``SAMPLE_MARKS`` rows at most)."""
+    ranges = min(-(-total // size), SAMPLE_MARKS)
+    if ranges < 2:
+        return []
+    sample = sorted((r["lang"], bytes(r["first"])) for r in keys.orderBy(F.xxhash64("lang", "first"), "lang", "first")
+                    .limit(SAMPLE_MARKS).collect())
+    ranges = min(ranges, len(sample))
     return sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)})
 
 
+def block_cuts(blocks: DataFrame) -> list[tuple[str, bytes]]:
+    held = blocks.where("block is not null")
+    return range_cuts(held.select("lang", F.explode("marks").alias("first")), held.agg(F.sum("grams")).first()[0] or 0, RANGE_GRAMS)
+
+
+def _deal(df: DataFrame, cuts: list, *keys: str) -> DataFrame:
+    """Ranges over tasks: about as many tasks as ranges, however large they are."""
+    n = max(len(cuts) + 1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *keys)
+
+
 def frequent_grams(blocks: DataFrame, cuts: list[tuple[str, bytes]], depth: int, min_count: int) -> DataFrame:
     """(lang, gram, size, n, code): n-grams whose summed weight is ``min_count`` or
     more; ``code`` is the pair code of pairs."""
@@ -419,8 +437,8 @@ def frequent_grams(blocks: DataFrame, cuts: list[tuple[str, bytes]], depth: int,
                          pa.array(size.astype(np.int32)), pa.array(weight), pa.array(code, mask=size != 2)],
                         names=["lang", "gram", "size", "n", "code"])
 
-    dealt = (blocks.where("block is not null").select("lang", "block")
-             .mapInArrow(deal, "lang string, part int, block binary"))
+    dealt = _deal(blocks.where("block is not null").select("lang", "block")
+                  .mapInArrow(deal, "lang string, part int, block binary"), cuts, "lang", "part")
     return dealt.groupBy("lang", "part").applyInArrow(union, "lang string, gram binary, size int, n long, code long")
 
 
@@ -431,10 +449,10 @@ def count_grams(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     spark = docs.sparkSession
     short = materialise(shards(docs, text_col, lang_col, 2), "pair-shards")
     totals = short.groupBy("lang").agg(F.sum("words").alias("total"))
-    few = materialise(frequent_grams(short, range_cuts(short), 2, min_count), "frequent-pairs")
+    few = materialise(frequent_grams(short, block_cuts(short), 2, min_count), "frequent-pairs")
     table = spark.sparkContext.broadcast(bit_table(few.where("size = 2"), "code"))       # size bounded
     long_ = materialise(shards(docs, text_col, lang_col, max_words, table), "phrase-shards")
-    many = materialise(frequent_grams(long_, range_cuts(long_), max_words, min_count), "frequent-phrases")
+    many = materialise(frequent_grams(long_, block_cuts(long_), max_words, min_count), "frequent-phrases")
     grams = few.unionByName(many).drop("code")
     words = long_.select(F.explode(F.arrays_zip("symbols", "texts")).alias("w")).select("w.symbols", "w.texts")
     words = words.groupBy(F.col("symbols").alias("symbol")).agg(F.min("texts").alias("word"))
@@ -447,13 +465,7 @@ def compose_parts(grams: DataFrame, parts: DataFrame, max_words: int) -> DataFra
     """(lang, part, weight): the weights of distinct ``parts`` (lang, part), composed
     with the transducer of the frequent n-grams of their prefix range.  Ranges
     are cut at a bounded sample of the n-grams."""
-    total = grams.count()
-    ranges = min(SAMPLE_BLOCKS, -(-total // RANGE_GRAMS))
-    cuts: list[tuple[str, bytes]] = []
-    if ranges > 1:
-        sample = sorted((r["lang"], bytes(r["gram"])) for r in grams.select("lang", "gram")
-                        .orderBy(F.xxhash64("lang", "gram"), "lang", "gram").limit(SAMPLE_BLOCKS).collect())
-        cuts = sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)})
+    cuts = range_cuts(grams.select("lang", F.col("gram").alias("first")), grams.count(), COMPOSE_GRAMS)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -472,6 +484,7 @@ def compose_parts(grams: DataFrame, parts: DataFrame, max_words: int) -> DataFra
 
     held = grams.select("lang", F.col("gram").alias("part"), "n").mapInArrow(route, "lang string, part binary, n long, range int")
     asked = parts.select("lang", "part").mapInArrow(route, "lang string, part binary, range int")
+    held, asked = _deal(held, cuts, "lang", "range"), _deal(asked, cuts, "lang", "range")
     return (held.groupBy("lang", "range").cogroup(asked.groupBy("lang", "range"))
             .applyInArrow(walk, "lang string, part binary, weight long"))
 

@@ -62,6 +62,7 @@ def test_small_shards_blocks_and_ranges(spark, monkeypatch):
     rows = made(3, 80)
     sources = spark.createDataFrame(rows, "lang string, text string").repartition(4)
     monkeypatch.setattr(P, "RANGE_GRAMS", 200)
+    monkeypatch.setattr(P, "COMPOSE_GRAMS", 20)
     check(sources, rows, 3, top=25)
 
 
