@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.audit import audit_columns
+from strata.operators.bloom import prefilter
 from strata.operators.cdc import rejected_values, route_metrics, route_name, route_rows, run_concurrently
-from strata.operators.customer import customer_star
+from strata.operators.customer import customer_star, distinct_bids
 from strata.schemas import (ENVELOPE_SCHEMA, PARTITION_KEYS, REGISTRY, ROUTE_COLUMNS, ROUTED_ENVELOPE_SCHEMA,
                             UPDATE_HISTORY_TABLES, TableSpec, spec_of_folder)
 from strata.session import ensure_checkpoint_dir, path_exists, path_join
@@ -212,7 +213,7 @@ def customer_tables(spark: SparkSession, demographic: str | DataFrame, baseid: s
                     year: int, month_from: int = 1, month_to: int = 12,
                     day_from: int = 1, day_to: int = 31,
                     as_of: dt.datetime | str | None = None, zone: str | None = None,
-                    prefix: str = "") -> dict[str, str]:
+                    prefix: str = "", bloom: bool | None = None) -> dict[str, str]:
     """Build and write the six customer tables from date-pruned refined inputs
     (paths, ``zone.table`` names or frames; the clusters as CSV, table or frame).
 
@@ -220,7 +221,9 @@ def customer_tables(spark: SparkSession, demographic: str | DataFrame, baseid: s
     What several outputs share -- the match table, the bid lists, members, heads
     and the clustered demographic rows -- is checkpointed once into
     ``spark.checkpoint.dir``, a reliable checkpoint, so a lost executor does not
-    force recomputing it.  ``zone``: keep the catalog up to date."""
+    force recomputing it.  Demographic rows of bids in no cluster leave before
+    they move where a Bloom filter pays (``operators.bloom``; ``bloom`` decides
+    instead).  ``zone``: keep the catalog up to date."""
     ensure_checkpoint_dir(spark)
     # A bid with many distinct versions makes the final join on bid skewed;
     # let AQE split it even though the distinct after it then needs a shuffle.
@@ -232,6 +235,8 @@ def customer_tables(spark: SparkSession, demographic: str | DataFrame, baseid: s
         m = match_columns(spark.table(match)) if CAT.is_table_name(match) else scan_match_clusters(spark, match)
     else:
         m = match_columns(match)
+    m = m.checkpoint(eager=True)
+    dem = prefilter(dem, distinct_bids(m), "bid", bloom)
     out = {}
     star = customer_star(m, bid, dem, reuse=lambda df: df.checkpoint(eager=True))
     for name, df in star.items():

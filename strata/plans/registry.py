@@ -14,6 +14,7 @@ from strata.operators import customer as C
 from strata.operators import integrity as INT
 from strata.operators import schema_ops as SO
 from strata.operators.audit import audit_columns
+from strata.operators.bloom import prefilter
 from strata.plans import fixtures as FX
 from strata.plans import jobs as J
 from strata.schemas import PARTITION_KEYS, REGISTRY
@@ -82,6 +83,13 @@ def q_customer(spark, sf_dir):
     return C.customer(m, d)
 
 
+@register("customer_prefiltered", ORACLES["customer"])
+def q_customer_prefiltered(spark, sf_dir):
+    """The same, with a Bloom filter of the clustered bids before the join."""
+    m, _, d = _star_inputs(spark, sf_dir)
+    return C.customer(m, prefilter(d, C.distinct_bids(m), "bid", force=True))
+
+
 @register("customer_email", _CUSTOMER_CTES + f"""
 select distinct {H("coalesce(lower(b.email), '')")} as customer_email_id, b.email as email
 from fm join b on fm.bid = b.bid
