@@ -165,6 +165,11 @@ def customer(match: DataFrame, demographic: DataFrame, max_hot_clusters: int = 1
     """
     links = parent_link(match, demographic, max_hot_clusters, min_hot_rows, members,
                         heads).select("bid", "parent_bid")
+    return customer_rows(links, demographic)
+
+
+def customer_rows(links: DataFrame, demographic: DataFrame) -> DataFrame:
+    """Customer rows of ``links`` (bid, parent_bid) from their demographic rows."""
     attributes = demographic.select("bid", "email", *NAME_COLUMNS, *ADDRESS_COLUMNS, "phone")
     dedup = links.join(attributes, "bid").select(
         "bid", email_key("email").alias("customer_email_id"), name_key().alias("customer_name_id"),

@@ -17,8 +17,10 @@ from strata.operators.audit import audit_columns
 from strata.operators.bloom import prefilter
 from strata.plans import fixtures as FX
 from strata.plans import jobs as J
+from strata.plans.daily_star import update_customer
 from strata.schemas import PARTITION_KEYS, REGISTRY
 from strata.session import delete_path, move_files, path_join, scratch_path, scratch_zone, set_file_age
+from strata.sinks.bucketed import append_bucketed
 from strata.sinks.files import write_csv_pipe, write_parquet, write_refined
 from strata.sources import catalog as CAT
 from strata.sources import crawl as CRAWL
@@ -90,6 +92,17 @@ def q_customer_prefiltered(spark, sf_dir):
     return C.customer(m, prefilter(d, C.distinct_bids(m), "bid", force=True))
 
 
+@register("customer_daily", ORACLES["customer"])
+def q_customer_daily(spark, sf_dir):
+    """The same, kept up over three days of new rows and memberships."""
+    m, _, d = _star_inputs(spark, sf_dir)
+    root = scratch_path(spark, "daily")
+    for day in range(3):
+        update_customer(d.where(f"bid % 3 = {day}"), m.where(f"coalesce(bid, 0) % 4 % 3 = {day}"), d.where(f"bid % 3 <= {day}"),
+                        m.where(f"coalesce(bid, 0) % 4 % 3 <= {day}"), path_join(root, "state"), path_join(root, "customer"))
+    return spark.read.parquet(path_join(root, "customer")).drop("part")
+
+
 @register("customer_email", _CUSTOMER_CTES + f"""
 select distinct {H("coalesce(lower(b.email), '')")} as customer_email_id, b.email as email
 from fm join b on fm.bid = b.bid
@@ -207,6 +220,37 @@ def q_key_collisions(spark, sf_dir):
     return INT.key_collisions(rows, K.key_composite(*parts), parts)
 
 
+_STAR_TABLES = {
+    "customer": ("customer_id", "customer_email_id", "customer_name_id", "customer_address_id", "customer_phone_id", "parent_customer_id"),
+    "customer_email": ("customer_email_id", "email"),
+    "customer_address": ("customer_address_id", *C.ADDRESS_COLUMNS),
+    "customer_name": ("customer_name_id", *C.NAME_COLUMNS),
+    "customer_phone": ("customer_phone_id", "phone"),
+    "fig_baseid_x_customer": ("customer_id", "bid")}
+_STAR_ORACLES = {t: ORACLES["customer_xref" if t.startswith("fig") else t] for t in _STAR_TABLES}
+
+
+def _star_fields(columns: tuple[str, ...], kind: str) -> str:
+    fields = [f"cast({c} as {kind})" for c in columns] + [f"cast(null as {kind})"] * (7 - len(columns))
+    return ", ".join(f"{f} as f{i}" for i, f in enumerate(fields))
+
+
+@register("customer_tables_job_rows", "\nunion all\n".join(
+    f"select '{t}' as target, {_star_fields(c, 'varchar')}, 2024 as create_year, 'etl_role' as create_user from ({_STAR_ORACLES[t]}) q"
+    for t, c in _STAR_TABLES.items()))
+def q_customer_tables_job_rows(spark, sf_dir):
+    """All columns of all six tables of the job, from bucketed refined inputs."""
+    root, zone = scratch_path(spark, "star"), _zone(spark, "strata_bucketed")
+    m, b, d = _star_inputs(spark, sf_dir)
+    for name, df in (("t_baseid", b), ("t_demographic", d)):
+        append_bucketed(audit_columns(df, *AUDIT_ARGS, as_of=AS_OF), zone, f"fig_{name}", path_join(root, name), buckets=8)
+    append_bucketed(m, zone, "matches", path_join(root, "matches"), buckets=8, partition_by=())
+    out = J.customer_tables(spark, f"{zone}.fig_t_demographic", f"{zone}.fig_t_baseid", f"{zone}.matches",
+                            path_join(root, "out"), *AUDIT_ARGS, year=2024, as_of=AS_OF)
+    return SRC.union_all([spark.read.parquet(out[t]).selectExpr(f"'{t}' as target", *_star_fields(c, "string").split(", "),
+                                                               "create_year", "create_user") for t, c in _STAR_TABLES.items()])
+
+
 # --------------------------------------------------------------------------- key functions
 
 _KEY_CTES = _with(d=FX.FX_DEMOGRAPHIC)
