@@ -31,7 +31,8 @@ one component already; a link is lost only if no order brings its two texts, or
 texts that chain them, together.
 
 Defined cases: a NULL or empty text has an empty set and is linked with nothing;
-rows of one id are one document: they stay or go together; a NULL id is linked
+rows of one id are one document, whatever their texts: they stay or go
+together, and its texts' groups are one; a NULL id is linked
 only by equal sets, and stays if its whole class has no id; an empty table gives
 an empty result; further columns are passed through by ``keep_one``.
 """
@@ -46,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import materialise, text_slices
+from strata.llm.common import join_hot, materialise, text_slices
 from strata.llm.components import components
 from strata.llm.shingles import ShingleHasher
 
@@ -91,7 +92,8 @@ def with_set_hash(docs: DataFrame, text_col: str, name: str) -> DataFrame:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_shingles, set_hash, signature); the last two NULL for empty sets."""
+    """(id, mark, n_shingles, set_hash, signature); the last two NULL for empty
+    sets; ``mark`` tells texts of one id apart."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,10 +106,11 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 classes.append(_set_hash(hashes))
                 signs.append(minhash(hashes).tobytes() if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(classes, pa.binary()), pa.array(signs, pa.binary())],
-                ["id", "n_shingles", "set_hash", "signature"])
+                [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(classes, pa.binary()),
+                 pa.array(signs, pa.binary())], ["id", "mark", "n_shingles", "set_hash", "signature"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {id_type}, n_shingles long, set_hash binary, signature binary")
+    return docs.select(id_col, text_col, F.xxhash64(text_col).alias("mark")).mapInArrow(
+        run, f"id {id_type}, mark long, n_shingles long, set_hash binary, signature binary")
 
 
 def _prefix_key(values: np.ndarray, order: int, depth: int) -> np.ndarray:
@@ -314,16 +317,18 @@ def _joined(roots: DataFrame, moved: DataFrame) -> DataFrame:
         .unionByName(moved.join(roots.select("node"), "node", "left_anti")), "roots")
 
 
-def links(docs: DataFrame, pairs: DataFrame, split: DataFrame, id_col: str, text_col: str,
+def links(docs: DataFrame, reps: DataFrame, pairs: DataFrame, split: DataFrame, id_col: str, text_col: str,
           percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """(node, root) of the components that the confirmed candidates and the
-    links across the components of a crowd make."""
+    links across the components of a crowd make.  ``reps`` (id, doc, mark) says
+    which row of ``docs`` holds a node's text."""
     open_ = materialise(pairs.withColumns({"cc": F.col("child"), "cp": F.col("parent")}), "candidates")
     nodes = open_.select(F.col("child").alias("id")).unionByName(open_.select(F.col("parent").alias("id"))).distinct()
-    # only texts in some candidate pair are compared; one row per id.  The same join at every size: the
+    # only texts in some candidate pair are compared; one row per node.  The same join at every size: the
     # node list grows with the corpus, so broadcasting it where it happens to be small would tell nothing
-    texts = materialise(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-                        .join(nodes.hint("shuffle_merge"), "id", "left_semi")
+    wanted = nodes.join(reps.select("id", "doc", "mark"), "id")
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark"))
+    texts = materialise(rows.join(wanted.hint("shuffle_merge"), ["doc", "mark"])
                         .groupBy("id").agg(F.min("text").alias("text")), "candidate-texts")
     roots = None
     for tries in (*TRIES, None):
@@ -369,15 +374,27 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _judged(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """(id, set_hash, n_shingles, component_id, kept), a row per row of ``docs``."""
     signed = materialise(signatures(docs, id_col, text_col), "signatures")
+    # nodes are classes of equal sets, named by a hash: one id may hold several
+    node = F.xxhash64("set_hash")
+    held = F.when(F.col("id").isNotNull(), F.struct(F.col("id").alias("doc"), "mark"))
     classes = (signed.where("set_hash is not null").groupBy("set_hash")
-               .agg(F.min("id").alias("rep"), F.min_by("signature", "id").alias("signature")))
-    reps = materialise(classes.where("rep is not null").select(F.col("rep").alias("id"), "signature")
-                       .groupBy("id").agg(F.min("signature").alias("signature")), "representatives")
-    roots = links(docs, *candidates(reps), id_col, text_col, percent)
-    named = (classes.select("set_hash", "rep").join(roots, F.col("rep") == F.col("node"), "left")
-             .select("set_hash", F.coalesce("root", "rep").alias("root")))
-    rows = signed.select("id", "n_shingles", "set_hash").join(named, "set_hash", "left")
-    component = F.when(F.col("set_hash").isNull(), F.col("id")).otherwise(F.col("root"))
+               .agg(F.min(held).alias("rep"), F.min_by("signature", held).alias("signature")))
+    reps = materialise(classes.where("rep is not null").select("set_hash", node.alias("id"), "rep.doc", "rep.mark", "signature"),
+                       "representatives")
+    roots = links(docs, reps, *candidates(reps.select("id", "signature")), id_col, text_col, percent)
+    # rows of one id are one document: its classes go together
+    own = signed.where("id is not null and set_hash is not null").select("id", node.alias("node")).distinct()
+    several = own.groupBy("id").agg(F.min("node").alias("u"), F.count(F.lit(1)).alias("n")).where("n > 1").select("id", "u")
+    together = materialise(own.join(several, "id").where("u <> node").select("u", F.col("node").alias("v")).distinct(), "shared-ids")
+    if not together.isEmpty():
+        roots = materialise(components(together.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))), "roots")
+    named = reps.select("set_hash", "doc", "id").join(roots, F.col("id") == F.col("node"), "left").select(
+        "set_hash", "doc", F.coalesce("root", "id").alias("root"))
+    least = named.groupBy("root").agg(F.min("doc").alias("component"))
+    named = materialise(named.join(least, "root").select("set_hash", "component"), "named-classes")
+    rows = signed.select("id", "n_shingles", "set_hash", F.pmod(F.xxhash64("id"), F.lit(4096)).alias("slot"))
+    rows = join_hot(rows, named, ["set_hash"], "slot")
+    component = F.when(F.col("set_hash").isNull(), F.col("id")).otherwise(F.col("component"))
     return (rows.select("id", "set_hash", "n_shingles", component.alias("component_id"))
             .withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))))
 

@@ -129,3 +129,14 @@ def test_components(spark, seed):
             root[b] = a
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {i: find(i) for i in root}
+
+
+def test_links_of_an_id_with_several_texts(spark):
+    rng = random.Random(9)
+    a, b = ([f"w{rng.randrange(5000)}" for _ in range(200)] for _ in range(2))
+    near = [" ".join([*w[:-2], "x", "y"]) for w in (a, b)]
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near[0]), (3, near[1]), (4, "alone in the world it is"), (1, " ".join(a)),
+            (5, "alone in the world it is"), (4, "another text of the id four here")]
+    got = sorted({(r["doc_id"], r["component_id"], r["kept"]) for r in
+                  D.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()})
+    assert got == [(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (5, 4, False)]
