@@ -90,3 +90,19 @@ def test_loser_tree_merges_and_counts_prefixes():
         for text, shared, _ in out:
             assert shared == S.common_prefix(last, text)
             last = text
+
+
+def test_a_passage_in_more_texts_than_the_group_limit(spark):
+    """The limit as it is: over ``GROUP_LIMIT`` texts around one passage, whole or cut."""
+    rng = random.Random(11)
+
+    def rnd(n):
+        return "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+
+    passage = rnd(547)
+    texts = []
+    for i in range(S.GROUP_LIMIT + 1100):
+        part = passage if i % 3 else passage[rng.randint(0, 100):rng.randint(440, 547)]
+        texts.append(rnd(rng.randint(0, 60)) + part + rnd(rng.randint(0, 60)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    check(df, list(enumerate(texts)))
