@@ -1,4 +1,4 @@
-"""Training-data pipeline operators: ten operators and their queries.
+"""Training-data pipeline operators: thirteen operators and their queries.
 
 Nothing else in the library imports this subpackage.
 """
