@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.digests import digest_differences
 from strata.operators.audit import audit_columns
 from strata.operators.bloom import prefilter
 from strata.operators.cdc import rejected_values, route_metrics, route_name, route_rows, run_concurrently
@@ -31,7 +32,7 @@ from strata.session import ensure_checkpoint_dir, path_exists, path_join
 from strata.sinks.files import write_csv_pipe, write_parquet, write_refined
 from strata.sources import catalog as CAT
 from strata.sources.files import (match_columns, scan_csv_named, scan_csv_pipe, scan_match_clusters,
-                                  scan_partition_pruned)
+                                  scan_partition_pruned, union_all)
 from strata.streaming.incremental import LOAD_COLUMN, incremental_copy, incremental_source, run_routes
 from strata.streaming.landing import routed_envelope
 
@@ -63,6 +64,21 @@ def full_load_snapshot(spark: SparkSession, database: str, raw_root: str,
     return paths
 
 
+def verify_snapshot(spark: SparkSession, database: str, paths: dict[str, str]) -> DataFrame:
+    """(table_name, n_missing, n_extra): rows of the database that a written
+    snapshot (``full_load_snapshot``'s result) lacks, and rows that it has too
+    many, by digests of whole rows.  A row per table, zeros if all is well."""
+    checks = []
+    for name, path in sorted(paths.items()):
+        source = spark.table(f"`{database}`.`{name}`")
+        found = digest_differences(source, scan_csv_named(spark, path, source.schema, escaped_breaks=True))
+        lost, more = F.col("n_left") - F.col("n_right"), F.col("n_right") - F.col("n_left")
+        checks.append(found.agg(F.coalesce(F.sum(F.greatest(lost, F.lit(0))), F.lit(0)).alias("n_missing"),
+                                F.coalesce(F.sum(F.greatest(more, F.lit(0))), F.lit(0)).alias("n_extra"))
+                      .select(F.lit(name).alias("table_name"), "n_missing", "n_extra"))
+    return union_all(checks)
+
+
 def raw_to_transient(spark: SparkSession, raw: str, transient_path: str,
                      table: str | None = None, schema: T.StructType | None = None,
                      infer: bool = False, mode: str = "append", escaped_breaks: bool = False,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import keys as K
+from strata.functions.digests import digest_counts
 from strata.operators import cdc as CDC
 from strata.operators import customer as C
 from strata.operators import integrity as INT
@@ -753,8 +754,8 @@ def q_raw_to_transient_typed(spark, sf_dir):
     return spark.read.parquet(transient)
 
 
-def _snapshot(spark, sf_dir, pattern: str) -> tuple[dict[str, str], dict[str, DataFrame]]:
-    db = _zone(spark, "strata_source")
+def _snapshot(spark, sf_dir, pattern: str, db: str | None = None) -> tuple[dict[str, str], dict[str, DataFrame]]:
+    db = db or _zone(spark, "strata_source")
     tables = {t: FX.read_table(spark, sf_dir, t) for t in FX.TABLES}
     for t in tables:
         CAT.register_table(spark, db, t, f"{sf_dir.rstrip('/')}/{t}.parquet")
@@ -794,6 +795,60 @@ def q_full_load_snapshot_text(spark, sf_dir):
     return SRC.scan_csv_named(spark, written["documents"], tables["documents"].schema, escaped_breaks=True)
 
 
+# Columns of the source tables: i whole number, d double, s text, t time, f array of floats.
+_COLUMN_KINDS = {
+    "region": "r_regionkey:i r_name:s",
+    "nation": "n_nationkey:i n_name:s n_regionkey:i",
+    "customer": "c_custkey:i c_name:s c_nationkey:i c_acctbal:d c_mktsegment:s",
+    "supplier": "s_suppkey:i s_name:s s_nationkey:i s_acctbal:d",
+    "part": "p_partkey:i p_name:s p_brand:s p_type:s p_size:i p_retailprice:d",
+    "orders": "o_orderkey:i o_custkey:i o_orderstatus:s o_totalprice:d o_orderdate:t o_orderpriority:s",
+    "lineitem": "l_orderkey:i l_partkey:i l_suppkey:i l_linenumber:i l_quantity:d l_extendedprice:d l_discount:d "
+                "l_tax:d l_returnflag:s l_linestatus:s l_shipdate:t",
+    "events": "event_id:i ts:t user_id:i event_type:s value:d props:s",
+    "documents": "doc_id:i text:s lang:s source:s n_chars:i",
+    "embeddings": "vec_id:i embedding:f label:i",
+    "pages": "page_id:i url:s html:s",
+    "benchmark": "item_id:i text:s",
+    "labels": "doc_id:i quality:i toxic:i",
+    "conversations": "conv_id:i turn:i role:s text:s",
+}
+_KIND_SQL = {"i": "cast({c} as varchar)", "d": "cast(cast(floor({c} * 1e6) as bigint) as varchar)",
+             "s": "replace({c}, '\\', '\\\\')", "t": "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')",
+             "f": "array_to_string(list_transform(list_transform({c}, lambda x: cast(cast(floor(cast(x as double) * 1e6) as bigint) as varchar)), "
+                  "lambda x: length(x) || ':' || x), ',')"}
+
+
+def _digest_sql(table: str) -> str:
+    texts = ["coalesce({}, '\\N')".format(_KIND_SQL[k].format(c=c)) for c, k in
+             (item.split(":") for item in _COLUMN_KINDS[table].split())]
+    row = " || '|' || ".join(f"length({t}) || ':' || {t}" for t in texts)
+    return f"select '{table}' as table_name, md5({row}) as row_md5, count(*) as n from {table} group by all"
+
+
+@register("full_load_snapshot_digests", "\nunion all\n".join(_digest_sql(t) for t in FX.TABLES))
+def q_full_load_snapshot_digests(spark, sf_dir):
+    """All values of all tables: a digest per row of the snapshot read back."""
+    written, tables = _snapshot(spark, sf_dir, "%")
+    return SRC.union_all([
+        digest_counts(SRC.scan_csv_named(spark, p, tables[t].schema, escaped_breaks=True))
+        .select(F.lit(t).alias("table_name"), "row_md5", "n") for t, p in written.items()])
+
+
+@register("full_load_snapshot_verified", "\nunion all\n".join(
+    f"select '{t}' as table_name, cast({int(t == 'nation')} as bigint) as n_missing, cast({2 * int(t == 'region')} as bigint) as n_extra"
+    for t in FX.TABLES))
+def q_full_load_snapshot_verified(spark, sf_dir):
+    """Source and snapshot compared row by row, after a row of one table was lost
+    and two of another were written twice."""
+    db = _zone(spark, "strata_source")
+    written, tables = _snapshot(spark, sf_dir, "%", db)
+    short = scratch_path(spark, "short")
+    write_csv_pipe(tables["nation"].where("n_nationkey <> 7"), short)
+    write_csv_pipe(tables["region"].where("r_regionkey in (0, 3)"), written["region"])
+    return J.verify_snapshot(spark, db, {**written, "nation": short})
+
+
 # --------------------------------------------------------------------------- schemas
 
 @register("merge_compatible_schemas", """
