@@ -56,12 +56,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def unit_draw(*cols: Column) -> Column:
-    """A hash of ``cols`` as a double strictly inside (0, 1)."""
-    h = F.shiftrightunsigned(F.xxhash64(*cols), 11)
-    return (h.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
-
-
 def ascii_lower(col: Column) -> Column:
     """A-Z to lower case, all other characters as they are."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

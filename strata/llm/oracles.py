@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
+
 from strata.llm.mixing import MixConfig
+from strata.llm.sharding import ROW_OVERHEAD_BYTES, Node, default_tree
 from strata.llm.url_filter import Rule, default_rules
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -123,3 +126,51 @@ ranked as (select *, array_to_string(gram, ' ') as phrase,
                   row_number() over (partition by lang order by score desc, a desc, array_to_string(gram, ' ')) as rank from best)
 select lang, rank, phrase, a, l, r, cast(n as bigint) as n, cast(score as bigint) as score from ranked where rank <= {top}
 """
+
+
+def _place_sql(name: str, tree: Node, seed: str) -> str:
+    """CTEs ``name``_1, _2, _3: the child of each level with the smallest draw."""
+    paths = [(r, k, s) for r in tree.children for k in r.children for s in k.children if r.weight > 0 and k.weight > 0 and s.weight > 0]
+    values = ", ".join(f"({_text(r.name)}, {float(r.weight)}, {_text(k.name)}, {float(k.weight)}, {_text(s.name)}, {float(s.weight)}, {s.shard})"
+                       for r, k, s in paths)
+    hashed = "cast('0x' || substr(md5(concat_ws(':', '{seed}/' || t.{child}, cast(d.doc_id as varchar))), 1, 13) as bigint)"
+    out = [f"{name}_t(region, region_weight, rack, rack_weight, leaf, leaf_weight, shard) as (values {values})"]
+    above, held = "d", ""
+    for i, (child, parents) in enumerate((("region", []), ("rack", ["region"]), ("leaf", ["region", "rack"])), 1):
+        columns = [*parents, child, f"{child}_weight", *(["shard"] if child == "leaf" else [])]
+        join = " and ".join(f"d.{p} = t.{p}" for p in parents) or "true"
+        u = hashed.format(seed=seed, child=child)
+        keep = ", ".join(f"t.{c}" for c in columns if c not in parents and not c.endswith("_weight"))
+        out.append(f"""{name}_{i} as (
+  select n, doc_id{held.replace(', ', ', d.')}, {keep} from (select n, doc_id{held} from {above}) d
+  join (select distinct {', '.join(columns)} from {name}_t) t on {join}
+  qualify row_number() over (partition by n order by -ln((cast({u} as double) + 0.5) / 4503599627370496.0) / t.{child}_weight) = 1)""")
+        above, held = f"{name}_{i}", held + f", {child}"
+    return ",\n".join(out)
+
+
+def sharding_sql(n_shards: int = 40, seed: str = "place") -> str:
+    """Every draw of every level of both trees, and plain row numbers per shard;
+    the checksum bit by bit of its definition, from a table of 256 remainders."""
+    table = ", ".join(str(_crc_remainder(i)) for i in range(256))
+    return f"""
+with b as (select row_number() over () as n, doc_id, coalesce(octet_length(encode(text)), 0) + {ROW_OVERHEAD_BYTES} as size,
+                  list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: cast('0x' || x as bigint)) as bytes
+           from documents),
+d as (select n, doc_id, cast(size as bigint) as size,
+             xor(list_reduce(list_prepend(4294967295::bigint, bytes),
+                             lambda c, x: xor(c >> 8, ([{table}]::bigint[])[(xor(c, x) & 255) + 1])), 4294967295::bigint) as crc from b),
+{_place_sql("p", default_tree(n_shards), seed)},
+{_place_sql("g", default_tree(n_shards + 1), seed)}
+select d.doc_id, d.size, d.crc as text_crc32, 'key' as law, cast(p.shard as integer) as shard,
+       row_number() over (partition by p.shard order by
+           cast('0x' || substr(md5(concat_ws(':', 'slot', cast(size as varchar), cast(crc as varchar), cast(d.doc_id as varchar))), 1, 13) as bigint),
+           d.doc_id nulls first, size, crc) - 1 as slot,
+       cast(g.shard as integer) as grown_shard, p.region, p.rack
+from d join p_3 p using (n) join g_3 g using (n)
+"""
+
+
+def _crc_remainder(byte: int) -> int:
+    """The CRC-32 register after one byte from an empty register."""
+    return zlib.crc32(bytes([byte ^ 0xFF])) ^ 0xFFFFFFFF ^ 0x00FFFFFF

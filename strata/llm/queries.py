@@ -72,5 +72,5 @@ QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_token_files, op3_mixing, op4_forest_dedup, op5_simhash, op6_suffix_dedup,
     op7_sharding, op8_pieces, op9_quality_crf, op10_url_filter,
     op11_alignment, op12_winnowing, op13_phrases)}
-ORACLES: dict[str, str] = {"op3_mixing": oracles.mixing_sql(), "op10_url_filter": oracles.url_filter_sql(),
+ORACLES: dict[str, str] = {"op3_mixing": oracles.mixing_sql(), "op7_sharding": oracles.sharding_sql(), "op10_url_filter": oracles.url_filter_sql(),
                            "op12_winnowing": oracles.winnowing_sql(), "op13_phrases": oracles.phrases_sql()}

@@ -19,10 +19,17 @@ Results: a NULL key is a key of its own; repeated rows share a shard and get
 different slots; a NULL text counts as no bytes; an empty table gives an empty
 result; further columns of the input are not looked at.
 
-Slots number the rows of a shard from 0 without gaps in the order of a key
-hash.  The hash range is cut in buckets, the buckets are counted (partial
-aggregation), their starts are a running sum over the small count table, and a
-row number is needed only within one bucket -- no task ever sees a whole shard.
+Slots number the rows of a shard from 0 without gaps in the order of a hash of
+key, size and text checksum.  Rows equal in all three cannot be told apart, so
+they are counted where they are read (partial aggregation, a count per input
+partition group); the hash range is cut in buckets, whose starts are a running
+sum over the small count table; running sums within a bucket give each count
+its first slot, and only then are the rows made again, dealt by count.  No task
+sees a whole shard, nor all rows of a key or of a text, even if a third of the
+table has no key or is one text.
+
+Draws and the slot order are 52 bits of an md5, so that any system with md5 can
+recompute a placement.
 """
 
 from __future__ import annotations
@@ -32,9 +39,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import let, unit_draw
+from strata.llm.common import let, materialise
 
 ROW_OVERHEAD_BYTES = 16
+SPREAD = 256                     # counts that the rows of one kind are kept in at most
 
 
 @dataclass(frozen=True)
@@ -86,10 +94,18 @@ def _tree_value(tree: Node) -> Column:
         rack.children, lambda shard: F.lit(int(shard.shard)))))
 
 
+def md5_bits(*parts: Column) -> Column:
+    """52 bits of the md5 of ``parts`` joined by colons; NULL parts are left out."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts).cast("binary")), 1, 13), 16, 10).cast("long")
+
+
 def _descend(key: Column, children: Column, seed: str) -> Column:
     """The child with the smallest draw."""
-    draws = F.transform(children, lambda c, i: F.struct(
-        (-F.log(unit_draw(key, F.concat(F.lit(f"{seed}/"), c["name"]))) / c["weight"]).alias("d"), i.alias("i")))
+    def draw(c: Column) -> Column:
+        u = (md5_bits(F.concat(F.lit(f"{seed}/"), c["name"]), key).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
+        return -F.log(u) / c["weight"]
+
+    draws = F.transform(children, lambda c, i: F.struct(draw(c).alias("d"), i.alias("i")))
     return F.element_at(children, F.array_min(draws)["i"] + 1)
 
 
@@ -112,37 +128,40 @@ def shard_rows(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id",
     tree = tree or default_tree(n_shards)
     grown = grown or default_tree(n_shards + 1)
     if buckets is None:
-        # a few thousand rows a bucket at most partitions; the count table has n_shards * buckets rows
-        buckets = max(1, -(-4 * int(spark.conf.get("spark.sql.shuffle.partitions")) // n_shards))
+        # even a shard with a third of all rows is cut finer than the partitions
+        buckets = max(1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     if buckets > 1 << 20:
         raise ValueError("at most 2**20 buckets a shard")
 
-    def keyed(df: DataFrame) -> DataFrame:
-        order = F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.lit("slot")), 1)
-        return (place(df, F.col(id_col), tree, "__at")
-                .withColumn("__order", order)
-                .withColumn("__bucket", F.shiftright(F.shiftright(F.col("__order"), 42)
-                                                     * F.lit(buckets), 21).cast("int")))
-
-    counts = (keyed(docs.select(id_col)).groupBy(F.col("__at.shard").alias("__s"), F.col("__bucket").alias("__b"))
-              .agg(F.count(F.lit(1)).alias("__n")))
-    before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("__s", "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-
-    rows = keyed(docs.select(
-        F.col(id_col),
+    rows = docs.select(
+        F.col(id_col).alias("id"),
         (F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + ROW_OVERHEAD_BYTES).alias("size"),
-        F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_crc32")))
-    rows = place(rows, F.col(id_col), grown, "__grown")
-    rows = rows.withColumn("__s", F.col("__at.shard"))
-    within = Window.partitionBy("__s", "__bucket").orderBy("__order", id_col, "size", "text_crc32")
-    rows = rows.withColumn("__i", F.row_number().over(within) - 1)
+        F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("crc"),
+        F.pmod(F.spark_partition_id(), F.lit(SPREAD)).alias("part"))
+    kinds = rows.groupBy("id", "size", "crc", "part").agg(F.count(F.lit(1)).alias("n"))
+    kinds = place(place(kinds, F.col("id"), tree, "at"), F.col("id"), grown, "grown")
+    order = md5_bits(F.lit("slot"), F.col("size").cast("string"), F.col("crc").cast("string"), F.col("id").cast("string"))
+    kinds = kinds.withColumn("order", order).withColumn(
+        "bucket", F.shiftright(F.shiftright("order", 21) * F.lit(buckets), 31).cast("int"))
+    kinds = materialise(kinds.select("id", "size", "crc", "part", "n", "order", "bucket", F.col("at.shard").alias("shard"),
+                                     F.col("at.region").alias("region"), F.col("at.rack").alias("rack"),
+                                     F.col("grown.shard").alias("grown_shard")), "shard-kinds")
+
     # n_shards * buckets rows: bounded by parameters, not by the data
-    joined = rows.join(F.broadcast(starts.withColumnsRenamed({"__s": "__s2", "__b": "__b2"})),
-                       (F.col("__s") == F.col("__s2")) & (F.col("__bucket") == F.col("__b2")))
-    return joined.select(
-        F.col(id_col), "size", "text_crc32", F.lit("key").alias("law"),
-        F.col("__s").cast("int").alias("shard"),
-        (F.col("__start") + F.col("__i")).cast("long").alias("slot"),
-        F.col("__grown.shard").cast("int").alias("grown_shard"),
-        F.col("__at.region").alias("region"), F.col("__at.rack").alias("rack"))
+    counts = kinds.groupBy("shard", "bucket").agg(F.sum("n").alias("m"))
+    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("shard", "bucket", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("start"))
+    within = (Window.partitionBy("shard", "bucket").orderBy("order", "id", "size", "crc", "part")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    numbered = kinds.withColumn("first", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    numbered = numbered.join(F.broadcast(starts), ["shard", "bucket"]).withColumn("first", F.col("start") + F.col("first"))
+    # counts above 1 are dealt out before they become rows again
+    single, several = numbered.where("n = 1"), numbered.where("n > 1").repartition("order", "part")
+    slots = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1))
+
+    def out(df: DataFrame, slot: Column) -> DataFrame:
+        return df.select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit("key").alias("law"),
+                         F.col("shard").cast("int").alias("shard"), slot.alias("slot"),
+                         F.col("grown_shard").cast("int").alias("grown_shard"), "region", "rack")
+
+    return out(single, F.col("first")).unionByName(out(several, slots))

@@ -1,4 +1,6 @@
 import collections
+import hashlib
+import math
 import zlib
 
 from pyspark.sql import functions as F
@@ -49,3 +51,55 @@ def test_odd_and_empty_tables(odd_docs, no_docs):
     assert len(rows) == odd_docs.count()
     assert len({(r["shard"], r["slot"]) for r in rows}) == len(rows)
     assert S.shard_rows(no_docs).count() == 0
+
+
+def draw(seed, name, key, weight):
+    text = f"place/{name}" + ("" if key is None else f":{key}")
+    u = (int(hashlib.md5(text.encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+    return -math.log(u) / weight
+
+
+def test_placement_matches_brute_force(spark):
+    trees = [S.default_tree(44), S.Node("root", 0, (
+        S.Node("big", 5.0, (S.Node("r", 1.0, (S.Node("x", 1.0, shard=3), S.Node("y", 0.5, shard=9), S.Node("none", 0.0, shard=1))),)),
+        S.Node("small", 0.25, (S.Node("r", 2.0, (S.Node("z", 1.0, shard=4),)), S.Node("q", 0.1, (S.Node("w", 1.0, shard=6),))))))]
+    keys = [None, *range(-5, 400)]
+    df = spark.createDataFrame([(k,) for k in keys], "doc_id long")
+    for tree in trees:
+        got = {r["doc_id"]: tuple(r["at"]) for r in S.place(df, F.col("doc_id"), tree, "at").collect()}
+        for key in keys:
+            node, path = tree, []
+            while node.children:
+                node = min((c for c in node.children if c.weight > 0), key=lambda c: draw("place", c.name, key, c.weight))
+                path.append(node.name)
+            assert got[key] == (path[0], path[1], node.shard)
+
+
+def test_rows_match_sql(docs, odd_docs):
+    import duckdb
+    from strata.llm.oracles import sharding_sql
+    for df in (docs, odd_docs):
+        con = duckdb.connect()
+        con.execute("create table documents (doc_id bigint, text varchar)")
+        con.executemany("insert into documents values (?, ?)", [tuple(r) for r in df.select("doc_id", "text").collect()])
+        rel = con.sql(sharding_sql())
+        got = S.shard_rows(df).select(*rel.columns).collect()
+        assert sorted((tuple(r) for r in got), key=repr) == sorted(rel.fetchall(), key=repr)
+
+
+def test_a_third_without_a_key_is_no_large_task(spark):
+    """Rows without a key, of one text and of many: gapless slots, even tasks."""
+    base = spark.range(0, 30_000, numPartitions=16)
+    for text in (F.lit("same text"), F.col("id").cast("string")):
+        df = base.select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+                         F.when(F.col("id") % 3 > 0, F.lit("t")).otherwise(text).alias("text"))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            out = S.shard_rows(df).withColumn("task", F.spark_partition_id()).collect()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert len(out) == 30_000
+        assert len({(r["shard"], r["slot"]) for r in out}) == 30_000
+        top = collections.Counter(r["shard"] for r in out)
+        assert all(r["slot"] < top[r["shard"]] for r in out) and max(top.values()) > 10_000
+        assert max(collections.Counter(r["task"] for r in out).values()) < 30_000 / 4
