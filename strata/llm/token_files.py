@@ -25,7 +25,8 @@ Decoding looks up ``max_bits`` bits at a time in a table of ``2 ** max_bits``
 entries, all blocks of a segment in step.
 
 Defined cases: a NULL text has no ids but the end id; a NULL id sorts first;
-repeated rows are all stored (ties of the id: shorter, then by coded bytes); a
+repeated rows are all stored (ties of the id: shorter, then by a hash of the
+coded bytes), and rows of one id may lie in many ranges; a
 text of any length is one document; an empty table gives empty tables; other
 columns are not looked at.
 """
@@ -317,7 +318,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_path: str, id_co
     coded = tokens.mapInArrow(code, f"id {id_type}, n long, payload binary, marks binary")
     # AQE's coalescing joins neighbouring ranges only, so the order across partitions holds
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    (coded.repartitionByRange(parts, "id").sortWithinPartitions("id", "n", "payload")
+    # rows of one id are cut apart by length and content, equal ones by where they were read
+    coded = coded.withColumns({"mark": F.xxhash64("payload"), "spot": F.spark_partition_id()})
+    (coded.repartitionByRange(parts, "id", "n", "mark", "spot").sortWithinPartitions("id", "n", "mark", "spot")
      .mapInArrow(pack, f"part int, first long, ids array<{id_type}>, tokens array<long>, payload binary, checkpoints binary")
      .write.option("compression", "none").parquet(f"{out_path}/segments"))
 

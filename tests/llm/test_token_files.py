@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strata.llm import token_files as T
@@ -65,3 +66,18 @@ def test_too_few_bits_are_refused_and_one_symbol_works():
     coder = T.Coder(T.code_lengths(np.array([0, 5]), 4))
     payloads, marks = coder.encode(np.array([1, 1, 1]), np.array([3]))
     assert coder.decode(payloads[0], np.frombuffer(marks[0], "<u4"), np.array([3])).tolist() == [1, 1, 1]
+
+
+def test_a_third_without_an_id_is_no_large_segment(spark, tmp_path):
+    """Rows without an id, of one text and of many, are cut into ranges too."""
+    base = spark.range(0, 9_000, numPartitions=16)
+    for name, text in (("equal", F.lit("some text")), ("other", F.concat(F.lit("text "), F.col("id").cast("string")))):
+        df = base.select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), text.alias("text"))
+        path = str(tmp_path / name)
+        T.write_token_files(df, PATH, path, segment_ids=500)
+        parts = spark.read.parquet(f"{path}/segments").groupBy("part").agg(F.sum(F.size("ids")).alias("n")).collect()
+        assert len(parts) >= 3 and max(r["n"] for r in parts) < 9_000 / 2
+        rows = T.read_token_files(spark, path).collect()
+        rows.sort(key=lambda r: r["start"])
+        assert [r["start"] for r in rows] == np.concatenate([[0], np.cumsum([r["n_tokens"] for r in rows])[:-1]]).tolist()
+        assert [r["id"] for r in rows] == [None] * 3_000 + [i for i in range(9_000) if i % 3]
