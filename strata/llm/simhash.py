@@ -8,10 +8,12 @@ up to 2 ** 27 words of any length fits.  Terms are counted where the text is
 read (partial aggregation), each row of the table by itself: copies are never
 summed, however many there are.
 
-Neighbours: the 64 bits are cut in ``radius + 1`` blocks.  Two fingerprints
-within ``radius`` bits agree in a block at least, so a table per block, keyed
-by the block's value, finds every pair; candidates are then compared in full
-and found in exactly one table (the first block they share).
+Neighbours: the 64 bits are cut in ``m > radius`` blocks.  Two fingerprints
+within ``radius`` bits agree in ``m - radius`` blocks at least, so a table per
+choice of that many blocks, keyed by their values, finds every pair; candidates
+are then compared in full and found in exactly one table (that of the first
+blocks they share).  ``m`` grows with the number of fingerprints, so that keys
+stay long enough to tell unlike ones apart; it changes the work, not the result.
 
 Defined cases: a NULL text counts as empty; a text without words has the
 fingerprint of 64 zero bits; repeated rows give repeated rows; an empty table
@@ -20,6 +22,9 @@ gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +33,9 @@ from strata.llm.common import ascii_words, materialise
 BITS = 64
 MAX_WEIGHT = 16
 RADIUS = 3
+KEY_ROWS = 16                   # unlike fingerprints per key of a block table
+MORE_BLOCKS = 4                 # blocks beyond the radius at most: 35 tables for a radius of 3
+HOT_PARTS = 1024                # ranges of one id at most
 _LANES = 0x100000001
 
 
@@ -55,30 +63,48 @@ def likeness(a: Column, b: Column) -> Column:
     return 1 - F.bit_count(a.bitwiseXOR(b)).cast("double") / BITS
 
 
-def near_fingerprints(queries: DataFrame, corpus: DataFrame, radius: int = RADIUS) -> DataFrame:
+def block_count(n: int, radius: int = RADIUS) -> int:
+    """Blocks for which a key of ``m - radius`` of them has, for each of its
+    values, ``KEY_ROWS`` of ``n`` unlike fingerprints at most."""
+    most = radius + MORE_BLOCKS
+    return next((m for m in range(radius + 1, most) if (BITS // m) * (m - radius) + math.log2(KEY_ROWS) >= math.log2(max(n, 1))), most)
+
+
+def near_fingerprints(queries: DataFrame, corpus: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
     """(fingerprint, near, distance) for all pairs of a query fingerprint and a
     corpus fingerprint within ``radius`` bits.  Both inputs hold a column
     ``fingerprint``; equal ones are looked up once."""
-    blocks = radius + 1
+    if blocks is None:
+        blocks = block_count(corpus.select(F.approx_count_distinct("fingerprint")).first()[0], radius)
+    if not radius < blocks <= BITS:
+        raise ValueError("more blocks than the radius are needed")
     edges = [BITS * i // blocks for i in range(blocks + 1)]
+    choices = list(itertools.combinations(range(blocks), blocks - radius))
 
-    def block(col: Column, i: int) -> Column:
-        size = edges[i + 1] - edges[i]
-        mask = (1 << size) - 1
-        return F.shiftrightunsigned(col, edges[i]).bitwiseAND(F.lit(mask if mask < 1 << 63 else -1))
+    def masks(chosen: tuple[int, ...]) -> int:
+        bits = sum((1 << edges[i + 1]) - (1 << edges[i]) for i in chosen)
+        return bits - (1 << BITS) if bits >> (BITS - 1) else bits
 
     def tables(df: DataFrame, name: str) -> DataFrame:
         f = F.col("fingerprint")
-        keys = F.array(*[F.struct(F.lit(i).alias("t"), block(f, i).cast("long").alias("v")) for i in range(blocks)])
+        keys = F.array(*[F.struct(F.lit(sum(1 << i for i in c)).cast("long").alias("t"), f.bitwiseAND(F.lit(masks(c)).cast("long")).alias("v"))
+                         for c in choices])
         return (df.select("fingerprint").where(f.isNotNull()).distinct()
                 .select(f.alias(name), F.explode(keys).alias("k")).select(name, "k.t", "k.v"))
 
     pairs = tables(queries, "fingerprint").join(tables(corpus, "near"), ["t", "v"])
-    first = F.lit(blocks)
-    for i in reversed(range(blocks)):
-        first = F.when(block(F.col("fingerprint"), i) == block(F.col("near"), i), i).otherwise(first)
-    distance = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("near")))
-    return pairs.where((distance <= radius) & (F.col("t") == first)).select("fingerprint", "near", distance.alias("distance"))
+    differ = F.col("fingerprint").bitwiseXOR(F.col("near"))
+    distance = F.bit_count(differ)
+    near = pairs.where(distance <= radius).withColumn("distance", distance)
+    return near.where(F.col("t") == _first_shared(differ, [masks((i,)) for i in range(blocks)], blocks - radius)).select(
+        "fingerprint", "near", "distance")
+
+
+def _first_shared(differ: Column, masks: list[int], need: int) -> Column:
+    """Bits of the first ``need`` blocks in which nothing differs."""
+    same = F.filter(F.array(*[F.when(differ.bitwiseAND(F.lit(m).cast("long")) == 0, F.lit(1 << i).cast("long"))
+                              for i, m in enumerate(masks)]), lambda x: x.isNotNull())
+    return F.aggregate(F.slice(same, 1, need), F.lit(0).cast("long"), lambda a, x: a + x)
 
 
 def replace_tail(text: Column, other: Column) -> Column:
@@ -91,26 +117,35 @@ def replace_tail(text: Column, other: Column) -> Column:
 def with_edits(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, rid, next_rid, text, edited, edited_sha) per row; ``rid`` numbers the
     rows of ``docs``, a table scan.  ``edited`` takes
-    its new tail from the next row in descending id order (ties: by text);
-    after the last row comes the first.
-
-    Rows are dealt to ranges of ids cut at quantiles of their count; within a
-    range the next row is a window's lead, and the last row of a range takes
-    the first of the following range from a table of one row per range."""
+    its new tail from the next row in descending id order (ties: by a hash of
+    the text, then by text); after the last row comes the first.
+
+    Rows are dealt to ranges of ids cut at quantiles of their count; ids that
+    fill a range alone, and rows without an id, are cut further by the hash of
+    the text.  Within a range the next row is a window's lead, and the last row
+    of a range takes the first of the following range from a table of one row
+    per range."""
     spark = docs.sparkSession
     n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cuts = docs.select(F.percentile_approx(id_col, [i / n for i in range(1, n)], 10_000).alias("q")).first()["q"] or []
-    cuts = sorted(set(cuts))                    # fewer than the partitions
-    bucket = F.coalesce(_bucket(F.col(id_col), cuts, 0, len(cuts)), F.lit(-1))     # NULL ids come last
-    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"), bucket.alias("bucket"),
+    hot = sorted({q for q, r in zip(cuts, cuts[1:]) if q == r})      # fewer than the partitions, as the cuts
+    cuts = sorted(set(cuts))
+    parts, key, text = min(n, HOT_PARTS), F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
+    mark = F.shiftrightunsigned(F.xxhash64(text), 1)
+    alone = key.isNull() | (key.isin(hot) if hot else F.lit(False))
+    # descending: a hot id is the last of its range of ids, its own ranges follow the hash; NULL ids come last
+    own = parts - 1 - F.shiftright(F.shiftright(mark, 32) * F.lit(parts), 31)
+    number = 2 * F.coalesce(_bucket(key, cuts, 0, len(cuts)), F.lit(-1))
+    bucket = F.when(alone, (number + 1) * parts + own).otherwise(number * parts).cast("long")
+    rows = docs.select(key, text.alias("text"), mark.alias("mark"), bucket.alias("bucket"),
                        F.monotonically_increasing_id().alias("rid"))
-    within = Window.partitionBy("bucket").orderBy(F.col(id_col).desc_nulls_last(), F.col("text"), F.col("rid"))
+    within = Window.partitionBy("bucket").orderBy(F.col(id_col).desc_nulls_last(), "mark", "text", "rid")
     rows = rows.withColumns({"next": F.lead("text").over(within), "next_rid": F.lead("rid").over(within),
                              "first": F.row_number().over(within) == 1})
     rows = rows.select(id_col, "rid", "next_rid", "text", "bucket", "first", F.col("next").isNull().alias("last"),
                        F.substring(F.col("next"), F.lit(1), F.floor(F.length("text") / 3).cast("int")).alias("tail"))
     rows = materialise(rows, "next-texts", "last")
-    # at most one row per range
+    # one row per range: bounded by the partitions and HOT_PARTS
     ranges = rows.where("last").select("bucket")
     order = Window.orderBy(F.desc("bucket"))
     follow = ranges.select("bucket", F.coalesce(F.lead("bucket").over(order), F.max("bucket").over(Window.partitionBy()))

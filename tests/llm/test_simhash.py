@@ -1,6 +1,8 @@
+import collections
 import hashlib
 import itertools
 
+import xxhash
 from pyspark.sql import functions as F
 
 from strata.llm import simhash as S
@@ -8,7 +10,7 @@ from strata.llm import simhash as S
 
 def edited_of(rows):
     """(id, text) rows -> edited texts, by the same order."""
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), xxhash.xxh64_intdigest(r[1].encode(), 42) >> 1, r[1]))
     out = []
     for i, (doc, text) in enumerate(order):
         other = order[(i + 1) % len(order)][1]
@@ -70,8 +72,8 @@ def test_block_tables_find_every_pair_within_the_radius(spark):
                 values.add(v)
     values = [v - (1 << 64) if v >> 63 else v for v in values]
     df = spark.createDataFrame([(v,) for v in values], "fingerprint long")
-    for radius in (0, 2, 3):
-        got = sorted((r["fingerprint"], r["near"], r["distance"]) for r in S.near_fingerprints(df, df, radius).collect())
+    for radius, blocks in ((0, None), (2, None), (3, None), (3, 4), (3, 5), (3, 6), (3, 7), (2, 5), (0, 2)):
+        got = sorted((r["fingerprint"], r["near"], r["distance"]) for r in S.near_fingerprints(df, df, radius, blocks).collect())
         want = sorted((a, b, bin((a ^ b) & (1 << 64) - 1).count("1")) for a, b in itertools.product(values, values)
                       if bin((a ^ b) & (1 << 64) - 1).count("1") <= radius)
         assert got == want
@@ -94,3 +96,19 @@ def test_votes_of_very_many_copies_do_not_run_over(spark):
     assert {r["fingerprint"] for r in S.fingerprints(copies, "doc_id", "text").select("fingerprint").distinct().collect()} == {want["fingerprint"]}
     rows = S.edit_likeness(spark.createDataFrame([(i, "w v u " * 50) for i in range(500)], "doc_id long, text string")).collect()
     assert len(rows) == 500 and len({r["fingerprint"] for r in rows}) == 1 and all(r["near_next"] == 1.0 for r in rows)
+
+
+def test_blocks_grow_with_the_corpus():
+    assert [S.block_count(n) for n in (0, 1, 1 << 20, 1 << 24, 1 << 29, 10 ** 10, 10 ** 12)] == [4, 4, 4, 5, 6, 6, 7]
+
+
+def test_hot_ids_match_brute_force_in_even_ranges(spark, monkeypatch):
+    """A third without an id, a third of one id, the rest apart; texts repeat."""
+    rows = [((None, 77, i)[i % 3], f"text {i % 50} with words {i % 7} and more of them {i}"[:20 + i % 30]) for i in range(360)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    check(spark, df)
+    held = []
+    monkeypatch.setattr(S, "materialise", lambda d, *a, f=S.materialise: held.append(f(d, *a)) or held[-1])
+    S.with_edits(df, "doc_id", "text").count()
+    sizes = collections.Counter(r["bucket"] for r in held[0].select("bucket").collect())
+    assert sum(sizes.values()) == 360 and max(sizes.values()) < 360 / 5
