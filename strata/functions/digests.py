@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 NULL_TEXT = "\\N"
 LARGEST_SCALED = 9e12          # times 10 ** 6 still inside 64 bits
+SLOTS = 1 << 12                # a power of two
 
 
 def canonical_text(col: Column, kind: T.DataType) -> Column:
@@ -33,7 +34,7 @@ def canonical_text(col: Column, kind: T.DataType) -> Column:
 
 
 def _measured(text: Column) -> Column:
-    return F.concat_ws(":", F.length(text).cast("string"), text)
+    return F.concat(F.length(text).cast("string"), F.lit(":"), text)
 
 
 def row_digests(df: DataFrame, name: str = "row_md5") -> DataFrame:
@@ -50,12 +51,37 @@ def digest_counts(df: DataFrame) -> DataFrame:
     return row_digests(df).groupBy("row_md5").agg(F.count(F.lit(1)).alias("n"))
 
 
-def digest_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+def _slot(digest: Column) -> Column:
+    return F.xxhash64(digest).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+
+
+def differing_slots(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(slot): the slots, of ``SLOTS`` by a hash of the row digest, in which two
+    tables do not hold equal rows equally often.  Per slot the number of rows
+    and the sums of 128 hash bits (in four parts, which 64 bits hold for 2 ** 31
+    rows of a slot) of one side are taken from the other's, so every row is
+    read and digested but only sums are exchanged."""
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        one, two = F.xxhash64("row_md5"), F.xxhash64(F.lit(0), "row_md5")
+        low = F.lit((1 << 32) - 1)
+        parts = (F.lit(1), F.shiftright(one, 32), one.bitwiseAND(low), F.shiftright(two, 32), two.bitwiseAND(low))
+        return row_digests(df).select(_slot(F.col("row_md5")).alias("slot"),
+                                      *[(F.lit(sign).cast("long") * x).alias(f"s{i}") for i, x in enumerate(parts)])
+
+    sums = [f"s{i}" for i in range(5)]
+    both = side(left, 1).unionByName(side(right, -1)).groupBy("slot").agg(*[F.sum(c).alias(c) for c in sums])
+    return both.where(" or ".join(f"{c} <> 0" for c in sums)).select("slot")
+
+
+def digest_differences(left: DataFrame, right: DataFrame, slots: list[int] | None = None) -> DataFrame:
     """(row_md5, n_left, n_right) of the rows that two tables do not hold
     equally often; empty if they are the same multiset.  One aggregation of the
-    union: no join, and equal rows are counted where they are read."""
+    union: no join, and equal rows are counted where they are read.  With
+    ``slots``, all of ``differing_slots``, only rows of those are exchanged."""
     none = F.lit(0).cast("long")
     both = (row_digests(left).select("row_md5", F.lit(1).cast("long").alias("a"), none.alias("b"))
             .unionByName(row_digests(right).select("row_md5", none.alias("a"), F.lit(1).cast("long").alias("b"))))
+    if slots is not None and len(slots) < SLOTS:
+        both = both.where(_slot(F.col("row_md5")).isin(slots))
     return (both.groupBy("row_md5").agg(F.sum("a").alias("n_left"), F.sum("b").alias("n_right"))
             .where("n_left <> n_right"))

@@ -3,7 +3,7 @@
 from strata.operators.audit import audit_columns
 from strata.plans import fixtures as FX
 from strata.plans import jobs as J
-from strata.sinks.files import write_refined
+from strata.sinks.files import write_csv_pipe, write_refined
 from strata.sources import catalog as CAT
 from strata.sources.files import scan_csv_pipe
 
@@ -44,6 +44,25 @@ def test_full_load_snapshot_selects_by_pattern(spark, tmp_path):
     assert scan_csv_pipe(spark, out["nation"]).count() == 25
 
 
+def test_verify_snapshot_exchanges_rows_of_differing_tables_only(spark, tmp_path, monkeypatch):
+    CAT.create_zone(spark, "snap_sums", str(tmp_path / "db"))
+    for t in ("customer", "nation", "region", "supplier"):
+        CAT.register_table(spark, "snap_sums", t, f"{SF}/{t}.parquet")
+    out = J.full_load_snapshot(spark, "snap_sums", str(tmp_path / "raw"))
+    grouped = []
+    whole = J.digest_differences
+    monkeypatch.setattr(J, "digest_differences", lambda left, *rest: grouped.append(left.columns[0]) or whole(left, *rest))
+    assert sorted(map(tuple, J.verify_snapshot(spark, "snap_sums", out).collect())) == [(t, 0, 0) for t in sorted(out)]
+    assert grouped == []
+    sup = spark.table("snap_sums.supplier")
+    short = str(tmp_path / "short")
+    write_csv_pipe(sup.selectExpr("s_suppkey", "if(s_suppkey = 3, 'x', s_name) s_name", "s_nationkey", "s_acctbal"), short)
+    write_csv_pipe(spark.table("snap_sums.region").where("r_regionkey = 2"), out["region"])
+    got = sorted(map(tuple, J.verify_snapshot(spark, "snap_sums", {**out, "supplier": short}).collect()))
+    assert got == [("customer", 0, 0), ("nation", 0, 0), ("region", 0, 1), ("supplier", 1, 1)]
+    assert grouped == ["r_regionkey", "s_suppkey"]
+
+
 def test_raw_to_transient_appends(spark, tmp_path):
     raw, tr = str(tmp_path / "raw"), str(tmp_path / "tr")
     FX.read_table(spark, SF, "nation").write.options(header=True, sep="|").csv(raw)
